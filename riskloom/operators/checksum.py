@@ -8,42 +8,39 @@ from pyspark.sql import types as T
 
 
 def row_digest(df: DataFrame) -> Column:
-    """SHA-256 of a row: its values as text in column order, nulls marked, doubles as decimals."""
+    """SHA-256 of a row: its values as text in column order, nulls marked.
+
+    Doubles enter as whole millionths and times as microseconds: float and time
+    formatting differ between engines, whole numbers do not.
+    """
     parts = []
     for field in df.schema.fields:
         value = F.col(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            value = value.cast("decimal(24,6)")
-        elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            value = F.floor(value * 1e6 + 0.5)
+        elif isinstance(field.dataType, T.TimestampType):
+            value = F.unix_micros(value)
         parts.append(F.coalesce(value.cast("string"), F.lit("<null>")))
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
-def digest_number(digest: Column) -> Column:
-    """Low 60 bits of a hex digest as a decimal that sums without overflow."""
-    return F.conv(F.substring(digest, 50, 15), 16, 10).cast("decimal(38,0)")
-
-
-def checksum_columns(df: DataFrame) -> dict[str, Column]:
-    """Aggregates that together identify the content, whatever the row order."""
-    digest = row_digest(df)
-    return {
-        "row_count": F.count(F.lit(1)),
-        "digest_sum": F.coalesce(F.sum(digest_number(digest)), F.lit(0).cast("decimal(38,0)")),
-        "digest_xor": F.coalesce(F.bit_xor(F.xxhash64(*df.columns)), F.lit(0).cast("bigint")),
-    }
+def digest_number(df: DataFrame) -> Column:
+    """Low 60 bits of the row digest as a decimal that sums without overflow."""
+    return F.conv(F.substring(row_digest(df), 50, 15), 16, 10).cast("decimal(20,0)")
 
 
-def checksum_text(row_count: Column, digest_sum: Column, digest_xor: Column) -> Column:
-    """The folded aggregates as one SHA-256 text."""
-    return F.sha2(F.concat_ws("|", row_count, digest_sum, digest_xor), 256)
+def checksum_text(row_count: Column, digest_sum: Column) -> Column:
+    """The folded digests as one SHA-256 text."""
+    return F.sha2(F.concat_ws("|", row_count.cast("string"), digest_sum.cast("string")), 256)
 
 
 def content_checksum(df: DataFrame) -> DataFrame:
-    """One row: row_count, digest_sum, digest_xor, content_checksum."""
-    folded = df.agg(*[c.alias(name) for name, c in checksum_columns(df).items()])
-    return folded.withColumn(
-        "content_checksum",
-        checksum_text(F.col("row_count"), F.col("digest_sum"), F.col("digest_xor")),
+    """One row: row_count, digest_sum, content_checksum."""
+    return (
+        df.select(digest_number(df).alias("d"))
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.coalesce(F.sum("d"), F.lit(0)).cast("decimal(38,0)").alias("digest_sum"),
+        )
+        .withColumn("content_checksum", checksum_text(F.col("row_count"), F.col("digest_sum")))
     )

@@ -19,7 +19,6 @@ DEFAULT_FEATURES = [
     "amount", "distance_from_home_km", "hour_of_day", "account_age_days", "baseline_spend",
 ]
 BUCKETS = 10
-EDGE_DIGITS = 6
 SERIES_TERMS = 100
 
 
@@ -88,7 +87,7 @@ def quantile_edges(dist: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     for i in range(1, buckets):
         position = (F.col("size_ref") - 1) * F.lit(i / buckets)
         lo, hi = F.col(f"lo_{i}"), F.col(f"hi_{i}")
-        edges.append(round_half_up(lo + (hi - lo) * (position - F.floor(position)), EDGE_DIGITS))
+        edges.append(lo + (hi - lo) * (position - F.floor(position)))
     return picked.select("feature", "size_ref", "size_cur", F.array(*edges).alias("edges"))
 
 

@@ -105,7 +105,7 @@ def _timeline_bounds(
     }
     found = leveled.groupBy("_user").agg(*cuts.values())
     return {
-        r["_user"]: sorted(set(r[f"cuts_{tier_of[r['user_id']]}"]))
+        r["_user"]: sorted(set(r[f"cuts_{tier_of[r['_user']]}"]))
         for r in found.toLocalIterator()
     }
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom import schemas
-from riskloom.operators.checksum import checksum_columns, checksum_text
+from riskloom.operators.checksum import checksum_text, digest_number
 
 INGESTED = "INGESTION_SUCCESS"
 
@@ -23,19 +23,33 @@ def new_batch_id(label: str) -> str:
 
 
 def write_counted(
-    df: DataFrame, path: str, mode: str = "overwrite", by_date: str | None = None, **extra
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    by_date: str | None = None,
+    sums: dict[str, Column] | None = None,
 ) -> dict:
     """Write a Parquet table and return counts taken while writing it, without a second pass.
 
     ``by_date`` partitions the files by that column. Rows are rebalanced on it
     first, so a task writes few dates, and a date too big for one task is split.
-    ``extra`` adds aggregates to the observed ``rows``.
+    ``sums`` adds totals of expressions to the observed ``rows``.
     """
+    sums = sums or {}
     watched = Observation()
     if by_date is not None:
         df = df.hint("rebalance", by_date)
-    # observed directly below the write: each row counts once, in the task that commits it
-    df = df.observe(watched, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in extra.items()])
+    # observed directly below the write: each row counts once, in the task that commits it;
+    # the expressions are projected first, so that they run in generated code
+    df = (
+        df.withColumns({f"_sum_{n}": c for n, c in sums.items()})
+        .observe(
+            watched,
+            F.count(F.lit(1)).alias("rows"),
+            *[F.coalesce(F.sum(f"_sum_{n}"), F.lit(0)).alias(n) for n in sums],
+        )
+        .drop(*[f"_sum_{n}" for n in sums])
+    )
     writer = df.write.mode(mode)
     if by_date is not None:
         writer = writer.partitionBy(by_date)
@@ -49,11 +63,10 @@ def land_batch(transactions: DataFrame, root: str, batch_id: str, replay: bool =
     ``replay`` is for streams, whose engine repeats an unfinished batch with the
     same id and the same rows.
     """
-    checksum = {k: v for k, v in checksum_columns(transactions).items() if k != "row_count"}
     path = f"{root}/transactions/batch_id={batch_id}"
     counts = write_counted(
         transactions, path, "overwrite" if replay else "errorifexists",
-        fraud_count=F.coalesce(F.sum("is_fraud"), F.lit(0).cast("bigint")), **checksum,
+        sums={"fraud_count": F.col("is_fraud"), "digest_sum": digest_number(transactions)},
     )
     return {"batch_id": batch_id, "tx_path": path, **counts}
 
@@ -78,8 +91,6 @@ def _bronze_schema() -> T.StructType:
 
 def append_audit(spark: SparkSession, root: str, landed: dict, users: int, merchants: int) -> dict:
     """Add one entry to the ingestion ledger; a repeated batch replaces its own entry."""
-    folded = (landed["rows"], str(landed["digest_sum"]), landed["digest_xor"])
-    text = spark.range(1).select(checksum_text(*map(F.lit, folded))).first()[0]
     record = {
         "batch_id": landed["batch_id"],
         "timestamp": now_text(),
@@ -87,12 +98,12 @@ def append_audit(spark: SparkSession, root: str, landed: dict, users: int, merch
         "users_count": users,
         "merchants_count": merchants,
         "fraud_count": landed["fraud_count"],
-        "content_checksum": text,
         "tx_path": landed["tx_path"],
         "status": INGESTED,
     }
-    entry = spark.createDataFrame([record], schemas.AUDIT_RECORD).coalesce(1)
-    entry.write.mode("overwrite").json(f"{root}/ingestion_audit_log/entry={landed['batch_id']}")
+    checksum = checksum_text(F.lit(landed["rows"]), F.lit(str(landed["digest_sum"])))
+    entry = spark.createDataFrame([record], schemas.AUDIT_RECORD).withColumn("content_checksum", checksum)
+    entry.coalesce(1).write.mode("overwrite").json(f"{root}/ingestion_audit_log/entry={landed['batch_id']}")
     return record
 
 
