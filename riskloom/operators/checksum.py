@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +36,11 @@ def checksum_text(row_count: Column, digest_sum: Column) -> Column:
     return F.sha2(F.concat_ws("|", row_count.cast("string"), digest_sum.cast("string")), 256)
 
 
+def checksum_of(row_count: int, digest_sum: object) -> str:
+    """The same text from values already at hand."""
+    return hashlib.sha256(f"{row_count}|{digest_sum}".encode()).hexdigest()
+
+
 def content_checksum(df: DataFrame) -> DataFrame:
     """One row: row_count, digest_sum, content_checksum."""
     return (

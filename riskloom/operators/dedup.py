@@ -16,8 +16,10 @@ def keep_first(df: DataFrame, key: str, first_by: list[str] | None = None) -> Da
     """
     leading = [c for c in (first_by or []) if c != key]
     order = leading + [c for c in df.columns if c != key and c not in leading]
-    window = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+    # the hash leads the sort: ids that share their first bytes would otherwise
+    # all need a full comparison
+    window = Window.partitionBy(F.xxhash64(key), key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return df.select("*", F.row_number().over(window).alias("_rank")).where("_rank = 1").drop("_rank")
 
 
 def surplus_rows(df: DataFrame, key: str) -> DataFrame:

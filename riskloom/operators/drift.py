@@ -51,67 +51,77 @@ def melt(reference: DataFrame, current: DataFrame, features: list[str]) -> DataF
 def distribution(
     reference: DataFrame, current: DataFrame, features: list[str], slice_rows: int | None = None
 ) -> DataFrame:
-    """Rows (feature, value, n_ref, n_cur, cum_ref, cum_cur, next_value)."""
+    """Rows (feature, value, n_ref, n_cur, cum_ref, cum_cur, next_value, size_ref, size_cur)."""
     rows = melt(reference, current, features)
     sizing = {} if slice_rows is None else {"slice_rows": slice_rows}
     bounds = slice_bounds(rows, "feature", "value", **sizing)
     counts = rows.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+    sizes = counts.groupBy("feature").agg(
+        F.sum("n_ref").alias("size_ref"), F.sum("n_cur").alias("size_cur")
+    )
     run = running_totals(counts, "feature", "value", ["n_ref", "n_cur"], bounds)
-    return run.withColumnsRenamed({"cum_n_ref": "cum_ref", "cum_n_cur": "cum_cur"})
+    # one row per feature: bounded by the feature list
+    return run.withColumnsRenamed({"cum_n_ref": "cum_ref", "cum_n_cur": "cum_cur"}).join(
+        F.broadcast(sizes), "feature")
 
 
-def quantile_edges(dist: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """Rows (feature, size_ref, size_cur, edges): inner quantile edges of the reference.
+def _rank_positions(buckets: int) -> list[Column]:
+    """Fractional 0-based ranks of the inner quantiles of the reference."""
+    return [(F.col("size_ref") - 1) * F.lit(i / buckets) for i in range(1, buckets)]
 
-    Linear interpolation between the two neighbouring ranks, picked from the
-    running totals: exact without holding a feature's values in one buffer.
-    """
-    sizes = dist.groupBy("feature").agg(
-        F.sum("n_ref").alias("size_ref"), F.sum("n_cur").alias("size_cur")
-    )
-    # one row per feature: bounded by the feature list
-    sized = dist.where("n_ref > 0").join(F.broadcast(sizes), "feature")
 
+def feature_statistics(dist: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Rows (feature, size_ref, size_cur, ks, wasserstein, edges), from one aggregate.
+
+    ``edges`` are the inner quantiles of the reference: linear interpolation
+    between the two neighbouring ranks, picked from the running totals, so no
+    buffer holds a feature's values.
+    """
     def at_rank(rank: Column) -> Column:
-        return F.min(F.when(F.col("cum_ref") > rank, F.col("value")))
-
-    aggregates = []
-    for i in range(1, buckets):
-        position = (F.col("size_ref") - 1) * F.lit(i / buckets)
-        aggregates += [
-            at_rank(F.floor(position)).alias(f"lo_{i}"),
-            at_rank(F.least(F.floor(position) + 1, F.col("size_ref") - 1)).alias(f"hi_{i}"),
-        ]
-    picked = sized.groupBy("feature", "size_ref", "size_cur").agg(*aggregates)
-    edges = []
-    for i in range(1, buckets):
-        position = (F.col("size_ref") - 1) * F.lit(i / buckets)
-        lo, hi = F.col(f"lo_{i}"), F.col(f"hi_{i}")
-        edges.append(lo + (hi - lo) * (position - F.floor(position)))
-    return picked.select("feature", "size_ref", "size_cur", F.array(*edges).alias("edges"))
+        return F.min(F.when((F.col("n_ref") > 0) & (F.col("cum_ref") > rank), F.col("value")))
+
+    gap = F.abs(
+        F.col("cum_ref") / F.nullif(F.col("size_ref"), F.lit(0))
+        - F.col("cum_cur") / F.nullif(F.col("size_cur"), F.lit(0))
+    )
+    positions = _rank_positions(buckets)
+    folded = dist.groupBy("feature", "size_ref", "size_cur").agg(
+        F.max(gap).alias("ks"),
+        F.sum(gap * (F.coalesce("next_value", "value") - F.col("value"))).alias("wasserstein"),
+        F.array(*[at_rank(F.floor(p)) for p in positions]).alias("lo"),
+        F.array(*[at_rank(F.least(F.floor(p) + 1, F.col("size_ref") - 1)) for p in positions]).alias("hi"),
+    )
+    edges = [
+        F.col("lo")[i] + (F.col("hi")[i] - F.col("lo")[i]) * (p - F.floor(p)) for i, p in enumerate(positions)
+    ]
+    return folded.withColumn("edges", F.array(*edges)).drop("lo", "hi")
 
 
-def bucket_counts(dist: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """Rows (feature, size_ref, size_cur, ref_counts, cur_counts): counts per quantile bucket.
+def with_bucket_counts(dist: DataFrame, statistics: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """The statistics plus ``ref_counts`` and ``cur_counts``: rows per quantile bucket.
 
     A value's bucket is the number of edges at or below it, so repeated edges
     leave empty buckets.
     """
-    edges = quantile_edges(dist, buckets)
-    placed = dist.join(F.broadcast(edges), "feature").withColumn(
-        "bucket", F.size(F.filter("edges", lambda e: e <= F.col("value")))
-    )
+    carried = [c for c in statistics.columns if c != "edges"]
+    placed = dist.select("feature", "value", "n_ref", "n_cur").join(
+        F.broadcast(statistics), "feature"  # one row per feature
+    ).withColumn("bucket", F.size(F.filter("edges", lambda e: e <= F.col("value"))))
 
     def per_bucket(n: str) -> Column:
         return F.array(*[
             F.sum(F.when(F.col("bucket") == b, F.col(n)).otherwise(0)) for b in range(buckets)
         ])
 
-    return placed.groupBy("feature", "size_ref", "size_cur").agg(
+    return placed.groupBy(*carried).agg(
         per_bucket("n_ref").alias("ref_counts"), per_bucket("n_cur").alias("cur_counts")
     )
 
 
+def bucket_counts(dist: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    return with_bucket_counts(dist, feature_statistics(dist, buckets), buckets)
+
+
 def psi_from_counts(
     ref_counts: Column, cur_counts: Column, size_ref: Column, size_cur: Column, buckets: int = BUCKETS
 ) -> Column:
@@ -126,25 +136,6 @@ def psi_from_counts(
     return F.when((size_ref == 0) | (size_cur == 0), F.lit(0.0)).otherwise(value)
 
 
-def distances(dist: DataFrame) -> DataFrame:
-    """Rows (feature, size_ref, size_cur, ks, wasserstein)."""
-    sizes = dist.groupBy("feature").agg(
-        F.sum("n_ref").alias("size_ref"), F.sum("n_cur").alias("size_cur")
-    )
-    gap = F.abs(
-        F.col("cum_ref") / F.nullif(F.col("size_ref"), F.lit(0))
-        - F.col("cum_cur") / F.nullif(F.col("size_cur"), F.lit(0))
-    )
-    return (
-        dist.join(F.broadcast(sizes), "feature")
-        .groupBy("feature", "size_ref", "size_cur")
-        .agg(
-            F.max(gap).alias("ks"),
-            F.sum(gap * (F.coalesce("next_value", "value") - F.col("value"))).alias("wasserstein"),
-        )
-    )
-
-
 def ks_p_value(ks: Column, size_ref: Column, size_cur: Column) -> Column:
     """Asymptotic p-value: the Kolmogorov series, 1 for small arguments."""
     n, m = size_ref.cast("double"), size_cur.cast("double")
@@ -172,13 +163,9 @@ def drift_metrics(
     """
     names = shared_features(reference, current, features)
     dist = distribution(reference, current, names, slice_rows)
-    counts = bucket_counts(dist).select(
-        "feature",
-        psi_from_counts(*[F.col(c) for c in ("ref_counts", "cur_counts", "size_ref", "size_cur")]).alias("psi"),
-    )
-    # one row per feature on either side
-    joined = distances(dist).join(F.broadcast(counts), "feature", "left").withColumns({
-        "psi": F.coalesce("psi", F.lit(0.0)),
+    psi = psi_from_counts(*map(F.col, ("ref_counts", "cur_counts", "size_ref", "size_cur")))
+    joined = bucket_counts(dist).withColumns({
+        "psi": psi,
         "p": ks_p_value(F.col("ks"), F.col("size_ref"), F.col("size_cur")),
     })
     drifting = (F.col("psi") > thresholds.psi) | (F.col("p") < thresholds.p_value)

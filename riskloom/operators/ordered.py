@@ -14,7 +14,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from riskloom.session import local_rows
 
 SLICE_ROWS = 1_000_000
 MAX_SLICES = 2048
@@ -27,36 +28,34 @@ def slice_bounds(
     slice_rows: int = SLICE_ROWS,
     max_slices: int = MAX_SLICES,
 ) -> dict[str, list[float]]:
-    """Inner slice bounds per group; empty where one slice is enough.
+    """Inner slice bounds of the groups that need more than one slice.
 
     For few groups (a feature list, a single score column): the result holds at
-    most ``max_slices`` numbers per group.
+    most ``max_slices`` numbers per group. Both passes combine before their
+    exchange, and the second only runs when some group is large.
     """
+    known = df.where(F.col(order).isNotNull())
+    sizes = known.groupBy(group).agg(F.approx_count_distinct(order).alias("n"))
+    large = {r[group]: r["n"] for r in sizes.toLocalIterator() if r["n"] > slice_rows}
+    if not large:
+        return {}
     steps = [i / max_slices for i in range(1, max_slices)]
-    stats = (
-        df.where(F.col(order).isNotNull())
+    cuts = (
+        known.where(F.col(group).isin(list(large)))
         .groupBy(group)
-        .agg(
-            F.approx_count_distinct(order).alias("n"),
-            F.percentile_approx(order, steps, max(10_000, 4 * max_slices)).alias("cuts"),
-        )
+        .agg(F.percentile_approx(order, steps, max(10_000, 4 * max_slices)).alias("cuts"))
     )
     bounds = {}
-    for row in stats.toLocalIterator():
-        wanted = min(max_slices, math.ceil(row["n"] / slice_rows))
+    for row in cuts.toLocalIterator():
+        wanted = min(max_slices, math.ceil(large[row[group]] / slice_rows))
         stride = max_slices / wanted
-        cuts = {row["cuts"][math.ceil(i * stride) - 1] for i in range(1, wanted)}
-        bounds[row[group]] = sorted(cuts)
+        bounds[row[group]] = sorted({row["cuts"][math.ceil(i * stride) - 1] for i in range(1, wanted)})
     return bounds
 
 
-def bounds_table(df: DataFrame, group: str, order: str, bounds: dict[str, list[float]]) -> DataFrame:
-    """The bounds as a small table (group, _bounds), typed like the data."""
-    schema = T.StructType([
-        T.StructField(group, df.schema[group].dataType),
-        T.StructField("_bounds", T.ArrayType(df.schema[order].dataType)),
-    ])
-    return df.sparkSession.createDataFrame(list(bounds.items()), schema)
+def bounds_table(df: DataFrame, group: str, bounds: dict[str, list]) -> DataFrame:
+    """The bounds as a small table (group, _bounds)."""
+    return local_rows(df.sparkSession, {group: list(bounds), "_bounds": list(bounds.values())})
 
 
 def locate(bounds: Column, value: Column) -> Column:
@@ -73,7 +72,7 @@ def with_slice(df: DataFrame, group: str, order: str, bounds: dict[str, list[flo
     """Add ``_slice``; groups without bounds are slice 0."""
     if not any(bounds.values()):
         return df.withColumn("_slice", F.lit(0))
-    small = bounds_table(df, group, order, {g: b for g, b in bounds.items() if b})
+    small = bounds_table(df, group, {g: b for g, b in bounds.items() if b})
     return (
         # one row per group with bounds, so its size is known here
         df.join(F.broadcast(small), group, "left")

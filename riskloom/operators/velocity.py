@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.money import cents
 from riskloom.operators.ordered import bounds_table, locate
+from riskloom.session import local_rows
 
 HOUR = 3_600_000_000  # microseconds
 DAY = 24 * HOUR
@@ -60,8 +61,10 @@ def _gap_seconds(ts: Column, previous: Column) -> Column:
 
 def _growing_frames(tx: DataFrame) -> DataFrame:
     # both orders share one sort: (user, time, id) also serves (user, time)
-    by_row = Window.partitionBy("user_id").orderBy("_t", "transaction_id")
-    by_time = Window.partitionBy("user_id").orderBy("_t")
+    # and the hash leads it, so that ids alike in their first bytes compare as numbers
+    user = [F.xxhash64("user_id"), F.col("user_id")]
+    by_row = Window.partitionBy(*user).orderBy("_t", "transaction_id")
+    by_time = Window.partitionBy(*user).orderBy("_t")
     until_now = by_time.rangeBetween(Window.unboundedPreceding, 0)
     until_1h_ago = by_time.rangeBetween(Window.unboundedPreceding, -HOUR - 1)
     until_24h_ago = by_time.rangeBetween(Window.unboundedPreceding, -DAY - 1)
@@ -93,7 +96,7 @@ def _timeline_bounds(
     # length, so all bounds together stay below 2 * total rows / slice_rows.
     tier_of = {user: max(1, (n // slice_rows).bit_length()) for user, n in rows.items()}
     spark = instants.sparkSession
-    tiers = spark.createDataFrame(list(tier_of.items()), "_user string, tier int")
+    tiers = local_rows(spark, {"_user": list(tier_of), "tier": list(tier_of.values())})
     leveled = instants.join(F.broadcast(tiers), "_user")
     cuts = {
         t: F.percentile_approx(
@@ -136,7 +139,7 @@ def _sliced_timeline(tx: DataFrame, rows: dict[str, int], slice_rows: int) -> Da
             change(F.col("t") + DAY + 1, zero, -F.col("cents"), False),
         )),
     )
-    cut_table = bounds_table(changes, "_user", "t", bounds)
+    cut_table = bounds_table(changes, "_user", bounds)
     sliced = changes.join(F.broadcast(cut_table), "_user").withColumn(
         "_slice", locate(F.col("_bounds"), F.col("t"))
     ).drop("_bounds")
@@ -192,7 +195,7 @@ def with_velocity(
         result = _growing_frames(tx)
     else:
         names = F.broadcast(  # at most max_users rows
-            tx.sparkSession.createDataFrame([(u,) for u in rows], "_user string")
+            local_rows(tx.sparkSession, {"_user": list(rows)})
         )
         keyed = tx.withColumn(
             "_user", F.when(F.col("timestamp").isNotNull(), _user_key())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
@@ -76,16 +77,17 @@ def gate(tx: DataFrame, users: DataFrame, merchants: DataFrame) -> dict:
 
 
 def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str) -> dict[str, int]:
-    tx = silver.silver_transactions(bronze["transactions"], bronze["users"]).withColumn(
-        "transaction_date", F.to_date("timestamp")
-    )
-    tables = {
-        "transactions": lambda: lake.write_counted(tx, f"{root}/transactions", by_date="transaction_date"),
+    """Master data first; the transactions then read the deduplicated users back."""
+    done = side_by_side(spark, {
         "users": lambda: lake.write_counted(silver.silver_users(bronze["users"]), f"{root}/users"),
         "merchants": lambda: lake.write_counted(
             silver.silver_merchants(bronze["merchants"]), f"{root}/merchants"),
-    }
-    return {name: done["rows"] for name, done in side_by_side(spark, tables).items()}
+    })
+    tx = silver.silver_transactions(
+        bronze["transactions"], spark.read.parquet(f"{root}/users"), unique_users=True
+    ).withColumn("transaction_date", F.to_date("timestamp"))
+    done["transactions"] = lake.write_counted(tx, f"{root}/transactions", by_date="transaction_date")
+    return {name: counts["rows"] for name, counts in done.items()}
 
 
 def build_gold(spark: SparkSession, layer: dict[str, DataFrame], root: str, version: str) -> dict[str, int]:
@@ -150,7 +152,7 @@ def run_medallion(
         telemetry.finish("FAILED", str(problem))
         raise
     finally:
-        lake.append_report(spark, telemetry.record, schemas.RUN_TELEMETRY, f"{root}/reports/runs")
+        lake.append_report(spark, telemetry.record, f"{root}/reports/runs")
 
 
 def run_training(
@@ -166,7 +168,7 @@ def run_training(
     reads them instead of repeating the joins or the model.
     """
     configure(spark)
-    run_id = new_run_id()
+    run_id = uuid.uuid4().hex
     home = f"{root}/{run_id}"
     features = compute_features(
         gold["fct_transactions"], gold["dim_users"], gold["dim_merchants"], unique_dims=True
@@ -195,7 +197,7 @@ def run_training(
         "top_features": [r["feature"] for r in training.top_importances(bundle, spark, 5).collect()],
         "model_path": f"{home}/bundle",
     }
-    lake.append_report(spark, entry, schemas.TRAINING_RUN, f"{root}/runs")
+    lake.append_report(spark, entry, f"{root}/runs")
     return entry
 
 

@@ -59,14 +59,16 @@ def silver_merchants(merchants: DataFrame) -> DataFrame:
     )
 
 
-def silver_transactions(tx: DataFrame, users: DataFrame) -> DataFrame:
+def silver_transactions(tx: DataFrame, users: DataFrame, unique_users: bool = False) -> DataFrame:
     """Deduplicated, typed, with temporal and cross-border columns.
 
-    ``users`` may repeat ids. Bad rows are kept: the quality gate stops them.
+    Set ``unique_users`` when ``users`` holds one row per id; it is
+    deduplicated first otherwise. Bad rows are kept: the quality gate stops them.
     """
-    cleaned = temporal(typed_transactions(keep_first(tx, "transaction_id", ["timestamp"])))
     columns = [*tx.columns, "hour_of_day", "day_of_week", "is_weekend", "is_night", "is_cross_border"]
-    return with_cross_border(cleaned, keep_first(users, "user_id")).select(*columns)
+    cleaned = temporal(typed_transactions(keep_first(tx, "transaction_id", ["timestamp"])))
+    known = users if unique_users else keep_first(users, "user_id")
+    return with_cross_border(cleaned, known).select(*columns)
 
 
 def staging_transactions(tx: DataFrame) -> DataFrame:

@@ -393,7 +393,7 @@ query("f6_first_merchants")(lambda spark, d: reports.first_by_id(_merchants(spar
 query("g1_keep_first")(lambda spark, d: dedup.keep_first(
     adapters.duplicated_transactions(spark, d), "transaction_id", ["timestamp"]))
 query("g2_surplus_rows")(lambda spark, d: dedup.surplus_rows(
-    adapters.duplicated_transactions(spark, d).select("transaction_id"), "transaction_id"))
+    adapters.duplicated_transactions(spark, d, with_parties=False).select("transaction_id"), "transaction_id"))
 
 
 @query("g3_batches_as_one_table")
@@ -592,7 +592,7 @@ DRIFT_FEATURES = ["amount", "distance_from_home_km", "hour_of_day"]
 
 def _sides(spark, d):
     """Whole event transactions against whole lineitem transactions."""
-    return _activity(spark, d), silver.temporal(adapters.duplicated_transactions(spark, d))
+    return _activity(spark, d), silver.temporal(adapters.duplicated_transactions(spark, d, with_parties=False))
 
 
 def _distribution(spark, d, slice_rows=None):
@@ -613,27 +613,27 @@ def _(spark, d):
         "feature", "bucket", F.col("n.ref_counts").alias("n_ref"), F.col("n.cur_counts").alias("n_cur"))
 
 
-query("l2_quantile_edges")(lambda spark, d: drift.quantile_edges(_distribution(spark, d)).select(
+query("l2_quantile_edges")(lambda spark, d: drift.feature_statistics(_distribution(spark, d)).select(
     "feature", F.posexplode("edges").alias("edge_no", "edge")))
-query("l3_ks_statistic")(lambda spark, d: drift.distances(_distribution(spark, d)).select(
+query("l3_ks_statistic")(lambda spark, d: drift.feature_statistics(_distribution(spark, d)).select(
     "feature", round_half_up(F.col("ks"), 6).alias("ks_statistic")))
 
 
 @query("l4_ks_p_value")
 def _(spark, d):
     narrow = sampling.fixed_size_sample(_activity(spark, d), "transaction_id", 1500)
-    far = drift.distances(drift.distribution(_activity(spark, d), narrow, DRIFT_FEATURES))
+    far = drift.feature_statistics(drift.distribution(_activity(spark, d), narrow, DRIFT_FEATURES))
     p = drift.ks_p_value(F.col("ks"), F.col("size_ref"), F.col("size_cur"))
     return far.select("feature", round_half_up(p, 5).alias("p_value"))
 
 
-query("l5_wasserstein")(lambda spark, d: drift.distances(_distribution(spark, d)).select(
+query("l5_wasserstein")(lambda spark, d: drift.feature_statistics(_distribution(spark, d)).select(
     "feature", round_half_up(F.col("wasserstein"), 4).alias("wasserstein_distance")))
 
 
 @query("l5_wasserstein_sliced")
 def _(spark, d):
-    far = drift.distances(_distribution(spark, d, slice_rows=500))
+    far = drift.feature_statistics(_distribution(spark, d, slice_rows=500))
     return far.select("feature", round_half_up(F.col("wasserstein"), 4).alias("wasserstein_distance"),
                       round_half_up(F.col("ks"), 6).alias("ks_statistic"))
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 # Only applied where the session can still change them; cluster sizing
 # (executors, memory, shuffle partitions) stays with whoever starts the session.
@@ -52,3 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give ``checkpoint()`` and the tree trainer a reliable folder to write to."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def local_rows(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
+    """A small table of driver-side values, kept in the plan itself."""
+    return spark.createDataFrame(pa.table(columns))

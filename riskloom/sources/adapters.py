@@ -159,36 +159,40 @@ def merchants(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def duplicated_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """Transactions from ``lineitem``: six times the volume, ids not unique."""
+def duplicated_transactions(spark: SparkSession, folder: str, with_parties: bool = True) -> DataFrame:
+    """Transactions from ``lineitem``: six times the volume, ids not unique.
+
+    ``with_parties=False`` leaves user and country out, and with them the joins
+    to orders and suppliers, which match every line exactly once.
+    """
     lines = table(spark, folder, "lineitem")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    suppliers = (
-        table(spark, folder, "supplier")
-        .join(_nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.col("n_name").alias("country"))
-    )
-    fraud = F.col("l_returnflag") == "R"
-    return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            F.concat_ws("_", F.lit("TX"), "l_orderkey", "l_linenumber").alias("transaction_id"),
-            padded("USR_", F.col("o_custkey"), 5).alias("user_id"),
-            padded("MER_", F.col("l_suppkey"), 4).alias("merchant_id"),
-            F.col("l_extendedprice").alias("amount"),
-            F.lit("USD").alias("currency"),
-            F.col("l_shipdate").cast("timestamp").alias("timestamp"),
-            pick(CHANNELS, F.col("l_linenumber")).alias("channel"),
-            F.when(F.col("l_linestatus") == "O", "credit").otherwise("debit").alias("card_type"),
-            pick(DEVICES, F.col("l_partkey")).alias("device_type"),
-            F.lit("10.0.0.1").alias("ip_address"),
-            "country",
-            F.col("l_quantity").alias("distance_from_home_km"),
-            fraud.cast("int").alias("is_fraud"),
-            F.when(fraud, "CARD_PROBING").otherwise("NONE").alias("fraud_type"),
+    if with_parties:
+        orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+        suppliers = (
+            table(spark, folder, "supplier")
+            .join(_nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey"))
+            .select("s_suppkey", F.col("n_name").alias("country"))
         )
-    )
+        lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+            suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    fraud = F.col("l_returnflag") == "R"
+    columns = {
+        "transaction_id": F.concat_ws("_", F.lit("TX"), "l_orderkey", "l_linenumber"),
+        "user_id": padded("USR_", F.col("o_custkey"), 5) if with_parties else None,
+        "merchant_id": padded("MER_", F.col("l_suppkey"), 4),
+        "amount": F.col("l_extendedprice"),
+        "currency": F.lit("USD"),
+        "timestamp": F.col("l_shipdate").cast("timestamp"),
+        "channel": pick(CHANNELS, F.col("l_linenumber")),
+        "card_type": F.when(F.col("l_linestatus") == "O", "credit").otherwise("debit"),
+        "device_type": pick(DEVICES, F.col("l_partkey")),
+        "ip_address": F.lit("10.0.0.1"),
+        "country": F.col("country") if with_parties else None,
+        "distance_from_home_km": F.col("l_quantity"),
+        "is_fraud": fraud.cast("int"),
+        "fraud_type": F.when(fraud, "CARD_PROBING").otherwise("NONE"),
+    }
+    return lines.select(*[c.alias(name) for name, c in columns.items() if c is not None])
 
 
 def faulty_transactions(spark: SparkSession, folder: str) -> DataFrame:

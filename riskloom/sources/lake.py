@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom import schemas
-from riskloom.operators.checksum import checksum_text, digest_number
+from riskloom.operators.checksum import checksum_of, digest_number
+from riskloom.session import local_rows
 
 INGESTED = "INGESTION_SUCCESS"
 
@@ -98,12 +100,11 @@ def append_audit(spark: SparkSession, root: str, landed: dict, users: int, merch
         "users_count": users,
         "merchants_count": merchants,
         "fraud_count": landed["fraud_count"],
+        "content_checksum": checksum_of(landed["rows"], landed["digest_sum"]),
         "tx_path": landed["tx_path"],
         "status": INGESTED,
     }
-    checksum = checksum_text(F.lit(landed["rows"]), F.lit(str(landed["digest_sum"])))
-    entry = spark.createDataFrame([record], schemas.AUDIT_RECORD).withColumn("content_checksum", checksum)
-    entry.coalesce(1).write.mode("overwrite").json(f"{root}/ingestion_audit_log/entry={landed['batch_id']}")
+    _write_lines(spark, [record], f"{root}/ingestion_audit_log/entry={landed['batch_id']}", "overwrite")
     return record
 
 
@@ -111,9 +112,15 @@ def read_audit(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schemas.AUDIT_RECORD).json(f"{root}/ingestion_audit_log").drop("entry")
 
 
-def append_report(spark: SparkSession, record: dict, schema: T.StructType, path: str) -> None:
+def _write_lines(spark: SparkSession, records: list[dict], path: str, mode: str) -> None:
+    """Write a few records as JSON lines, one file."""
+    lines = local_rows(spark, {"value": [json.dumps(r) for r in records]})
+    lines.coalesce(1).write.mode(mode).text(path)
+
+
+def append_report(spark: SparkSession, record: dict, path: str) -> None:
     """Append one record to a JSON ledger."""
-    spark.createDataFrame([record], schema).coalesce(1).write.mode("append").json(path)
+    _write_lines(spark, [record], path, "append")
 
 
 def write_report(report: DataFrame, path: str) -> None:
@@ -141,8 +148,11 @@ PUBLICATION = T.StructType.fromDDL("version string, published_at string, name st
 def commit_versions(spark: SparkSession, root: str, version: str, built: list[dict]) -> None:
     """Make built marts current, all in one ledger entry."""
     at = now_text()
-    rows = [(version, at, b["name"], b["path"], b["rows"]) for b in built]
-    spark.createDataFrame(rows, PUBLICATION).coalesce(1).write.mode("append").json(f"{root}/_published")
+    entries = [
+        {"version": version, "published_at": at, "name": b["name"], "path": b["path"], "row_count": b["rows"]}
+        for b in built
+    ]
+    _write_lines(spark, entries, f"{root}/_published", "append")
 
 
 def current_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
