@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.money import round_half_up
-from riskloom.operators.ordered import running_totals, slice_bounds
+from riskloom.operators.ordered import SLICE_ROWS, group_sizes, running_totals, slice_bounds
+from riskloom.session import local_rows
 
 DEFAULT_FEATURES = [
     "amount", "distance_from_home_km", "hour_of_day", "account_age_days", "baseline_spend",
@@ -49,25 +51,23 @@ def melt(reference: DataFrame, current: DataFrame, features: list[str]) -> DataF
 
 
 def distribution(
-    reference: DataFrame, current: DataFrame, features: list[str], slice_rows: int | None = None
+    reference: DataFrame, current: DataFrame, features: list[str], slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Rows (feature, value, n_ref, n_cur, cum_ref, cum_cur, next_value, size_ref, size_cur)."""
     rows = melt(reference, current, features)
-    sizing = {} if slice_rows is None else {"slice_rows": slice_rows}
-    bounds = slice_bounds(rows, "feature", "value", **sizing)
-    counts = rows.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
-    sizes = counts.groupBy("feature").agg(
-        F.sum("n_ref").alias("size_ref"), F.sum("n_cur").alias("size_cur")
+    sizes = group_sizes(rows, "feature", "value", ["n_ref", "n_cur"])
+    bounds = slice_bounds(
+        rows, "feature", "value", {f: s["distinct"] for f, s in sizes.items()}, slice_rows
     )
+    counts = rows.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     run = running_totals(counts, "feature", "value", ["n_ref", "n_cur"], bounds)
-    # one row per feature: bounded by the feature list
+    known = local_rows(rows.sparkSession, {  # one row per feature
+        "feature": pa.array(sizes, pa.string()),
+        "size_ref": pa.array([s["n_ref"] for s in sizes.values()], pa.int64()),
+        "size_cur": pa.array([s["n_cur"] for s in sizes.values()], pa.int64()),
+    })
     return run.withColumnsRenamed({"cum_n_ref": "cum_ref", "cum_n_cur": "cum_cur"}).join(
-        F.broadcast(sizes), "feature")
-
-
-def _rank_positions(buckets: int) -> list[Column]:
-    """Fractional 0-based ranks of the inner quantiles of the reference."""
-    return [(F.col("size_ref") - 1) * F.lit(i / buckets) for i in range(1, buckets)]
+        F.broadcast(known), "feature")
 
 
 def feature_statistics(dist: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -77,63 +77,60 @@ def feature_statistics(dist: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     between the two neighbouring ranks, picked from the running totals, so no
     buffer holds a feature's values.
     """
-    def at_rank(rank: Column) -> Column:
-        return F.min(F.when((F.col("n_ref") > 0) & (F.col("cum_ref") > rank), F.col("value")))
+    gap = "abs(cum_ref / nullif(size_ref, 0) - cum_cur / nullif(size_cur, 0))"
+    positions = [f"((size_ref - 1) * {i / buckets!r}D)" for i in range(1, buckets)]
+
+    def at_ranks(ranks: list[str]) -> Column:
+        picked = [f"min(if(n_ref > 0 and cum_ref > {rank}, value, null))" for rank in ranks]
+        return F.expr(f"array({', '.join(picked)})")
 
-    gap = F.abs(
-        F.col("cum_ref") / F.nullif(F.col("size_ref"), F.lit(0))
-        - F.col("cum_cur") / F.nullif(F.col("size_cur"), F.lit(0))
-    )
-    positions = _rank_positions(buckets)
     folded = dist.groupBy("feature", "size_ref", "size_cur").agg(
-        F.max(gap).alias("ks"),
-        F.sum(gap * (F.coalesce("next_value", "value") - F.col("value"))).alias("wasserstein"),
-        F.array(*[at_rank(F.floor(p)) for p in positions]).alias("lo"),
-        F.array(*[at_rank(F.least(F.floor(p) + 1, F.col("size_ref") - 1)) for p in positions]).alias("hi"),
+        F.expr(f"max({gap})").alias("ks"),
+        F.expr(f"sum({gap} * (coalesce(next_value, value) - value))").alias("wasserstein"),
+        at_ranks([f"floor({p})" for p in positions]).alias("lo"),
+        at_ranks([f"least(floor({p}) + 1, size_ref - 1)" for p in positions]).alias("hi"),
+    )
+    edges = ", ".join(f"lo[{i}] + (hi[{i}] - lo[{i}]) * ({p} - floor({p}))" for i, p in enumerate(positions))
+    return folded.select(
+        "feature", "size_ref", "size_cur", "ks", "wasserstein", F.expr(f"array({edges})").alias("edges")
     )
-    edges = [
-        F.col("lo")[i] + (F.col("hi")[i] - F.col("lo")[i]) * (p - F.floor(p)) for i, p in enumerate(positions)
-    ]
-    return folded.withColumn("edges", F.array(*edges)).drop("lo", "hi")
 
 
-def with_bucket_counts(dist: DataFrame, statistics: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """The statistics plus ``ref_counts`` and ``cur_counts``: rows per quantile bucket.
+def bucket_counts(dist: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """The feature statistics plus ``ref_counts`` and ``cur_counts``: rows per quantile bucket.
 
     A value's bucket is the number of edges at or below it, so repeated edges
     leave empty buckets.
     """
+    statistics = feature_statistics(dist, buckets)
     carried = [c for c in statistics.columns if c != "edges"]
     placed = dist.select("feature", "value", "n_ref", "n_cur").join(
         F.broadcast(statistics), "feature"  # one row per feature
-    ).withColumn("bucket", F.size(F.filter("edges", lambda e: e <= F.col("value"))))
+    ).withColumn("bucket", F.expr("size(filter(edges, e -> e <= value))"))
 
     def per_bucket(n: str) -> Column:
-        return F.array(*[
-            F.sum(F.when(F.col("bucket") == b, F.col(n)).otherwise(0)) for b in range(buckets)
-        ])
+        sums = [f"sum(if(bucket = {b}, {n}, 0))" for b in range(buckets)]
+        return F.expr(f"array({', '.join(sums)})")
 
     return placed.groupBy(*carried).agg(
         per_bucket("n_ref").alias("ref_counts"), per_bucket("n_cur").alias("cur_counts")
     )
 
 
-def bucket_counts(dist: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    return with_bucket_counts(dist, feature_statistics(dist, buckets), buckets)
-
+# over the columns of bucket_counts; proportions are clipped to [1e-4, 1]
+_PSI = """
+    case when size_ref = 0 or size_cur = 0 then 0D
+    else aggregate(
+        zip_with(ref_counts, cur_counts, (r, c) -> named_struct(
+            'e', greatest(1e-4D, least(1D, r / nullif(size_ref, 0))),
+            'a', greatest(1e-4D, least(1D, c / nullif(size_cur, 0))))),
+        0D, (total, x) -> total + (x.a - x.e) * ln(x.a / x.e))
+    end"""
 
-def psi_from_counts(
-    ref_counts: Column, cur_counts: Column, size_ref: Column, size_cur: Column, buckets: int = BUCKETS
-) -> Column:
-    """Population stability index; proportions are clipped to [1e-4, 1]."""
-    def proportion(counts: Column, size: Column, b: int) -> Column:
-        return F.greatest(F.lit(1e-4), F.least(F.lit(1.0), counts[b] / F.nullif(size, F.lit(0))))
 
-    value = F.lit(0.0)
-    for b in range(buckets):
-        e, a = proportion(ref_counts, size_ref, b), proportion(cur_counts, size_cur, b)
-        value = value + (a - e) * F.log(a / e)
-    return F.when((size_ref == 0) | (size_cur == 0), F.lit(0.0)).otherwise(value)
+def psi() -> Column:
+    """Population stability index over the columns of ``bucket_counts``."""
+    return F.expr(_PSI)
 
 
 def ks_p_value(ks: Column, size_ref: Column, size_cur: Column) -> Column:
@@ -155,7 +152,7 @@ def drift_metrics(
     current: DataFrame,
     features: list[str] | None = None,
     thresholds: DriftThresholds = DriftThresholds(),
-    slice_rows: int | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """One row per feature: statistics, verdict and severity.
 
@@ -163,9 +160,8 @@ def drift_metrics(
     """
     names = shared_features(reference, current, features)
     dist = distribution(reference, current, names, slice_rows)
-    psi = psi_from_counts(*map(F.col, ("ref_counts", "cur_counts", "size_ref", "size_cur")))
     joined = bucket_counts(dist).withColumns({
-        "psi": psi,
+        "psi": psi(),
         "p": ks_p_value(F.col("ks"), F.col("size_ref"), F.col("size_cur")),
     })
     drifting = (F.col("psi") > thresholds.psi) | (F.col("p") < thresholds.p_value)

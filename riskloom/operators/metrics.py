@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.money import share
-from riskloom.operators.ordered import running_totals, slice_bounds
+from riskloom.operators.ordered import SLICE_ROWS, group_sizes, running_totals, slice_bounds
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -19,7 +19,7 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 
 def score_steps(
-    scored: DataFrame, label: str = "label", score: str = "score", slice_rows: int | None = None
+    scored: DataFrame, label: str = "label", score: str = "score", slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Rows (score, pos, neg, pos_at_or_above, neg_at_or_above, all_pos, all_neg)."""
     rows = scored.select(
@@ -28,19 +28,16 @@ def score_steps(
         F.when(F.col(label) == 1, 1).otherwise(0).cast("bigint").alias("pos"),
         F.when(F.col(label) == 1, 0).otherwise(1).cast("bigint").alias("neg"),
     )
-    sizing = {} if slice_rows is None else {"slice_rows": slice_rows}
-    bounds = slice_bounds(rows, "curve", "score", **sizing)
+    size = group_sizes(rows, "curve", "score", ["pos", "neg"]).get("all", {"distinct": 0, "pos": 0, "neg": 0})
+    bounds = slice_bounds(rows, "curve", "score", {"all": size["distinct"]}, slice_rows)
     counts = rows.groupBy("curve", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     run = running_totals(counts, "curve", "score", ["pos", "neg"], bounds)
-    sums = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    return run.withColumns({
-        "all_pos": sums.select("p").scalar(),
-        "all_neg": sums.select("n").scalar(),
-    }).select(
+    all_pos, all_neg = (F.lit(size[m]).cast("bigint") for m in ("pos", "neg"))
+    return run.select(
         "score", "pos", "neg",
-        (F.col("all_pos") - F.col("cum_pos") + F.col("pos")).alias("pos_at_or_above"),
-        (F.col("all_neg") - F.col("cum_neg") + F.col("neg")).alias("neg_at_or_above"),
-        "all_pos", "all_neg",
+        (all_pos - F.col("cum_pos") + F.col("pos")).alias("pos_at_or_above"),
+        (all_neg - F.col("cum_neg") + F.col("neg")).alias("neg_at_or_above"),
+        all_pos.alias("all_pos"), all_neg.alias("all_neg"),
     )
 
 

@@ -21,35 +21,44 @@ SLICE_ROWS = 1_000_000
 MAX_SLICES = 2048
 
 
+def group_sizes(df: DataFrame, group: str, order: str, measures: list[str]) -> dict[str, dict[str, int]]:
+    """Per group: approximate number of distinct order values (``distinct``) and exact measure totals.
+
+    For few groups (a feature list, a single score column). Combined before its
+    exchange, so only one row per group travels.
+    """
+    sizes = df.groupBy(group).agg(
+        F.approx_count_distinct(order).alias("distinct"), *[F.sum(m).alias(m) for m in measures]
+    )
+    return {r[group]: {k: r[k] for k in ("distinct", *measures)} for r in sizes.toLocalIterator()}
+
+
 def slice_bounds(
     df: DataFrame,
     group: str,
     order: str,
+    distinct: dict[str, int],
     slice_rows: int = SLICE_ROWS,
     max_slices: int = MAX_SLICES,
 ) -> dict[str, list[float]]:
-    """Inner slice bounds of the groups that need more than one slice.
+    """Inner slice bounds of the groups whose distinct values need more than one slice.
 
-    For few groups (a feature list, a single score column): the result holds at
-    most ``max_slices`` numbers per group. Both passes combine before their
-    exchange, and the second only runs when some group is large.
+    At most ``max_slices`` numbers per group reach the driver; nothing is
+    computed when no group is large.
     """
-    known = df.where(F.col(order).isNotNull())
-    sizes = known.groupBy(group).agg(F.approx_count_distinct(order).alias("n"))
-    large = {r[group]: r["n"] for r in sizes.toLocalIterator() if r["n"] > slice_rows}
-    if not large:
+    wanted = {g: min(max_slices, math.ceil(n / slice_rows)) for g, n in distinct.items() if n > slice_rows}
+    if not wanted:
         return {}
-    steps = [i / max_slices for i in range(1, max_slices)]
+    most = max(wanted.values())
     cuts = (
-        known.where(F.col(group).isin(list(large)))
+        df.where(F.col(group).isin(list(wanted)))
         .groupBy(group)
-        .agg(F.percentile_approx(order, steps, max(10_000, 4 * max_slices)).alias("cuts"))
+        .agg(F.percentile_approx(order, [i / most for i in range(1, most)], max(10_000, 4 * most)).alias("cuts"))
     )
     bounds = {}
     for row in cuts.toLocalIterator():
-        wanted = min(max_slices, math.ceil(large[row[group]] / slice_rows))
-        stride = max_slices / wanted
-        bounds[row[group]] = sorted({row["cuts"][math.ceil(i * stride) - 1] for i in range(1, wanted)})
+        slices = wanted[row[group]]
+        bounds[row[group]] = sorted({row["cuts"][math.ceil(i * most / slices) - 1] for i in range(1, slices)})
     return bounds
 
 

@@ -595,15 +595,14 @@ def _sides(spark, d):
     return _activity(spark, d), silver.temporal(adapters.duplicated_transactions(spark, d, with_parties=False))
 
 
-def _distribution(spark, d, slice_rows=None):
-    return drift.distribution(*_sides(spark, d), DRIFT_FEATURES, slice_rows)
+def _distribution(spark, d, **sizing):
+    return drift.distribution(*_sides(spark, d), DRIFT_FEATURES, **sizing)
 
 
 @query("l1_psi")
 def _(spark, d):
     counted = drift.bucket_counts(_distribution(spark, d))
-    psi = drift.psi_from_counts(*map(F.col, ("ref_counts", "cur_counts", "size_ref", "size_cur")))
-    return counted.select("feature", round_half_up(psi, 4).alias("psi_score"))
+    return counted.select("feature", round_half_up(drift.psi(), 4).alias("psi_score"))
 
 
 @query("l2_quantile_buckets")
