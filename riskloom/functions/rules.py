@@ -20,6 +20,10 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False)).cast("int")
 
 
+def is_fraud() -> Column:
+    return F.col("is_fraud") == 1
+
+
 def is_weekend(ts: Column) -> Column:
     return flag(F.weekday(ts).isin(5, 6))
 

@@ -12,7 +12,6 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom import schemas
 from riskloom.operators.drift import DriftThresholds, drift_report
 from riskloom.operators.quality import ContractViolation, gate_summary
 from riskloom.operators.sampling import stratified_split
@@ -127,7 +126,7 @@ def run_medallion(
 
         begun = time.monotonic()
         bronze = {
-            "transactions": lake.read_batches(spark, f"{root}/bronze", audit["batch_id"]).drop("batch_id"),
+            "transactions": spark.read.schema(sources["transactions"].schema).parquet(audit["tx_path"]),
             "users": spark.read.schema(sources["users"].schema).parquet(f"{root}/bronze/users"),
             "merchants": spark.read.schema(sources["merchants"].schema).parquet(f"{root}/bronze/merchants"),
         }

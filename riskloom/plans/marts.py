@@ -6,13 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.money import mean, round_half_up, share, total, total_where
-from riskloom.functions.rules import OPS_STATUS, severity, tenure_cohort
+from riskloom.functions.rules import OPS_STATUS, is_fraud, severity, tenure_cohort
 from riskloom.operators.dedup import keep_first
 from riskloom.operators.velocity import with_velocity
 from riskloom.plans.silver import staging_transactions
 
-IS_FRAUD = F.col("is_fraud") == 1
-
 
 def user_metrics(tx: DataFrame) -> DataFrame:
     """Lifetime metrics per user; map-side combining shrinks heavy users before the exchange."""
@@ -52,7 +50,7 @@ def merchant_metrics(tx: DataFrame) -> DataFrame:
         F.count("transaction_id").alias("total_processed_tx"),
         total(F.col("amount")).alias("total_processed_volume"),
         F.sum("is_fraud").alias("fraud_tx_count"),
-        total_where(IS_FRAUD, F.col("amount")).alias("total_fraud_volume"),
+        total_where(is_fraud(), F.col("amount")).alias("total_fraud_volume"),
     )
 
 
@@ -91,7 +89,7 @@ def fct_fraud_incidents(fact: DataFrame, users: DataFrame, merchants: DataFrame)
     it broadcasts whichever side is measured small.
     """
     return (
-        fact.where(IS_FRAUD)
+        fact.where(is_fraud())
         .join(users.select("user_id", "user_name"), "user_id")
         .join(merchants.select("merchant_id", "merchant_name", "category"), "merchant_id")
         .select(
@@ -125,7 +123,7 @@ def daily_kpis(fact: DataFrame) -> DataFrame:
             total(F.col("amount")).alias("total_gmv"),
             round_half_up(mean(F.col("amount")), 2).alias("avg_ticket_size"),
             F.sum("is_fraud").alias("fraud_incident_count"),
-            total_where(IS_FRAUD, F.col("amount")).alias("total_fraud_amount"),
+            total_where(is_fraud(), F.col("amount")).alias("total_fraud_amount"),
             _fraud_rate_pct().alias("fraud_rate_pct"),
             F.count_distinct("user_id").alias("active_transacting_users"),
             F.count_distinct("merchant_id").alias("active_merchants"),
@@ -144,7 +142,7 @@ def merchant_category_risk(fact: DataFrame, merchants: DataFrame) -> DataFrame:
         F.count("transaction_id").alias("n"),
         total(F.col("amount")).alias("volume"),
         F.sum("is_fraud").alias("fraud_n"),
-        total_where(IS_FRAUD, F.col("amount")).alias("fraud_volume"),
+        total_where(is_fraud(), F.col("amount")).alias("fraud_volume"),
     )
     return (
         per_merchant.join(merchants.select("merchant_id", "category"), "merchant_id")

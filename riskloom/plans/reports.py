@@ -8,11 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.money import cents, mean, share, total, total_where
-from riskloom.functions.rules import kyc_label
+from riskloom.functions.rules import is_fraud, kyc_label
 from riskloom.operators.histogram import histogram
 
-IS_FRAUD = F.col("is_fraud") == 1
-
 
 @dataclass(frozen=True)
 class ActivityFilter:
@@ -33,7 +31,7 @@ def with_date(fact: DataFrame) -> DataFrame:
 
 
 def fraud_only(fact: DataFrame) -> DataFrame:
-    return fact.where(IS_FRAUD)
+    return fact.where(is_fraud())
 
 
 def legit_only(fact: DataFrame) -> DataFrame:
@@ -70,7 +68,7 @@ def kpi_card(activity: DataFrame) -> DataFrame:
         F.count("*").alias("total_tx_count"),
         gmv.alias("total_gmv"),
         frauds.alias("fraud_count"),
-        F.coalesce(total_where(IS_FRAUD, F.col("amount")), F.lit(0.0)).alias("fraud_dollars"),
+        F.coalesce(total_where(is_fraud(), F.col("amount")), F.lit(0.0)).alias("fraud_dollars"),
         (frauds / n * 100).alias("fraud_rate"),
         (gmv / n).alias("avg_ticket"),
         F.count_distinct("user_id").alias("active_users"),
@@ -83,7 +81,7 @@ def daily_trend(activity: DataFrame) -> DataFrame:
         activity.groupBy("transaction_date")
         .agg(
             total(F.col("amount")).alias("total_gmv"),
-            total_where(IS_FRAUD, F.col("amount")).alias("fraud_gmv"),
+            total_where(is_fraud(), F.col("amount")).alias("fraud_gmv"),
             F.count("transaction_id").alias("tx_count"),
         )
         .orderBy("transaction_date")
@@ -101,7 +99,7 @@ def card_type_risk(activity: DataFrame) -> DataFrame:
     """Fraud rate by value: fraud amount over amount (a zero amount divides by 1)."""
     sums = activity.groupBy("card_type").agg(
         total(F.col("amount")).alias("total_gmv"),
-        total_where(IS_FRAUD, F.col("amount")).alias("fraud_gmv"),
+        total_where(is_fraud(), F.col("amount")).alias("fraud_gmv"),
     )
     whole = F.when(F.col("total_gmv") == 0, F.lit(1.0)).otherwise(F.col("total_gmv"))
     return sums.withColumn("fraud_rate_pct", F.col("fraud_gmv") / whole * 100)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom import schemas
 from riskloom.functions import rules
 from riskloom.functions.money import round_half_up
 from riskloom.operators import checksum, dedup, drift, histogram, metrics, quality, sampling, velocity
@@ -93,6 +94,11 @@ def _faulty(spark, d):
     return adapters.faulty_transactions(spark, d)
 
 
+def _faulty_core(spark, d):
+    """Without the country, which no contract looks at."""
+    return adapters.faulty_transactions(spark, d, with_country=False)
+
+
 def _rule_scored(spark, d):
     scored = rules.rule_score(F.col("amount"), F.col("is_cross_border"), F.col("hour_of_day"))
     return _fact(spark, d).withColumn("score", scored)
@@ -291,8 +297,8 @@ def _(spark, d):
 
 query("c7_fact_with_velocity")(lambda spark, d: marts.fact_with_velocity(adapters.duplicated_transactions(spark, d)))
 query("c8_incidents_of_activity")(lambda spark, d: reports.incidents_of(_incidents(spark, d), _filtered(spark, d)))
-query("c9_orphan_users")(lambda spark, d: quality.orphans(_faulty(spark, d), _users(spark, d), "user_id"))
-query("c10_orphan_merchants")(lambda spark, d: quality.orphans(_faulty(spark, d), _merchants(spark, d), "merchant_id"))
+query("c9_orphan_users")(lambda spark, d: quality.orphans(_faulty_core(spark, d), _users(spark, d), "user_id"))
+query("c10_orphan_merchants")(lambda spark, d: quality.orphans(_faulty_core(spark, d), _merchants(spark, d), "merchant_id"))
 query("c11_profile_lookup")(lambda spark, d: scoring.look_up(
     _requests(spark, d), _users(spark, d), _merchants(spark, d)).select(
     "transaction_id", "account_age_days", "kyc_verified", "baseline_spend", "home_country",
@@ -408,7 +414,7 @@ def _(spark, d):
 # --- I: contracts ------------------------------------------------------------
 
 def _gate(spark, d):
-    return quality.gate_checks(_faulty(spark, d), _users(spark, d), _merchants(spark, d))
+    return quality.gate_checks(_faulty_core(spark, d), _users(spark, d), _merchants(spark, d))
 
 
 for _no, _name in enumerate(quality.MESSAGES, 1):
@@ -418,26 +424,26 @@ for _no, _name in enumerate(quality.MESSAGES, 1):
 
 @query("i2_null_counts")
 def _(spark, d):
-    return quality.null_counts(_faulty(spark, d))
+    return quality.null_counts(_faulty_core(spark, d))
 
 
 @query("i8_gate_summary")
 def _(spark, d):
-    summary = quality.gate_summary(_faulty(spark, d), _users(spark, d), _merchants(spark, d))
+    summary = quality.gate_summary(_faulty_core(spark, d), _users(spark, d), _merchants(spark, d))
     return summary.withColumn("failures", F.array_join("failures", " / "))
 
 
 @query("i8_gate_summary_clean")
 def _(spark, d):
-    clean = _tx(spark, d).where("amount > 0")
+    clean = adapters.transactions(spark, d, with_country=False).where("amount > 0")
     summary = quality.gate_summary(clean, _users(spark, d), _merchants(spark, d))
     return summary.withColumn("failures", F.array_join("failures", " / "))
 
 
-query("i10_unique")(lambda spark, d: quality.unique_violations(_faulty(spark, d), "transaction_id"))
-query("i11_not_null")(lambda spark, d: quality.not_null_violations(_faulty(spark, d), "merchant_id"))
-query("i12_accepted_values")(lambda spark, d: quality.accepted_values_violations(_faulty(spark, d), "is_fraud", [0, 1]))
-query("i_fact_contract")(lambda spark, d: quality.fact_contract(_faulty(spark, d)))
+query("i10_unique")(lambda spark, d: quality.unique_violations(_faulty_core(spark, d), "transaction_id"))
+query("i11_not_null")(lambda spark, d: quality.not_null_violations(_faulty_core(spark, d), "merchant_id"))
+query("i12_accepted_values")(lambda spark, d: quality.accepted_values_violations(_faulty_core(spark, d), "is_fraud", [0, 1]))
+query("i_fact_contract")(lambda spark, d: quality.fact_contract(_faulty_core(spark, d)))
 query("i_user_contract")(lambda spark, d: quality.user_contract(_users(spark, d)))
 
 
@@ -550,8 +556,6 @@ query("j20_importances")(lambda spark, d: training.top_importances(_bundle(spark
 
 @query("j21_run_ledger")
 def _(spark, d):
-    from riskloom import schemas
-
     root, _ = _trained(spark, d)
     return lake.read_report(spark, schemas.TRAINING_RUN, f"{root}/runs").select(
         "run_id", "train_samples", "test_samples", "fraud_ratio_train", F.explode("metrics").alias("metric", "value"))
@@ -736,8 +740,6 @@ def _(spark, d):
                "users": adapters.users(spark, d), "merchants": _merchants(spark, d)}
     root = scratch_path(spark, "lake")
     jobs.run_medallion(spark, sources, root)
-    from riskloom import schemas
-
     runs = lake.read_report(spark, schemas.RUN_TELEMETRY, f"{root}/reports/runs")
     return runs.select(F.explode("stages").alias("stage", "s"), F.col("status").alias("run_status")).select(
         "run_status", "stage", F.col("s.status").alias("stage_status"), F.explode("s.counts").alias("item", "n"))

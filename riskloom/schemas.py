@@ -1,60 +1,40 @@
-"""Column layouts of the base tables, requests and reports."""
+"""Column layouts of stored tables and reports, as DDL."""
 
-from __future__ import annotations
-
-from pyspark.sql import types as T
-
-
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
-
-
-# Bronze: as delivered, times still text.
-RAW_TRANSACTIONS = _struct(
-    "transaction_id string, user_id string, merchant_id string, amount double, currency string, "
-    "timestamp string, channel string, card_type string, device_type string, ip_address string, "
-    "country string, distance_from_home_km double, is_fraud int, fraud_type string"
-)
-RAW_USERS = _struct(
-    "user_id string, user_name string, email string, country string, account_age_days int, "
-    "kyc_verified boolean, baseline_spend double, created_at string"
-)
-RAW_MERCHANTS = _struct(
-    "merchant_id string, merchant_name string, category string, risk_tier string, country string, "
-    "chargeback_history_rate double"
-)
-
-# Silver: typed and enriched.
-SILVER_TRANSACTIONS = _struct(
+BRONZE_TRANSACTIONS = (
     "transaction_id string, user_id string, merchant_id string, amount double, currency string, "
     "timestamp timestamp, channel string, card_type string, device_type string, ip_address string, "
-    "country string, distance_from_home_km double, is_fraud int, fraud_type string, "
-    "hour_of_day int, day_of_week int, is_weekend int, is_night int, is_cross_border int"
+    "country string, distance_from_home_km double, is_fraud int, fraud_type string"
 )
 
-AUDIT_RECORD = _struct(
+AUDIT_RECORD = (
     "batch_id string, timestamp string, transaction_count bigint, users_count bigint, "
     "merchants_count bigint, fraud_count bigint, content_checksum string, tx_path string, status string"
 )
 
-FEATURE_METRIC = (
-    "struct<ks_statistic:double,p_value:double,psi_score:double,wasserstein_distance:double,"
-    "drift_detected:boolean,severity:string>"
-)
-DRIFT_REPORT = _struct(
+PUBLICATION = "version string, published_at string, name string, path string, row_count bigint"
+
+DRIFT_REPORT = (
     "overall_status string, reference_sample_size bigint, current_sample_size bigint, "
     "drifting_features_count bigint, drifting_features array<string>, "
-    f"feature_metrics map<string,{FEATURE_METRIC}>"
+    "feature_metrics map<string,struct<ks_statistic:double,p_value:double,psi_score:double,"
+    "wasserstein_distance:double,drift_detected:boolean,severity:string>>"
 )
 
-RUN_TELEMETRY = _struct(
+RUN_TELEMETRY = (
     "run_id string, started_at string, completed_at string, total_duration_seconds double, "
     "status string, error string, "
     "stages map<string,struct<duration_seconds:double,status:string,counts:map<string,bigint>>>"
 )
 
-TRAINING_RUN = _struct(
+TRAINING_RUN = (
     "run_id string, finished_at string, params map<string,string>, train_samples bigint, "
     "test_samples bigint, fraud_ratio_train double, metrics map<string,double>, "
     "top_features array<string>, model_path string"
 )
+
+# rows a velocity stream keeps for the batches after
+VELOCITY_RECENT = (
+    "transaction_id string, user_id string, timestamp timestamp, amount double, epoch bigint, "
+    "transaction_date date"
+)
+VELOCITY_LAST_SEEN = "user_id string, last_seen timestamp, epoch bigint"

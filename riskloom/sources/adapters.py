@@ -195,10 +195,10 @@ def duplicated_transactions(spark: SparkSession, folder: str, with_parties: bool
     return lines.select(*[c.alias(name) for name, c in columns.items() if c is not None])
 
 
-def faulty_transactions(spark: SparkSession, folder: str) -> DataFrame:
+def faulty_transactions(spark: SparkSession, folder: str, with_country: bool = True) -> DataFrame:
     """Event transactions with contract violations at fixed event numbers."""
     number = F.expr("cast(substring(transaction_id, 4) as bigint)")
-    tx = transactions(spark, folder).withColumn("event_no", number)
+    tx = transactions(spark, folder, with_country).withColumn("event_no", number)
     no = F.col("event_no")
     broken = tx.withColumns({
         "amount": F.when(no % 97 == 0, -F.col("amount")).otherwise(F.col("amount")),
@@ -212,7 +212,7 @@ def faulty_transactions(spark: SparkSession, folder: str) -> DataFrame:
         # rows delivered twice
         "copies": F.when(no % 67 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))),
     })
-    return broken.withColumn("copy", F.explode("copies")).select(*TRANSACTION_COLUMNS)
+    return broken.withColumn("copy", F.explode("copies")).drop("event_no", "copies", "copy")
 
 
 def score_requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -226,24 +226,24 @@ def score_requests(spark: SparkSession, folder: str) -> DataFrame:
     )
     no = F.col("no")
 
-    def entry(key: str, value: Column, left_out_every: int | None = None) -> Column:
-        item = F.struct(F.lit(key).alias("key"), value.cast("string").alias("value"))
-        return item if left_out_every is None else F.when(no % left_out_every != 0, item)
-
-    hour = F.when(no % 23 == 0, F.lit(None).cast("int")).when(no % 29 == 0, 25).otherwise(
-        F.hour("timestamp"))
-    entries = F.array(
-        entry("transaction_id", F.col("transaction_id")),
-        entry("user_id", F.when(no % 31 == 0, "USR_UNKNOWN").otherwise(F.col("user_id"))),
-        entry("merchant_id", F.when(no % 37 == 0, "MER_UNKNOWN").otherwise(F.col("merchant_id"))),
-        entry("amount", F.when(no % 97 == 0, -F.col("amount")).otherwise(F.col("amount"))),
-        entry("channel", F.col("channel"), 5),
-        entry("card_type", F.col("card_type"), 7),
-        entry("device_type", F.col("device_type"), 9),
-        entry("country", F.col("country"), 13),
-        entry("distance_from_home_km", F.when(no % 79 == 0, F.lit(-1.0))
-              .otherwise(F.col("distance_from_home_km")), 17),
-        entry("hour_of_day", hour, 19),
-    )
-    present = F.map_from_entries(F.filter(entries, lambda e: e.isNotNull()))
-    return tx.select(F.to_json(present, {"ignoreNullFields": "false"}).alias("payload"))
+    def unless_every(n: int, value: Column) -> Column:
+        return F.when(no % n != 0, value)
+
+    hour = F.when((no % 19 != 0) & (no % 23 != 0), F.when(no % 29 == 0, 25).otherwise(F.hour("timestamp")))
+    # null fields are left out of the text
+    body = F.to_json(F.struct(
+        "transaction_id",
+        F.when(no % 31 == 0, "USR_UNKNOWN").otherwise(F.col("user_id")).alias("user_id"),
+        F.when(no % 37 == 0, "MER_UNKNOWN").otherwise(F.col("merchant_id")).alias("merchant_id"),
+        F.when(no % 97 == 0, -F.col("amount")).otherwise(F.col("amount")).alias("amount"),
+        unless_every(5, F.col("channel")).alias("channel"),
+        unless_every(7, F.col("card_type")).alias("card_type"),
+        unless_every(9, F.col("device_type")).alias("device_type"),
+        unless_every(13, F.col("country")).alias("country"),
+        unless_every(17, F.when(no % 79 == 0, F.lit(-1.0)).otherwise(F.col("distance_from_home_km")))
+        .alias("distance_from_home_km"),
+        hour.alias("hour_of_day"),
+    ))
+    null_hour = (no % 19 != 0) & (no % 23 == 0)
+    with_null = F.concat(F.substring(body, F.lit(1), F.length(body) - 1), F.lit(', "hour_of_day": null}'))
+    return tx.select(F.when(null_hour, with_null).otherwise(body).alias("payload"))

@@ -7,7 +7,6 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskloom import schemas
 from riskloom.operators.checksum import checksum_of, digest_number
@@ -80,17 +79,10 @@ def write_snapshot(df: DataFrame, root: str, name: str) -> int:
 
 def read_batches(spark: SparkSession, root: str, batch_id: str | None = None) -> DataFrame:
     """All landed batches as one table, or a single batch (by partition pruning)."""
-    schema = T.StructType([*_bronze_schema().fields, T.StructField("batch_id", T.StringType())])
-    landed = spark.read.schema(schema).parquet(f"{root}/transactions")
+    landed = spark.read.schema(f"{schemas.BRONZE_TRANSACTIONS}, batch_id string").parquet(f"{root}/transactions")
     return landed if batch_id is None else landed.where(F.col("batch_id") == batch_id)
 
 
-def _bronze_schema() -> T.StructType:
-    typed = T.StructType.fromJson(schemas.RAW_TRANSACTIONS.jsonValue())
-    typed["timestamp"].dataType = T.TimestampType()
-    return typed
-
-
 def append_audit(spark: SparkSession, root: str, landed: dict, users: int, merchants: int) -> dict:
     """Add one entry to the ingestion ledger; a repeated batch replaces its own entry."""
     record = {
@@ -128,7 +120,7 @@ def write_report(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(path)
 
 
-def read_report(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+def read_report(spark: SparkSession, schema: str, path: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
@@ -142,9 +134,6 @@ def publish(df: DataFrame, root: str, name: str, version: str, by_date: str | No
     return {"name": name, "path": path, **write_counted(df, path, by_date=by_date)}
 
 
-PUBLICATION = T.StructType.fromDDL("version string, published_at string, name string, path string, row_count bigint")
-
-
 def commit_versions(spark: SparkSession, root: str, version: str, built: list[dict]) -> None:
     """Make built marts current, all in one ledger entry."""
     at = now_text()
@@ -157,6 +146,6 @@ def commit_versions(spark: SparkSession, root: str, version: str, built: list[di
 
 def current_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The latest published version of every mart."""
-    ledger = spark.read.schema(PUBLICATION).json(f"{root}/_published")
+    ledger = spark.read.schema(schemas.PUBLICATION).json(f"{root}/_published")
     latest = ledger.groupBy("name").agg(F.max_by("path", "published_at").alias("path"))
     return {r["name"]: spark.read.parquet(r["path"]) for r in latest.collect()}  # one row per mart

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from riskloom import schemas
 from riskloom.functions.money import mean, round_half_up, share, total, total_where
 from riskloom.operators.velocity import VELOCITY_COLUMNS, with_velocity
 from riskloom.plans import scoring
@@ -46,14 +46,7 @@ def scored_requests(
     return scoring.responses(scoring.score_by_model(enriched, bundle), bundle.version)
 
 
-HISTORY = T.StructType.fromDDL(
-    "transaction_id string, user_id string, timestamp timestamp, amount double, epoch bigint, "
-    "transaction_date date"
-)
-LAST_SEEN = T.StructType.fromDDL("user_id string, last_seen timestamp, epoch bigint")
-
-
-def _table(spark: SparkSession, path: str, schema: T.StructType, started: bool) -> DataFrame:
+def _table(spark: SparkSession, path: str, schema: str, started: bool) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if started else spark.createDataFrame([], schema)
 
 
@@ -85,7 +78,7 @@ def velocity_stream(
             users = batch.select("user_id").distinct()
             started = epoch > 0
             recent = (
-                _table(spark, f"{root}/recent", HISTORY, started)
+                _table(spark, f"{root}/recent", schemas.VELOCITY_RECENT, started)
                 .where(
                     (F.col("epoch") < epoch)
                     & (F.col("transaction_date") >= F.date_sub(F.lit(first).cast("date"), 1))
@@ -99,7 +92,7 @@ def velocity_stream(
             moving = with_velocity(
                 recent.unionByName(narrow.withColumn("_new", F.lit(True))), **limits
             ).where("_new").drop("_new")
-            seen = _table(spark, f"{root}/last_seen", LAST_SEEN, started).where(F.col("epoch") == epoch - 1)
+            seen = _table(spark, f"{root}/last_seen", schemas.VELOCITY_LAST_SEEN, started).where(F.col("epoch") == epoch - 1)
             previous = F.coalesce("prev_tx_timestamp", "last_seen")
             gap = (F.unix_micros("timestamp") - F.unix_micros("prev_tx_timestamp")) / F.lit(1e6)
             result = (
@@ -125,7 +118,7 @@ def velocity_stream(
 
 def _write_last_seen(spark: SparkSession, root: str, epoch: int, batch: DataFrame | None) -> None:
     """Carry the last time per user over to this epoch, with the batch merged in."""
-    before = _table(spark, f"{root}/last_seen", LAST_SEEN, epoch > 0).where(F.col("epoch") == epoch - 1)
+    before = _table(spark, f"{root}/last_seen", schemas.VELOCITY_LAST_SEEN, epoch > 0).where(F.col("epoch") == epoch - 1)
     merged = before.drop("epoch")
     if batch is not None:
         latest = batch.groupBy("user_id").agg(F.max("timestamp").alias("last_seen"))
