@@ -188,9 +188,15 @@ def with_velocity(
     heavy_rows: int = HEAVY_ROWS,
     max_users: int = MAX_HEAVY_USERS,
     slice_rows: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the velocity columns to transactions with unique ``transaction_id``."""
-    rows = heavy_users(tx, heavy_rows, max_users)
+    """Add the velocity columns to transactions with unique ``transaction_id``.
+
+    Rows per user are counted on ``sized_by`` where given: a table of which
+    ``tx`` is a costly subset, so that finding the heavy users does not run
+    that work twice. More users may then count as heavy; the result is the same.
+    """
+    rows = heavy_users(tx if sized_by is None else sized_by, heavy_rows, max_users)
     if not rows:
         result = _growing_frames(tx)
     else:

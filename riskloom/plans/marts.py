@@ -179,7 +179,10 @@ def fact_with_velocity(tx: DataFrame) -> DataFrame:
     being computed apart and joined back on the id.
     """
     staged = staging_transactions(keep_first(tx, "transaction_id", ["timestamp"]))
-    moving = with_velocity(staged.withColumnRenamed("transaction_timestamp", "timestamp"))
+    moving = with_velocity(
+        staged.withColumnRenamed("transaction_timestamp", "timestamp"),
+        sized_by=tx.select("user_id", "timestamp"),
+    )
     return moving.withColumnRenamed("timestamp", "transaction_timestamp").select(
         "transaction_id", "user_id", "merchant_id", "amount", "currency", "transaction_timestamp",
         "transaction_date", "channel", "card_type", "device_type", "transaction_country",
