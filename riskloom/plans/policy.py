@@ -7,23 +7,30 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.money import total_where
 
-# Named policies, default threshold and default cost per false alarm.
+# Named policies, defaults, and the response of recall and false alarms
+# to the threshold (slopes, offset and limits).
 POLICIES = {"Conservative": 0.30, "Balanced": 0.50, "Growth": 0.70}
 DEFAULT_THRESHOLD = 0.50
 DEFAULT_FRICTION_COST = 25.0
 FRONTIER_POINTS = 25
+FRONTIER_RANGE = (0.1, 0.9)
+RECALL_OFFSET, RECALL_SLOPE, RECALL_LIMITS = 0.10, 0.5, (0.40, 0.99)
+ALARM_SLOPE, ALARM_LIMITS = 0.04, (0.001, 0.08)
 
 
-def _between(low: float, value: Column, high: float) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), value))
+def _within(value: Column, limits: tuple[float, float]) -> Column:
+    low, high = map(F.lit, limits)
+    return F.greatest(low, F.least(high, value))
 
 
 def recall(threshold: Column) -> Column:
-    return _between(0.40, 1.0 - (threshold - 0.10) * 0.5, 0.99)
+    """Share of fraud caught at a threshold; falls as the threshold rises."""
+    return _within(1.0 - (threshold - RECALL_OFFSET) * RECALL_SLOPE, RECALL_LIMITS)
 
 
 def false_positive_rate(threshold: Column) -> Column:
-    return _between(0.001, (1.0 - threshold) * 0.04, 0.08)
+    """Share of legitimate transactions stopped at a threshold."""
+    return _within((1.0 - threshold) * ALARM_SLOPE, ALARM_LIMITS)
 
 
 def exposure(activity: DataFrame) -> DataFrame:
@@ -69,10 +76,11 @@ def named_policies(activity: DataFrame, friction_cost: float = DEFAULT_FRICTION_
 
 def frontier(activity: DataFrame, friction_cost: float = DEFAULT_FRICTION_COST) -> DataFrame:
     """Net savings at evenly spaced thresholds 0.1..0.9; false alarms are not cut here."""
-    step = 0.8 / (FRONTIER_POINTS - 1)
+    first, last = FRONTIER_RANGE
+    step = (last - first) / (FRONTIER_POINTS - 1)
     numbers = F.sequence(F.lit(0), F.lit(FRONTIER_POINTS - 1))
     points = exposure(activity).withColumn("point", F.explode(numbers)).withColumn(
-        "threshold", 0.1 + F.col("point") * F.lit(step)
+        "threshold", first + F.col("point") * F.lit(step)
     )
     tau = F.col("threshold")
     net = F.col("fraud_dollars") * recall(tau) - (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.money import cents, round_half_up
 from riskloom.functions.rules import (
-    analyst_reason_codes, decision, flag, is_night, reason_codes, risk_score, rule_score, spend_ratio,
+    ANALYST_RATIO_CUT, RATIO_CUT, analyst_reason_codes, decision, flag, is_night, reason_codes, risk_score, rule_score, spend_ratio,
 )
 from riskloom.plans.training import ModelBundle, predict
 
@@ -74,19 +74,16 @@ def score_by_model(enriched: DataFrame, bundle: ModelBundle) -> DataFrame:
     return predict(enriched, bundle)
 
 
-def with_reasons(enriched: DataFrame, ratio_cut: float = 5.0) -> DataFrame:
-    columns = ["amount_to_baseline_ratio", "distance_from_home_km", "is_night", "is_cross_border", "risk_tier"]
-    return enriched.withColumn("factors", reason_codes(*map(F.col, columns), ratio_cut))
+def with_reasons(enriched: DataFrame, ratio_cut: float = RATIO_CUT) -> DataFrame:
+    return enriched.withColumn("factors", reason_codes(ratio_cut))
 
 
-def with_analyst_reasons(enriched: DataFrame, merchants: DataFrame, ratio_cut: float = 4.0) -> DataFrame:
+def with_analyst_reasons(
+    enriched: DataFrame, merchants: DataFrame, ratio_cut: float = ANALYST_RATIO_CUT
+) -> DataFrame:
     """The analysts' wordier variant; also names the merchant category."""
-    columns = [
-        "amount_to_baseline_ratio", "baseline_spend", "distance_from_home_km", "hour_of_day",
-        "is_night", "is_cross_border", "country", "home_country", "risk_tier", "category",
-    ]
     named = enriched.join(merchants.select("merchant_id", "category"), "merchant_id", "left")
-    return named.withColumn("factors", analyst_reason_codes(*map(F.col, columns), ratio_cut))
+    return named.withColumn("factors", analyst_reason_codes(ratio_cut))
 
 
 def responses(scored: DataFrame, model_version: str) -> DataFrame:

@@ -24,9 +24,9 @@ def _money(value: str) -> str:
 
 _CHANNELS = "['mobile_app', 'web', 'in_store', 'api']"
 _DEVICES = "['ios', 'android', 'macos', 'windows', 'linux']"
-_TENURE = """case when account_age_days < 30 then 'New (<30d)'
-    when account_age_days between 30 and 180 then 'Established (1-6m)'
-    when account_age_days between 181 and 365 then 'Mature (6-12m)' else 'Veteran (>1yr)' end"""
+_TENURE = """case when account_age_days > 365 or account_age_days is null then 'Veteran (>1yr)'
+    when account_age_days > 180 then 'Mature (6-12m)' when account_age_days >= 30 then 'Established (1-6m)'
+    else 'New (<30d)' end"""
 _TX_COLUMNS = ("transaction_id, user_id, merchant_id, amount, currency, timestamp, channel, card_type, "
                "device_type, ip_address, country, distance_from_home_km, is_fraud, fraud_type")
 _TEMPORAL = """cast(extract(hour from timestamp) as integer) as hour_of_day,

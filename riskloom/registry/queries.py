@@ -575,8 +575,13 @@ def _(spark, d):
     return banded.select("transaction_id", "score", "r.decision", "r.risk_tier")
 
 
-query("k4_model_responses")(lambda spark, d: scoring.responses(
-    scoring.score_by_model(_enriched(spark, d), _bundle(spark, d)), _bundle(spark, d).version))
+@query("k4_model_responses")
+def _(spark, d):
+    bundle = _bundle(spark, d)
+    answers = scoring.responses(scoring.score_by_model(_enriched(spark, d), bundle), bundle.version)
+    return answers.withColumn("factors", F.array_join("factors", "; "))
+
+
 query("k5_batch_summary")(lambda spark, d: scoring.batch_summary(
     scoring.responses(scoring.score_by_rules(_enriched(spark, d)), "rules")))
 query("k5_model_batch_summary")(lambda spark, d: scoring.batch_summary(scoring.responses(
@@ -762,4 +767,4 @@ def _(spark, d):
 def _(spark, d):
     path = scratch_path(spark, "scores")
     jobs.run_batch_scoring(spark, _requests(spark, d), _users(spark, d), _merchants(spark, d), _bundle(spark, d), path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).withColumn("factors", F.array_join("factors", "; "))

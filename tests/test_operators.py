@@ -25,7 +25,8 @@ def test_night_weekend_and_tenure(spark):
     assert [h for h, n in hours.items() if n] == [0, 1, 2, 3, 4, 5, 23]
     ages = spark.createDataFrame([(29,), (30,), (180,), (181,), (365,), (366,), (None,)], "age int")
     labels = [r[0] for r in ages.select(rules.tenure_cohort(F.col("age"))).collect()]
-    new, established, mature, veteran = rules.TENURE_LABELS
+    new, established, mature = (name for _, name in rules.TENURE_LIMITS)
+    veteran = rules.TENURE_REST
     assert labels == [new, established, established, mature, mature, veteran, veteran]
 
 
