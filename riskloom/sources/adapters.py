@@ -32,8 +32,22 @@ TRANSACTION_COLUMNS = [
 ]
 
 
+# Layouts of the star-schema tables; given, so that no job reads footers to infer them.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def padded(prefix: str, number: Column, width: int) -> Column:
@@ -114,9 +128,8 @@ def transactions(spark: SparkSession, folder: str, with_country: bool = True) ->
 def transaction_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same transactions as a file stream over the events, country included."""
     n_merchants = table(spark, folder, "supplier").count()
-    schema = table(spark, folder, "events").schema
     events = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(TABLES["events"])
         .option("pathGlobFilter", "events.parquet")
         .parquet(folder)
     )

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from riskloom import schemas
-from riskloom.operators import quality, velocity
+from riskloom.operators import drift, quality, velocity
 from riskloom.plans import features, jobs, marts, reports, scoring, training
 from riskloom.sources import adapters, lake, requests
 from riskloom.streaming import landing, live
@@ -53,6 +53,14 @@ def test_republishing_switches_versions_and_keeps_the_old(spark, tmp_path):
     assert spark.read.parquet(f"{root}/mart/version=v1").count() == 3
 
 
+def test_drift_job_stores_its_report(spark, lake_root, tmp_path):
+    fact = lake.current_marts(spark, lake_root[0] + "/gold")["fct_transactions"]
+    stored = jobs.run_drift(spark, fact, drift.perturbed(fact, 5.0), str(tmp_path / "report")).first()
+    assert stored["overall_status"] == "DRIFT_ALERT" and stored["drifting_features"] == ["amount"]
+    # the fact has neither account age nor baseline spend
+    assert set(stored["feature_metrics"]) == {"amount", "distance_from_home_km", "hour_of_day"}
+
+
 def test_broken_contracts_halt_before_silver_and_are_recorded(spark, folder, sources, tmp_path):
     root = str(tmp_path)
     with pytest.raises(quality.ContractViolation) as broken:

@@ -37,6 +37,11 @@ def test_decision_bands_use_unrounded_scores(spark):
                    "APPROVE_WITH_CHALLENGE", "APPROVE"]
 
 
+def test_unknown_tiers_take_the_given_score(spark):
+    df = spark.createDataFrame([("Low",), ("High",), ("Other",), (None,)], "t string")
+    assert [r[0] for r in df.select(rules.risk_score(F.col("t"), 0.2)).collect()] == [0.1, 0.9, 0.2, 0.2]
+
+
 def test_spend_ratio_keeps_missing_baseline(spark):
     df = spark.createDataFrame([(10.0, 0.5), (10.0, 4.0), (10.0, None)], "a double, b double")
     assert [r[0] for r in df.select(rules.spend_ratio(F.col("a"), F.col("b"))).collect()] == [10.0, 2.5, None]
