@@ -453,6 +453,7 @@ _BODIES: dict[str, str] = {
     "a5_published_marts": """select 'dim_users' as mart, count(*) as row_count from usr
         union all select 'dim_merchants', count(*) from mer union all select 'fct_transactions', count(*) from tx
         union all select 'fct_fraud_incidents', count(*) from inc""",
+    "a6_gold_export": "select * from inc",
     "a7_view_sql": f"""select transaction_date, total_transactions, fraud_rate_pct, active_merchants
         from ({_DAILY}) where fraud_incident_count > 0""",
     "a8_registered_relations": """select u.country, count(*) as n, count(distinct t.user_id) as users

@@ -158,6 +158,15 @@ def _(spark, d):
     return marts.mart_counts(lake.current_marts(spark, root))
 
 
+@query("a6_gold_export")
+def _(spark, d):
+    """Incidents as stored in the published Parquet mart."""
+    root = scratch_path(spark, "gold")
+    built = lake.publish(_incidents(spark, d), root, "fct_fraud_incidents", "v1")
+    lake.commit_versions(spark, root, "v1", [built])
+    return lake.current_marts(spark, root)["fct_fraud_incidents"].drop("version")
+
+
 @query("a7_view_sql")
 def _(spark, d):
     marts.register_views({
@@ -514,6 +523,12 @@ def _bundle(spark, d):
     return training.load_bundle(_trained(spark, d)[1]["model_path"], spark)
 
 
+@query("a14_reloaded_bundle")
+def _(spark, d):
+    """The bundle as read back from disk: its vector slots and their importances."""
+    return training.importances(_bundle(spark, d), spark)
+
+
 @query("j13_trained_scores")
 def _(spark, d):
     return training.predict(_features(spark, d), _bundle(spark, d)).select("transaction_id", "is_fraud", "score")
