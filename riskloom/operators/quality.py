@@ -40,7 +40,7 @@ def orphans(tx: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     holding much of the table costs no more than any other.
     """
     per_key = tx.groupBy(key).agg(F.count("*").alias("n"))
-    lost = per_key.join(parent.select(key).distinct(), key, "left_anti")
+    lost = per_key.join(parent.select(key), key, "left_anti")
     return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphans"))
 
 

@@ -62,7 +62,8 @@ def _gap_seconds(ts: Column, previous: Column) -> Column:
 def _growing_frames(tx: DataFrame) -> DataFrame:
     # both orders share one sort: (user, time, id) also serves (user, time)
     # and the hash leads it, so that ids alike in their first bytes compare as numbers
-    user = [F.xxhash64("user_id"), F.col("user_id")]
+    # (a column of its own: an expression would give each window its own exchange)
+    user = ["_hash", "user_id"]
     by_row = Window.partitionBy(*user).orderBy("_t", "transaction_id")
     by_time = Window.partitionBy(*user).orderBy("_t")
     until_now = by_time.rangeBetween(Window.unboundedPreceding, 0)
@@ -75,7 +76,9 @@ def _growing_frames(tx: DataFrame) -> DataFrame:
         return F.when(timed, F.coalesce(value, F.lit(0).cast("bigint"))).otherwise(F.lit(0))
 
     return (
-        tx.withColumns({"_t": F.unix_micros("timestamp"), "_cents": cents(F.col("amount"))})
+        tx.withColumns({
+            "_hash": F.xxhash64("user_id"), "_t": F.unix_micros("timestamp"), "_cents": cents(F.col("amount")),
+        })
         .withColumn("prev_tx_timestamp", F.lag("timestamp").over(by_row))
         .withColumns({
             "tx_count_last_1h": F.count("transaction_id").over(until_now)
@@ -84,7 +87,7 @@ def _growing_frames(tx: DataFrame) -> DataFrame:
                 F.sum(amount).over(until_now) - left_window(F.sum(amount).over(until_24h_ago))
             ) / F.lit(100.0),
         })
-        .drop("_t", "_cents")
+        .drop("_hash", "_t", "_cents")
     )
 
 

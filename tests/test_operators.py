@@ -107,6 +107,14 @@ def test_velocity_equals_brute_force(spark, limits, instants):
     assert got == _brute_velocity(rows)
 
 
+def test_velocity_windows_share_one_exchange_and_one_sort(spark):
+    df = spark.createDataFrame(_velocity_rows(1, ["a", "b"], 10),
+                               "transaction_id string, user_id string, timestamp timestamp, amount double")
+    plan = velocity.with_velocity(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("+- Sort ") == 1
+
+
 # --- running totals
 
 @pytest.mark.parametrize("slice_rows", [10**6, 37, 3])
