@@ -38,6 +38,12 @@ def _bit(bitmap: Column, position: Column) -> Column:
     return F.coalesce(shifted % 2 == 1, F.lit(False))
 
 
+def _written(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "exact-dedup")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def repeated_positions(digests: DataFrame, bits: int) -> DataFrame:
     """Bitmaps (bucket, bitmap) of the positions that at least two rows take."""
     positions = F.array(*[_position(F.col("text_sha256"), p, bits) for p in range(PROBES)])
@@ -57,19 +63,14 @@ def mark_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ma
     exactly one of them stays. An empty table gives an empty result; further
     columns of the input are not read.
     """
-    spark = docs.sparkSession
     source = docs.select(
         F.col(key).alias("doc_id"),
         F.sha2(ascii_lower(F.coalesce(F.col(text), F.lit(""))), 256).alias("text_sha256"),
     )
-    path = scratch_path(spark, "exact-dedup")
-    source.write.parquet(path)  # texts are read once; ids and digests are small
-    digests = spark.read.parquet(path)
+    digests = _written(source)  # texts are read once; ids and digests are small
     rows = digests.count()
     bits = min(max_bits, max(BITMAP_BITS, 2 ** ceil(log2(max(1, rows * BITS_PER_ROW)))))
-    bitmaps_path = scratch_path(spark, "exact-dedup-bloom")
-    repeated_positions(digests, bits).write.parquet(bitmaps_path)
-    bitmaps = spark.read.parquet(bitmaps_path)
+    bitmaps = _written(repeated_positions(digests, bits))
 
     tested = digests
     for p in range(PROBES):
@@ -92,9 +93,10 @@ def mark_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ma
         F.lit(True).alias("kept"), "text_sha256",
     )
     # rows of one key and text are one entry with a count, so that no group meets in one task
-    entries = tested.where("maybe").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("copies"))
-    groups = entries.groupBy("text_sha256").agg(
-        F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")
+    entries = _written(tested.where("maybe").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("copies")))
+    # a table of its own, so that the join has an exchange on both sides and a hot group can be split
+    groups = _written(
+        entries.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
     )
     grouped = (
         entries.join(groups, "text_sha256")
