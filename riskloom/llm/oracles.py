@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import mixing, sharding
+from riskloom.llm import line_dedup, mixing, sharding
 from riskloom.llm.text import LOWER, UPPER
 
 _LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
@@ -49,6 +49,25 @@ with sizes as (
 select doc_id, text, lang, source, n_chars, unnest(range(1, n::bigint + 1))::int as copy from drawn
 """
 
+_BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+_OP8 = f"""
+with lists as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+lines as (
+  select doc_id, unnest(ls) as line, unnest(range(1, len(ls) + 1)) as pos from lists
+), keyed as (
+  select *, translate(trim(line, {_BLANK}), '{UPPER}', '{LOWER}') as line_key from lines
+), repeated as (
+  select line_key from keyed where length(line_key) >= {line_dedup.MIN_LENGTH}
+  group by line_key having count(distinct doc_id) >= {line_dedup.MIN_DOCUMENTS}
+), marked as (
+  select k.*, r.line_key is not null as gone from keyed k left join repeated r using (line_key)
+)
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+from marked group by doc_id
+"""
+
 _OP9 = f"""
 with lowered as (select doc_id, {_LOWERED} as t from documents),
 keyed as (
@@ -61,5 +80,6 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_
 ORACLES: dict[str, str] = {
     "op3_extendible_shards": _OP3,
     "op4_poisson_mix": _OP4,
+    "op8_line_dedup": _OP8,
     "op9_bloom_exact_dedup": _OP9,
 }

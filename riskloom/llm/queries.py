@@ -8,7 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact_dedup, mixing, sharding
+from riskloom.llm import exact_dedup, line_dedup, mixing, pieces, sharding, simhash
+from riskloom.llm.shipping import ship_package
 from riskloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,7 @@ ARROW_RECORDS = "1000"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_RECORDS)
     return configure(spark)
 
@@ -38,6 +40,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_sampled_pieces")
+def op1(spark, d):
+    return pieces.encode_documents(_table(spark, d, "documents"), keep_columns=False)
+
+
 @query("op3_extendible_shards")
 def op3(spark, d):
     return sharding.assign_shards(_table(spark, d, "documents")).select("doc_id", "shard", "shard_page", "n_bytes")
@@ -48,6 +55,18 @@ def op4(spark, d):
     return mixing.mix_sources(_table(spark, d, "documents"))
 
 
+@query("op6_simhash_components")
+def op6(spark, d):
+    return simhash.near_duplicates(_table(spark, d, "documents"))
+
+
+@query("op8_line_dedup")
+def op8(spark, d):
+    return line_dedup.drop_repeated_lines(_table(spark, d, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256")
+    )
+
+
 @query("op9_bloom_exact_dedup")
 def op9(spark, d):
     return exact_dedup.mark_duplicates(_table(spark, d, "documents"))
