@@ -108,4 +108,5 @@ def mix_sources(
         return out
     order = fresh(docs, "__order")
     shuffled = out.withColumn(order, F.xxhash64(F.lit(seed), F.col(key), F.col(copy)))
-    return shuffled.repartitionByRange(order).sortWithinPartitions(order).drop(order)
+    # a hash exchange needs no sample of the keys, for which all texts would be read once more
+    return shuffled.repartition(order).sortWithinPartitions(order).drop(order)
