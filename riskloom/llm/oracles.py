@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import line_dedup, mixing, sharding
+from riskloom.llm import line_dedup, mixing, sharding, topk
 from riskloom.llm.text import LOWER, UPPER
 
 _LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
@@ -77,9 +77,23 @@ keyed as (
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256 from keyed
 """
 
+_OP10 = f"""
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor({topk.SCALE} * x::double)::bigint) as q from embeddings
+  where embedding is not null and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+), scored as (
+  select a.vec_id as query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::bigint as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q)
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op3_extendible_shards": _OP3,
     "op4_poisson_mix": _OP4,
     "op8_line_dedup": _OP8,
     "op9_bloom_exact_dedup": _OP9,
+    "op10_branch_and_bound_top_k": _OP10,
 }

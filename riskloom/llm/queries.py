@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact_dedup, line_dedup, mixing, pieces, sharding, simhash
+from riskloom.llm import exact_dedup, line_dedup, mixing, pieces, quality, sharding, simhash, topk
 from riskloom.llm.shipping import ship_package
 from riskloom.session import configure
 
@@ -45,6 +45,11 @@ def op1(spark, d):
     return pieces.encode_documents(_table(spark, d, "documents"), keep_columns=False)
 
 
+@query("op2_pairwise_quality")
+def op2(spark, d):
+    return quality.score_documents(_table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
 @query("op3_extendible_shards")
 def op3(spark, d):
     return sharding.assign_shards(_table(spark, d, "documents")).select("doc_id", "shard", "shard_page", "n_bytes")
@@ -70,3 +75,9 @@ def op8(spark, d):
 @query("op9_bloom_exact_dedup")
 def op9(spark, d):
     return exact_dedup.mark_duplicates(_table(spark, d, "documents"))
+
+
+@query("op10_branch_and_bound_top_k")
+def op10(spark, d):
+    vectors = _table(spark, d, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
