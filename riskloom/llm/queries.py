@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact_dedup, line_dedup, mixing, pieces, quality, sharding, simhash, topk
+from riskloom.llm import exact_dedup, hmm, line_dedup, mixing, pieces, quality, sharding, simhash, topk
 from riskloom.llm.shipping import ship_package
 from riskloom.session import configure
 
@@ -60,6 +60,11 @@ def op4(spark, d):
     return mixing.mix_sources(_table(spark, d, "documents"))
 
 
+@query("op5_hidden_markov_lm")
+def op5(spark, d):
+    return hmm.score_documents(_table(spark, d, "documents"), quality.held_out(F.col("doc_id"), 5, 1))
+
+
 @query("op6_simhash_components")
 def op6(spark, d):
     return simhash.near_duplicates(_table(spark, d, "documents"))
