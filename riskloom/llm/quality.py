@@ -134,16 +134,12 @@ class PairwiseModel:
         return F.when(z == 0, F.lit(THRESHOLD)).otherwise(1 / (1 + F.exp(-(z + odds))))
 
 
-def preference_pairs(rows: DataFrame, pairs: int = FIT_PAIRS) -> DataFrame:
+def preference_pairs(rows: DataFrame, good: int, bad: int, pairs: int = FIT_PAIRS) -> DataFrame:
     """(label, difference): good minus bad with label 1, and every other pair turned round with label 0.
 
     ``rows`` has rank (hash order within its class), quality and features, and
-    is bounded; a class is cycled through in steps, never crossed with the other.
+    is bounded; ``good`` and ``bad`` are its sizes. A class is cycled through in steps, never crossed with the other.
     """
-    sizes = {r["quality"]: r["n"] for r in rows.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    good, bad = sizes.get(1, 0), sizes.get(0, 0)
-    if not good or not bad:
-        raise ValueError("pairs need documents of both labels")
     # the bad side moves on by one more after each round through the good ones, so rounds don't repeat pairs
     numbered = rows.sparkSession.range(pairs).select(
         "id", (F.col("id") % good).alias("good_rank"),
@@ -170,8 +166,13 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, pairs: int = FIT_PAIRS) -
     order = Window.partitionBy("quality").orderBy(F.xxhash64("key"), "key")  # over fit_rows rows at most
     first.withColumn("rank", F.row_number().over(order).cast("long") - 1).write.parquet(path)
     rows = spark.read.parquet(path)
+    sizes = {r["quality"]: r["n"] for r in rows.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    good, bad = sizes.get(1, 0), sizes.get(0, 0)
+    if not good or not bad:
+        # nothing to prefer: every score is 0.5
+        return PairwiseModel([0.0] * len(NAMES), math.log(THRESHOLD / (1 - THRESHOLD)), 1.0)
     learner = LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=100, standardization=True)
-    weights = [float(w) for w in learner.fit(preference_pairs(rows, pairs)).coefficients]
+    weights = [float(w) for w in learner.fit(preference_pairs(rows, good, bad, pairs)).coefficients]
     raw = rows.select("quality", PairwiseModel(weights, 0.0, 1.0).raw(F.col("features")).alias("raw"))
     share, spread = raw.agg(F.avg((F.col("quality") == 0).cast("double")), F.stddev_pop("raw")).first()
     at = raw.agg(F.percentile("raw", F.lit(share))).first()[0]
@@ -188,18 +189,13 @@ def score_documents(
     input. A null text counts as empty; empty texts get a score like any other.
     Labels other than 0 and 1 and null keys teach nothing; a key with labels of
     both kinds teaches with its larger one. Repeated rows are scored each. An
-    empty table gives an empty result; without labels of both kinds the fit
-    raises ValueError. Other columns are not read.
+    empty table gives an empty result; without labels of both kinds nothing is
+    learnt and every score is 0.5. Other columns are not read.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "quality-features")
     text_features(docs, key, text).write.parquet(path)  # texts are read once
     marked = spark.read.parquet(path)
-    if marked.isEmpty():
-        return marked.select(
-            F.col("key").alias("doc_id"), F.lit(False).alias("held_out"), F.lit(0.0).alias("score"),
-            F.lit(0).alias("predicted"),
-        )
     known = labels.where(F.col(key).isNotNull() & F.col(quality).isin(0, 1)).groupBy(F.col(key).alias("key")).agg(
         F.max(quality).cast("int").alias("quality")
     )

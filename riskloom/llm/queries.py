@@ -8,20 +8,12 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact_dedup, hmm, line_dedup, mixing, pieces, quality, sharding, simhash, topk
-from riskloom.llm.shipping import ship_package
-from riskloom.session import configure
+from riskloom.llm import exact_dedup, hmm, line_dedup, mixing, pieces, pseudonyms, quality, sharding, simhash, topk
+from riskloom.llm.shipping import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
+PSEUDONYM_KEY = "key of the registered query"  # a real run takes its key from a secret store
 QUERIES: dict[str, Query] = {}
-# Documents in an Arrow batch, so that Python workers hold little at a time.
-ARROW_RECORDS = "1000"
-
-
-def prepare(spark: SparkSession) -> SparkSession:
-    ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_RECORDS)
-    return configure(spark)
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -70,6 +62,11 @@ def op6(spark, d):
     return simhash.near_duplicates(_table(spark, d, "documents"))
 
 
+@query("op7_feistel_pseudonyms")
+def op7(spark, d):
+    return pseudonyms.pseudonymise(_table(spark, d, "documents"), PSEUDONYM_KEY).select("doc_id", "n_replaced", "text")
+
+
 @query("op8_line_dedup")
 def op8(spark, d):
     return line_dedup.drop_repeated_lines(_table(spark, d, "documents")).select(

@@ -1,4 +1,4 @@
-"""Sends the package to the Python workers, as ``--py-files`` would."""
+"""Prepares a session: settings, and the package for the Python workers, as ``--py-files`` would send it."""
 
 from __future__ import annotations
 
@@ -8,7 +8,11 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from riskloom.session import configure
+
 PACKAGE = Path(__file__).resolve().parents[1]
+# Documents in an Arrow batch, so that Python workers hold little at a time.
+ARROW_RECORDS = "1000"
 _sent: set[str] = set()
 
 
@@ -23,3 +27,9 @@ def ship_package(spark: SparkSession) -> None:
             bundle.write(source, source.relative_to(PACKAGE.parent))
     spark.sparkContext.addPyFile(str(target))
     _sent.add(application)
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_RECORDS)
+    return configure(spark)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.components import connected_components
-from riskloom.llm.text import whole
+from riskloom.llm.text import fresh, whole
 from riskloom.session import scratch_path
 
 SEED = 42
@@ -134,3 +134,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return marked.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, marked: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` of one document per component, that with the smallest key.
+
+    ``marked`` is the result of ``near_duplicates`` for these rows. Of rows that
+    repeat the key that stays, one stays.
+    """
+    name = fresh(docs, "__key")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = marked.groupBy(F.col("doc_id").alias(name)).agg(F.max(stays).alias("__stays"), F.count("*").alias("__n"))
+    same = F.col(key).eqNullSafe(F.col(name))
+    # few ids go or repeat, so these sides are small beside the texts
+    rest = docs.join(ids.where("not __stays or __n > 1").drop("__stays", "__n"), same, "left_anti")
+    repeated = docs.join(ids.where("__stays and __n > 1").drop("__stays", "__n"), same, "left_semi")
+    return rest.unionByName(repeated.dropDuplicates([key]))
