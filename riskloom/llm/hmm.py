@@ -30,7 +30,7 @@ STATES = 8
 CLASSES = 1 << 14  # hashed word classes; one more class is the end of a text
 ITERATIONS = 3
 STAY = 0.95  # chance of staying in a state, before training
-PRIOR = 100.0  # pseudo-counts of a state's emissions, spread like the class frequencies
+PRIOR = 10_000.0  # pseudo-counts of a state's emissions, spread like the class frequencies; less than one a class
 WINDOW = 4096  # tokens whose forward values are held at a time
 HEAD_WORDS = 1 << 17  # most words looked up inside a task
 FLUSH_WORDS = 1_000_000  # distinct words that a task gathers before it passes them on
@@ -114,7 +114,7 @@ def token_rows(docs: DataFrame, key: str, text: str, held: Column, head: tuple[p
             place = pc.fill_null(place, -1).to_numpy(zero_copy_only=False)
             at = place[ids] if len(ids) else np.empty(0, np.int64)
             frequent = at >= 0
-            sums = np.bincount(owner[frequent], weights=gain[at[frequent]], minlength=n)
+            sums = np.bincount(owner[frequent], weights=gain[at[frequent]], minlength=n).astype(np.float64)
             hits = np.bincount(owner[frequent], minlength=n)
             rest = owner[~frequent] * max(len(distinct), 1) + ids[~frequent]
             pairs, times = np.unique(rest, return_counts=True)

@@ -172,13 +172,14 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, key: str = "doc_id", text
     """The rows with their text cut to the kept lines, plus ``n_lines`` and ``n_dropped``."""
     names = [fresh(docs, n) for n in ("n_lines", "n_dropped")]
     others = [c for c in docs.columns if c != text]
-    marked = docs.withColumns(dict(zip(("__k", "__t"), document_key(key, text))))
+    k, t, of_k, of_t, keep = (fresh(docs, n) for n in ("__k", "__t", "__of_k", "__of_t", "__keep"))
+    marked = docs.withColumns(dict(zip((k, t), document_key(key, text))))
+    named = bitmaps.select(F.col("k").alias(of_k), F.col("t").alias(of_t), F.col("keep").alias(keep))
     # a task's bitmaps are a few bytes per document, so the texts need no sort
-    joined = marked.join(
-        bitmaps.hint("shuffle_hash"), (F.col("__k") == F.col("k")) & (F.col("__t") == F.col("t")), "left"
-    )
+    joined = marked.join(named.hint("shuffle_hash"), (F.col(k) == F.col(of_k)) & (F.col(t) == F.col(of_t)), "left")
     source = joined.select(
-        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("row"), F.col(text).alias("text"), "keep"
+        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("row"), F.col(text).alias("text"),
+        F.col(keep).alias("keep"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

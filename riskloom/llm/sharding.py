@@ -87,15 +87,15 @@ def assign_shards(docs: DataFrame, limit_bytes: int = LIMIT_BYTES, text: str = "
     while True:
         path = scratch_path(spark, "shard-directory")
         _levels(open_rows, low, high, limit_bytes)[0].write.parquet(path)
-        directory = spark.read.parquet(path)
-        on = [_prefix(F.col("__hash"), high) == F.col("prefix")]
+        directory = spark.read.parquet(path).toDF("__prefix", "__depth")
+        on = [_prefix(F.col("__hash"), high) == F.col("__prefix")]
         found = rest.join(directory, on)
-        bits = F.lpad(F.conv(_prefix(F.col("__hash"), F.col("depth")).cast("string"), 10, 2), F.col("depth"), F.lit("0"))
-        parts.append(found.where("depth is not null").select(
-            *columns, F.when(F.col("depth") == 0, F.lit("")).otherwise(bits).alias(names[0]),
+        bits = F.lpad(F.conv(_prefix(F.col("__hash"), F.col("__depth")).cast("string"), 10, 2), F.col("__depth"), F.lit("0"))
+        parts.append(found.where("__depth is not null").select(
+            *columns, F.when(F.col("__depth") == 0, F.lit("")).otherwise(bits).alias(names[0]),
             F.lit(0).cast("long").alias(names[1]), F.col("__bytes").alias(names[2]),
         ))
-        still_open = directory.where("depth is null").select("prefix")
+        still_open = directory.where("__depth is null").select("__prefix")
         if still_open.isEmpty():
             break
         rest = rest.join(still_open, on, "left_semi")

@@ -25,6 +25,7 @@ SCALE = 1024
 BLOCK = 16  # dimensions added between two prunings
 CHUNK = 8192  # candidates in one vertical array
 QUERY_BLOCK = 4096  # queries broadcast at a time
+LOWEST, HIGHEST = -(2**63), 2**63 - 1  # of a score
 EXACT = 2.0**53  # integers below it are exact as doubles
 
 
@@ -88,6 +89,8 @@ def _search_chunk(query: np.ndarray, query_id: int, best: _Best, columns: np.nda
         cut = np.partition(scores, len(scores) - best.k)[len(scores) - best.k]
         stay = scores >= cut
         alive, scores = alive[stay], scores[stay]
+    if not exact:
+        scores = np.array([min(max(s, LOWEST), HIGHEST) for s in scores.tolist()], object)
     best.add(scores, ids[alive])
 
 
@@ -141,8 +144,7 @@ def _searcher(k: int, queries_of):
         for ids, _, bests in by_size.values():
             for query_id, best in zip(ids.tolist(), bests):
                 if len(best.ids):
-                    low, high = -(2**63), 2**63 - 1
-                    scores = [min(max(int(s), low), high) for s in best.scores]
+                    scores = [int(s) for s in best.scores]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([query_id] * len(scores), pa.int64()), pa.array(best.ids, pa.int64()),
                          pa.array(scores, pa.int64())],
@@ -162,7 +164,7 @@ def top_k(
     component, and rows with a null id, take no part; only vectors of equal
     length are compared. Candidate rows that repeat an id count each, queries
     that repeat an id are asked once. A query without candidates, or an empty
-    table, has no rows. Scores beyond 64 bits are cut to the range's ends.
+    table, has no rows. Scores beyond 64 bits are cut to the range's ends before they are ranked.
     Other columns are not read.
     """
     spark = candidates.sparkSession
