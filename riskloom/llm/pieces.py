@@ -33,7 +33,7 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  # fixed value: stands for a space in pieces
 BREAKS = "\n\t\x00"  # characters that no piece holds beside others
 UNITS = re.compile(rf" *[^ {BREAKS}]+| +|[{BREAKS}]")
-BLOCK_UNITS = 500_000  # words filtered and sampled at a time, which bounds memory
+BLOCK_UNITS = 250_000  # words filtered and sampled at a time, which bounds memory
 STORE_EDGES = 16_000_000  # of the words a worker keeps, about 250 MB at most
 LONG_UNIT = 100_000  # characters; a longer word is cut here; no piece crosses the cut
 SMOOTHING = 0.5
