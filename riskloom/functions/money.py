@@ -1,7 +1,9 @@
 """Money arithmetic that does not depend on summation order.
 
-Amounts carry two decimals. They are summed as whole cents (``bigint``): exact
-in any partial-aggregation order, and a plain long addition in generated code.
+Amounts are exact to a millionth. They are summed as two longs, whole units and
+millionths: exact in any partial-aggregation order, a plain long addition in
+generated code, and no overflow below 9 * 10^12 rows. The sum is put together
+once, as a decimal. A NaN counts as missing, like null.
 """
 
 from __future__ import annotations
@@ -9,31 +11,48 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MILLION = 1_000_000
 
-def cents(amount: Column) -> Column:
-    """Nearest whole cent of a two-decimal double."""
-    return F.floor(amount * 100.0 + 0.5)
+
+def present(amount: Column) -> Column:
+    """The amount, null where it is NaN."""
+    return F.when(~F.isnan(amount), amount)
+
+
+def micros(amount: Column) -> Column:
+    """Nearest whole millionth, for sums that stay below 9 * 10^12 units."""
+    return F.floor(present(amount)) * MILLION + _fraction(present(amount))
+
+
+def _fraction(amount: Column) -> Column:
+    return F.floor((amount - F.floor(amount)) * float(MILLION) + 0.5)
+
+
+def _joined(units: Column, millionths: Column) -> Column:
+    exact = units.cast("decimal(20,0)") + millionths.cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(7,6)")
+    return exact.cast("double")
 
 
 def total(amount: Column) -> Column:
-    """Exact sum of amounts, as double with two decimals."""
-    return F.sum(cents(amount)) / F.lit(100.0)
+    """Exact sum of amounts, as double; null when no amount is present."""
+    known = present(amount)
+    return _joined(F.sum(F.floor(known)), F.sum(_fraction(known)))
 
 
 def total_where(condition: Column, amount: Column) -> Column:
     """Sum of the amounts of rows meeting ``condition``; 0.0 when none does."""
-    return F.sum(F.when(condition, cents(amount)).otherwise(F.lit(0).cast("bigint"))) / F.lit(100.0)
+    return total(F.when(condition, amount).otherwise(F.lit(0.0)))
 
 
 def mean(amount: Column) -> Column:
     """Unrounded mean; null when no amount is present."""
-    return total(amount) / F.nullif(F.count(amount), F.lit(0))
+    return total(amount) / F.nullif(F.count(present(amount)), F.lit(0))
 
 
 def round_half_up(value: Column, digits: int) -> Column:
-    """Round a double half up at ``digits`` decimals with plain float arithmetic."""
+    """Round a double half up at ``digits`` decimals with plain float arithmetic; NaN stays NaN."""
     scale = float(10**digits)
-    return F.floor(value * scale + 0.5) / F.lit(scale)
+    return F.when(F.isnan(value), value).otherwise(F.floor(value * scale + 0.5) / F.lit(scale))
 
 
 def share(part: Column, whole: Column) -> Column:

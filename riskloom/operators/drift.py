@@ -2,21 +2,20 @@
 
 All measures read one relation: rows per distinct value, feature and side, with
 running totals along the value. The raw rows are touched by one pre-aggregation
-only, which is combined before the exchange.
+only, which is combined before the exchange. NaN counts as missing, like null.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.money import round_half_up
-from riskloom.operators.ordered import SLICE_ROWS, group_sizes, running_totals, slice_bounds
-from riskloom.session import local_rows
+from riskloom.operators.ordered import running_totals, stored_slices
 
+# The features that are watched.
 DEFAULT_FEATURES = [
     "amount", "distance_from_home_km", "hour_of_day", "account_age_days", "baseline_spend",
 ]
@@ -37,12 +36,12 @@ def shared_features(reference: DataFrame, current: DataFrame, wanted: list[str]
 
 
 def melt(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
-    """Non-null values as rows (feature, value, n_ref, n_cur), one per value and source row."""
+    """Values that are neither null nor NaN as rows (feature, value, n_ref, n_cur), one per value and source row."""
     def side(df: DataFrame, ref: int) -> DataFrame:
         pairs = F.array(*[
             F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features
         ])
-        return df.select(F.inline(pairs)).where("value is not null").select(
+        return df.select(F.inline(pairs)).where("value is not null and not isnan(value)").select(
             "feature", "value",
             F.lit(ref).cast("bigint").alias("n_ref"), F.lit(1 - ref).cast("bigint").alias("n_cur"),
         )
@@ -51,23 +50,19 @@ def melt(reference: DataFrame, current: DataFrame, features: list[str]) -> DataF
 
 
 def distribution(
-    reference: DataFrame, current: DataFrame, features: list[str], slice_rows: int = SLICE_ROWS
+    reference: DataFrame, current: DataFrame, features: list[str], slices: int | None = None
 ) -> DataFrame:
-    """Rows (feature, value, n_ref, n_cur, cum_ref, cum_cur, next_value, size_ref, size_cur)."""
+    """Rows (feature, value, n_ref, n_cur, cum_ref, cum_cur, next_value, size_ref, size_cur).
+
+    The counts per distinct value are made here, in one pass over the rows, and stored.
+    """
     rows = melt(reference, current, features)
-    sizes = group_sizes(rows, "feature", "value", ["n_ref", "n_cur"])
-    bounds = slice_bounds(
-        rows, "feature", "value", {f: s["distinct"] for f, s in sizes.items()}, slice_rows
-    )
     counts = rows.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
-    run = running_totals(counts, "feature", "value", ["n_ref", "n_cur"], bounds)
-    known = local_rows(rows.sparkSession, {  # one row per feature
-        "feature": pa.array(sizes, pa.string()),
-        "size_ref": pa.array([s["n_ref"] for s in sizes.values()], pa.int64()),
-        "size_cur": pa.array([s["n_cur"] for s in sizes.values()], pa.int64()),
-    })
+    stored = stored_slices(counts, "feature", "value", slices)
+    sizes = stored.groupBy("feature").agg(F.sum("n_ref").alias("size_ref"), F.sum("n_cur").alias("size_cur"))
+    run = running_totals(stored, "feature", "value", ["n_ref", "n_cur"])
     return run.withColumnsRenamed({"cum_n_ref": "cum_ref", "cum_n_cur": "cum_cur"}).join(
-        F.broadcast(known), "feature")
+        F.broadcast(sizes), "feature")  # one row per feature
 
 
 def feature_statistics(dist: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -152,14 +147,14 @@ def drift_metrics(
     current: DataFrame,
     features: list[str] | None = None,
     thresholds: DriftThresholds = DriftThresholds(),
-    slice_rows: int = SLICE_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """One row per feature: statistics, verdict and severity.
 
     Verdict and severity look at the unrounded values.
     """
     names = shared_features(reference, current, features)
-    dist = distribution(reference, current, names, slice_rows)
+    dist = distribution(reference, current, names, slices)
     joined = bucket_counts(dist).withColumns({
         "psi": psi(),
         "p": ks_p_value(F.col("ks"), F.col("size_ref"), F.col("size_cur")),
@@ -185,7 +180,13 @@ def drift_report(
     features: list[str] | None = None,
     thresholds: DriftThresholds = DriftThresholds(),
 ) -> DataFrame:
-    """One row: overall status, sample sizes, drifting features and a metric struct per feature."""
+    """One row: overall status, sample sizes, drifting features and a metric struct per feature.
+
+    Without rows on a side nothing can be said, and the status is NO_DATA.
+    """
+    def rows_of(df: DataFrame) -> Column:
+        return df.agg(F.count("*")).scalar()
+
     metric = F.struct(
         "ks_statistic", "p_value", "psi_score", "wasserstein_distance", "drift_detected", "severity"
     )
@@ -197,9 +198,10 @@ def drift_report(
         F.filter("all", lambda e: e["metric"]["drift_detected"]), lambda e: e["feature"]
     )
     return folded.select(
-        F.when(F.size(drifting) > 0, "DRIFT_ALERT").otherwise("STABLE").alias("overall_status"),
-        reference.agg(F.count("*")).scalar().alias("reference_sample_size"),
-        current.agg(F.count("*")).scalar().alias("current_sample_size"),
+        F.when((rows_of(reference) == 0) | (rows_of(current) == 0), "NO_DATA")
+        .when(F.size(drifting) > 0, "DRIFT_ALERT").otherwise("STABLE").alias("overall_status"),
+        rows_of(reference).alias("reference_sample_size"),
+        rows_of(current).alias("current_sample_size"),
         F.size(drifting).cast("bigint").alias("drifting_features_count"),
         drifting.alias("drifting_features"),
         F.map_from_entries(

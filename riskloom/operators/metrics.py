@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.money import share
-from riskloom.operators.ordered import SLICE_ROWS, group_sizes, running_totals, slice_bounds
+from riskloom.operators.ordered import running_totals, stored_slices
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -19,25 +19,31 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 
 def score_steps(
-    scored: DataFrame, label: str = "label", score: str = "score", slice_rows: int = SLICE_ROWS
+    scored: DataFrame, label: str = "label", score: str = "score", slices: int | None = None
 ) -> DataFrame:
-    """Rows (score, pos, neg, pos_at_or_above, neg_at_or_above, all_pos, all_neg)."""
+    """Rows (score, pos, neg, pos_at_or_above, neg_at_or_above, all_pos, all_neg).
+
+    The counts per distinct score are made here, in one pass over the rows, and stored.
+    """
     rows = scored.select(
         F.lit("all").alias("curve"),
         F.col(score).cast("double").alias("score"),
         F.when(F.col(label) == 1, 1).otherwise(0).cast("bigint").alias("pos"),
         F.when(F.col(label) == 1, 0).otherwise(1).cast("bigint").alias("neg"),
     )
-    size = group_sizes(rows, "curve", "score", ["pos", "neg"]).get("all", {"distinct": 0, "pos": 0, "neg": 0})
-    bounds = slice_bounds(rows, "curve", "score", {"all": size["distinct"]}, slice_rows)
     counts = rows.groupBy("curve", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    run = running_totals(counts, "curve", "score", ["pos", "neg"], bounds)
-    all_pos, all_neg = (F.lit(size[m]).cast("bigint") for m in ("pos", "neg"))
+    stored = stored_slices(counts, "curve", "score", slices)
+    sizes = stored.agg(
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("all_pos"), F.coalesce(F.sum("neg"), F.lit(0)).alias("all_neg")
+    )
+    # one row of totals
+    run = running_totals(stored, "curve", "score", ["pos", "neg"]).join(F.broadcast(sizes))
+    all_pos, all_neg = F.col("all_pos"), F.col("all_neg")
     return run.select(
         "score", "pos", "neg",
         (all_pos - F.col("cum_pos") + F.col("pos")).alias("pos_at_or_above"),
         (all_neg - F.col("cum_neg") + F.col("neg")).alias("neg_at_or_above"),
-        all_pos.alias("all_pos"), all_neg.alias("all_neg"),
+        "all_pos", "all_neg",
     )
 
 

@@ -1,119 +1,45 @@
-"""Running totals over an ordered column, split into slices of bounded size.
+"""Running totals over an ordered column, split into slices of even size.
 
 A running total in one window would send a whole group through one task. Here
-the ordered column is cut into slices at value bounds, totals run inside each
-slice, and the totals of the preceding slices are added from a small table.
-The bounds are fetched once, as plain values: the slices stay the same when a
-lost executor's work is repeated, and they only decide which task does what,
-never the result.
+the table, one row per distinct value, is range-partitioned by group and value,
+so slices are cut by numbers of distinct values whatever the rows behind them.
+It is stored once with its slice number; totals run inside each slice, and the
+totals of the slices before are added from a small table. As the slices are
+stored, they stay the same when a lost executor's work is repeated, and they
+only decide which task does what, never the result.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.session import local_rows
-
-SLICE_ROWS = 1_000_000
-MAX_SLICES = 2048
+from riskloom.session import scratch_path
 
 
-def group_sizes(df: DataFrame, group: str, order: str, measures: list[str]) -> dict[str, dict[str, int]]:
-    """Per group: approximate number of distinct order values (``distinct``) and exact measure totals.
+def stored_slices(df: DataFrame, group: str, order: str, slices: int | None = None) -> DataFrame:
+    """``df`` (one row per group and value) written in ranges, with its ``_slice``.
 
-    For few groups (a feature list, a single score column). Combined before its
-    exchange, so only one row per group travels.
+    This runs the work behind ``df``, once. Without a number of slices their
+    size follows the session's partition sizes.
     """
-    sizes = df.groupBy(group).agg(
-        F.approx_count_distinct(order).alias("distinct"), *[F.sum(m).alias(m) for m in measures]
-    )
-    return {r[group]: {k: r[k] for k in ("distinct", *measures)} for r in sizes.toLocalIterator()}
-
-
-def slice_bounds(
-    df: DataFrame,
-    group: str,
-    order: str,
-    distinct: dict[str, int],
-    slice_rows: int = SLICE_ROWS,
-    max_slices: int = MAX_SLICES,
-) -> dict[str, list[float]]:
-    """Inner slice bounds of the groups whose distinct values need more than one slice.
-
-    At most ``max_slices`` numbers per group reach the driver; nothing is
-    computed when no group is large.
-    """
-    wanted = {g: min(max_slices, math.ceil(n / slice_rows)) for g, n in distinct.items() if n > slice_rows}
-    if not wanted:
-        return {}
-    most = max(wanted.values())
-    cuts = (
-        df.where(F.col(group).isin(list(wanted)))
-        .groupBy(group)
-        .agg(F.percentile_approx(order, [i / most for i in range(1, most)], max(10_000, 4 * most)).alias("cuts"))
-    )
-    bounds = {}
-    for row in cuts.toLocalIterator():
-        slices = wanted[row[group]]
-        bounds[row[group]] = sorted({row["cuts"][math.ceil(i * most / slices) - 1] for i in range(1, slices)})
-    return bounds
-
+    keys = [group, order]
+    ranged = df.repartitionByRange(slices, *keys) if slices else df.repartitionByRange(*keys)
+    path = scratch_path(df.sparkSession, "slices")
+    ranged.withColumn("_slice", F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
-def bounds_table(df: DataFrame, group: str, bounds: dict[str, list]) -> DataFrame:
-    """The bounds as a small table (group, _bounds)."""
-    return local_rows(df.sparkSession, {group: list(bounds), "_bounds": list(bounds.values())})
 
-
-def locate(bounds: Column, value: Column) -> Column:
-    """Number of bounds that are at or below ``value``, found in two coarse-to-fine steps."""
-    step = F.ceil(F.sqrt(F.size(bounds).cast("double"))).cast("int")
-    step = F.greatest(step, F.lit(1))
-    heads = F.filter(bounds, lambda b, i: (i % step == 0) & (b <= value))
-    skip = F.greatest(F.size(heads) - 1, F.lit(0)) * step
-    rest = F.filter(F.slice(bounds, skip + 1, step), lambda b: b <= value)
-    return F.when(F.size(bounds) == 0, F.lit(0)).otherwise(skip + F.size(rest))
-
-
-def with_slice(df: DataFrame, group: str, order: str, bounds: dict[str, list[float]]) -> DataFrame:
-    """Add ``_slice``; groups without bounds are slice 0."""
-    if not any(bounds.values()):
-        return df.withColumn("_slice", F.lit(0))
-    small = bounds_table(df, group, {g: b for g, b in bounds.items() if b})
-    return (
-        # one row per group with bounds, so its size is known here
-        df.join(F.broadcast(small), group, "left")
-        .withColumn("_slice", F.when(F.col("_bounds").isNull(), 0)
-                    .otherwise(locate(F.col("_bounds"), F.col(order))))
-        .drop("_bounds")
-    )
-
-
-def running_totals(
-    df: DataFrame,
-    group: str,
-    order: str,
-    measures: list[str],
-    bounds: dict[str, list[float]],
-) -> DataFrame:
-    """Add inclusive running totals ``cum_<measure>`` and the next value ``next_<order>``.
-
-    ``df`` must hold one row per (group, order) value.
-    """
-    sliced = with_slice(df, group, order, bounds)
+def running_totals(stored: DataFrame, group: str, order: str, measures: list[str]) -> DataFrame:
+    """Add inclusive running totals ``cum_<measure>`` and the next value ``next_<order>`` to stored slices."""
     local = Window.partitionBy(group, "_slice").orderBy(order)
-    run = sliced.withColumns({
+    run = stored.withColumns({
         **{f"cum_{m}": F.sum(m).over(local.rowsBetween(Window.unboundedPreceding, 0)) for m in measures},
         f"next_{order}": F.lead(order).over(local),
     })
-    if not any(bounds.values()):
-        return run.drop("_slice")
-    totals = sliced.groupBy(group, "_slice").agg(
+    totals = stored.groupBy(group, "_slice").agg(
         *[F.sum(m).alias(m) for m in measures], F.min(order).alias("_first")
     )
-    # at most MAX_SLICES rows per group
     across = Window.partitionBy(group).orderBy("_slice")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
@@ -122,6 +48,7 @@ def running_totals(
         *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_before_{m}") for m in measures],
         F.lead("_first").over(across).alias("_next_first"),
     )
+    # one row per slice and group, so at most as many as slices and groups together
     joined = run.join(F.broadcast(carried), [group, "_slice"])
     return joined.withColumns({
         **{f"cum_{m}": F.col(f"cum_{m}") + F.col(f"_before_{m}") for m in measures},

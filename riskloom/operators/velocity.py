@@ -3,15 +3,14 @@
 Frames are RANGE frames over event time: peers at the same instant count, and
 so does a transaction exactly one hour (24 hours) earlier.
 
-Two exact ways, chosen per user by the number of rows:
-
-* ordinary users: one exchange and one sort on the user. A rolling value is the
-  running total up to now minus the running total up to just before the window.
-  Both frames only grow, so the cost is linear in the user's rows; a sliding
-  frame would rescan its content for every row.
-* heavy users: the timeline is cut into slices. Each instant adds its count and
-  cents when it happens and takes them away again when it leaves the window;
-  totals run inside slices and the totals of earlier slices are added.
+One way for every user. Rows are first reduced to one per user and instant. A
+user's instants are dealt to slices of one day; as no window reaches back more
+than a day, each instant also enters the next day's slice as background. Inside
+a slice a rolling value is the running total up to now minus the running total
+up to just before the window: both frames only grow, so the cost is linear. The
+last instant of earlier days comes from a table of one row per user and day.
+However many rows a user has, a task sees at most two days of them, and at most
+one entry per instant: 172,800 where times are whole seconds.
 """
 
 from __future__ import annotations
@@ -19,14 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.money import cents
-from riskloom.operators.ordered import bounds_table, locate
-from riskloom.session import local_rows
+from riskloom.functions.money import MILLION, micros
 
 HOUR = 3_600_000_000  # microseconds
 DAY = 24 * HOUR
-HEAVY_ROWS = 2_000_000
-MAX_HEAVY_USERS = 20_000
+UNTIMED = -(1 << 62)  # stands for a missing time, far from every window
 
 VELOCITY_COLUMNS = [
     "tx_count_last_1h", "total_spend_last_24h", "prev_tx_timestamp", "seconds_since_prev_tx",
@@ -38,182 +34,65 @@ def _user_key() -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col("user_id")), F.lit(""))
 
 
-def heavy_users(
-    tx: DataFrame, heavy_rows: int = HEAVY_ROWS, max_users: int = MAX_HEAVY_USERS
-) -> dict[str, int]:
-    """Rows per user key above the limit.
-
-    The limit grows with the table so that no more than ``max_users`` can pass
-    it, which bounds what reaches the driver.
-    """
-    per_user = tx.where("timestamp is not null").groupBy("user_id").agg(F.count("*").alias("n"))
-    over = per_user.where(F.col("n") > heavy_rows)
-    if over.isEmpty():
-        return {}
-    limit = max(heavy_rows, tx.count() // max_users)
-    over = per_user.where(F.col("n") > limit).select(_user_key().alias("u"), "n")
-    return {r["u"]: r["n"] for r in over.toLocalIterator()}
-
-
-def _gap_seconds(ts: Column, previous: Column) -> Column:
-    return (F.unix_micros(ts) - F.unix_micros(previous)) / F.lit(1e6)
-
-
-def _growing_frames(tx: DataFrame) -> DataFrame:
-    # both orders share one sort: (user, time, id) also serves (user, time)
-    # and the hash leads it, so that ids alike in their first bytes compare as numbers
-    # (a column of its own: an expression would give each window its own exchange)
-    user = ["_hash", "user_id"]
-    by_row = Window.partitionBy(*user).orderBy("_t", "transaction_id")
-    by_time = Window.partitionBy(*user).orderBy("_t")
-    until_now = by_time.rangeBetween(Window.unboundedPreceding, 0)
-    until_1h_ago = by_time.rangeBetween(Window.unboundedPreceding, -HOUR - 1)
-    until_24h_ago = by_time.rangeBetween(Window.unboundedPreceding, -DAY - 1)
-    amount = F.col("_cents")
-    timed = F.col("_t").isNotNull()  # rows without a time see each other only
-
-    def left_window(value: Column) -> Column:
-        return F.when(timed, F.coalesce(value, F.lit(0).cast("bigint"))).otherwise(F.lit(0))
-
-    return (
-        tx.withColumns({
-            "_hash": F.xxhash64("user_id"), "_t": F.unix_micros("timestamp"), "_cents": cents(F.col("amount")),
-        })
-        .withColumn("prev_tx_timestamp", F.lag("timestamp").over(by_row))
-        .withColumns({
-            "tx_count_last_1h": F.count("transaction_id").over(until_now)
-            - left_window(F.count("transaction_id").over(until_1h_ago)),
-            "total_spend_last_24h": (
-                F.sum(amount).over(until_now) - left_window(F.sum(amount).over(until_24h_ago))
-            ) / F.lit(100.0),
-        })
-        .drop("_hash", "_t", "_cents")
-    )
-
-
-def _timeline_bounds(
-    instants: DataFrame, rows: dict[str, int], slice_rows: int
-) -> dict[str, list[int]]:
-    """Slice bounds of each heavy user's timeline, about one per ``slice_rows`` rows."""
-    # Users of similar size share one list of percentiles; the lists double in
-    # length, so all bounds together stay below 2 * total rows / slice_rows.
-    tier_of = {user: max(1, (n // slice_rows).bit_length()) for user, n in rows.items()}
-    spark = instants.sparkSession
-    tiers = local_rows(spark, {"_user": list(tier_of), "tier": list(tier_of.values())})
-    leveled = instants.join(F.broadcast(tiers), "_user")
-    cuts = {
-        t: F.percentile_approx(
-            F.when(F.col("tier") == t, F.col("t")),
-            [i / 2**t for i in range(1, 2**t)],
-            max(10_000, 4 * 2**t),
-        ).alias(f"cuts_{t}")
-        for t in sorted(set(tier_of.values()))
-    }
-    found = leveled.groupBy("_user").agg(*cuts.values())
-    return {
-        r["_user"]: sorted(set(r[f"cuts_{tier_of[r['_user']]}"]))
-        for r in found.toLocalIterator()
-    }
-
-
-def _sliced_timeline(tx: DataFrame, rows: dict[str, int], slice_rows: int) -> DataFrame:
-    """``tx`` holds rows with a time, keyed by ``_user``."""
-    keyed = tx.withColumn("_t", F.unix_micros("timestamp"))
-    instants = keyed.groupBy("_user", F.col("_t").alias("t")).agg(
+def instants_of(tx: DataFrame) -> DataFrame:
+    """One row per user and instant: rows, millionths spent, smallest id."""
+    return tx.groupBy("_user", "_t").agg(
         F.count("transaction_id").alias("n"),
-        F.sum(cents(F.col("amount"))).alias("cents"),
+        F.sum(micros(F.col("amount"))).alias("spent"),
         F.min("transaction_id").alias("first_id"),
     )
-    bounds = _timeline_bounds(instants, rows, slice_rows)
 
-    def change(t: Column, n: Column, c: Column, real: bool) -> Column:
-        return F.struct(
-            t.alias("t"), n.alias("d_n"), c.alias("d_cents"),
-            (F.col("first_id") if real else F.lit(None).cast("string")).alias("first_id"),
-            F.lit(real).alias("real"),
-        )
 
-    zero = F.lit(0).cast("bigint")
-    changes = instants.select(
-        "_user",
-        F.inline(F.array(
-            change(F.col("t"), F.col("n"), F.col("cents"), True),
-            change(F.col("t") + HOUR + 1, -F.col("n"), zero, False),
-            change(F.col("t") + DAY + 1, zero, -F.col("cents"), False),
-        )),
+def rolling_instants(instants: DataFrame) -> DataFrame:
+    """Rows (_user, _t, first_id, tx_count_last_1h, spent_24h, prev_t) of ``instants``."""
+    day = F.floor(F.col("_t") / DAY)
+    timed = F.col("_t") > UNTIMED
+    own = F.struct(day.alias("_slice"), F.lit(True).alias("_own"))
+    background = F.struct((day + 1).alias("_slice"), F.lit(False).alias("_own"))
+    sliced = instants.select(
+        "*", F.inline(F.when(timed, F.array(own, background)).otherwise(F.array(own)))
     )
-    cut_table = bounds_table(changes, "_user", bounds)
-    sliced = changes.join(F.broadcast(cut_table), "_user").withColumn(
-        "_slice", locate(F.col("_bounds"), F.col("t"))
-    ).drop("_bounds")
-
-    local = Window.partitionBy("_user", "_slice").orderBy("t")
-    until_now = local.rangeBetween(Window.unboundedPreceding, 0)
-    earlier = local.rangeBetween(Window.unboundedPreceding, -1)
-    real_time = F.when(F.col("real"), F.col("t"))
-    run = sliced.withColumns({
-        "run_n": F.sum("d_n").over(until_now),
-        "run_cents": F.sum("d_cents").over(until_now),
-        "prev_t": F.max(real_time).over(earlier),
-    }).where("real")
-
-    # slices per user are bounded, and so is this table
-    across = Window.partitionBy("_user").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    by_time = Window.partitionBy("_user", "_slice").orderBy("_t")
+    until_now = by_time.rangeBetween(Window.unboundedPreceding, 0)
+    until_1h_ago = by_time.rangeBetween(Window.unboundedPreceding, -HOUR - 1)
+    until_24h_ago = by_time.rangeBetween(Window.unboundedPreceding, -DAY - 1)
+    zero = F.lit(0).cast("bigint")
+    rolled = sliced.select(
+        "_user", "_slice", "_own", "_t", "first_id",
+        (F.sum("n").over(until_now) - F.coalesce(F.sum("n").over(until_1h_ago), zero)).alias("tx_count_last_1h"),
+        (F.sum("spent").over(until_now) - F.coalesce(F.sum("spent").over(until_24h_ago), zero)).alias("spent_24h"),
+        F.lag("_t").over(by_time).alias("_near_t"),
+    ).where("_own")
+    # the last time of all earlier days, per user and day
+    before = Window.partitionBy("_user").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        sliced.groupBy("_user", "_slice")
-        .agg(F.sum("d_n").alias("n"), F.sum("d_cents").alias("c"), F.max(real_time).alias("last_t"))
-        .select(
-            "_user", "_slice",
-            F.coalesce(F.sum("n").over(across), zero).alias("n_before"),
-            F.coalesce(F.sum("c").over(across), zero).alias("c_before"),
-            F.max("last_t").over(across).alias("t_before"),
-        )
+        instants.where(timed).groupBy("_user", day.alias("_slice")).agg(F.max("_t").alias("last_t"))
+        .select("_user", "_slice", F.max("last_t").over(before).alias("_far_t"))
     )
-    per_instant = run.join(F.broadcast(carried), ["_user", "_slice"]).select(
-        "_user",
-        F.col("t").alias("_t"),
-        "first_id",
-        (F.col("run_n") + F.col("n_before")).alias("tx_count_last_1h"),
-        ((F.col("run_cents") + F.col("c_before")) / F.lit(100.0)).alias("total_spend_last_24h"),
-        F.coalesce("prev_t", "t_before").alias("_prev_t"),
-    )
-    # rows of one instant may be many: the small side is unique per key, so the
-    # adaptive skew join can split the row side
-    back = keyed.join(per_instant, ["_user", "_t"])
-    previous = F.when(F.col("transaction_id") == F.col("first_id"), F.col("_prev_t")).otherwise(F.col("_t"))
-    return back.withColumn("prev_tx_timestamp", F.timestamp_micros(previous)).drop(
-        "_t", "_prev_t", "first_id"
+    return rolled.join(carried, ["_user", "_slice"], "left").select(
+        "_user", "_t", "first_id", "tx_count_last_1h", "spent_24h",
+        F.coalesce("_near_t", "_far_t").alias("prev_t"),
     )
 
 
-def with_velocity(
-    tx: DataFrame,
-    heavy_rows: int = HEAVY_ROWS,
-    max_users: int = MAX_HEAVY_USERS,
-    slice_rows: int | None = None,
-    sized_by: DataFrame | None = None,
-) -> DataFrame:
+def with_velocity(tx: DataFrame) -> DataFrame:
     """Add the velocity columns to transactions with unique ``transaction_id``.
 
-    Rows per user are counted on ``sized_by`` where given: a table of which
-    ``tx`` is a costly subset, so that finding the heavy users does not run
-    that work twice. More users may then count as heavy; the result is the same.
+    Rows without a time see each other only and have no previous transaction.
     """
-    rows = heavy_users(tx if sized_by is None else sized_by, heavy_rows, max_users)
-    if not rows:
-        result = _growing_frames(tx)
-    else:
-        names = F.broadcast(  # at most max_users rows
-            local_rows(tx.sparkSession, {"_user": list(rows)})
-        )
-        keyed = tx.withColumn(
-            "_user", F.when(F.col("timestamp").isNotNull(), _user_key())
-        )
-        light = _growing_frames(keyed.join(names, "_user", "left_anti").drop("_user"))
-        heavy = _sliced_timeline(
-            keyed.join(names, "_user", "left_semi"), rows, slice_rows or min(rows.values())
-        ).drop("_user")
-        result = light.unionByName(heavy)
-    return result.withColumn(
-        "seconds_since_prev_tx", _gap_seconds(F.col("timestamp"), F.col("prev_tx_timestamp"))
+    keyed = tx.withColumns({
+        "_user": _user_key(), "_t": F.coalesce(F.unix_micros("timestamp"), F.lit(UNTIMED)),
+    })
+    rolled = rolling_instants(instants_of(keyed))
+    # rows of one instant may be many: the small side is unique per key, so the
+    # adaptive skew join can split the row side
+    back = keyed.join(rolled, ["_user", "_t"])
+    own_time = F.when(F.col("_t") > UNTIMED, F.col("_t"))
+    previous = F.when(F.col("transaction_id").eqNullSafe(F.col("first_id")), F.col("prev_t")).otherwise(own_time)
+    return back.select(
+        *tx.columns,
+        "tx_count_last_1h",
+        (F.col("spent_24h") / F.lit(float(MILLION))).alias("total_spend_last_24h"),
+        F.timestamp_micros(previous).alias("prev_tx_timestamp"),
+        ((own_time - previous) / F.lit(1e6)).alias("seconds_since_prev_tx"),
     )

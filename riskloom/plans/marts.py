@@ -175,14 +175,10 @@ def channel_metrics(fact: DataFrame) -> DataFrame:
 def fact_with_velocity(tx: DataFrame) -> DataFrame:
     """Staging fact with rolling velocity.
 
-    Duplicate ids are resolved first; the windows then run in place instead of
-    being computed apart and joined back on the id.
+    Duplicate ids are resolved first.
     """
     staged = staging_transactions(keep_first(tx, "transaction_id", ["timestamp"]))
-    moving = with_velocity(
-        staged.withColumnRenamed("transaction_timestamp", "timestamp"),
-        sized_by=tx.select("user_id", "timestamp"),
-    )
+    moving = with_velocity(staged.withColumnRenamed("transaction_timestamp", "timestamp"))
     return moving.withColumnRenamed("timestamp", "transaction_timestamp").select(
         "transaction_id", "user_id", "merchant_id", "amount", "currency", "transaction_timestamp",
         "transaction_date", "channel", "card_type", "device_type", "transaction_country",

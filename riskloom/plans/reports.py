@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.money import cents, mean, share, total, total_where
+from riskloom.functions.money import mean, share, total, total_where
 from riskloom.functions.rules import is_fraud, kyc_label
 from riskloom.operators.histogram import histogram
 
@@ -91,7 +91,7 @@ def daily_trend(activity: DataFrame) -> DataFrame:
 def channel_share(activity: DataFrame) -> DataFrame:
     """Volume and share of the whole; the window runs over the handful of channel rows."""
     volumes = activity.groupBy("channel").agg(total(F.col("amount")).alias("volume"))
-    whole = F.sum(cents(F.col("volume"))).over(Window.partitionBy()) / F.lit(100.0)
+    whole = F.sum(F.col("volume").cast("decimal(28,6)")).over(Window.partitionBy()).cast("double")
     return volumes.withColumn("volume_share", share(F.col("volume"), whole))
 
 

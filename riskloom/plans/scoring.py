@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.money import cents, round_half_up
+from riskloom.functions.money import round_half_up, total_where
 from riskloom.functions.rules import (
     ANALYST_RATIO_CUT, RATIO_CUT, analyst_reason_codes, decision, flag, is_night, reason_codes, risk_score, rule_score, spend_ratio,
 )
@@ -121,7 +121,7 @@ def flagging_kpis(flagged: DataFrame) -> DataFrame:
         F.count("*").alias("total_transactions"),
         hits.alias("flagged_count"),
         (hits / F.nullif(F.count("*"), F.lit(0)) * 100).alias("flagged_pct"),
-        (F.coalesce(F.sum(F.when(hit, cents(F.col("amount")))), F.lit(0)) / F.lit(100.0)).alias("flagged_amount"),
+        F.coalesce(total_where(hit, F.col("amount")), F.lit(0.0)).alias("flagged_amount"),
         (units / F.nullif(F.count("score"), F.lit(0)) / F.lit(10000.0)).alias("avg_score"),
     )
 

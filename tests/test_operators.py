@@ -96,36 +96,46 @@ def _brute_velocity(rows):
 HOURS = [h * 1800 for h in range(100)]  # gaps of exactly one hour and one day occur
 
 
-@pytest.mark.parametrize("limits", [{}, {"heavy_rows": 20, "slice_rows": 7}, {"heavy_rows": 100, "slice_rows": 5}])
-@pytest.mark.parametrize("instants", [None, HOURS, [0, 3600]])
-def test_velocity_equals_brute_force(spark, limits, instants):
-    rows = _velocity_rows(7, ["u1", "u2", "u3", None], 300, instants)
-    df = spark.createDataFrame(rows, "transaction_id string, user_id string, timestamp timestamp, amount double")
-    made = velocity.with_velocity(df, **limits).collect()
+VELOCITY_SCHEMA = "transaction_id string, user_id string, timestamp timestamp, amount double"
+
+
+@pytest.mark.parametrize("users", [["u1", "u2", "u3", None], ["only"]])
+@pytest.mark.parametrize("instants", [None, HOURS, [0, 3600], [0, 9 * 86400, 9 * 86400 + 5]])
+def test_velocity_equals_brute_force(spark, users, instants):
+    rows = _velocity_rows(7, users, 300, instants)
+    df = spark.createDataFrame(rows, VELOCITY_SCHEMA)
+    made = velocity.with_velocity(df).collect()
     got = {r["transaction_id"]: (r["tx_count_last_1h"], r["total_spend_last_24h"], r["prev_tx_timestamp"],
                                  r["seconds_since_prev_tx"]) for r in made}
     assert got == _brute_velocity(rows)
 
 
-def test_velocity_windows_share_one_exchange_and_one_sort(spark):
-    df = spark.createDataFrame(_velocity_rows(1, ["a", "b"], 10),
-                               "transaction_id string, user_id string, timestamp timestamp, amount double")
-    plan = velocity.with_velocity(df)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.count("+- Sort ") == 1
+def test_rows_without_a_time_see_each_other_only(spark):
+    rows = [("a", "u", None, 1.5), ("b", "u", None, 2.0), ("c", "u", BASE, 4.0), ("d", None, None, 8.0)]
+    got = {r[0]: r[1:] for r in velocity.with_velocity(spark.createDataFrame(rows, VELOCITY_SCHEMA)).select(
+        "transaction_id", *velocity.VELOCITY_COLUMNS).collect()}
+    assert got == {"a": (2, 3.5, None, None), "b": (2, 3.5, None, None), "c": (1, 4.0, None, None),
+                   "d": (1, 8.0, None, None)}
+
+
+def test_velocity_starts_no_job_while_the_plan_is_built(spark):
+    df = spark.createDataFrame(_velocity_rows(1, ["a", "b"], 10), VELOCITY_SCHEMA)
+    spark.sparkContext.setJobGroup("plan", "velocity")
+    velocity.with_velocity(df)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan")
+    spark.sparkContext.setJobGroup("tests", "")
 
 
 # --- running totals
 
-@pytest.mark.parametrize("slice_rows", [10**6, 37, 3])
-def test_running_totals_do_not_depend_on_slices(spark, slice_rows):
+@pytest.mark.parametrize("slices", [None, 4, 60])
+def test_running_totals_do_not_depend_on_slices(spark, slices):
     df = spark.range(500).select(
         F.when(F.col("id") % 5 == 0, "b").otherwise("a").alias("g"),
         (F.col("id") * 1.5).alias("v"), (F.col("id") % 7).alias("n"))
-    sizes = {g: s["distinct"] for g, s in ordered.group_sizes(df, "g", "v", ["n"]).items()}
-    bounds = ordered.slice_bounds(df, "g", "v", sizes, slice_rows)
+    stored = ordered.stored_slices(df, "g", "v", slices)
     got = {(r["g"], r["v"]): (r["cum_n"], r["next_v"])
-           for r in ordered.running_totals(df, "g", "v", ["n"], bounds).collect()}
+           for r in ordered.running_totals(stored, "g", "v", ["n"]).collect()}
     expected, totals, last = {}, {"a": 0, "b": 0}, {}
     for i in range(500):
         g, v = ("b" if i % 5 == 0 else "a"), i * 1.5
@@ -137,11 +147,12 @@ def test_running_totals_do_not_depend_on_slices(spark, slice_rows):
     assert got == {k: tuple(v) for k, v in expected.items()}
 
 
-def test_locate_counts_bounds_at_or_below(spark):
-    bounds = [float(b) for b in range(0, 50, 3)]
-    df = spark.range(-5, 60).select(F.col("id").cast("double").alias("v"), F.lit(bounds).alias("b"))
-    for v, n in df.select("v", ordered.locate(F.col("b"), F.col("v"))).collect():
-        assert n == sum(b <= v for b in bounds)
+def test_slices_are_even_when_one_value_holds_most_rows(spark):
+    rows = spark.range(200_000).select(
+        F.lit("f").alias("g"), F.when(F.col("id") % 100 > 0, 10.0).otherwise(F.col("id") * 1.0).alias("v"))
+    counts = rows.groupBy("g", "v").agg(F.count("*").alias("n"))
+    sizes = [r["count"] for r in ordered.stored_slices(counts, "g", "v", 8).groupBy("_slice").count().collect()]
+    assert sum(sizes) == 2001 and max(sizes) < 2 * 2001 / 8
 
 
 # --- drift
@@ -159,12 +170,12 @@ def _numpy_psi(ref, cur):
     return float(np.sum((a - e) * np.log(a / e)))
 
 
-@pytest.mark.parametrize("slice_rows", [10**6, 20])
-def test_drift_statistics_equal_numpy(spark, slice_rows):
+@pytest.mark.parametrize("slices", [None, 20])
+def test_drift_statistics_equal_numpy(spark, slices):
     rng = np.random.default_rng(3)
     ref = np.round(rng.lognormal(3, 1, 400), 2)
     cur = np.concatenate([np.round(rng.lognormal(3.4, 1, 250), 2), np.full(125, 20.0)])  # a third is one value
-    got = drift.bucket_counts(drift.distribution(*_sides(spark, ref, cur), ["amount"], slice_rows)).withColumn(
+    got = drift.bucket_counts(drift.distribution(*_sides(spark, ref, cur), ["amount"], slices)).withColumn(
         "psi", drift.psi()).first()
     xs = np.unique(np.concatenate([ref, cur]))
     f = np.searchsorted(np.sort(ref), xs, "right") / len(ref)
@@ -199,14 +210,34 @@ def test_absent_features_are_skipped_and_nulls_dropped(spark):
     assert (row["feature"], row["ks_statistic"]) == ("amount", 0.0)
 
 
+def test_nan_counts_as_missing_and_no_rows_are_no_data(spark):
+    values = [(float(v),) for v in range(50)]
+    ref = spark.createDataFrame(values, "amount double")
+    cur = spark.createDataFrame([*values, (float("nan"),)], "amount double")
+    row = drift.drift_metrics(ref, cur, ["amount"]).first()
+    assert (row["ks_statistic"], row["wasserstein_distance"], row["psi_score"]) == (0.0, 0.0, 0.0)
+    assert drift.drift_report(ref, cur.limit(0), ["amount"]).first()["overall_status"] == "NO_DATA"
+
+
+# --- money
+
+def test_sums_keep_parts_of_a_cent_and_skip_nan(spark):
+    df = spark.createDataFrame([(0.004,), (0.004,), (0.004,), (float("nan"),), (None,)], "amount double")
+    got = df.agg(money.total(F.col("amount")), money.mean(F.col("amount")),
+                 money.total_where(F.col("amount") > 0, F.col("amount"))).first()
+    assert tuple(got)[0] == 0.012 and abs(got[1] - 0.004) < 1e-12
+    many = spark.range(100_000).select((F.col("id") % 100 / 100.0 + 1e6).alias("amount"))
+    assert many.agg(money.total(F.col("amount"))).first()[0] == 1e11 + 49_500.0
+
+
 # --- metrics
 
-@pytest.mark.parametrize("slice_rows", [10**6, 4])
-def test_ranking_metrics_equal_brute_force(spark, slice_rows):
+@pytest.mark.parametrize("slices", [None, 40])
+def test_ranking_metrics_equal_brute_force(spark, slices):
     rnd = random.Random(11)
     rows = [(int(rnd.random() < 0.3), round(rnd.random(), 2) if rnd.random() > 0.33 else 0.5) for _ in range(200)]
     scored = spark.createDataFrame(rows, "label int, score double")
-    got = metrics.ranking_metrics(metrics.score_steps(scored, slice_rows=slice_rows)).first()
+    got = metrics.ranking_metrics(metrics.score_steps(scored, slices=slices)).first()
     pos, neg = [s for y, s in rows if y], [s for y, s in rows if not y]
     auc = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     ap, seen = 0.0, 0
