@@ -9,21 +9,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def row_digest(df: DataFrame) -> Column:
-    """SHA-256 of a row: its values as text in column order, nulls marked.
+STEP = 2.0**52
+
+
+def exact_text(value: Column) -> Column:
+    """A double as four whole numbers: every finite value from 2^-104 to 2^115 has a text of its own.
 
-    Doubles enter as whole millionths and times as microseconds: float and time
-    formatting differ between engines, whole numbers do not.
+    Scaling by powers of two and taking whole parts is exact in any engine,
+    which float formatting is not.
     """
+    top = F.floor(value / STEP)
+    rest = value - top * STEP
+    low = (rest - F.floor(rest)) * STEP
+    parts = [top, F.floor(rest), F.floor(low), F.floor((low - F.floor(low)) * STEP)]
+    finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
+    return F.when(finite, F.concat_ws(",", *[p.cast("bigint").cast("string") for p in parts])).otherwise(value.cast("string"))
+
+
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 of a row: its values as text in column order, each with its length in front, nulls as ``n``."""
     parts = []
     for field in df.schema.fields:
         value = F.col(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            value = F.floor(value * 1e6 + 0.5)
+            text = exact_text(value.cast("double"))
         elif isinstance(field.dataType, T.TimestampType):
-            value = F.unix_micros(value)
-        parts.append(F.coalesce(value.cast("string"), F.lit("<null>")))
-    return F.sha2(F.concat_ws("|", *parts), 256)
+            text = F.unix_micros(value).cast("string")
+        else:
+            text = value.cast("string")
+        parts.append(F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("n")))
+    return F.sha2(F.concat(*parts), 256)
 
 
 def digest_number(df: DataFrame) -> Column:

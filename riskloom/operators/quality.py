@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.operators.dedup import surplus_rows
 
@@ -28,9 +29,16 @@ def _count_if(condition: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0)).cast("bigint")
 
 
+def missing(df: DataFrame, column: str) -> Column:
+    """Whether a value is null or NaN."""
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        return F.col(column).isNull() | F.isnan(column)
+    return F.col(column).isNull()
+
+
 def null_counts(df: DataFrame, columns: list[str] = CRITICAL_COLUMNS) -> DataFrame:
-    """One row with the number of nulls per column."""
-    return df.agg(*[_count_if(F.col(c).isNull()).alias(c) for c in columns])
+    """One row with the number of missing values per column."""
+    return df.agg(*[_count_if(missing(df, c)).alias(c) for c in columns])
 
 
 def orphans(tx: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -50,12 +58,12 @@ def gate_measurements(tx: DataFrame, users: DataFrame, merchants: DataFrame) ->
     Row-level checks share one pass; the keyed checks are scalar subqueries
     that run next to it.
     """
-    nulls = [_count_if(F.col(c).isNull()).alias(f"null_{c}") for c in CRITICAL_COLUMNS]
+    nulls = [_count_if(missing(tx, c)).alias(f"null_{c}") for c in CRITICAL_COLUMNS]
     scanned = tx.agg(
         F.count("*").alias("total"),
         *nulls,
-        _count_if(F.col("amount") <= 0).alias("positive_amount"),
-        _count_if(F.col("distance_from_home_km") < 0).alias("non_negative_distance"),
+        _count_if(~F.isnan("amount") & (F.col("amount") <= 0)).alias("positive_amount"),
+        _count_if(~F.isnan("distance_from_home_km") & (F.col("distance_from_home_km") < 0)).alias("non_negative_distance"),
         _count_if(~F.coalesce(F.col("is_fraud").isin(0, 1), F.lit(False))).alias("binary_label"),
     )
     return scanned.withColumns({

@@ -76,18 +76,18 @@ def gate(tx: DataFrame, users: DataFrame, merchants: DataFrame) -> dict:
     return summary
 
 
-def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str) -> dict[str, int]:
-    """Master data first; the transactions then read the deduplicated users back."""
+def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, version: str) -> dict[str, int]:
+    """A new version of the silver tables. Master data first; the transactions then read the deduplicated users back."""
     done = side_by_side(spark, {
-        "users": lambda: lake.write_counted(silver.silver_users(bronze["users"]), f"{root}/users"),
-        "merchants": lambda: lake.write_counted(
-            silver.silver_merchants(bronze["merchants"]), f"{root}/merchants"),
+        "users": lambda: lake.publish(silver.silver_users(bronze["users"]), root, "users", version),
+        "merchants": lambda: lake.publish(silver.silver_merchants(bronze["merchants"]), root, "merchants", version),
     })
     tx = silver.silver_transactions(
-        bronze["transactions"], spark.read.parquet(f"{root}/users"), unique_users=True
+        bronze["transactions"], spark.read.parquet(done["users"]["path"]), unique_users=True
     ).withColumn("transaction_date", F.to_date("timestamp"))
-    done["transactions"] = lake.write_counted(tx, f"{root}/transactions", by_date="transaction_date")
-    return {name: counts["rows"] for name, counts in done.items()}
+    done["transactions"] = lake.publish(tx, root, "transactions", version, by_date="transaction_date")
+    lake.commit_versions(spark, root, version, list(done.values()))
+    return {name: built["rows"] for name, built in done.items()}
 
 
 def build_gold(spark: SparkSession, layer: dict[str, DataFrame], root: str, version: str) -> dict[str, int]:
@@ -128,8 +128,7 @@ def run_medallion(
         begun = time.monotonic()
         bronze = {
             "transactions": spark.read.schema(sources["transactions"].schema).parquet(audit["tx_path"]),
-            "users": spark.read.schema(sources["users"].schema).parquet(f"{root}/bronze/users"),
-            "merchants": spark.read.schema(sources["merchants"].schema).parquet(f"{root}/bronze/merchants"),
+            **lake.current_marts(spark, f"{root}/bronze"),
         }
         try:
             summary = gate(**{k: bronze[n] for k, n in
@@ -140,11 +139,11 @@ def run_medallion(
         telemetry.stage("quality_gates", begun, summary["status"], checks_run=summary["checks_run"])
 
         begun = time.monotonic()
-        counts = build_silver(spark, bronze, f"{root}/silver")
+        counts = build_silver(spark, bronze, f"{root}/silver", run_id)
         telemetry.stage("silver_transformation", begun, "COMPLETED", **counts)
 
         begun = time.monotonic()
-        layer = {n: spark.read.parquet(f"{root}/silver/{n}") for n in counts}
+        layer = lake.current_marts(spark, f"{root}/silver")
         counts = build_gold(spark, layer, f"{root}/gold", run_id)
         telemetry.stage("gold_warehouse", begun, "COMPLETED", **counts)
         return telemetry.finish("SUCCESS")

@@ -22,6 +22,20 @@ def _money(value: str) -> str:
     return f"cast(sum(cast({value} as decimal(18,2))) as double)"
 
 
+def _exact(value: str) -> str:
+    """A double as four whole numbers, without loss."""
+    top = f"floor({value} / {2.0**52})"
+    rest = f"({value} - {top} * {2.0**52})"
+    low = f"(({rest} - floor({rest})) * {2.0**52})"
+    parts = [top, f"floor({rest})", f"floor({low})", f"floor(({low} - floor({low})) * {2.0**52})"]
+    return " || ',' || ".join(f"({p})::bigint::varchar" for p in parts)
+
+
+def _part(text: str) -> str:
+    """A value with its length in front, so that neighbours cannot run together."""
+    return f"coalesce(length({text})::varchar || ':' || ({text}), 'n')"
+
+
 _CHANNELS = "['mobile_app', 'web', 'in_store', 'api']"
 _DEVICES = "['ios', 'android', 'macos', 'windows', 'linux']"
 _TENURE = """case when account_age_days > 365 or account_age_days is null then 'Veteran (>1yr)'
@@ -34,7 +48,12 @@ _TEMPORAL = """cast(extract(hour from timestamp) as integer) as hour_of_day,
     case when extract(isodow from timestamp) in (6, 7) then 1 else 0 end as is_weekend,
     case when extract(hour from timestamp) < 6 or extract(hour from timestamp) > 22 then 1 else 0 end as is_night"""
 
-# name -> (needs, body)
+_ROW_TEXT = " || ".join(
+    _part(_exact(c) if c in ("amount", "distance_from_home_km") else
+          "epoch_us(timestamp)::varchar" if c == "timestamp" else f"({c})::varchar")
+    for c in _TX_COLUMNS.split(", "))
+
+# name -> body
 _CTES: dict[str, tuple[str, str]] = {}
 
 
@@ -67,6 +86,7 @@ _cte("tx", f"""
     left join customer c on c.c_custkey = e.user_id
     left join nation n on n.n_nationkey =
       case when e.event_id % 11 = 0 then (c.c_nationkey + 1) % 25 else c.c_nationkey end""")
+_cte("txc", "select * replace (case when amount > 0 then amount else 1.0::double end as amount) from tx")
 _cte("usr", f"""
     select {_pad('USR_', 'c_custkey', 5)} as user_id, c_name as user_name,
       lower(replace(c_name, '#', '.')) || '@example.com' as email, n_name as country,
@@ -101,14 +121,15 @@ _cte("dup", f"""
 _cte("dedup", f"""
     select {_TX_COLUMNS} from (
       select *, row_number() over (partition by transaction_id order by
-        {', '.join(c + ' nulls first' for c in
-                   'timestamp user_id merchant_id amount currency channel card_type device_type ip_address '
-                   'country distance_from_home_km is_fraud fraud_type'.split())}) as rn
+        timestamp nulls first, user_id nulls first, merchant_id nulls first, amount nulls first, currency nulls first,
+        channel nulls first, card_type nulls first, device_type nulls first, ip_address nulls first,
+        country nulls first, distance_from_home_km nulls first, is_fraud nulls first, fraud_type nulls first) as rn
       from dup) where rn = 1""")
 _cte("bad", """
-    select transaction_id, case when no % 89 = 0 then 'NON_EXISTENT_USR' else user_id end as user_id,
+    select case when no % 101 = 0 then null else transaction_id end as transaction_id,
+      case when no % 89 = 0 then 'NON_EXISTENT_USR' else user_id end as user_id,
       case when no % 83 = 0 then null else merchant_id end as merchant_id,
-      case when no % 97 = 0 then -amount else amount end as amount,
+      case when no % 103 = 0 then 'NaN'::double when no % 97 = 0 then -amount else amount end as amount,
       currency, timestamp, channel, card_type, device_type, ip_address, country,
       case when no % 79 = 0 then -distance_from_home_km else distance_from_home_km end as distance_from_home_km,
       case when no % 73 = 0 then 2 when no % 71 = 0 then null else is_fraud end as is_fraud, fraud_type
@@ -234,14 +255,15 @@ _cte("feat", """
       f.channel, f.card_type, f.device_type, f.is_fraud
     from fact f left join usr u on u.user_id = f.user_id left join mer m on m.merchant_id = f.merchant_id""")
 _cte("gate", """
-    select count(*) as total, count(*) - count(distinct transaction_id)
-        - count(*) filter (where transaction_id is null) + (count(*) filter (where transaction_id is null) > 0)::int * 0
-        as dup_n,
+    select count(*) as total,
+      count(*) - count(distinct transaction_id) - coalesce(bool_or(transaction_id is null), false)::int as dup_n,
+      count(*) filter (where transaction_id is null) as null_ids,
       count(*) filter (where merchant_id is null) as null_merchants,
+      count(*) filter (where amount is null or isnan(amount)) as null_amounts,
       count(*) filter (where transaction_id is null) + count(*) filter (where user_id is null)
-        + count(*) filter (where merchant_id is null) + count(*) filter (where amount is null)
+        + count(*) filter (where merchant_id is null) + count(*) filter (where amount is null or isnan(amount))
         + count(*) filter (where timestamp is null) as null_n,
-      count(*) filter (where amount <= 0) as amount_n, count(*) filter (where distance_from_home_km < 0) as distance_n,
+      count(*) filter (where not isnan(amount) and amount <= 0) as amount_n, count(*) filter (where distance_from_home_km < 0) as distance_n,
       count(*) filter (where user_id is null or user_id not in (select user_id from usr)) as user_n,
       count(*) filter (where merchant_id is null or merchant_id not in (select merchant_id from mer)) as merchant_n,
       count(*) filter (where is_fraud is null or is_fraud not in (0, 1)) as label_n
@@ -254,9 +276,15 @@ _cte("side_big", f"""
     union all select feature, value, 0, 1 from (select {_MELT} from duph)""")
 _cte("sample", "select * from act order by md5('42:' || transaction_id), transaction_id limit 1500")
 _cte("sampx", "select * replace (amount * 1.8::double as amount) from sample")
-_cte("side_same", f"""
-    select feature, value, 1 as r, 0 as c from (select {_MELT} from act)
-    union all select feature, value, 0, 1 from (select {_MELT} from sample)""")
+_cte("side_halves", f"""
+    select feature, value, (timestamp < timestamp '2024-01-16')::int as r, (timestamp >= timestamp '2024-01-16')::int as c
+    from (select timestamp, {_MELT} from act)""")
+_MELT_ALL = "unnest(['amount', 'distance_from_home_km', 'hour_of_day', 'account_age_days', 'baseline_spend']) as feature, " \
+            "unnest([amount, distance_from_home_km, hour_of_day::double, account_age_days::double, baseline_spend]) as value"
+_cte("featx", "select * replace (amount * 1.8::double as amount) from feat")
+_cte("side_all", f"""
+    select feature, value, 1 as r, 0 as c from (select {_MELT_ALL} from feat)
+    union all select feature, value, 0, 1 from (select {_MELT_ALL} from featx)""")
 _cte("side_scaled", f"""
     select feature, value, 1 as r, 0 as c from (select {_MELT} from act)
     union all select feature, value, 0, 1 from (select {_MELT} from sampx)""")
@@ -310,7 +338,8 @@ def _drift_ctes(tag: str, side: str) -> None:
 
 
 _drift_ctes("big", "side_big")
-_drift_ctes("same", "side_same")
+_drift_ctes("halves", "side_halves")
+_drift_ctes("all", "side_all")
 _drift_ctes("scaled", "side_scaled")
 
 
@@ -422,7 +451,10 @@ _OUTCOME = """threshold, rec as recall, fpr as false_positive_rate, dollars * re
 
 _MESSAGES = [
     ("dup_n", "'Primary key violation: ' || dup_n || ' duplicate transaction_ids found.'"),
-    ("null_n", "'Null constraint violation in critical columns: {merchant_id: ' || null_merchants || '}'"),
+    ("null_n", "'Null constraint violation in critical columns: {' || concat_ws(', ', "
+     "case when null_ids > 0 then 'transaction_id: ' || null_ids end, "
+     "case when null_merchants > 0 then 'merchant_id: ' || null_merchants end, "
+     "case when null_amounts > 0 then 'amount: ' || null_amounts end) || '}'"),
     ("amount_n", "'Amount domain violation: ' || amount_n || ' transactions with amount <= 0.'"),
     ("distance_n", "'Distance invariant violation: ' || distance_n || ' rows with negative distance.'"),
     ("user_n", "'Referential integrity failure: ' || user_n || ' transactions reference non-existent user_ids.'"),
@@ -454,6 +486,13 @@ _BODIES: dict[str, str] = {
         union all select 'dim_merchants', count(*) from mer union all select 'fct_transactions', count(*) from tx
         union all select 'fct_fraud_incidents', count(*) from inc""",
     "a6_gold_export": "select * from inc",
+    "a6_exported_users": "select * from du",
+    "a6_exported_merchants": "select * from dm",
+    "a6_exported_transactions": f"select {_FACT_COLUMNS} from fact",
+    "a6_exported_incidents": "select * from inc",
+    "a7_view_daily": _DAILY,
+    "a7_view_categories": _CATEGORY,
+    "a7_view_channels": _CHANNEL,
     "a7_view_sql": f"""select transaction_date, total_transactions, fraud_rate_pct, active_merchants
         from ({_DAILY}) where fraud_incident_count > 0""",
     "a8_registered_relations": """select u.country, count(*) as n, count(distinct t.user_id) as users
@@ -461,11 +500,9 @@ _BODIES: dict[str, str] = {
     "a9_audit_ledger": """select (select count(*) from tx) as transaction_count, (select count(*) from customer) as users_count,
         (select count(*) from supplier) as merchants_count, (select sum(is_fraud)::bigint from tx) as fraud_count,
         'INGESTION_SUCCESS' as status""",
-    "a10_content_checksum": """
+    "a10_content_checksum": f"""
         select row_count, digest_sum::varchar as digest_sum, sha256(row_count || '|' || digest_sum) as content_checksum
-        from (select count(*) as row_count, sum(('0x' || substring(sha256(concat_ws('|', transaction_id, user_id, merchant_id,
-            cast(floor(amount * 1e6 + 0.5) as bigint), currency, epoch_us(timestamp), channel, card_type, device_type,
-            ip_address, country, cast(floor(distance_from_home_km * 1e6 + 0.5) as bigint), is_fraud, fraud_type)), 50, 15))::bigint)
+        from (select count(*) as row_count, sum(('0x' || substring(sha256({_ROW_TEXT}), 50, 15))::bigint)
             as digest_sum from tx)""",
     "a12_activity_scan": "select transaction_id, user_id, amount, timestamp, transaction_date from act",
     "a13_parsed_requests": """select transaction_id, user_id, merchant_id, amount, channel, card_type, device_type, country,
@@ -486,7 +523,8 @@ _BODIES: dict[str, str] = {
     "b9_filtered_activity": "select transaction_id, transaction_date, channel, card_type, amount, is_fraud from fil",
     "b10_incident_queue": f"""select {_QUEUE} from inc where severity_level in ('CRITICAL', 'HIGH')
         and fraud_type in ('CARD_PROBING', 'VELOCITY_BURST') and fraud_amount >= 100""",
-    "b10_empty_choice_selects_none": "select 0 as n",
+    "b10_empty_choice_selects_none": """select count(*) as incidents, 0 as none_chosen,
+        count(*) filter (where severity_level = 'CRITICAL' and fraud_amount >= 100) as chosen from inc""",
     "b11_fraud_subset": "select transaction_id, amount from tx where is_fraud = 1",
     "b11_legit_subset": "select transaction_id, amount from tx where is_fraud = 0",
     "b12_merchant_portfolio": """select merchant_name, category, total_processed_volume, empirical_fraud_rate, fraud_tx_count
@@ -613,12 +651,14 @@ _BODIES: dict[str, str] = {
     },
     "i2_null_counts": """select count(*) filter (where transaction_id is null) as transaction_id,
         count(*) filter (where user_id is null) as user_id, count(*) filter (where merchant_id is null) as merchant_id,
-        count(*) filter (where amount is null) as amount, count(*) filter (where timestamp is null) as timestamp from bad""",
+        count(*) filter (where amount is null or isnan(amount)) as amount, count(*) filter (where timestamp is null) as timestamp from bad""",
     "i8_gate_summary": f"""select 7 as checks_run, failures = '' as passed, total as total_records_tested, failures,
         case when failures = '' then 'PASSED' else 'FAILED' end as status from (select total, concat_ws(' / ',
         {', '.join(f"case when {c} > 0 then {m} end" for c, m in _MESSAGES)}) as failures from gate)""",
+    "i9_halted_run": f"""select 'FAILED' as run_status, 'bronze_ingestion, quality_gates' as stages, 'FAILED' as gate_status,
+        {' + '.join(f'({c} > 0)::int' for c, _ in _MESSAGES)} as failures from gate""",
     "i8_gate_summary_clean": """select 7 as checks_run, true as passed, count(*) as total_records_tested, '' as failures,
-        'PASSED' as status from tx where amount > 0""",
+        'PASSED' as status from txc""",
     "i10_unique": """select count(*) as violations from (
         select transaction_id from bad where transaction_id is not null group by transaction_id having count(*) > 1)""",
     "i11_not_null": "select count(*) as violations from bad where merchant_id is null",
@@ -688,20 +728,20 @@ _BODIES: dict[str, str] = {
     "l2_quantile_buckets": "select feature, bucket::integer as bucket, n_ref, n_cur from buck_big",
     "l2_quantile_edges": "select feature, (i - 1)::integer as edge_no, edge from edge_big",
     "l3_ks_statistic": f"select feature, {_half_up('ks', 6)} as ks_statistic from far_big",
-    "l4_ks_p_value": f"select feature, {_half_up('p', 5)} as p_value from pv_same",
+    "l4_ks_p_value": f"select feature, {_half_up('p', 5)} as p_value from pv_halves",
     "l5_wasserstein": f"select feature, {_half_up('w1', 4)} as wasserstein_distance from far_big",
     "l5_wasserstein_sliced": f"""select feature, {_half_up('w1', 4)} as wasserstein_distance,
         {_half_up('ks', 6)} as ks_statistic from far_big""",
-    "l6_verdicts": "select feature, drifting as drift_detected from met_scaled",
-    "l7_severity": "select feature, severity from met_scaled",
+    "l6_verdicts": "select feature, drifting as drift_detected from met_all",
+    "l7_severity": "select feature, severity from met_all",
     "l8_drift_report": """select case when bool_or(drifting) then 'DRIFT_ALERT' else 'STABLE' end as overall_status,
-        (select count(*) from act) as reference_sample_size, (select count(*) from sample) as current_sample_size,
+        (select count(*) from act) as reference_sample_size, (select count(*) from feat) as current_sample_size,
         count(*) filter (where drifting) as drifting_features_count,
-        coalesce(string_agg(feature, ', ' order by feature) filter (where drifting), '') as drifting_features from met_scaled""",
-    "l9_shared_features": "select feature from met_scaled",
+        coalesce(string_agg(feature, ', ' order by feature) filter (where drifting), '') as drifting_features from met_all""",
+    "l9_shared_features": "select feature from met_all",
     "l10_flat_report": f"""select feature as feature_name, {_half_up('ks', 4)} as ks_statistic, {_half_up('p', 5)} as p_value,
         {_half_up('psi', 4)} as psi_score, case when drifting then 'Alert' else 'Stable' end as drift_status,
-        severity as severity_tier from met_scaled""",
+        severity as severity_tier from met_all""",
     "l11_perturbed_sample": "select transaction_id, amount from sampx",
     "m1_policy_response": "select point, rec as recall, fpr as false_positive_rate from tauf",
     "m2_policy_point": f"select {_OUTCOME} from tau where policy = 'Balanced'",
@@ -710,8 +750,8 @@ _BODIES: dict[str, str] = {
     "n1_stream_landing": """select count(*) as transaction_count, sum(is_fraud)::bigint as fraud_count,
         (select count(*) from customer) as users_count, (select count(*) from supplier) as merchants_count from tx""",
     "n2_stream_deduplicated": "select transaction_id, user_id, amount, timestamp from tx",
-    "n3_stream_daily_kpis": f"""select * exclude (active_transacting_users, active_merchants) from ({_DAILY})
-        where transaction_date + interval 1 day <= (select max(timestamp) - interval 1 day from tx)""",
+    "n3_stream_daily_kpis": f"""select * exclude (active_transacting_users, active_merchants), true as users_close,
+        true as merchants_close from ({_DAILY})""",
     "n4_stream_scoring": f"""select transaction_id, score as fraud_probability, {_DECISION} as decision, {_TIER} as risk_tier,
         {_REASONS} as factors, 'rules' as model_version
         from (select r.*, r.amount / greatest(1.0::double, u.baseline_spend) as amount_to_baseline_ratio, m.risk_tier
@@ -719,16 +759,16 @@ _BODIES: dict[str, str] = {
     "n5_stream_velocity": """select transaction_id, tx_count_last_1h, total_spend_last_24h, prev_tx_timestamp,
         seconds_since_prev_tx from vel""",
     "p1_medallion_job": """select 'SUCCESS' as run_status, * from (
-        select 'bronze_ingestion' as stage, 'COMPLETED' as stage_status, 'records_ingested' as item, count(*) as n from tx where amount > 0
-        union all select 'bronze_ingestion', 'COMPLETED', 'fraud_records', sum(is_fraud)::bigint from tx where amount > 0
+        select 'bronze_ingestion' as stage, 'COMPLETED' as stage_status, 'records_ingested' as item, count(*) as n from txc
+        union all select 'bronze_ingestion', 'COMPLETED', 'fraud_records', sum(is_fraud)::bigint from txc
         union all select 'quality_gates', 'PASSED', 'checks_run', 7
-        union all select 'silver_transformation', 'COMPLETED', 'transactions', count(*) from tx where amount > 0
+        union all select 'silver_transformation', 'COMPLETED', 'transactions', count(*) from txc
         union all select 'silver_transformation', 'COMPLETED', 'users', count(*) from usr
         union all select 'silver_transformation', 'COMPLETED', 'merchants', count(*) from mer
         union all select 'gold_warehouse', 'COMPLETED', 'dim_users', count(*) from usr
         union all select 'gold_warehouse', 'COMPLETED', 'dim_merchants', count(*) from mer
-        union all select 'gold_warehouse', 'COMPLETED', 'fct_transactions', count(*) from tx where amount > 0
-        union all select 'gold_warehouse', 'COMPLETED', 'fct_fraud_incidents', count(*) from inc where fraud_amount > 0)""",
+        union all select 'gold_warehouse', 'COMPLETED', 'fct_transactions', count(*) from txc
+        union all select 'gold_warehouse', 'COMPLETED', 'fct_fraud_incidents', count(*) from inc)""",
     "p3_drift_job": f"""select feature as feature_name, {_half_up('ks', 4)} as ks_statistic, {_half_up('p', 5)} as p_value,
         {_half_up('psi', 4)} as psi_score, case when drifting then 'Alert' else 'Stable' end as drift_status,
         severity as severity_tier from met_scaled""",

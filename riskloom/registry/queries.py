@@ -22,8 +22,6 @@ from riskloom.streaming import landing, live
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# The registered model is smaller than the default; data is never cut.
-REGISTRY_PARAMS = training.BoostingParams(rounds=20)
 ACTIVITY = reports.ActivityFilter(
     start_date="2024-01-05", end_date="2024-01-25", channels=["web", "api", "mobile_app"],
     min_amount=50.0, max_amount=1500.0,
@@ -135,7 +133,7 @@ def _(spark, d):
     root = scratch_path(spark, "bronze")
     lake.write_snapshot(_users(spark, d), root, "users")
     lake.write_snapshot(_users(spark, d), root, "users")
-    return spark.read.parquet(f"{root}/users")
+    return lake.current_marts(spark, root)["users"]
 
 
 @query("a4_silver_written_by_date")
@@ -143,8 +141,8 @@ def _(spark, d):
     root = scratch_path(spark, "silver")
     jobs.build_silver(spark, {
         "transactions": _tx(spark, d), "users": _users(spark, d), "merchants": _merchants(spark, d),
-    }, root)
-    stored = spark.read.parquet(f"{root}/transactions")
+    }, root, "v1")
+    stored = lake.current_marts(spark, root)["transactions"]
     return stored.groupBy("transaction_date").agg(
         F.count("*").alias("n"), F.sum("is_cross_border").alias("cross_border"), F.sum("is_night").alias("night")
     )
@@ -167,6 +165,20 @@ def _(spark, d):
     return lake.current_marts(spark, root)["fct_fraud_incidents"].drop("version")
 
 
+def _gold(spark, d):
+    """The four marts as published by the gold stage and read back."""
+    root = scratch_path(spark, "gold")
+    layer = {"transactions": _fact(spark, d), "users": _users(spark, d), "merchants": _merchants(spark, d)}
+    jobs.build_gold(spark, layer, root, "v1")
+    return lake.current_marts(spark, root)
+
+
+query("a6_exported_users")(lambda spark, d: _gold(spark, d)["dim_users"])
+query("a6_exported_merchants")(lambda spark, d: _gold(spark, d)["dim_merchants"])
+query("a6_exported_transactions")(lambda spark, d: _gold(spark, d)["fct_transactions"].drop("transaction_date"))
+query("a6_exported_incidents")(lambda spark, d: _gold(spark, d)["fct_fraud_incidents"])
+
+
 @query("a7_view_sql")
 def _(spark, d):
     marts.register_views({
@@ -179,6 +191,19 @@ def _(spark, d):
     """)
 
 
+def _view(spark, d, name):
+    marts.register_views({
+        "fct_transactions": _activity(spark, d), "dim_users": _dim_users(spark, d),
+        "dim_merchants": _dim_merchants(spark, d),
+    })
+    return spark.sql(f"select * from {name}")
+
+
+query("a7_view_daily")(lambda spark, d: _view(spark, d, "vw_daily_kpis"))
+query("a7_view_categories")(lambda spark, d: _view(spark, d, "vw_merchant_category_risk"))
+query("a7_view_channels")(lambda spark, d: _view(spark, d, "vw_channel_metrics"))
+
+
 @query("a8_registered_relations")
 def _(spark, d):
     _tx(spark, d).createOrReplaceTempView("stg_tx")
@@ -270,7 +295,14 @@ def _(spark, d):
 
 @query("b10_empty_choice_selects_none")
 def _(spark, d):
-    return reports.incident_queue(_incidents(spark, d), [], None, 100).agg(F.count("*").alias("n"))
+    """Incidents with and without a choice, and with an empty one."""
+    incidents = _incidents(spark, d)
+
+    def n(*choice):
+        return reports.incident_queue(incidents, *choice).agg(F.count("*")).scalar()
+
+    return incidents.agg(F.count("*").alias("incidents")).withColumns({
+        "chosen": n(["CRITICAL"], None, 100), "none_chosen": n([], None, 100)})
 
 
 query("b11_fraud_subset")(lambda spark, d: reports.fraud_only(_activity(spark, d)).select("transaction_id", "amount"))
@@ -442,9 +474,25 @@ def _(spark, d):
     return summary.withColumn("failures", F.array_join("failures", " / "))
 
 
+@query("i9_halted_run")
+def _(spark, d):
+    """A run over faulty transactions: what its record says, and which stages it has."""
+    root = scratch_path(spark, "lake")
+    try:
+        jobs.run_medallion(spark, {"transactions": _faulty(spark, d), "users": adapters.users(spark, d),
+                                   "merchants": _merchants(spark, d)}, root)
+    except jobs.ContractViolation:
+        pass
+    runs = lake.read_report(spark, schemas.RUN_TELEMETRY, f"{root}/reports/runs")
+    return runs.select(
+        F.col("status").alias("run_status"), F.array_join(F.array_sort(F.map_keys("stages")), ", ").alias("stages"),
+        F.col("stages.quality_gates.status").alias("gate_status"),
+        F.col("stages.quality_gates.counts.failures").alias("failures"))
+
+
 @query("i8_gate_summary_clean")
 def _(spark, d):
-    clean = adapters.transactions(spark, d, with_country=False).where("amount > 0")
+    clean = adapters.clean_transactions(spark, d, with_country=False)
     summary = quality.gate_summary(clean, _users(spark, d), _merchants(spark, d))
     return summary.withColumn("failures", F.array_join("failures", " / "))
 
@@ -516,7 +564,7 @@ def _trained(spark, d) -> tuple[str, dict]:
     gold = {"fct_transactions": marts.fct_transactions(_fact(spark, d)),
             "dim_users": _users(spark, d), "dim_merchants": _merchants(spark, d)}
     root = scratch_path(spark, "training")
-    return root, jobs.run_training(spark, gold, root, REGISTRY_PARAMS)
+    return root, jobs.run_training(spark, gold, root)
 
 
 def _bundle(spark, d):
@@ -644,8 +692,10 @@ query("l3_ks_statistic")(lambda spark, d: drift.feature_statistics(_distribution
 
 @query("l4_ks_p_value")
 def _(spark, d):
-    narrow = sampling.fixed_size_sample(_activity(spark, d), "transaction_id", 1500)
-    far = drift.feature_statistics(drift.distribution(_activity(spark, d), narrow, DRIFT_FEATURES))
+    """The first half of the month against the second, every row on one side."""
+    early = F.col("timestamp") < F.lit("2024-01-16").cast("timestamp")
+    activity = _activity(spark, d)
+    far = drift.feature_statistics(drift.distribution(activity.where(early), activity.where(~early), DRIFT_FEATURES))
     p = drift.ks_p_value(F.col("ks"), F.col("size_ref"), F.col("size_cur"))
     return far.select("feature", round_half_up(p, 5).alias("p_value"))
 
@@ -666,20 +716,26 @@ def _sample_drift(spark, d):
     return base, drift.perturbed(sampling.fixed_size_sample(base, "transaction_id", 1500))
 
 
-query("l6_verdicts")(lambda spark, d: drift.drift_metrics(*_sample_drift(spark, d)).select("feature", "drift_detected"))
-query("l7_severity")(lambda spark, d: drift.drift_metrics(*_sample_drift(spark, d)).select("feature", "severity"))
+def _scaled_drift(spark, d):
+    """All transactions against all of them with larger amounts, over every default feature."""
+    base = _features(spark, d)
+    return base, drift.perturbed(base)
+
+
+query("l6_verdicts")(lambda spark, d: drift.drift_metrics(*_scaled_drift(spark, d)).select("feature", "drift_detected"))
+query("l7_severity")(lambda spark, d: drift.drift_metrics(*_scaled_drift(spark, d)).select("feature", "severity"))
 
 
 @query("l8_drift_report")
 def _(spark, d):
-    return drift.drift_report(*_sample_drift(spark, d)).select(
+    return drift.drift_report(*_scaled_drift(spark, d)).select(
         "overall_status", "reference_sample_size", "current_sample_size", "drifting_features_count",
         F.array_join("drifting_features", ", ").alias("drifting_features"))
 
 
 query("l9_shared_features")(lambda spark, d: drift.drift_metrics(
-    *_sample_drift(spark, d), drift.DEFAULT_FEATURES).select("feature"))
-query("l10_flat_report")(lambda spark, d: drift.flat_report(drift.drift_report(*_sample_drift(spark, d))))
+    *_scaled_drift(spark, d), drift.DEFAULT_FEATURES).select("feature"))
+query("l10_flat_report")(lambda spark, d: drift.flat_report(drift.drift_report(*_scaled_drift(spark, d))))
 query("l11_perturbed_sample")(lambda spark, d: _sample_drift(spark, d)[1].select("transaction_id", "amount"))
 
 
@@ -729,9 +785,21 @@ def _(spark, d):
 
 @query("n3_stream_daily_kpis")
 def _(spark, d):
-    return _drained(live.daily_kpis(adapters.transaction_stream(spark, d))).select(
+    """All days, the open ones too; the approximate distinct counts are held against exact ones."""
+    out = scratch_path(spark, "stream")
+    kpis = live.daily_kpis(adapters.transaction_stream(spark, d))
+    live.write_updates(kpis, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    days = live.latest_rows(spark.read.parquet(f"{out}/rows"), "transaction_date")
+    exact = marts.daily_kpis(_activity(spark, d)).select(
+        "transaction_date", F.col("active_transacting_users").alias("users"), F.col("active_merchants").alias("merchants"))
+
+    def close(estimate, count):  # three standard errors of the sketch, and one for small counts
+        return F.abs(F.col(estimate) - F.col(count)) <= 0.15 * F.col(count) + 1
+
+    return days.join(exact, "transaction_date").select(
         "transaction_date", "total_transactions", "total_gmv", "avg_ticket_size", "fraud_incident_count",
-        "total_fraud_amount", "fraud_rate_pct")
+        "total_fraud_amount", "fraud_rate_pct", close("active_transacting_users", "users").alias("users_close"),
+        close("active_merchants", "merchants").alias("merchants_close"))
 
 
 @query("n4_stream_scoring")
@@ -746,8 +814,14 @@ def _(spark, d):
 
 @query("n5_stream_velocity")
 def _(spark, d):
+    """The month arriving in five files, one micro-batch each."""
     root = scratch_path(spark, "velocity")
-    live.velocity_stream(adapters.transaction_stream(spark, d), root, f"{root}/_checkpoint").awaitTermination()
+    tx = _tx(spark, d).select("transaction_id", "user_id", "timestamp", "amount")
+    for days in [(1, 6), (7, 12), (13, 18), (19, 24), (25, 31)]:
+        part = tx.where(F.dayofmonth("timestamp").between(*days))
+        part.coalesce(1).write.mode("append").parquet(f"{root}/arriving")
+    stream = spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/arriving")
+    live.velocity_stream(stream, root, f"{root}/_checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/velocity").select(
         "transaction_id", "tx_count_last_1h", "total_spend_last_24h", "prev_tx_timestamp", "seconds_since_prev_tx")
 
@@ -756,7 +830,7 @@ def _(spark, d):
 
 @query("p1_medallion_job")
 def _(spark, d):
-    sources = {"transactions": _tx(spark, d).where("amount > 0"),
+    sources = {"transactions": adapters.clean_transactions(spark, d),
                "users": adapters.users(spark, d), "merchants": _merchants(spark, d)}
     root = scratch_path(spark, "lake")
     jobs.run_medallion(spark, sources, root)

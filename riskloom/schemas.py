@@ -33,8 +33,5 @@ TRAINING_RUN = (
 )
 
 # rows a velocity stream keeps for the batches after
-VELOCITY_RECENT = (
-    "transaction_id string, user_id string, timestamp timestamp, amount double, epoch bigint, "
-    "transaction_date date"
-)
-VELOCITY_LAST_SEEN = "user_id string, last_seen timestamp, epoch bigint"
+VELOCITY_RECENT = "transaction_id string, user_id string, timestamp timestamp, amount double, _user string"
+VELOCITY_LAST_SEEN = "_user string, last_seen timestamp"

@@ -125,6 +125,12 @@ def transactions(spark: SparkSession, folder: str, with_country: bool = True) ->
     return tx.select(*[c for c in TRANSACTION_COLUMNS if c != "country"])
 
 
+def clean_transactions(spark: SparkSession, folder: str, with_country: bool = True) -> DataFrame:
+    """The same transactions with every amount above 0, so that they meet the contracts."""
+    amount = F.when(F.col("amount") > 0, F.col("amount")).otherwise(1.0)
+    return transactions(spark, folder, with_country).withColumn("amount", amount)
+
+
 def transaction_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same transactions as a file stream over the events, country included."""
     n_merchants = table(spark, folder, "supplier").count()
@@ -214,7 +220,8 @@ def faulty_transactions(spark: SparkSession, folder: str, with_country: bool = T
     tx = transactions(spark, folder, with_country).withColumn("event_no", number)
     no = F.col("event_no")
     broken = tx.withColumns({
-        "amount": F.when(no % 97 == 0, -F.col("amount")).otherwise(F.col("amount")),
+        "transaction_id": F.when(no % 101 != 0, F.col("transaction_id")),
+        "amount": F.when(no % 103 == 0, float("nan")).when(no % 97 == 0, -F.col("amount")).otherwise(F.col("amount")),
         "user_id": F.when(no % 89 == 0, "NON_EXISTENT_USR").otherwise(F.col("user_id")),
         "merchant_id": F.when(no % 83 == 0, F.lit(None).cast("string")).otherwise(F.col("merchant_id")),
         "distance_from_home_km": F.when(no % 79 == 0, -F.col("distance_from_home_km"))

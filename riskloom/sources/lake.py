@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -73,8 +74,11 @@ def land_batch(transactions: DataFrame, root: str, batch_id: str, replay: bool =
 
 
 def write_snapshot(df: DataFrame, root: str, name: str) -> int:
-    """Replace a master-data table; returns its rows."""
-    return write_counted(df, f"{root}/{name}")["rows"]
+    """Publish a new version of a master-data table; returns its rows."""
+    version = uuid.uuid4().hex[:12]
+    built = publish(df, root, name, version)
+    commit_versions(df.sparkSession, root, version, [built])
+    return built["rows"]
 
 
 def read_batches(spark: SparkSession, root: str, batch_id: str | None = None) -> DataFrame:
@@ -141,7 +145,8 @@ def commit_versions(spark: SparkSession, root: str, version: str, built: list[di
         {"version": version, "published_at": at, "name": b["name"], "path": b["path"], "row_count": b["rows"]}
         for b in built
     ]
-    _write_lines(spark, entries, f"{root}/_published", "append")
+    # a folder of its own, so that writers don't share one
+    _write_lines(spark, entries, f"{root}/_published/entry={version}", "overwrite")
 
 
 def current_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:

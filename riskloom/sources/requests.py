@@ -46,8 +46,8 @@ def parse_requests(df: DataFrame, payload: str = "payload") -> DataFrame:
     bad_hour = F.when(text("hour_of_day").isNotNull(), hour.isNull() | ~hour.between(0, 23)).otherwise(False)
     checks = [
         *[(F.col(c).isNull(), f"{c} is missing") for c in [*REQUIRED, *DEFAULT_TEXT]],
-        (~F.coalesce(F.col("amount") > 0, F.lit(False)), "amount must be above 0"),
-        (~F.coalesce(F.col("distance_from_home_km") >= 0, F.lit(False)),
+        (~F.coalesce((F.col("amount") > 0) & ~F.isnan("amount"), F.lit(False)), "amount must be above 0"),
+        (~F.coalesce((F.col("distance_from_home_km") >= 0) & ~F.isnan("distance_from_home_km"), F.lit(False)),
          "distance_from_home_km must not be negative"),
         (bad_hour, "hour_of_day must be within 0..23"),
     ]

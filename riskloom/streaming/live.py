@@ -11,6 +11,7 @@ from riskloom.functions.money import mean, round_half_up, share, total, total_wh
 from riskloom.operators.velocity import VELOCITY_COLUMNS, with_velocity
 from riskloom.plans import scoring
 from riskloom.plans.training import ModelBundle
+from riskloom.session import scratch_path
 from riskloom.sources.requests import accepted, parse_requests
 
 
@@ -46,67 +47,76 @@ def scored_requests(
     return scoring.responses(scoring.score_by_model(enriched, bundle), bundle.version)
 
 
-def _table(spark: SparkSession, path: str, schema: str, started: bool) -> DataFrame:
-    return spark.read.schema(schema).parquet(path) if started else spark.createDataFrame([], schema)
+SNAPSHOT_EVERY = 16
 
 
-def velocity_stream(
-    stream: DataFrame, root: str, checkpoint: str, heavy_rows: int | None = None, **trigger
-) -> StreamingQuery:
+def _state(spark: SparkSession, path: str, schema: str, epoch: int) -> DataFrame:
+    """What earlier batches left: the last snapshot and the batches since, by their own paths."""
+    if epoch == 0:
+        return spark.createDataFrame([], schema)
+    snapshot = (epoch - 1) // SNAPSHOT_EVERY * SNAPSHOT_EVERY
+    return spark.read.schema(schema).parquet(*[f"{path}/batch-{e}" for e in range(snapshot, epoch)])
+
+
+def velocity_stream(stream: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Rolling velocity of arriving transactions, written to ``<root>/velocity``.
 
     Each micro-batch is joined by the last 24 hours of its users and sent
-    through the batch operator, which splits heavy users; streams have no RANGE
-    frames, and per-user state would tie a heavy user to one task. What later
-    batches need is kept in two tables: the recent rows, by date, and the last
-    transaction time per user. Every write is addressed by the batch number, so
-    a repeated batch replaces itself and reads only what came before it.
+    through the batch operator; streams have no RANGE frames, and per-user state
+    would tie a heavy user to one task. Two tables keep what later batches need:
+    recent rows and the last transaction time per user. A batch adds its own
+    rows to them, and every sixteenth writes a snapshot instead: rows of the
+    last two days, and all users' times. So a batch reads at most one snapshot
+    and the batches since, however long the stream has run. Every write is
+    addressed by the batch number: a repeated batch replaces itself and reads
+    only what came before it.
 
     Results equal the batch operator's as long as batches arrive in time order;
-    a late row does not change results already written.
+    a late row does not change results already written. Rows without a time see
+    those of their own batch only.
     """
-    limits = {} if heavy_rows is None else {"heavy_rows": heavy_rows}
 
     def process(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            first = batch.agg(F.min("timestamp").alias("t")).first()["t"]
-            if first is None:
-                _write_last_seen(spark, root, epoch, None)
-                return
-            users = batch.select("user_id").distinct()
-            started = epoch > 0
-            recent = (
-                _table(spark, f"{root}/recent", schemas.VELOCITY_RECENT, started)
-                .where(
-                    (F.col("epoch") < epoch)
-                    & (F.col("transaction_date") >= F.date_sub(F.lit(first).cast("date"), 1))
-                    & (F.col("timestamp") >= F.lit(first) - F.expr("interval 24 hours"))
-                )
-                .drop("epoch", "transaction_date")
-                .join(users, "user_id", "left_semi")
-                .withColumn("_new", F.lit(False))
-            )
-            narrow = batch.select("transaction_id", "user_id", "timestamp", "amount")
-            moving = with_velocity(
-                recent.unionByName(narrow.withColumn("_new", F.lit(True))), **limits
-            ).where("_new").drop("_new")
-            seen = _table(spark, f"{root}/last_seen", schemas.VELOCITY_LAST_SEEN, started).where(F.col("epoch") == epoch - 1)
-            previous = F.coalesce("prev_tx_timestamp", "last_seen")
-            gap = (F.unix_micros("timestamp") - F.unix_micros("prev_tx_timestamp")) / F.lit(1e6)
-            result = (
-                moving.join(seen.drop("epoch"), "user_id", "left")
-                .withColumn("prev_tx_timestamp", previous)
-                .withColumn("seconds_since_prev_tx", gap)
-                .select("transaction_id", "user_id", "timestamp", "amount", *VELOCITY_COLUMNS)
-            )
-            result.write.mode("overwrite").parquet(f"{root}/velocity/epoch={epoch}")
-            narrow.withColumn("transaction_date", F.to_date("timestamp")).write.mode("overwrite").partitionBy(
-                "transaction_date").parquet(f"{root}/recent/epoch={epoch}")
-            _write_last_seen(spark, root, epoch, narrow)
-        finally:
-            batch.unpersist()
+        narrow = batch.select("transaction_id", "user_id", "timestamp", "amount")
+        narrow = narrow.withColumn("_user", F.coalesce(F.concat(F.lit("="), F.col("user_id")), F.lit("")))
+        source = scratch_path(spark, "velocity-batch")
+        narrow.write.parquet(source)
+        narrow = spark.read.parquet(source)
+        first, last = narrow.agg(F.min("timestamp"), F.max("timestamp")).first()
+        recent = _state(spark, f"{root}/recent", schemas.VELOCITY_RECENT, epoch)
+        seen = _state(spark, f"{root}/last_seen", schemas.VELOCITY_LAST_SEEN, epoch).groupBy("_user").agg(
+            F.max("last_seen").alias("last_seen"))
+        users = narrow.select("_user").distinct()
+        # without any time in the batch nothing earlier is within its windows
+        reach = F.lit(first) - F.expr("interval 24 hours") if first else F.lit(None).cast("timestamp")
+        background = recent.where(F.col("timestamp") >= reach).join(users, "_user", "left_semi")
+        columns = ["transaction_id", "user_id", "timestamp", "amount"]
+        moving = with_velocity(
+            background.select(*columns, F.lit(False).alias("_new"))
+            .unionByName(narrow.select(*columns, F.lit(True).alias("_new")))
+        ).where("_new").drop("_new")
+        previous = F.when(F.col("timestamp").isNotNull(), F.coalesce("prev_tx_timestamp", "last_seen"))
+        gap = (F.unix_micros("timestamp") - F.unix_micros("prev_tx_timestamp")) / F.lit(1e6)
+        result = (
+            moving.withColumn("_user", F.coalesce(F.concat(F.lit("="), F.col("user_id")), F.lit("")))
+            .join(seen, "_user", "left")
+            .withColumn("prev_tx_timestamp", previous)
+            .withColumn("seconds_since_prev_tx", gap)
+            .select(*columns, *VELOCITY_COLUMNS)
+        )
+        result.write.mode("overwrite").parquet(f"{root}/velocity/epoch={epoch}")
+
+        timed = narrow.where(F.col("timestamp").isNotNull())
+        latest = timed.groupBy("_user").agg(F.max("timestamp").alias("last_seen"))
+        kept = timed.select(*columns, "_user")
+        if epoch % SNAPSHOT_EVERY == 0:
+            latest = seen.unionByName(latest).groupBy("_user").agg(F.max("last_seen").alias("last_seen"))
+            since = F.lit(last) - F.expr("interval 48 hours") if last else F.lit(None).cast("timestamp")
+            stays = F.coalesce(F.col("timestamp") >= since, F.lit(True))
+            kept = recent.where(stays).select(*columns, "_user").unionByName(kept)
+        kept.write.mode("overwrite").parquet(f"{root}/recent/batch-{epoch}")
+        latest.write.mode("overwrite").parquet(f"{root}/last_seen/batch-{epoch}")
 
     return (
         stream.writeStream.foreachBatch(process)
@@ -116,11 +126,22 @@ def velocity_stream(
     )
 
 
-def _write_last_seen(spark: SparkSession, root: str, epoch: int, batch: DataFrame | None) -> None:
-    """Carry the last time per user over to this epoch, with the batch merged in."""
-    before = _table(spark, f"{root}/last_seen", schemas.VELOCITY_LAST_SEEN, epoch > 0).where(F.col("epoch") == epoch - 1)
-    merged = before.drop("epoch")
-    if batch is not None:
-        latest = batch.groupBy("user_id").agg(F.max("timestamp").alias("last_seen"))
-        merged = merged.unionByName(latest).groupBy("user_id").agg(F.max("last_seen").alias("last_seen"))
-    merged.write.mode("overwrite").parquet(f"{root}/last_seen/epoch={epoch}")
+def write_updates(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Write an aggregate's changed rows of every micro-batch; a repeated batch replaces itself."""
+
+    def process(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    return (
+        stream.writeStream.outputMode("update").foreachBatch(process)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def latest_rows(written: DataFrame, key: str) -> DataFrame:
+    """The last written row of every key, days still open included."""
+    columns = [c for c in written.columns if c not in (key, "epoch")]
+    newest = written.groupBy(key).agg(F.max_by(F.struct(*columns), "epoch").alias("_row"))
+    return newest.select(key, *[F.col(f"_row.{c}").alias(c) for c in columns])

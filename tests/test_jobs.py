@@ -200,7 +200,7 @@ def test_velocity_stream_equals_batch_over_several_batches(spark, folder, tmp_pa
     _in_files(tx.withColumn("_u", F.unix_micros("timestamp").cast("double")), str(tmp_path / "in"), 4)
     stream = spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     root = str(tmp_path / "out")
-    live.velocity_stream(stream, root, f"{root}/_checkpoint", heavy_rows=30).awaitTermination()
+    live.velocity_stream(stream, root, f"{root}/_checkpoint").awaitTermination()
     made = spark.read.parquet(f"{root}/velocity")
     assert made.select("epoch").distinct().count() == 4
     expected = velocity.with_velocity(tx)
@@ -209,6 +209,24 @@ def test_velocity_stream_equals_batch_over_several_batches(spark, folder, tmp_pa
     assert made.count() == expected.count()
 
 
+def test_velocity_stream_with_missing_times_and_users(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    batches = [
+        [("a", "u", None, 1.0), ("b", "u", None, 2.0)],
+        [("c", None, start, 2.0), ("d", "u", start, 4.0)],
+        [("e", None, start + timedelta(minutes=5), 1.0), ("f", "u", start + timedelta(days=3), 8.0)],
+    ]
+    schema = "transaction_id string, user_id string, timestamp timestamp, amount double"
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    root = str(tmp_path / "out")
+    live.velocity_stream(stream, root, f"{root}/_checkpoint").awaitTermination()
+    expected = velocity.with_velocity(spark.createDataFrame([r for rows in batches for r in rows], schema))
+    made = spark.read.parquet(f"{root}/velocity").select(expected.columns)
+    assert sorted(map(str, made.collect())) == sorted(map(str, expected.collect()))
+
+
 def test_stream_landing_keeps_one_entry_per_batch(spark, folder, tmp_path):
     tx = adapters.transactions(spark, folder)
     tx.repartition(3).write.parquet(str(tmp_path / "in"))
