@@ -27,6 +27,7 @@ def _zero_if_none(name: str, zero: int | float) -> Column:
     return F.coalesce(F.col(name), F.lit(zero)).alias(name)
 
 
+# The profile columns of the user dimension.
 USER_PROFILE = [
     "user_id", "user_name", "email", "country", "account_age_days", "kyc_verified",
     "baseline_spend", "created_at",
@@ -71,6 +72,7 @@ def dim_merchants(merchants: DataFrame, tx: DataFrame) -> DataFrame:
     )
 
 
+# The columns of the transaction fact.
 FACT_COLUMNS = [
     "transaction_id", "user_id", "merchant_id", "amount", "currency", "timestamp", "channel",
     "card_type", "device_type", "transaction_country", "distance_from_home_km", "hour_of_day",

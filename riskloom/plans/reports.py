@@ -120,10 +120,11 @@ def distance_histogram(activity: DataFrame, bins: int = 35) -> DataFrame:
 
 
 def incidents_of(incidents: DataFrame, activity: DataFrame) -> DataFrame:
-    """Incidents whose transaction is part of the filtered activity."""
-    return incidents.join(activity.select("transaction_id"), "transaction_id", "left_semi")
+    """Incidents whose transaction is part of the filtered activity, of which only fraud can match."""
+    return incidents.join(fraud_only(activity).select("transaction_id"), "transaction_id", "left_semi")
 
 
+# The columns of the incident queue.
 QUEUE_COLUMNS = [
     "transaction_id", "user_name", "merchant_name", "merchant_category", "fraud_amount",
     "fraud_type", "severity_level", "distance_from_home_km", "ops_status",

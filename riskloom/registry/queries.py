@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import cache, wraps
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -421,10 +421,18 @@ def _(spark, d):
 
 # --- F: sort, limit, sample --------------------------------------------------
 
-query("f1_ordered_daily")(lambda spark, d: marts.daily_kpis(_activity(spark, d)).select("transaction_date", "total_gmv"))
-query("f1_ordered_categories")(lambda spark, d: marts.merchant_category_risk(
-    _activity(spark, d), _merchants(spark, d)).select("category", "total_fraud_volume"))
-query("f1_ordered_channels")(lambda spark, d: marts.channel_metrics(_activity(spark, d)).select("channel", "total_volume"))
+def _positions(view: DataFrame) -> DataFrame:
+    """The place of every row in the view's own order; views have few rows."""
+    placed = view.withColumn("_at", F.monotonically_increasing_id())
+    return placed.withColumn("position", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+
+
+query("f1_ordered_daily")(lambda spark, d: _positions(marts.daily_kpis(_activity(spark, d))).select(
+    "position", "transaction_date", "total_gmv"))
+query("f1_ordered_categories")(lambda spark, d: _positions(marts.merchant_category_risk(
+    _activity(spark, d), _merchants(spark, d))).select("position", "category", "total_fraud_volume"))
+query("f1_ordered_channels")(lambda spark, d: _positions(marts.channel_metrics(_activity(spark, d))).select(
+    "position", "channel", "total_volume"))
 query("f2_largest_incidents")(lambda spark, d: reports.largest_incidents(
     reports.incident_queue(_incidents(spark, d), ["CRITICAL", "HIGH", "MEDIUM"])))
 query("f3_highest_scores")(lambda spark, d: scoring.highest_scores(_rule_scored(spark, d)).select(
@@ -553,6 +561,17 @@ def _(spark, d):
     return made.select("transaction_id", vector_to_array("features").alias("features"), "is_fraud")
 
 
+@query("j9_feature_slots")
+def _(spark, d):
+    """The matrix as one row per transaction and slot."""
+    base = _features(spark, d)
+    model = features.fit_feature_model(base)
+    names = F.array(*map(F.lit, features.feature_names(model)))
+    slots = F.arrays_zip(names.alias("slot"), vector_to_array("features").alias("value"))
+    made = model.transform(base).select("transaction_id", F.explode(slots).alias("s"))
+    return made.select("transaction_id", F.col("s.slot").alias("slot"), round_half_up(F.col("s.value"), 6).alias("value"))
+
+
 query("j11_stratified_split")(lambda spark, d: sampling.stratified_split(
     _activity(spark, d).select("transaction_id", "is_fraud"), "transaction_id", "is_fraud"))
 query("j12_class_weight")(lambda spark, d: training.class_weight(_activity(spark, d)))
@@ -577,6 +596,30 @@ def _(spark, d):
     return training.importances(_bundle(spark, d), spark)
 
 
+@query("a14_bundle_slots")
+def _(spark, d):
+    """The reloaded bundle's slots, and whether their importances are a distribution."""
+    found = training.importances(_bundle(spark, d), spark)
+    total = found.agg(F.sum("importance")).scalar()
+    return found.select("feature", (F.col("importance").between(0, 1) & (F.abs(total - 1) < 1e-6)).alias("valid"))
+
+
+@query("j20_importance_order")
+def _(spark, d):
+    """Top importances: how many, and whether they come largest first."""
+    placed = _positions(training.top_importances(_bundle(spark, d), spark))
+    below = F.lead("importance").over(Window.orderBy("position"))
+    return placed.withColumn("falls", F.coalesce(F.col("importance") >= below, F.lit(True))).select("position", "falls")
+
+
+@query("j13_score_checks")
+def _(spark, d):
+    made = training.predict(_features(spark, d), _bundle(spark, d))
+    return made.select(
+        "transaction_id", F.col("score").between(0, 1).alias("in_range"),
+        ((F.col("score") >= training.THRESHOLD).cast("int") == F.col("predicted_fraud")).alias("label_fits"))
+
+
 @query("j13_trained_scores")
 def _(spark, d):
     return training.predict(_features(spark, d), _bundle(spark, d)).select("transaction_id", "is_fraud", "score")
@@ -624,6 +667,40 @@ def _(spark, d):
         "run_id", "train_samples", "test_samples", "fraud_ratio_train", F.explode("metrics").alias("metric", "value"))
 
 
+@query("j21_run_counts")
+def _(spark, d):
+    """The ledger's counts, read back."""
+    root, _ = _trained(spark, d)
+    return lake.read_report(spark, schemas.TRAINING_RUN, f"{root}/runs").select(
+        "train_samples", "test_samples", "fraud_ratio_train", F.col("params.pos_weight").cast("double").alias("pos_weight"),
+        F.size("top_features").alias("top_features"))
+
+
+@query("p2_metrics_recomputed")
+def _(spark, d):
+    """The ledger's metrics against another way to work them out from the stored test scores."""
+    root, entry = _trained(spark, d)
+    stored = lake.read_report(spark, schemas.TRAINING_RUN, f"{root}/runs").select(F.explode("metrics").alias("metric", "value"))
+    tested = spark.read.parquet(f"{root}/{entry['run_id']}/test_scores")
+    ranked = tested.select(
+        "label", (F.rank().over(Window.orderBy("score")) + F.count("*").over(Window.orderBy("score"))).alias("twice_rank"),
+        (F.col("score") >= training.THRESHOLD).cast("int").alias("hit"))
+    n = ranked.agg(
+        F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"),
+        F.sum(F.when(F.col("label") == 1, F.col("twice_rank") / 2)).alias("ranks"),
+        F.sum(F.col("hit") * F.col("label")).alias("tp"), F.sum(F.col("hit") * (1 - F.col("label"))).alias("fp"))
+    again = n.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("metric"), value.cast("double").alias("again")) for name, value in {
+            "roc_auc": (F.col("ranks") - F.col("pos") * (F.col("pos") + 1) / 2) / (F.col("pos") * F.col("neg")),
+            "true_positives": F.col("tp"), "false_positives": F.col("fp"),
+            "false_negatives": F.col("pos") - F.col("tp"), "true_negatives": F.col("neg") - F.col("fp"),
+            "precision": F.coalesce(F.col("tp") / F.nullif(F.col("tp") + F.col("fp"), F.lit(0)), F.lit(0.0)),
+            "recall": F.coalesce(F.col("tp") / F.nullif(F.col("pos"), F.lit(0)), F.lit(0.0)),
+        }.items()
+    ])))
+    return stored.join(again, "metric").select("metric", (F.abs(F.col("value") - F.col("again")) <= 6e-5).alias("agrees"))
+
+
 # --- K: scoring --------------------------------------------------------------
 
 query("k1_enriched_requests")(lambda spark, d: _enriched(spark, d).select(
@@ -645,6 +722,28 @@ def _(spark, d):
     return answers.withColumn("factors", F.array_join("factors", "; "))
 
 
+def _answer_checks(answers: DataFrame) -> DataFrame:
+    """All of a response but the score itself: it lies in 0..1, and decision and tier fit it.
+
+    The record shows four digits of the score, so at a cut either side fits.
+    """
+    def fits(score):
+        band = rules.decision(score)
+        return (band["decision"] == F.col("decision")) & (band["risk_tier"] == F.col("risk_tier"))
+
+    shown = F.col("fraud_probability")
+    return answers.select(
+        "transaction_id", "factors", F.length("model_version").alias("version_length"),
+        shown.between(0, 1).alias("in_range"), (fits(shown - 5e-5) | fits(shown + 5e-5)).alias("decision_fits"))
+
+
+@query("k4_answer_checks")
+def _(spark, d):
+    bundle = _bundle(spark, d)
+    answers = scoring.responses(scoring.score_by_model(_enriched(spark, d), bundle), bundle.version)
+    return _answer_checks(answers).withColumn("factors", F.array_join("factors", "; "))
+
+
 query("k5_batch_summary")(lambda spark, d: scoring.batch_summary(
     scoring.responses(scoring.score_by_rules(_enriched(spark, d)), "rules")))
 query("k5_model_batch_summary")(lambda spark, d: scoring.batch_summary(scoring.responses(
@@ -857,3 +956,10 @@ def _(spark, d):
     path = scratch_path(spark, "scores")
     jobs.run_batch_scoring(spark, _requests(spark, d), _users(spark, d), _merchants(spark, d), _bundle(spark, d), path)
     return spark.read.parquet(path).withColumn("factors", F.array_join("factors", "; "))
+
+
+@query("p4_stored_answer_checks")
+def _(spark, d):
+    path = scratch_path(spark, "scores")
+    jobs.run_batch_scoring(spark, _requests(spark, d), _users(spark, d), _merchants(spark, d), _bundle(spark, d), path)
+    return _answer_checks(spark.read.parquet(path)).withColumn("factors", F.array_join("factors", "; "))
