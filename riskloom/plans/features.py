@@ -107,6 +107,13 @@ def fit_feature_model(features: DataFrame) -> PipelineModel:
     return Pipeline(stages=stages).fit(features)
 
 
+def transform_features(features: DataFrame, model: PipelineModel | None) -> DataFrame:
+    """Apply a fitted feature model; without one there is nothing to scale by."""
+    if model is None:
+        raise ValueError("fit the feature model before transforming")
+    return model.transform(features)
+
+
 def feature_names(model: PipelineModel) -> list[str]:
     """Names of the vector's slots, in order."""
     indexer = model.stages[1]

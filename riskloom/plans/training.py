@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.metrics import (
     confusion, ranking_metrics, score_steps, threshold_metrics,
 )
-from riskloom.plans.features import feature_names, fit_feature_model
+from riskloom.plans.features import feature_names, fit_feature_model, transform_features
 from riskloom.session import ensure_checkpoint_dir
 
 THRESHOLD = 0.50
@@ -83,7 +83,7 @@ def fit_classifier(
 
 def predict(features: DataFrame, bundle: ModelBundle) -> DataFrame:
     """Add ``score`` (fraud probability) and ``predicted_fraud`` at the bundle's threshold."""
-    vectors = bundle.features.transform(features)
+    vectors = transform_features(features, bundle.features)
     scored = bundle.classifier.transform(vectors)
     probability = vector_to_array("probability")[1]
     return features_only(scored, features).withColumns({
@@ -122,7 +122,7 @@ def fit_bundle(train: DataFrame, run_id: str, params: BoostingParams) -> tuple[M
     """Fit the feature model and the classifier on training rows only."""
     weights = class_weight(train).first().asDict()
     model = fit_feature_model(train)
-    classifier = fit_classifier(model.transform(train), weights["pos_weight"], params)
+    classifier = fit_classifier(transform_features(train, model), weights["pos_weight"], params)
     return ModelBundle(model, classifier, run_id, {}), {**asdict(params), **weights}
 
 

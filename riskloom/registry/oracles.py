@@ -474,6 +474,12 @@ def _scaled(column: str) -> str:
     return f"{_half_up(z, 6)} as scaled_{column}"
 
 
+def _scaled_by_training(column: str) -> str:
+    train = "filter (where not is_test) over ()"
+    z = f"({column} - avg({column}) {train}) / coalesce(nullif(stddev_pop({column}) {train}, 0), 1)"
+    return f"{_half_up(z, 6)} as scaled_{column}"
+
+
 _SLOT_NAMES = _SCALED + [f"{c}_{v}" for c, values in _SLOTS.items() for v in values]
 _ANSWERS = f"""select transaction_id, {_REASONS} as factors, 8 as version_length, true as in_range, true as decision_fits
     from enr"""
@@ -701,6 +707,11 @@ _BODIES: dict[str, str] = {
     "j9_feature_slots": f"""select transaction_id, unnest([{', '.join(f"'{n}'" for n in _SLOT_NAMES)}]) as slot,
         unnest([{', '.join([f'scaled_{c}' for c in _SCALED] + [f"({c} = '{v}')::int::double" for c, vs in _SLOTS.items() for v in vs])}])
         as value from (select transaction_id, {', '.join(_SLOTS)}, {', '.join(map(_scaled, _SCALED))} from feat)""",
+    "j10_transformed_test_rows": f"""select transaction_id, {', '.join(f'scaled_{c}' for c in _SCALED)} from (
+        select f.transaction_id, s.is_test, {', '.join(_scaled_by_training(c) for c in _SCALED)}
+        from feat f join split s on s.transaction_id = f.transaction_id) where is_test""",
+    "a9_audit_checksum": f"""select sha256(row_count || '|' || digest_sum) as content_checksum, true as path_fits
+        from (select count(*) as row_count, sum(('0x' || substring(sha256({_ROW_TEXT}), 50, 15))::bigint) as digest_sum from tx)""",
     "a14_bundle_slots": f"select unnest([{', '.join(f"'{n}'" for n in _SLOT_NAMES)}]) as feature, true as valid",
     "j20_importance_order": "select i::int as position, true as falls from range(1, 13) t(i)",
     "j13_score_checks": "select transaction_id, true as in_range, true as label_fits from feat",

@@ -224,6 +224,16 @@ def _(spark, d):
     )
 
 
+@query("a9_audit_checksum")
+def _(spark, d):
+    """The ledger's checksum of the landed batch, and whether its path names the batch."""
+    root = scratch_path(spark, "bronze")
+    jobs.land(spark, {"transactions": _tx(spark, d), "users": _users(spark, d),
+                      "merchants": _merchants(spark, d)}, root, "check")
+    return lake.read_audit(spark, root).select(
+        "content_checksum", F.col("tx_path").endswith(F.concat(F.lit("batch_id="), F.col("batch_id"))).alias("path_fits"))
+
+
 @query("a10_content_checksum")
 def _(spark, d):
     return checksum.content_checksum(_tx(spark, d)).withColumn("digest_sum", F.col("digest_sum").cast("string"))
@@ -572,6 +582,16 @@ def _(spark, d):
     return made.select("transaction_id", F.col("s.slot").alias("slot"), round_half_up(F.col("s.value"), 6).alias("value"))
 
 
+@query("j10_transformed_test_rows")
+def _(spark, d):
+    """Test rows scaled by what was fitted on the training rows."""
+    frame = sampling.stratified_split(_features(spark, d), "transaction_id", "is_fraud")
+    model = features.fit_feature_model(frame.where("not is_test"))
+    made = features.transform_features(frame.where("is_test"), model)
+    return made.select("transaction_id", *[
+        round_half_up(F.col(f"scaled_{c}"), 6).alias(f"scaled_{c}") for c in features.NUMERICAL_FEATURES])
+
+
 query("j11_stratified_split")(lambda spark, d: sampling.stratified_split(
     _activity(spark, d).select("transaction_id", "is_fraud"), "transaction_id", "is_fraud"))
 query("j12_class_weight")(lambda spark, d: training.class_weight(_activity(spark, d)))

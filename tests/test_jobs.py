@@ -185,6 +185,11 @@ def test_extreme_request_is_flagged(spark, sources):
     assert len(answer["factors"]) == 5 and answer["factors"][1] == "Abnormal distance: 8500.0 km"
 
 
+def test_an_unfitted_feature_model_is_refused(sources):
+    with pytest.raises(ValueError, match="fit the feature model"):
+        features.transform_features(sources["transactions"], None)
+
+
 # --- streams
 
 def _in_files(df, path, parts):
