@@ -33,11 +33,9 @@ def score_steps(
     )
     counts = rows.groupBy("curve", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     stored = stored_slices(counts, "curve", "score", slices)
-    sizes = stored.agg(
-        F.coalesce(F.sum("pos"), F.lit(0)).alias("all_pos"), F.coalesce(F.sum("neg"), F.lit(0)).alias("all_neg")
-    )
-    # one row of totals
-    run = running_totals(stored, "curve", "score", ["pos", "neg"]).join(F.broadcast(sizes))
+    run = running_totals(stored, "curve", "score", ["pos", "neg"]).withColumns({
+        f"all_{m}": stored.agg(F.coalesce(F.sum(m), F.lit(0))).scalar() for m in ("pos", "neg")
+    })
     all_pos, all_neg = F.col("all_pos"), F.col("all_neg")
     return run.select(
         "score", "pos", "neg",
