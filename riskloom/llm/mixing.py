@@ -59,9 +59,8 @@ def target_rates(
         for name, weight in weights.items():
             share = F.when(F.col("source_key") == name, F.lit(float(weight))).otherwise(share)
     shares = sizes.select("source_key", "size", share.alias("share"))
-    totals = shares.agg(F.sum("size").alias("all_size"), F.sum("share").alias("all_share"))
-    # one row of totals
-    rated = shares.join(F.broadcast(totals)).select(
+    totals = {f"all_{c}": shares.agg(F.sum(c)).scalar() for c in ("size", "share")}
+    rated = shares.withColumns(totals).select(
         "source_key", "size",
         F.when(
             F.col("all_share") > 0,
