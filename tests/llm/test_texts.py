@@ -8,7 +8,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact_dedup, line_dedup, pieces, pseudonyms, simhash
+import corpus_pipeline
+from riskloom.llm import exact_dedup, line_dedup, near_copies, pieces, pseudonyms, simhash
 from riskloom.llm.components import connected_components
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -169,6 +170,72 @@ def test_keep_one_of_each_group(docs_of, odd_rows):
     assert sorted(str(r.doc_id) for r in kept) == sorted(["1", "3", "6", "7", "None", "8", "9"])
 
 
+def plain_near_copies(rows, least=0.8):
+    """{(key, text): smallest key reachable} over links of five-word shingles."""
+    sets = {}
+    for _, text in rows:
+        found = [w for w in re.split(r"[\x20\x09-\x0D]+", lower(text or "")) if w]
+        sets[text] = frozenset(tuple(found[i:i + 5]) for i in range(max(1, len(found) - 4))) if found else frozenset()
+    values = sorted(set(sets.values()), key=sorted)
+    parent = {v: v for v in values}
+
+    def root(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for i, a in enumerate(values):
+        for b in values[i + 1:]:
+            if min(len(a), len(b)) >= least * max(len(a), len(b)) and len(a & b) >= least * len(a | b):
+                parent[root(a)] = root(b)
+    smallest = {}
+    for key, text in rows:
+        r = root(sets[text])
+        if key is not None:
+            smallest[r] = min(key, smallest.get(r, key))
+    return {(key, text): smallest.get(root(sets[text])) for key, text in rows}
+
+
+def check_near_copies(df):
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    expected = plain_near_copies(rows)
+    got = near_copies.near_copies(df).collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter((k, expected[k, t]) for k, t in rows)
+
+
+def test_near_copies_equal_brute_force(spark, folder):
+    check_near_copies(documents(spark, folder))
+
+
+def test_near_copies_of_odd_rows(docs_of, odd_rows):
+    check_near_copies(docs_of(odd_rows))
+    assert near_copies.near_copies(docs_of([])).count() == 0
+    with pytest.raises(ValueError):
+        near_copies.near_copies(docs_of([]), least=0.5)
+
+
+def test_the_stage_drops_planted_near_copies(spark, docs_of, folder):
+    """One to four changed words of 200, beyond two bits of the fingerprint for most, and chains of such copies."""
+    rng = np.random.default_rng(11)
+    rows, originals = [], set()
+    for group in range(60):
+        words = [f"w{n}" for n in rng.integers(0, 5_000, 200)]
+        originals.add(10 * group)
+        rows.append((10 * group, " ".join(words), "a"))
+        for copy, changed in enumerate((1, 2, 4), 1):
+            other = list(words)
+            for n, at in enumerate(rng.choice(200, changed, replace=False)):
+                other[at] = f"changed{group}x{copy}x{n}"
+            rows.append((10 * group + copy, " ".join(other), "a"))
+        words[100:] = [f"v{n}" for n in rng.integers(0, 5_000, 100)]  # shares half and stays
+        originals.add(10 * group + 9)
+        rows.append((10 * group + 9, " ".join(words), "a"))
+    docs = docs_of(rows)
+    check_near_copies(docs)
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, folder).collect()}
+    assert kept == originals
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(7, 7), (None, 3)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
