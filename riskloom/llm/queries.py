@@ -8,7 +8,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import exact_dedup, hmm, line_dedup, mixing, pieces, pseudonyms, quality, sharding, simhash, topk
+from riskloom.llm import (
+    exact_dedup, hmm, line_dedup, merkle, mixing, pieces, pseudonyms, quality, sharding, simhash, topk,
+)
 from riskloom.llm.shipping import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +85,8 @@ def op9(spark, d):
 def op10(spark, d):
     vectors = _table(spark, d, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query("op11_merkle_manifest")
+def op11(spark, d):
+    return merkle.manifest(_table(spark, d, "documents"))
