@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
-    exact_dedup, hmm, line_dedup, merkle, mixing, pieces, pseudonyms, quality, sharding, simhash, topk,
+    exact_dedup, hmm, line_dedup, merkle, mixing, pieces, pseudonyms, quality, sharding, simhash, topk, whitening,
 )
 from riskloom.llm.shipping import prepare
 
@@ -90,3 +90,8 @@ def op10(spark, d):
 @query("op11_merkle_manifest")
 def op11(spark, d):
     return merkle.manifest(_table(spark, d, "documents"))
+
+
+@query("op12_spectrum_whitening")
+def op12(spark, d):
+    return whitening.whiten(_table(spark, d, "embeddings"))
