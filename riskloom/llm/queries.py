@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
-    exact_dedup, hmm, line_dedup, merkle, mixing, pieces, pseudonyms, quality, sharding, simhash, topk, whitening,
+    exact_dedup, hmm, line_dedup, merkle, mixing, pieces, pseudonyms, quality, sharding, simhash, topk, warc,
+    whitening,
 )
 from riskloom.llm.shipping import prepare
 
@@ -95,3 +96,8 @@ def op11(spark, d):
 @query("op12_spectrum_whitening")
 def op12(spark, d):
     return whitening.whiten(_table(spark, d, "embeddings"))
+
+
+@query("op13_seekable_warc")
+def op13(spark, d):
+    return warc.archived(_table(spark, d, "pages"))
