@@ -214,6 +214,57 @@ def test_near_copies_of_odd_rows(docs_of, odd_rows):
         near_copies.near_copies(docs_of([]), least=0.5)
 
 
+def compared(monkeypatch):
+    """Numbers of pairs whose whole sets near_copies compares."""
+    counts, similar = [], near_copies._similar
+
+    def counting(pairs, sets, least):
+        counts.append(pairs.count())
+        return similar(pairs, sets, least)
+
+    monkeypatch.setattr(near_copies, "_similar", counting)
+    return counts
+
+
+def test_documents_that_share_a_passage_do_not_all_meet(docs_of, monkeypatch):
+    """600 documents of 360 words, 300 of them in all: below 0.8 each with each, 179,700 pairs."""
+    counts = compared(monkeypatch)
+    passage = " ".join(f"w{i}" for i in range(300))
+    rows = [(i, passage + " " + " ".join(f"u{i}x{j}" for j in range(60)), "a") for i in range(600)]
+    got = near_copies.near_copies(docs_of(rows)).collect()
+    assert all(r.doc_id == r.component_id for r in got)
+    assert counts[-1] == 0  # the prefix filter leaves none
+    assert sum(counts) < 40 * 600
+
+
+def test_the_prefix_filter_alone_equals_brute_force(docs_of, monkeypatch):
+    monkeypatch.setattr(near_copies, "FEW", 0)
+    monkeypatch.setattr(near_copies, "RARITIES", 64)  # many shingles share a counter
+    monkeypatch.setattr(near_copies, "_spokes", lambda apart, *_: apart.select(
+        F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(160):  # similarities on both sides of 0.8, of different lengths
+        words = list(base[:int(rng.integers(80, 121))])
+        for at in rng.choice(len(words), int(rng.integers(0, 6)), replace=False).tolist():
+            words[at] = f"x{rng.integers(0, 30)}"
+        rows.append((i, " ".join(words), "a"))
+    check_near_copies(docs_of(rows))
+
+
+@pytest.mark.parametrize("least", [0.8, 0.9, 1.0])
+def test_prefixes_of_similar_sets_meet(least):
+    """Every pair of sizes and the least overlap that makes the similarity."""
+    for small in range(1, 60):
+        for large in range(small, int(small / least) + 1):
+            overlap = next((o for o in range(small + 1) if o >= least * (small + large - o)), None)
+            if overlap is not None:
+                # in the worst case all that differs comes first
+                assert small - overlap < near_copies.prefix_lengths(small, least)[0]
+                assert large - overlap < near_copies.prefix_lengths(large, least)[1]
+
+
 def test_the_stage_drops_planted_near_copies(spark, docs_of, folder):
     """One to four changed words of 200, beyond two bits of the fingerprint for most, and chains of such copies."""
     rng = np.random.default_rng(11)
