@@ -31,6 +31,7 @@ from riskloom.session import scratch_path
 FRAME_BYTES = 256 << 10  # of records, before compression; a longer record is a frame of its own
 BUNDLE_BYTES = 64 << 20  # of compressed frames in a file
 LEVEL = 3
+MOST_TASKS = 4096  # that read bundles; beyond it a task reads several
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time
 
 # The seek table's frame and footer, and the profile of a revisit.
@@ -91,6 +92,12 @@ def records(frame: bytes) -> Iterator[tuple[dict[str, str], dict[str, str], byte
         at = end + 4
 
 
+def _dealt(rows: DataFrame, label: str) -> DataFrame:
+    """Small rows that stand for large reads, dealt one to a task; Spark would put them together by their own size."""
+    rows = _written(rows, label)
+    return rows.repartition(min(MOST_TASKS, max(1, rows.count())))
+
+
 class Bundle:
     """A file in the making: frames, then the seek table."""
 
@@ -247,7 +254,7 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
     Bundles are dealt over tasks and read frame by frame; responses are held
     against their digests. Bundles that the index does not name are not read.
     """
-    bundles = index.groupBy("file").agg(F.count("*").alias("records"))
+    bundles = _dealt(index.groupBy("file").agg(F.count("*").alias("records")), "bundles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
@@ -272,7 +279,7 @@ def fetch(wanted: DataFrame, folder: str) -> DataFrame:
     Each frame that holds wanted records is read once; others are not touched.
     """
     # at most a frame's records meet
-    frames = wanted.groupBy("file", "frame").agg(F.collect_list("offset").alias("offsets"))
+    frames = _dealt(wanted.groupBy("file", "frame").agg(F.collect_list("offset").alias("offsets")), "frames")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
