@@ -3,14 +3,13 @@
 Frames are RANGE frames over event time: peers at the same instant count, and
 so does a transaction exactly one hour (24 hours) earlier.
 
-One way for every user. Rows are first reduced to one per user and instant. A
-user's instants are dealt to slices of one day; as no window reaches back more
-than a day, each instant also enters the next day's slice as background. Inside
-a slice a rolling value is the running total up to now minus the running total
-up to just before the window: both frames only grow, so the cost is linear. The
-last instant of earlier days comes from a table of one row per user and day.
-However many rows a user has, a task sees at most two days of them, and at most
-one entry per instant: 172,800 where times are whole seconds.
+One way for every user, by sums on two levels. Rows are first reduced to one per
+user and instant, and those to totals per user and unit of ten minutes. A unit
+opens with the totals of the units that its windows cover, taken from a running
+window over the small table of units. Inside a unit only its edge moves: its own
+instants enter, and those that lie a whole window earlier leave, at their time
+plus the window. Both running sums only grow, so the cost is linear, and however
+many rows or distinct instants a user has, a task sees those of ten minutes.
 """
 
 from __future__ import annotations
@@ -22,6 +21,7 @@ from riskloom.functions.money import MILLION, micros
 
 HOUR = 3_600_000_000  # microseconds
 DAY = 24 * HOUR
+UNIT = HOUR // 6  # divides the windows
 UNTIMED = -(1 << 62)  # stands for a missing time, far from every window
 
 VELOCITY_COLUMNS = [
@@ -35,50 +35,79 @@ def _user_key() -> Column:
 
 
 def instants_of(tx: DataFrame) -> DataFrame:
-    """One row per user and instant: rows, millionths spent, smallest id."""
+    """One row per user and instant: rows, known amounts, millionths spent, smallest id."""
     return tx.groupBy("_user", "_t").agg(
         F.count("transaction_id").alias("n"),
-        F.sum(micros(F.col("amount"))).alias("spent"),
+        F.count(micros(F.col("amount"))).alias("known"),
+        F.coalesce(F.sum(micros(F.col("amount"))), F.lit(0)).alias("spent"),
         F.min("transaction_id").alias("first_id"),
     )
 
 
-def rolling_instants(instants: DataFrame) -> DataFrame:
-    """Rows (_user, _t, first_id, tx_count_last_1h, spent_24h, prev_t) of ``instants``."""
-    day = F.floor(F.col("_t") / DAY)
-    timed = F.col("_t") > UNTIMED
-    own = F.struct(day.alias("_slice"), F.lit(True).alias("_own"))
-    background = F.struct((day + 1).alias("_slice"), F.lit(False).alias("_own"))
-    sliced = instants.select(
-        "*", F.inline(F.when(timed, F.array(own, background)).otherwise(F.array(own)))
-    )
-    by_time = Window.partitionBy("_user", "_slice").orderBy("_t")
-    until_now = by_time.rangeBetween(Window.unboundedPreceding, 0)
-    until_1h_ago = by_time.rangeBetween(Window.unboundedPreceding, -HOUR - 1)
-    until_24h_ago = by_time.rangeBetween(Window.unboundedPreceding, -DAY - 1)
-    zero = F.lit(0).cast("bigint")
-    rolled = sliced.select(
-        "_user", "_slice", "_own", "_t", "first_id",
-        (F.sum("n").over(until_now) - F.coalesce(F.sum("n").over(until_1h_ago), zero)).alias("tx_count_last_1h"),
-        (F.sum("spent").over(until_now) - F.coalesce(F.sum("spent").over(until_24h_ago), zero)).alias("spent_24h"),
-        F.lag("_t").over(by_time).alias("_near_t"),
-    ).where("_own")
-    # the last time of all earlier days, per user and day
-    before = Window.partitionBy("_user").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        instants.where(timed).groupBy("_user", day.alias("_slice")).agg(F.max("_t").alias("last_t"))
-        .select("_user", "_slice", F.max("last_t").over(before).alias("_far_t"))
+def _openings(instants: DataFrame, unit: int) -> DataFrame:
+    """Per user and unit what its windows hold when it begins: whole units before it, and the last time of all."""
+    totals = instants.where(F.col("_t") > UNTIMED).groupBy("_user", F.floor(F.col("_t") / unit).alias("_unit")).agg(
+        *[F.sum(c).alias(c) for c in ("n", "known", "spent")], F.max("_t").alias("last_t")
     )
-    return rolled.join(carried, ["_user", "_slice"], "left").select(
-        "_user", "_t", "first_id", "tx_count_last_1h", "spent_24h",
-        F.coalesce("_near_t", "_far_t").alias("prev_t"),
+    earlier = Window.partitionBy("_user").orderBy("_unit")
+
+    def covered(measure: str, window: int) -> Column:
+        """The difference of two running totals, so that a frame is never added up anew."""
+        before = F.sum(measure).over(earlier.rangeBetween(Window.unboundedPreceding, -1))
+        gone = F.sum(measure).over(earlier.rangeBetween(Window.unboundedPreceding, -(window // unit) - 1))
+        return F.coalesce(before, F.lit(0)) - F.coalesce(gone, F.lit(0))
+
+    return totals.select(
+        "_user", "_unit", covered("n", HOUR).alias("n"), covered("known", DAY).alias("known"),
+        covered("spent", DAY).alias("spent"),
+        F.max("last_t").over(earlier.rangeBetween(Window.unboundedPreceding, -1)).alias("last_t"),
     )
 
 
+def rolling_instants(instants: DataFrame, unit: int = UNIT) -> DataFrame:
+    """Rows (_user, _t, first_id, tx_count_last_1h, known_24h, spent_24h, prev_t) of ``instants``."""
+    if HOUR % unit:
+        raise ValueError("the unit must divide an hour")
+    timed = F.col("_t") > UNTIMED
+    measures = ["n", "n_left", "known", "known_left", "spent", "spent_left"]
+
+    def entry(at: Column, **values: Column) -> Column:
+        """What enters at a time, or leaves right after it."""
+        zero = F.lit(0).cast("bigint")
+        return F.struct(
+            at.alias("_s"), F.floor(at / unit).alias("_unit"), values.get("own", F.lit(None).cast("bigint")).alias("own"),
+            *[values.get(m, zero).alias(m) for m in measures],
+        )
+
+    own = entry(F.col("_t"), own=F.col("_t"), **{m: F.col(m) for m in ("n", "known", "spent")})
+    edges = [
+        entry(F.col("_t") + HOUR, n_left=F.col("n")),
+        entry(F.col("_t") + DAY, known_left=F.col("known"), spent_left=F.col("spent")),
+    ]
+    moving = instants.select("_user", "first_id", F.inline(F.when(timed, F.array(own, *edges)).otherwise(F.array(own))))
+    # an opening stands right before its unit
+    opening = _openings(instants, unit).select("_user", "_unit", (F.col("_unit") * unit - 1).alias("_s"), F.struct(
+        F.lit(None).cast("string").alias("first_id"), F.col("last_t"), *[F.col(m) for m in ("n", "known", "spent")]).alias("o"))
+    entries = moving.withColumn("last_t", F.col("own")).unionByName(
+        opening.select("_user", "_unit", "_s", "o.*"), allowMissingColumns=True)
+    by_time = Window.partitionBy("_user", "_unit").orderBy("_s")
+    until_now = by_time.rangeBetween(Window.unboundedPreceding, 0)
+    before = by_time.rangeBetween(Window.unboundedPreceding, -1)
+
+    def inside(measure: str) -> Column:
+        return F.sum(measure).over(until_now) - F.coalesce(F.sum(f"{measure}_left").over(before), F.lit(0))
+
+    return entries.select(
+        "_user", F.col("own").alias("_t"), "first_id", inside("n").alias("tx_count_last_1h"),
+        inside("known").alias("known_24h"), inside("spent").alias("spent_24h"), F.max("last_t").over(before).alias("prev_t"),
+    ).where(F.col("_t").isNotNull())
+
+
 def with_velocity(tx: DataFrame) -> DataFrame:
     """Add the velocity columns to transactions with unique ``transaction_id``.
 
     Rows without a time see each other only and have no previous transaction.
+    The spend is null where no amount of the window is known.
     """
     keyed = tx.withColumns({
         "_user": _user_key(), "_t": F.coalesce(F.unix_micros("timestamp"), F.lit(UNTIMED)),
@@ -92,7 +121,7 @@ def with_velocity(tx: DataFrame) -> DataFrame:
     return back.select(
         *tx.columns,
         "tx_count_last_1h",
-        (F.col("spent_24h") / F.lit(float(MILLION))).alias("total_spend_last_24h"),
+        F.when(F.col("known_24h") > 0, F.col("spent_24h") / F.lit(float(MILLION))).alias("total_spend_last_24h"),
         F.timestamp_micros(previous).alias("prev_tx_timestamp"),
         ((own_time - previous) / F.lit(1e6)).alias("seconds_since_prev_tx"),
     )

@@ -4,6 +4,8 @@ import random
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +112,46 @@ def test_velocity_equals_brute_force(spark, users, instants):
     assert got == _brute_velocity(rows)
 
 
+def test_one_users_day_of_a_million_instants_is_split(spark, monkeypatch):
+    n, rng = 1_000_000, np.random.default_rng(3)
+    times = np.sort(rng.choice(86_400_000_000, n, replace=False)) + int(BASE.timestamp()) * 1_000_000
+    cents = rng.integers(1, 5_000, n)
+    rows = pd.DataFrame({"transaction_id": np.char.zfill(np.arange(n).astype(str), 7), "user_id": "u", "t": times, "amount": cents / 100})
+    tx = spark.createDataFrame(pa.Table.from_pandas(rows)).withColumn("timestamp", F.timestamp_micros("t")).drop("t")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        keyed = tx.withColumns({"_user": F.col("user_id"), "_t": F.unix_micros("timestamp")})
+        tasks = velocity.rolling_instants(velocity.instants_of(keyed)).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(tasks) == 8 and max(r["count"] for r in tasks) < n / 2  # 144 units over all tasks
+    got = velocity.with_velocity(tx).orderBy("transaction_id").toPandas()
+    hour, day = (np.searchsorted(times, times - w) for w in (3_600_000_000, 86_400_000_000))
+    spent = np.concatenate([[0], np.cumsum(cents)])
+    assert (got.tx_count_last_1h == np.arange(1, n + 1) - hour).all()
+    assert np.allclose(got.total_spend_last_24h, (spent[1:] - spent[day]) / 100, rtol=0, atol=1e-6)
+    assert np.allclose(got.seconds_since_prev_tx[1:], np.diff(times) / 1e6, rtol=0, atol=1e-9) and pd.isna(got.seconds_since_prev_tx[0])
+
+
+def test_a_window_without_known_amounts_has_no_spend(spark):
+    day = timedelta(days=1)
+    rows = [("a", "u", BASE, 1.0), ("b", "u", BASE + day, None), ("c", "u", BASE + 2 * day, None),
+            ("d", "u", BASE + 2 * day + timedelta(microseconds=1), float("nan")), ("e", "v", BASE, None)]
+    got = velocity.with_velocity(spark.createDataFrame(rows, VELOCITY_SCHEMA)).select("transaction_id", "total_spend_last_24h")
+    assert dict(got.collect()) == {"a": 1.0, "b": 1.0, "c": None, "d": None, "e": None}
+
+
+@pytest.mark.parametrize("unit", [velocity.HOUR, velocity.HOUR // 60])
+def test_the_unit_changes_no_result(spark, monkeypatch, unit):
+    rows = _velocity_rows(9, ["u1", "u2"], 200, HOURS)
+    tx = spark.createDataFrame(rows, VELOCITY_SCHEMA).withColumns({"_user": F.col("user_id"), "_t": F.unix_micros("timestamp")})
+    instants = velocity.instants_of(tx)
+    other = velocity.rolling_instants(instants, unit)
+    assert sorted(map(str, other.collect())) == sorted(map(str, velocity.rolling_instants(instants).collect()))
+    with pytest.raises(ValueError):
+        velocity.rolling_instants(instants, 7)
+
+
 def test_rows_without_a_time_see_each_other_only(spark):
     rows = [("a", "u", None, 1.5), ("b", "u", None, 2.0), ("c", "u", BASE, 4.0), ("d", None, None, 8.0)]
     got = {r[0]: r[1:] for r in velocity.with_velocity(spark.createDataFrame(rows, VELOCITY_SCHEMA)).select(
