@@ -31,7 +31,3 @@ TRAINING_RUN = (
     "test_samples bigint, fraud_ratio_train double, metrics map<string,double>, "
     "top_features array<string>, model_path string"
 )
-
-# rows a velocity stream keeps for the batches after
-VELOCITY_RECENT = "transaction_id string, user_id string, timestamp timestamp, amount double, _user string"
-VELOCITY_LAST_SEEN = "_user string, last_seen timestamp"

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from riskloom import schemas
 from riskloom.functions.money import mean, round_half_up, share, total, total_where
-from riskloom.operators.velocity import VELOCITY_COLUMNS, with_velocity
 from riskloom.plans import scoring
 from riskloom.plans.training import ModelBundle
-from riskloom.session import scratch_path
 from riskloom.sources.requests import accepted, parse_requests
+from riskloom.streaming import velocity_state
 
 
 def daily_kpis(stream: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -47,83 +45,35 @@ def scored_requests(
     return scoring.responses(scoring.score_by_model(enriched, bundle), bundle.version)
 
 
-SNAPSHOT_EVERY = 16
-
-
-def _state(spark: SparkSession, path: str, schema: str, epoch: int) -> DataFrame:
-    """What earlier batches left: the last snapshot and the batches since, by their own paths."""
-    if epoch == 0:
-        return spark.createDataFrame([], schema)
-    snapshot = (epoch - 1) // SNAPSHOT_EVERY * SNAPSHOT_EVERY
-    return spark.read.schema(schema).parquet(*[f"{path}/batch-{e}" for e in range(snapshot, epoch)])
-
-
-def velocity_stream(stream: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
+def velocity_stream(stream: DataFrame, root: str, checkpoint: str, delay: str = "1 day", **trigger) -> StreamingQuery:
     """Rolling velocity of arriving transactions, written to ``<root>/velocity``.
 
-    Each micro-batch is joined by the last 24 hours of its users and sent
-    through the batch operator; streams have no RANGE frames, and per-user state
-    would tie a heavy user to one task. Two tables keep what later batches need:
-    recent rows and the last transaction time per user. A batch adds its own
-    rows to them, and every sixteenth writes a snapshot instead: rows of the
-    last two days, and all users' times. So a batch reads at most one snapshot
-    and the batches since, however long the stream has run. Every write is
-    addressed by the batch number: a repeated batch replaces itself and reads
-    only what came before it.
+    State is kept in RocksDB by ``velocity_state``: the instants of a slice of
+    time and of the 24 hours before it, until the watermark has passed, and the
+    last time of every user. So disk and state are bounded by a day of rows and
+    the number of users, however long the stream runs; a restart goes on from
+    the checkpoint, and a repeated batch replaces itself.
 
     Results equal the batch operator's as long as batches arrive in time order;
-    a late row does not change results already written. Rows without a time see
-    those of their own batch only.
+    a late row does not change results already written, and rows later than
+    ``delay`` are dropped. Rows without a time see those of their own batch only.
     """
 
     def process(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        narrow = batch.select("transaction_id", "user_id", "timestamp", "amount")
-        narrow = narrow.withColumn("_user", F.coalesce(F.concat(F.lit("="), F.col("user_id")), F.lit("")))
-        source = scratch_path(spark, "velocity-batch")
-        narrow.write.parquet(source)
-        narrow = spark.read.parquet(source)
-        first, last = narrow.agg(F.min("timestamp"), F.max("timestamp")).first()
-        recent = _state(spark, f"{root}/recent", schemas.VELOCITY_RECENT, epoch)
-        seen = _state(spark, f"{root}/last_seen", schemas.VELOCITY_LAST_SEEN, epoch).groupBy("_user").agg(
-            F.max("last_seen").alias("last_seen"))
-        users = narrow.select("_user").distinct()
-        # without any time in the batch nothing earlier is within its windows
-        reach = F.lit(first) - F.expr("interval 24 hours") if first else F.lit(None).cast("timestamp")
-        background = recent.where(F.col("timestamp") >= reach).join(users, "_user", "left_semi")
-        columns = ["transaction_id", "user_id", "timestamp", "amount"]
-        moving = with_velocity(
-            background.select(*columns, F.lit(False).alias("_new"))
-            .unionByName(narrow.select(*columns, F.lit(True).alias("_new")))
-        ).where("_new").drop("_new")
-        previous = F.when(F.col("timestamp").isNotNull(), F.coalesce("prev_tx_timestamp", "last_seen"))
-        gap = (F.unix_micros("timestamp") - F.unix_micros("prev_tx_timestamp")) / F.lit(1e6)
-        result = (
-            moving.withColumn("_user", F.coalesce(F.concat(F.lit("="), F.col("user_id")), F.lit("")))
-            .join(seen, "_user", "left")
-            .withColumn("prev_tx_timestamp", previous)
-            .withColumn("seconds_since_prev_tx", gap)
-            .select(*columns, *VELOCITY_COLUMNS)
+        batch.write.mode("overwrite").parquet(f"{root}/velocity/epoch={epoch}")
+
+    conf, key = stream.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(key)
+    conf.set(key, velocity_state.STORE)  # the query keeps the setting it starts with
+    try:
+        return (
+            velocity_state.moving(stream, delay).writeStream.foreachBatch(process)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
         )
-        result.write.mode("overwrite").parquet(f"{root}/velocity/epoch={epoch}")
-
-        timed = narrow.where(F.col("timestamp").isNotNull())
-        latest = timed.groupBy("_user").agg(F.max("timestamp").alias("last_seen"))
-        kept = timed.select(*columns, "_user")
-        if epoch % SNAPSHOT_EVERY == 0:
-            latest = seen.unionByName(latest).groupBy("_user").agg(F.max("last_seen").alias("last_seen"))
-            since = F.lit(last) - F.expr("interval 48 hours") if last else F.lit(None).cast("timestamp")
-            stays = F.coalesce(F.col("timestamp") >= since, F.lit(True))
-            kept = recent.where(stays).select(*columns, "_user").unionByName(kept)
-        kept.write.mode("overwrite").parquet(f"{root}/recent/batch-{epoch}")
-        latest.write.mode("overwrite").parquet(f"{root}/last_seen/batch-{epoch}")
-
-    return (
-        stream.writeStream.foreachBatch(process)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    finally:
+        conf.set(key, before)
 
 
 def write_updates(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
