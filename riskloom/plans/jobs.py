@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 from collections.abc import Callable
@@ -13,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import schemas
+from riskloom.operators.checksum import content_checksum
 from riskloom.operators.drift import DriftThresholds, drift_report
 from riskloom.operators.quality import ContractViolation, gate_summary
 from riskloom.operators.sampling import stratified_split
 from riskloom.plans import marts, scoring, silver, training
 from riskloom.plans.features import compute_features
 from riskloom.session import configure
-from riskloom.sources import lake
+from riskloom.sources import commits, lake
 
 
 def new_run_id() -> str:
@@ -77,7 +79,11 @@ def gate(tx: DataFrame, users: DataFrame, merchants: DataFrame) -> dict:
 
 
 def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, version: str) -> dict[str, int]:
-    """A new version of the silver tables. Master data first; the transactions then read the deduplicated users back."""
+    """A new version of the silver tables. Master data first; the transactions then read the deduplicated users back.
+
+    A silver table that another writer commits meanwhile is a ``CommitConflict``.
+    """
+    base = commits.last_number(spark, root)
     done = side_by_side(spark, {
         "users": lambda: lake.publish(silver.silver_users(bronze["users"]), root, "users", version),
         "merchants": lambda: lake.publish(silver.silver_merchants(bronze["merchants"]), root, "merchants", version),
@@ -86,12 +92,13 @@ def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, v
         bronze["transactions"], spark.read.parquet(done["users"]["path"]), unique_users=True
     ).withColumn("transaction_date", F.to_date("timestamp"))
     done["transactions"] = lake.publish(tx, root, "transactions", version, by_date="transaction_date")
-    lake.commit_versions(spark, root, version, list(done.values()))
+    lake.commit_versions(spark, root, version, list(done.values()), base)
     return {name: built["rows"] for name, built in done.items()}
 
 
 def build_gold(spark: SparkSession, layer: dict[str, DataFrame], root: str, version: str) -> dict[str, int]:
-    """Write the four marts as a new version and make it current."""
+    """Write the four marts as a new version and make it current, unless another writer was faster."""
+    base = commits.last_number(spark, root)
     tx, users, merchants = layer["transactions"], layer["users"], layer["merchants"]
     fact = marts.fct_transactions(tx)
     dated = fact.withColumn("transaction_date", F.to_date("timestamp"))
@@ -107,45 +114,72 @@ def build_gold(spark: SparkSession, layer: dict[str, DataFrame], root: str, vers
         name: (lambda n=name, p=plan: lake.publish(p[0], root, n, version, p[1]))
         for name, plan in plans.items()
     })
-    lake.commit_versions(spark, root, version, list(built.values()))
+    lake.commit_versions(spark, root, version, list(built.values()), base)
     return {name: b["rows"] for name, b in built.items()}
 
 
+def input_key(sources: dict[str, DataFrame]) -> str:
+    """A checksum of the whole input, whatever the order of its rows."""
+    parts = [f"{n}={content_checksum(df).first()['content_checksum']}" for n, df in sorted(sources.items())]
+    return hashlib.sha256("|".join(parts).encode()).hexdigest()
+
+
 def run_medallion(
-    spark: SparkSession, sources: dict[str, DataFrame], root: str, label: str | None = None
+    spark: SparkSession, sources: dict[str, DataFrame], root: str, label: str | None = None, resume: bool = False
 ) -> dict:
-    """Bronze, gate, silver, gold. Returns the telemetry record, which is also kept on failure."""
+    """Bronze, gate, silver, gold. Returns the telemetry record, which is also kept on failure.
+
+    With ``resume`` the input is checksummed first. Stages that an earlier run
+    has committed for the same input are not repeated: their tables are read at
+    the paths that the stage ledger names, and the telemetry says RESUMED.
+    """
     configure(spark)
     run_id = new_run_id()
     telemetry = _Telemetry(run_id)
+    key, done = None, {}
 
-    try:
-        begun = time.monotonic()
-        audit = land(spark, sources, f"{root}/bronze", label or run_id)
-        telemetry.stage("bronze_ingestion", begun, "COMPLETED",
-                        records_ingested=audit["transaction_count"], fraud_records=audit["fraud_count"])
-
+    def stage(name: str, status: str, run: Callable[[], dict], counts: Callable[[dict], dict]) -> dict:
+        """Run a stage, or take its result from the ledger."""
         begun = time.monotonic()
-        bronze = {
-            "transactions": spark.read.schema(sources["transactions"].schema).parquet(audit["tx_path"]),
-            **lake.current_marts(spark, f"{root}/bronze"),
-        }
+        if name in done:
+            telemetry.stage(name, begun, "RESUMED", **counts(done[name]))
+            return done[name]
         try:
-            summary = gate(**{k: bronze[n] for k, n in
-                              (("tx", "transactions"), ("users", "users"), ("merchants", "merchants"))})
+            result = run()
         except ContractViolation as broken:
-            telemetry.stage("quality_gates", begun, "FAILED", failures=len(broken.failures))
+            telemetry.stage(name, begun, "FAILED", failures=len(broken.failures))
             raise
-        telemetry.stage("quality_gates", begun, summary["status"], checks_run=summary["checks_run"])
+        if key:
+            lake.record_stage(spark, root, key, name, run_id, result)
+        telemetry.stage(name, begun, status, **counts(result))
+        return result
 
-        begun = time.monotonic()
+    def landed() -> dict:
+        audit = land(spark, sources, f"{root}/bronze", label or run_id)
+        paths = commits.current_paths(spark, f"{root}/bronze")
+        return {**audit, "paths": {**{n: paths[n] for n in ("users", "merchants")}, "transactions": audit["tx_path"]}}
+
+    def checked() -> dict:
+        return gate(**{k: bronze[n] for k, n in (("tx", "transactions"), ("users", "users"), ("merchants", "merchants"))})
+
+    def cleaned() -> dict:
         counts = build_silver(spark, bronze, f"{root}/silver", run_id)
-        telemetry.stage("silver_transformation", begun, "COMPLETED", **counts)
+        return {"counts": counts, "paths": {n: f"{root}/silver/{n}/version={run_id}" for n in counts}}
 
-        begun = time.monotonic()
-        layer = lake.current_marts(spark, f"{root}/silver")
-        counts = build_gold(spark, layer, f"{root}/gold", run_id)
-        telemetry.stage("gold_warehouse", begun, "COMPLETED", **counts)
+    def built() -> dict:
+        layer = {n: spark.read.parquet(p) for n, p in silver_tables["paths"].items()}
+        return {"counts": build_gold(spark, layer, f"{root}/gold", run_id)}
+
+    try:
+        if resume:
+            key = input_key(sources)
+            done = lake.finished_stages(spark, root, key)
+        audit = stage("bronze_ingestion", "COMPLETED", landed, lambda r: {
+            "records_ingested": r["transaction_count"], "fraud_records": r["fraud_count"]})
+        bronze = {n: spark.read.schema(sources[n].schema).parquet(p) for n, p in audit["paths"].items()}
+        stage("quality_gates", "PASSED", checked, lambda r: {"checks_run": r["checks_run"]})
+        silver_tables = stage("silver_transformation", "COMPLETED", cleaned, lambda r: r["counts"])
+        stage("gold_warehouse", "COMPLETED", built, lambda r: r["counts"])
         return telemetry.finish("SUCCESS")
     except Exception as problem:
         telemetry.finish("FAILED", str(problem))

@@ -11,7 +11,11 @@ AUDIT_RECORD = (
     "merchants_count bigint, fraud_count bigint, content_checksum string, tx_path string, status string"
 )
 
-PUBLICATION = "version string, published_at string, name string, path string, row_count bigint"
+PUBLICATION = (
+    "number bigint, entries bigint, version string, published_at string, name string, path string, row_count bigint"
+)
+
+STAGE = "input_key string, stage string, run_id string, done_at string, result string"
 
 DRIFT_REPORT = (
     "overall_status string, reference_sample_size bigint, current_sample_size bigint, "

@@ -6,12 +6,14 @@ import json
 import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import schemas
 from riskloom.operators.checksum import checksum_of, digest_number
 from riskloom.session import local_rows
+from riskloom.sources import commits
 
 INGESTED = "INGESTION_SUCCESS"
 
@@ -129,7 +131,7 @@ def read_report(spark: SparkSession, schema: str, path: str) -> DataFrame:
 
 
 def publish(df: DataFrame, root: str, name: str, version: str, by_date: str | None = None) -> dict:
-    """Build a new version of a mart next to the old one; readers switch with the ledger entry.
+    """Build a new version of a mart next to the old one; readers switch with the commit.
 
     Nothing a reader uses is overwritten, so a failed or repeated build leaves
     the current version as it was.
@@ -138,19 +140,32 @@ def publish(df: DataFrame, root: str, name: str, version: str, by_date: str | No
     return {"name": name, "path": path, **write_counted(df, path, by_date=by_date)}
 
 
-def commit_versions(spark: SparkSession, root: str, version: str, built: list[dict]) -> None:
-    """Make built marts current, all in one ledger entry."""
+def commit_versions(spark: SparkSession, root: str, version: str, built: list[dict], base: int | None = None) -> int:
+    """Make built marts current, all in one commit; see ``commits.commit`` for ``base``."""
     at = now_text()
-    entries = [
+    records = [
         {"version": version, "published_at": at, "name": b["name"], "path": b["path"], "row_count": b["rows"]}
         for b in built
     ]
-    # a folder of its own, so that writers don't share one
-    _write_lines(spark, entries, f"{root}/_published/entry={version}", "overwrite")
+    return commits.commit(spark, root, records, base)
 
 
 def current_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The latest published version of every mart."""
-    ledger = spark.read.schema(schemas.PUBLICATION).json(f"{root}/_published")
-    latest = ledger.groupBy("name").agg(F.max_by("path", "published_at").alias("path"))
-    return {r["name"]: spark.read.parquet(r["path"]) for r in latest.collect()}  # one row per mart
+    """The current version of every mart."""
+    return {name: spark.read.parquet(path) for name, path in commits.current_paths(spark, root).items()}
+
+
+def record_stage(spark: SparkSession, root: str, input_key: str, stage: str, run_id: str, result: dict) -> None:
+    """Note that a stage is done for an input; a repeated stage replaces its own entry."""
+    record = {"input_key": input_key, "stage": stage, "run_id": run_id, "done_at": now_text(), "result": json.dumps(result)}
+    _write_lines(spark, [record], f"{root}/_stages/input={input_key}/entry={stage}", "overwrite")
+
+
+def finished_stages(spark: SparkSession, root: str, input_key: str) -> dict[str, dict]:
+    """Results of the stages that are done for an input, by stage."""
+    ledger = spark.read.schema(schemas.STAGE).option("ignoreMissingFiles", "true")
+    try:
+        rows = ledger.json(f"{root}/_stages/input={input_key}").select("stage", "result").collect()  # a row per stage
+    except AnalysisException:  # nothing is done yet
+        return {}
+    return {r["stage"]: json.loads(r["result"]) for r in rows}

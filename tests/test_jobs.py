@@ -1,6 +1,7 @@
 """Lake, gate, jobs, scoring and streams end to end on temporary folders."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from riskloom import schemas
 from riskloom.operators import drift, quality, velocity
 from riskloom.plans import features, jobs, marts, reports, scoring, training
-from riskloom.sources import adapters, lake, requests
+from riskloom.sources import adapters, commits, lake, requests
 from riskloom.streaming import landing, live
 
 
@@ -53,6 +54,77 @@ def test_republishing_switches_versions_and_keeps_the_old(spark, tmp_path):
     assert spark.read.parquet(f"{root}/mart/version=v1").count() == 3
 
 
+def test_commits_are_ordered_by_number_not_by_clock(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    for version, clock in (("first", "2030-01-01T00:00:00"), ("second", "2020-01-01T00:00:00")):  # the second clock is behind
+        monkeypatch.setattr(lake, "now_text", lambda c=clock: c)
+        lake.commit_versions(spark, root, version, [lake.publish(spark.range(len(version)), root, "mart", version)])
+    assert lake.current_marts(spark, root)["mart"].count() == len("second")
+
+
+def test_of_two_writers_the_later_is_refused_or_goes_on(spark, tmp_path):
+    root = str(tmp_path)
+    built = {v: lake.publish(spark.range(n), root, "mart", v) for v, n in (("a", 1), ("b", 2), ("c", 3))}
+    other = lake.publish(spark.range(9), root, "other", "x")
+    base = commits.last_number(spark, root)
+    assert base == 0
+    assert lake.commit_versions(spark, root, "a", [built["a"]], base) == 1
+    with pytest.raises(commits.CommitConflict, match="mart"):  # built on what is no longer current
+        lake.commit_versions(spark, root, "b", [built["b"]], base)
+    assert lake.commit_versions(spark, root, "x", [other], base) == 2  # another table: only the number moves
+    assert lake.commit_versions(spark, root, "c", [built["c"]]) == 3  # without a base the last one wins
+    assert {n: df.count() for n, df in lake.current_marts(spark, root).items()} == {"mart": 3, "other": 9}
+    assert not commits.claim(spark, root, 3, "taken")
+
+
+def test_many_writers_at_once_lose_no_commit(spark, tmp_path):
+    root = str(tmp_path)
+    record = {"version": "v", "published_at": "t", "path": "p", "row_count": 1}
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda i: commits.commit(spark, root, [{**record, "name": f"t{i}"}]), range(24)))
+    assert sorted(numbers) == list(range(1, 25))
+    assert len(commits.current_paths(spark, root)) == 24
+
+
+def test_a_commit_half_written_is_not_there_yet(spark, tmp_path):
+    root = str(tmp_path)
+    record = {"version": "v", "published_at": "t", "row_count": 1}
+    commits.commit(spark, root, [{**record, "name": n, "path": "old"} for n in ("a", "b")])
+    line = json.dumps({**record, "name": "a", "path": "new", "number": 2, "entries": 2})
+    assert commits.claim(spark, root, 2, line + "\n" + line[:20])
+    assert commits.current_paths(spark, root) == {"a": "old", "b": "old"}
+    assert commits.commit(spark, root, [{**record, "name": "a", "path": "newest"}]) == 3
+    assert commits.current_paths(spark, root) == {"a": "newest", "b": "old"}
+
+
+def test_a_rerun_skips_the_stages_that_are_done(spark, sources, tmp_path, monkeypatch):
+    root, gold = str(tmp_path), jobs.build_gold
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(jobs, "build_gold", broken)
+    with pytest.raises(RuntimeError):
+        jobs.run_medallion(spark, sources, root, resume=True)
+    monkeypatch.setattr(jobs, "build_gold", gold)
+    monkeypatch.setattr(jobs, "land", broken)
+    monkeypatch.setattr(jobs, "build_silver", broken)  # neither may run again
+    shuffled = {**sources, "transactions": sources["transactions"].repartition(3)}
+    record = jobs.run_medallion(spark, shuffled, root, resume=True)
+    assert {n: s["status"] for n, s in record["stages"].items()} == {
+        "bronze_ingestion": "RESUMED", "quality_gates": "RESUMED", "silver_transformation": "RESUMED", "gold_warehouse": "COMPLETED"}
+    assert lake.read_audit(spark, f"{root}/bronze").count() == 1
+    monkeypatch.undo()
+    whole = str(tmp_path / "whole")
+    jobs.run_medallion(spark, sources, whole)
+    resumed, built = (lake.current_marts(spark, f"{r}/gold") for r in (root, whole))
+    for name in built:
+        columns = [c for c in built[name].columns if not c.endswith("_at")]
+        assert resumed[name].select(columns).exceptAll(built[name].select(columns)).isEmpty(), name
+    other = {**sources, "transactions": sources["transactions"].where("transaction_id != 'TX_000000000001'")}
+    assert jobs.run_medallion(spark, other, root, resume=True)["stages"]["bronze_ingestion"]["status"] == "COMPLETED"
+
+
 def test_drift_job_stores_its_report(spark, lake_root, tmp_path):
     fact = lake.current_marts(spark, lake_root[0] + "/gold")["fct_transactions"]
     stored = jobs.run_drift(spark, fact, drift.perturbed(fact, 5.0), str(tmp_path / "report")).first()
