@@ -31,7 +31,9 @@ CLASSES = 1 << 14  # hashed word classes; one more class is the end of a text
 ITERATIONS = 3
 STAY = 0.95  # chance of staying in a state, before training
 PRIOR = 10_000.0  # pseudo-counts of a state's emissions, spread like the class frequencies; less than one a class
-WINDOW = 4096  # tokens whose forward values are held at a time
+WINDOW = 4096  # tokens of a text whose forward values are held at a time
+BLOCK_TOKENS = 250_000  # of the texts that are worked on side by side
+GAIN = 1e-4  # log10 probability a token; training stops when an iteration gains less
 HEAD_WORDS = 1 << 17  # most words looked up inside a task
 FLUSH_WORDS = 1_000_000  # distinct words that a task gathers before it passes them on
 END = "\n"  # the end token; no word holds white space
@@ -72,7 +74,7 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def head_words(counts: DataFrame, most: int = HEAD_WORDS) -> DataFrame:
+def head_words(counts: DataFrame, most: int) -> DataFrame:
     """The most frequent words, cut between two counts so that at most ``most`` remain."""
     by_count = counts.groupBy("c").agg(F.count("*").alias("n"))
     # one row per distinct count, of which a corpus of N tokens has fewer than sqrt(2 N)
@@ -255,30 +257,38 @@ class _Block:
         return start, move * model.move, emit, total
 
 
-def _sequences(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(s, np.uint16) for s in batch.column("classes").to_pylist()]
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """The batch's class sequences in blocks of texts of similar length, bounded by tokens, with their row numbers."""
+    sequences = [np.frombuffer(s, np.uint16) for s in batch.column("classes").to_pylist()]
+    lengths = np.fromiter(map(len, sequences), np.int64, len(sequences))
+    order = np.argsort(-lengths, kind="stable")
+    number = (np.cumsum(lengths[order]) - lengths[order]) // BLOCK_TOKENS
+    for rows in np.split(order, np.flatnonzero(np.diff(number)) + 1) if len(order) else []:
+        yield rows, [sequences[i] for i in rows]
 
 
 def baum_welch(rows: DataFrame, frequency: np.ndarray, states: int, iterations: int) -> Model:
-    """Train on the class sequences of all ``rows``."""
+    """Train on the class sequences of all ``rows``, until an iteration gains less than GAIN or ``iterations`` are done."""
     spark = rows.sparkSession
     model = Model.untrained(frequency, states)
     names = [f"s{i}" for i in range(states)]
+    last = -np.inf
     for _ in range(iterations):
         sent = spark.sparkContext.broadcast(model)  # a fixed number of parameters
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             emit = np.zeros(sent.value.emit.shape)
-            start, move = np.zeros((1, states)), np.zeros((states, states))
+            start, move, reached = np.zeros((1, states)), np.zeros((states, states)), np.zeros((1, states))
             for batch in batches:
-                if batch.num_rows:
-                    s, m, e, _ = _Block(_sequences(batch)).expected(sent.value)
+                for _, sequences in _blocks(batch):
+                    s, m, e, total = _Block(sequences).expected(sent.value)
                     start += s
                     move += m
                     emit += e
-            # slots below the classes hold the moves and the first states
-            slots = np.concatenate([np.arange(-states - 1, 0), np.flatnonzero(emit.any(axis=1))])
-            values = np.concatenate([move, start, emit[emit.any(axis=1)]])
+                    reached[0, 0] += total
+            # slots below the classes hold the likelihood, the moves and the first states
+            slots = np.concatenate([np.arange(-states - 2, 0), np.flatnonzero(emit.any(axis=1))])
+            values = np.concatenate([reached, move, start, emit[emit.any(axis=1)]])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(slots.astype(np.int32)), *[pa.array(np.ascontiguousarray(values[:, i])) for i in range(states)]],
                 ["slot", *names],
@@ -287,10 +297,14 @@ def baum_welch(rows: DataFrame, frequency: np.ndarray, states: int, iterations:
         parts = rows.select("classes").mapInArrow(run, "slot int, " + ", ".join(f"{n} double" for n in names))
         # one row per class: a fixed number whatever the corpus
         summed = parts.groupBy("slot").agg(*[F.sum(n).alias(n) for n in names]).toPandas().set_index("slot")
-        table = np.zeros((states + 1 + frequency.size, states))
-        table[summed.index.to_numpy() + states + 1] = summed[names].to_numpy()
-        model = Model.from_counts(table[states], table[:states], table[states + 1:], frequency)
+        table = np.zeros((states + 2 + frequency.size, states))
+        table[summed.index.to_numpy() + states + 2] = summed[names].to_numpy()
+        model = Model.from_counts(table[states + 1], table[1:states + 1], table[states + 2:], frequency)
         sent.destroy()
+        reached = table[0, 0] / max(table[states + 2:].sum(), 1.0)  # of the model before this step, a token
+        if reached - last < GAIN:
+            break
+        last = reached
     return model
 
 
@@ -310,7 +324,7 @@ def score_documents(
     path = scratch_path(spark, "word-counts")
     word_counts(docs.where(~held), text).write.parquet(path)
     counts = spark.read.parquet(path)
-    found = head_words(counts).toArrow()
+    found = head_words(counts, HEAD_WORDS).toArrow()
     head = (found.column("word").combine_chunks().cast(pa.string()), found.column("c").to_numpy().astype(np.float64))
     path = scratch_path(spark, "token-rows")
     token_rows(docs, key, text, held, head, spark).write.parquet(path)
@@ -324,14 +338,13 @@ def score_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, below = sent.value
         for batch in batches:
-            sequences = _sequences(batch)
-            if not sequences:
-                continue
-            value = _Block(sequences).likelihood(known)
-            value -= np.array([below[s].sum() for s in sequences])
+            value, n_tokens = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            for at, sequences in _blocks(batch):
+                value[at] = _Block(sequences).likelihood(known) - np.array([below[s].sum() for s in sequences])
+                n_tokens[at] = [len(s) for s in sequences]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("uid"), batch.column("doc_id"), batch.column("held_out"),
-                 pa.array(np.array([len(s) for s in sequences], np.int64)), batch.column("head_sum"),
+                 pa.array(n_tokens), batch.column("head_sum"),
                  batch.column("head_known"), pa.array(value)],
                 ["uid", "doc_id", "held_out", "n_tokens", "head_sum", "head_known", "class_score"],
             )

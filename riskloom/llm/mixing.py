@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.text import fresh
+from riskloom.llm.text import fresh, row_digest
 from riskloom.session import scratch_path
 
 # A mean above this is drawn as a sum of equal parts, whose sum is again Poisson.
@@ -81,31 +81,35 @@ def mix_sources(
     """The documents repeated to their source's target rate, in a global hash order.
 
     All columns stay; ``copy_column`` (renamed with underscores if taken)
-    numbers the copies from 1. Documents drawn 0 times are absent. Rows that
-    repeat a key draw the same count each. A null source is a source of its own,
-    weighted only by temperature; null keys and texts are kept as they are. An
-    empty table stays empty. Only seed, key and rate decide the count.
+    numbers the copies from 1. Documents drawn 0 times are absent. Seed, key,
+    whole row and rate decide the count, so only rows equal in all columns draw
+    the same one, also where a key is null or repeated. A null source is a
+    source of its own, weighted only by temperature; null keys and texts are
+    kept as they are. An empty table stays empty. The order is the same for the
+    same input files; equal rows are spread over tasks by their place in them.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "source-rates")
-    target_rates(docs, source, weights, epochs, temperature).select(
-        F.col("source_key").alias("__source"), F.col("parts").alias("__parts"),
-        F.col("cumulative").alias("__cumulative"),
-    ).write.parquet(path)
+    target_rates(docs, source, weights, epochs, temperature).select("source_key", "parts", "cumulative").write.parquet(path)
     rates = spark.read.parquet(path)  # measured by the optimizer, which broadcasts it only when small
     copy = fresh(docs, copy_column)
+    # the row as one column, so that no name of its columns can clash
+    held = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").alias("key"),
+        F.col(f"`{source}`").alias("source"), row_digest(docs).alias("digest"),
+    )
 
     def drawn(part: Column) -> Column:
-        u = hashed_unit(F.lit(seed), F.col(key), part)
-        return F.size(F.filter(F.col("__cumulative"), lambda c: c <= u))
+        u = hashed_unit(F.lit(seed), F.col("key"), F.col("digest"), part)
+        return F.size(F.filter(F.col("cumulative"), lambda c: c <= u))
 
-    count = F.aggregate(F.sequence(F.lit(1), F.col("__parts")), F.lit(0), lambda acc, part: acc + drawn(part))
-    counted = docs.join(rates, F.col(source).eqNullSafe(F.col("__source"))).withColumn("__n", count)
-    copies = counted.where("__n > 0").withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("__n"))))
-    out = copies.select(*[F.col(f"`{c}`") for c in docs.columns], copy)
+    count = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda acc, part: acc + drawn(part))
+    counted = held.join(rates, F.col("source").eqNullSafe(F.col("source_key"))).withColumn("n", count)
+    copies = counted.where("n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    columns = [*[F.col(f"row.`{c}`").alias(c) for c in docs.columns], F.col("copy").alias(copy)]
     if not ordered:
-        return out
-    order = fresh(docs, "__order")
-    shuffled = out.withColumn(order, F.xxhash64(F.lit(seed), F.col(key), F.col(copy)))
+        return copies.select(*columns)
+    place = F.monotonically_increasing_id()  # spreads equal rows; a repeated task gives the same numbers
+    shuffled = copies.select("row", "copy", F.xxhash64(F.lit(seed), "digest", "copy").alias("order"), place.alias("place"))
     # a hash exchange needs no sample of the keys, for which all texts would be read once more
-    return shuffled.repartition(order).sortWithinPartitions(order).drop(order)
+    return shuffled.repartition("order", "place").sortWithinPartitions("order", "place").select(*columns)

@@ -7,10 +7,13 @@ from riskloom.llm.text import LOWER, UPPER
 
 _LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 
+_COLUMNS = ["doc_id::varchar", "text", "lang", "source", "n_chars::varchar"]
+_ROW = "md5(" + " || ".join(f"case when {c} is null then '-' else length({c}) || ':' || {c} end" for c in _COLUMNS) + ")"
+
 _OP3 = f"""
 with h as (
   select doc_id, octet_length(encode(coalesce(text, '')))::bigint as n_bytes,
-    ('0x' || substr(md5(concat_ws(chr(1), doc_id::varchar, text, lang, source, n_chars::varchar)), 1, 15))::bigint as h
+    ('0x' || substr({_ROW}, 1, 15))::bigint as h
   from documents
 ), at_depth as (
   select h.*, d::int as depth, h >> ({sharding.HASH_BITS} - d::int) as prefix
@@ -42,9 +45,9 @@ with sizes as (
   select source, parts, list(c order by k) as cs from cumulative group by all
 ), drawn as (
   select d.*, list_sum(list_transform(range(1, parts + 1), lambda p: len(list_filter(cs, lambda c: c <=
-      ('0x' || substr(md5(concat('42|', coalesce(doc_id::varchar, 'null'), '|', p::varchar)), 1, 13))::bigint
+      ('0x' || substr(md5(concat('42|', coalesce(doc_id::varchar, 'null'), '|', digest, '|', p::varchar)), 1, 13))::bigint
       / {2**52}.0)))) as n
-  from documents d join lists l on d.source is not distinct from l.source
+  from (select *, {_ROW} as digest from documents) d join lists l on d.source is not distinct from l.source
 )
 select doc_id, text, lang, source, n_chars, unnest(range(1, n::bigint + 1))::int as copy from drawn
 """

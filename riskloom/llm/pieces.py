@@ -16,7 +16,9 @@ model has ranks in place of probabilities, so a piece of rank r weighs
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
@@ -35,7 +37,7 @@ BREAKS = "\n\t\x00"  # characters that no piece holds beside others
 UNITS = re.compile(rf" *[^ {BREAKS}]+| +|[{BREAKS}]")
 BLOCK_UNITS = 250_000  # words filtered and sampled at a time, which bounds memory
 STORE_EDGES = 16_000_000  # of the words a worker keeps, about 250 MB at most
-LONG_UNIT = 100_000  # characters; a longer word is cut here; no piece crosses the cut
+LONG_UNIT = 100_000  # characters; a longer word is filtered alone, this many positions at a time
 SMOOTHING = 0.5
 
 
@@ -97,16 +99,58 @@ class Vocabulary:
 
 def units(text: str) -> list[str]:
     """The text, with a space put in front, cut where no piece can cross."""
-    if not text:
-        return []
-    found = UNITS.findall(" " + text)
-    if len(text) > LONG_UNIT:
-        found = list(chain.from_iterable(
-            [u] if len(u) <= LONG_UNIT else [u[i:i + LONG_UNIT] for i in range(0, len(u), LONG_UNIT)] for u in found
-        ))
+    return UNITS.findall(" " + text) if text else []
+
+
+def _edges(vocabulary: Vocabulary, unit: str, low: int, high: int) -> list[list[tuple[int, int, float]]]:
+    """(start, piece, weight) of the pieces that end at each position after ``low`` up to ``high``, longest first."""
+    ids, gains = vocabulary.table
+    base = max(0, low - 63)  # no piece has 64 characters
+    found: list[list[tuple[int, int, float]]] = [[] for _ in range(high - low)]
+    for last, value in vocabulary.trie().iter(unit[base:high]):
+        end, piece = base + last + 1, value // 64
+        if end > low:
+            found[end - low - 1].append((end - value % 64, int(ids[piece]), float(gains[piece])))
+    unknown = float(gains.min()) - 1.0
+    for k, edges in enumerate(found):
+        end = low + k + 1
+        if not edges or edges[-1][0] != end - 1:  # a character without a piece becomes its bytes
+            edges.append((end - 1, vocabulary.size + ord(unit[end - 1]), unknown))
     return found
 
 
+def sample_long(vocabulary: Vocabulary, unit: str, stream: int, block: int) -> np.ndarray:
+    """Pieces of one long word, as ``lattice`` and ``_sample_short`` would give, some positions at a time.
+
+    Forward values are kept for all positions, one number each; edges only for
+    one block, found once on the way there and once on the way back.
+    """
+    n = len(unit)
+    forward = array("d", bytes(8 * (n + 1)))
+    for low in range(0, n, block):
+        high = min(n, low + block)
+        for k, edges in enumerate(_edges(vocabulary, unit, low, high)):
+            values = [forward[start] + gain for start, _, gain in edges]
+            top = max(values)
+            forward[low + k + 1] = top + math.log(sum(math.exp(v - top) for v in values))
+    chosen, at, step, drawn = [], n, 0, iter(())
+    for low in range((n - 1) // block * block, -1, -block):
+        found = _edges(vocabulary, unit, low, min(n, low + block))
+        while at > low:
+            u = next(drawn, None)
+            if u is None:
+                drawn = iter(uniform(stream, np.arange(step, step + 4096)).tolist())
+                u = next(drawn)
+            so_far = 0.0
+            for start, piece, gain in found[at - low - 1]:
+                so_far += math.exp(forward[start] + gain - forward[at])
+                if so_far > u:
+                    break
+            chosen.append(piece)
+            at, step = start, step + 1
+    return np.array(chosen[::-1], np.int64)
+
+
 def lattice(vocabulary: Vocabulary, distinct: list[str]):
     """Forward-filtered lattice of distinct words.
 
@@ -226,6 +270,23 @@ def sample(store: Store, texts: list[str], keys: np.ndarray, seed: int) -> list[
 
 
 def _sample_units(store, block, keys, place, seed):
+    """Pieces of all units in order, and how many of each."""
+    long = np.flatnonzero(np.fromiter(map(len, block), np.int64, len(block)) > LONG_UNIT)
+    if not len(long):
+        return _sample_short(store, block, keys, place, seed)
+    parts: list = [None] * len(block)
+    for i in long.tolist():
+        stream = mixed(seed, keys[i:i + 1], place[i:i + 1]).view(np.int64)
+        parts[i], _ = _with_bytes(store.vocabulary, sample_long(store.vocabulary, block[i], stream, LONG_UNIT), None)
+    rest = np.setdiff1d(np.arange(len(block)), long)
+    if len(rest):
+        pieces, steps = _sample_short(store, [block[i] for i in rest.tolist()], keys[rest], place[rest], seed)
+        for i, part in zip(rest.tolist(), np.split(pieces, np.cumsum(steps)[:-1])):
+            parts[i] = part
+    return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+
+
+def _sample_short(store, block, keys, place, seed):
     encoded = pa.array(block, pa.string()).dictionary_encode()
     which = store.add(encoded.dictionary.to_pylist())[encoded.indices.to_numpy(zero_copy_only=False)]
     vocabulary, first_edge, within, starts, out = (
@@ -256,6 +317,11 @@ def _sample_units(store, block, keys, place, seed):
     result = np.empty(int(steps.sum()), np.int64)
     for k, (unit, piece) in enumerate(zip(chosen_unit, chosen_piece)):
         result[last[unit] - k] = piece
+    return _with_bytes(vocabulary, result, steps)
+
+
+def _with_bytes(vocabulary, result: np.ndarray, steps: np.ndarray | None):
+    """Characters without a piece as their byte pieces; ``steps``, the pieces of every unit, grow with them."""
     odd = np.flatnonzero(result >= vocabulary.size)
     if len(odd):
         encoded = [chr(c).encode() for c in result[odd] - vocabulary.size]
@@ -266,7 +332,9 @@ def _sample_units(store, block, keys, place, seed):
         table = np.array(vocabulary.byte_ids, np.int64)
         for slot, b in zip(slots[odd], encoded):
             grown[slot:slot + len(b)] = table[list(b)]
-        steps = np.bincount(np.repeat(np.arange(len(block)), steps), weights=width, minlength=len(block)).astype(np.int64)
+        if steps is not None:
+            owner = np.repeat(np.arange(len(steps)), steps)
+            steps = np.bincount(owner, weights=width, minlength=len(steps)).astype(np.int64)
         result = grown
     return result.astype(np.int32), steps
 

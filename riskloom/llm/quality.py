@@ -78,7 +78,7 @@ def features(texts: pa.Array) -> np.ndarray:
     ids = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     kinds = [word.encode() for word in encoded.dictionary.to_pylist()]
     odd = np.array([_CLASS[w[-1]] == 0 and w[-1:] not in b".,;:?" for w in kinds])
-    bare = np.array([not _CLASS[np.frombuffer(w[:64], np.uint8)].any() for w in kinds])
+    bare = np.array([not _CLASS[np.frombuffer(w, np.uint8)].any() for w in kinds])
     pairs, times = np.unique(owner * len(kinds) + ids, return_counts=True)
     pair_owner = pairs // len(kinds)
     out[:, 8] = np.log1p(np.bincount(pair_owner, minlength=n)) / np.log1p(total)

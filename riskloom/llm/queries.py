@@ -13,6 +13,7 @@ from riskloom.llm import (
     whitening,
 )
 from riskloom.llm.shipping import prepare
+from riskloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 PSEUDONYM_KEY = "key of the registered query"  # a real run takes its key from a secret store
@@ -47,7 +48,10 @@ def op2(spark, d):
 
 @query("op3_extendible_shards")
 def op3(spark, d):
-    return sharding.assign_shards(_table(spark, d, "documents")).select("doc_id", "shard", "shard_page", "n_bytes")
+    """The shards are written, and the columns come from reading them back."""
+    sharded, path = sharding.assign_shards(_table(spark, d, "documents")), scratch_path(spark, "shards")
+    sharding.write_shards(sharded, path)
+    return sharding.read_shards(spark, path, sharded.schema).select("doc_id", "shard", "shard_page", "n_bytes")
 
 
 @query("op4_poisson_mix")

@@ -11,12 +11,14 @@ by joining the directory on their prefix.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil, log2
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from riskloom.llm.text import fresh
+from riskloom.llm.text import fresh, row_digest
 from riskloom.session import scratch_path
 
 HASH_BITS = 60  # 15 hexadecimal digits of the MD5
@@ -25,9 +27,8 @@ LIMIT_BYTES = 1 << 20
 
 
 def row_hash(docs: DataFrame) -> Column:
-    """60 hash bits of a whole row, so that only rows equal in all columns cannot be split."""
-    parts = [F.col(f"`{f.name}`").cast("string") for f in docs.schema.fields]
-    return F.conv(F.substring(F.md5(F.concat_ws("\x01", *parts)), 1, 15), 16, 10).cast("long")
+    """60 hash bits of a whole row; rows equal in all columns cannot be split, and few others share all bits."""
+    return F.conv(F.substring(row_digest(docs), 1, 15), 16, 10).cast("long")
 
 
 def _prefix(value: Column, bits: Column | int, of: int = HASH_BITS) -> Column:
@@ -40,8 +41,8 @@ def _levels(rows: DataFrame, low: int, high: int, limit: int) -> tuple[DataFrame
     Returns the directory (prefix of ``high`` bits, depth; null where the bucket
     is still over the limit) and the shards (depth, shard, rows, bytes).
     """
-    fine = rows.groupBy(_prefix(F.col("__hash"), high).alias("prefix")).agg(
-        F.sum("__bytes").alias("bytes"), F.count("*").alias("n")
+    fine = rows.groupBy(_prefix(F.col("hash"), high).alias("prefix")).agg(
+        F.sum("size").alias("bytes"), F.count("*").alias("n")
     )
     # every shorter prefix of a fine one, with its size; pre-aggregated, so small beside the rows
     sized = (
@@ -64,38 +65,39 @@ def assign_shards(docs: DataFrame, limit_bytes: int = LIMIT_BYTES, text: str = "
     """The rows with their shard: ``shard`` (hash bits as text), ``shard_page``, ``n_bytes``.
 
     Every shard holds at most ``limit_bytes`` bytes of text, save a shard of a
-    single longer document. Rows equal in all columns share all hash bits; if
-    they alone pass the limit they are counted and dealt to pages of that shard
-    (``shard_page`` from 0; 0 for every other row). Null and empty texts have 0
-    bytes. An empty table gives an empty result; clashing columns of the input
-    keep their names and the new ones get underscores in front.
+    single longer document. Rows that share all hash bits, as rows equal in all
+    columns do, are dealt to pages of that shard that fit the limit (``shard_page``
+    from 0; 0 for every other row). Null and empty texts have 0 bytes. An empty
+    table gives an empty result; clashing columns of the input keep their names
+    and the new ones get underscores in front.
     """
     spark = docs.sparkSession
-    names = [fresh(docs, n) for n in ("shard", "shard_page", "n_bytes")]
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    names = shard_names(docs)
+    # the row as one column, so that no name of its columns can clash
     keyed = docs.select(
-        *columns, row_hash(docs).alias("__hash"),
-        F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long").alias("__bytes"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_hash(docs).alias("hash"),
+        F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("long").alias("size"),
     )
+    columns = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     thin_path = scratch_path(spark, "shard-sizes")
-    keyed.select("__hash", "__bytes").write.parquet(thin_path)
+    keyed.select("hash", "size").write.parquet(thin_path)
     thin = spark.read.parquet(thin_path)
-    total = thin.agg(F.sum("__bytes")).first()[0] or 0
+    total = thin.agg(F.sum("size")).first()[0] or 0
 
     low, high = 0, min(HASH_BITS, SPARE_BITS + ceil(log2(max(1.0, total / limit_bytes))))
     parts, rest, open_rows = [], keyed, thin
     while True:
         path = scratch_path(spark, "shard-directory")
         _levels(open_rows, low, high, limit_bytes)[0].write.parquet(path)
-        directory = spark.read.parquet(path).toDF("__prefix", "__depth")
-        on = [_prefix(F.col("__hash"), high) == F.col("__prefix")]
+        directory = spark.read.parquet(path)
+        on = [_prefix(F.col("hash"), high) == F.col("prefix")]
         found = rest.join(directory, on)
-        bits = F.lpad(F.conv(_prefix(F.col("__hash"), F.col("__depth")).cast("string"), 10, 2), F.col("__depth"), F.lit("0"))
-        parts.append(found.where("__depth is not null").select(
-            *columns, F.when(F.col("__depth") == 0, F.lit("")).otherwise(bits).alias(names[0]),
-            F.lit(0).cast("long").alias(names[1]), F.col("__bytes").alias(names[2]),
+        bits = F.lpad(F.conv(_prefix(F.col("hash"), F.col("depth")).cast("string"), 10, 2), F.col("depth"), F.lit("0"))
+        parts.append(found.where("depth is not null").select(
+            *columns, F.when(F.col("depth") == 0, F.lit("")).otherwise(bits).alias(names[0]),
+            F.lit(0).cast("long").alias(names[1]), F.col("size").alias(names[2]),
         ))
-        still_open = directory.where("__depth is null").select("__prefix")
+        still_open = directory.where("depth is null").select("prefix")
         if still_open.isEmpty():
             break
         rest = rest.join(still_open, on, "left_semi")
@@ -104,23 +106,41 @@ def assign_shards(docs: DataFrame, limit_bytes: int = LIMIT_BYTES, text: str = "
             break
         open_rows = open_rows.join(still_open, on, "left_semi")
         low, high = high, min(HASH_BITS, high + 8)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
+
+
+def shard_names(docs: DataFrame) -> list[str]:
+    """Names of the new columns beside those of the input."""
+    return [fresh(docs, n) for n in ("shard", "shard_page", "n_bytes")]
 
 
 def _pages(rows: DataFrame, columns: list[Column], names: list[str], limit: int) -> DataFrame:
-    """Equal rows, counted once and dealt to pages that fit the limit."""
-    counted = rows.groupBy(*columns, "__hash", "__bytes").agg(F.count("*").alias("__copies"))
-    bits = F.lpad(F.conv(F.col("__hash").cast("string"), 10, 2), HASH_BITS, "0")
-    per_page = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.col("__bytes"), F.lit(1)))).cast("long")
-    return counted.select("*", F.explode(F.expr("sequence(1L, __copies)")).alias("__copy")).select(
+    """Rows that share all hash bits: equal ones are counted and dealt to pages, others get pages of their own."""
+    counted = rows.groupBy("row", "hash", "size").agg(F.count("*").alias("copies"))
+    per_page = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.col("size"), F.lit(1)))).cast("long")
+    paged = counted.withColumn("pages", F.ceil(F.col("copies") / per_page).cast("long"))
+    # different rows of one hash, which are few
+    before = Window.partitionBy("hash").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    placed = paged.withColumn("first", F.coalesce(F.sum("pages").over(before), F.lit(0)))
+    bits = F.lpad(F.conv(F.col("hash").cast("string"), 10, 2), HASH_BITS, "0")
+    return placed.select("*", F.explode(F.expr("sequence(1L, copies)")).alias("copy")).select(
         *columns, bits.alias(names[0]),
-        F.floor((F.col("__copy") - 1) / per_page).cast("long").alias(names[1]), F.col("__bytes").alias(names[2]),
+        (F.col("first") + F.floor((F.col("copy") - 1) / per_page)).cast("long").alias(names[1]), F.col("size").alias(names[2]),
     )
 
 
-def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard page; each is written by one task, as it fits the limit."""
-    sharded.repartition("shard", "shard_page").write.partitionBy("shard", "shard_page").parquet(path)
+def write_shards(sharded: DataFrame, path: str, names: tuple[str, str] = ("shard", "shard_page")) -> None:
+    """One folder per shard page; each is written by one task, as it fits the limit.
+
+    ``names`` are the columns that ``assign_shards`` added. Folders have a name
+    of their own, the undivided bucket ``whole``; all columns stay in the files.
+    """
+    folders = [fresh(sharded, "in_shard"), fresh(sharded, "in_page")]
+    shard, page = (F.col(f"`{n}`") for n in names)
+    named = sharded.withColumns({folders[0]: F.when(shard == "", "whole").otherwise(shard), folders[1]: page})
+    named.repartition(*folders).write.partitionBy(*folders).parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of all shards as they were written; ``schema`` is that of the sharded table."""
+    return spark.read.schema(schema).parquet(path).select(*[F.col(f"`{n}`") for n in schema.names])

@@ -34,6 +34,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def row_digest(df: DataFrame) -> Column:
+    """MD5 of a whole row, as hexadecimal digits: every value with its length in front, nulls as ``-``."""
+    parts = []
+    for name in df.columns:
+        value = F.col(f"`{name}`").cast("string")
+        parts.append(F.when(value.isNull(), F.lit("-")).otherwise(F.concat(F.char_length(value), F.lit(":"), value)))
+    return F.md5(F.concat(*parts))
+
+
 def whole(column: pa.Array) -> pa.Array:
     """Texts with null as the empty text."""
     return pc.fill_null(column.cast(pa.large_string()), "")

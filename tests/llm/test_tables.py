@@ -1,18 +1,24 @@
 """Sharding, mixing, quality, language model, top-k search and the pipeline."""
 import collections
+import hashlib
 import math
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from riskloom.llm import hmm, line_dedup, mixing, pieces, quality, sharding, topk
 from riskloom.llm.queries import QUERIES
 
-from .test_texts import lower, plain_components, plain_fingerprint, plain_lines
+from .test_texts import lower, plain_lines, plain_near_copies
 
 
 def documents(spark, folder):
@@ -55,24 +61,57 @@ def test_shards_of_equal_rows_get_pages(docs_of, odd_rows):
     assert sharding.assign_shards(docs_of([]), 500).count() == 0
 
 
-def test_shard_files_hold_one_shard_each(docs_of, odd_rows, tmp_path):
-    docs = docs_of(odd_rows)
-    sharding.write_shards(sharding.assign_shards(docs, 1_000), str(tmp_path / "shards"))
-    back = docs.sparkSession.read.schema(
-        sharding.assign_shards(docs, 1_000).schema
-    ).parquet(str(tmp_path / "shards"))
-    assert back.count() == len(odd_rows)
+@pytest.mark.parametrize("limit", [1_000, 10**9])
+def test_shard_files_hold_one_shard_each(spark, docs_of, odd_rows, tmp_path, limit):
+    path = str(tmp_path / "shards")
+    sharded = sharding.assign_shards(docs_of(odd_rows), limit)
+    sharding.write_shards(sharded, path)
+    back = sharding.read_shards(spark, path, sharded.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, sharded.collect()))  # the undivided bucket's name, "", too
+    files = back.select("shard", "shard_page", F.input_file_name().alias("file")).distinct().collect()
+    assert len({r.file for r in files}) == len(files) == sharded.select("shard", "shard_page").distinct().count()
+
+
+def test_shards_of_clashing_columns(spark, tmp_path):
+    names = ["text", "shard", "shard_page", "n_bytes", "hash", "size", "prefix", "depth", "row", "in_shard", "__hash"]
+    rows = [tuple(f"{n}{i} " * 40 for n in names) for i in range(60)]
+    docs = spark.createDataFrame(rows, [*names])
+    sharded = sharding.assign_shards(docs, 900)
+    assert sharded.columns == [*names, "_shard", "_shard_page", "_n_bytes"] == [*docs.columns, *sharding.shard_names(docs)]
+    assert sorted(map(tuple, sharded.select(names).collect())) == sorted(rows)
+    sharding.write_shards(sharded, str(tmp_path / "s"), ("_shard", "_shard_page"))
+    back = sharding.read_shards(spark, str(tmp_path / "s"), sharded.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, sharded.collect()))
+    assert back.select("_shard").distinct().count() > 10
+
+
+def test_rows_that_share_all_bits_get_pages_that_fit(docs_of, odd_rows, monkeypatch):
+    monkeypatch.setattr(sharding, "row_hash", lambda docs: F.lit(5).cast("long") + 0 * F.char_length("keep"))
+    rows = odd_rows + [(i, "x" * 600, "a") for i in range(20)] + [(99, "y" * 300, "a")] * 7
+    found = sharding.assign_shards(docs_of(rows), 1_000).collect()
+    check_shards(found, 1_000)
+    assert len(found) == len(rows)
+
+
+def test_nulls_and_other_columns_tell_rows_apart(spark):
+    rows = [("x" * 600, "a", None), ("x" * 600, None, "a"), ("x" * 600, "a", ""), ("x" * 600, "", "a")]
+    docs = spark.createDataFrame(rows, "text string, lang string, source string")
+    found = sharding.assign_shards(docs, 1_000).collect()
+    assert len({r.shard for r in found}) == 4 and all(r.shard_page == 0 for r in found)
 
 
 # --- mixing ------------------------------------------------------------------
 
-def plain_count(rate, parts, seed, key):
-    import hashlib
+def plain_digest(row):
+    values = [None if v is None else str(v) for v in row]
+    return hashlib.md5("".join("-" if v is None else f"{len(v)}:{v}" for v in values).encode()).hexdigest()
+
 
+def plain_count(rate, parts, seed, key, digest):
     n = 0
     for part in range(1, parts + 1):
         name = "null" if key is None else str(key)
-        u = int(hashlib.md5(f"{seed}|{name}|{part}".encode()).hexdigest()[:13], 16) / 2**52
+        u = int(hashlib.md5(f"{seed}|{name}|{digest}|{part}".encode()).hexdigest()[:13], 16) / 2**52
         term = total = math.exp(-rate / parts)
         k = 0
         while total <= u and k < mixing.MAX_COUNT + 1:
@@ -94,8 +133,8 @@ def test_mixing_counts_and_columns(docs_of, odd_rows):
     for source in ("hot", "rare"):
         rate = 2.0 * len(rows) * weights[source] / 4.0 / sizes[source]
         parts = max(1, math.ceil(rate / mixing.PART_MEAN))
-        for key in (k for k, _, s in rows if s == source):
-            assert got[key, source] == plain_count(rate, parts, 42, key)
+        for row in docs.where(F.col("source") == source).collect():
+            assert got[row.doc_id, source] == plain_count(rate, parts, 42, row.doc_id, plain_digest(row))
     share = sum(n for (_, s), n in got.items() if s == "rare") / sum(got.values())
     assert abs(share - 0.75) < 0.05
     assert not any(s not in weights for _, s in got)
@@ -111,6 +150,20 @@ def test_mixing_defaults(docs_of, odd_rows, spark):
     assert "_copy" in mixing.mix_sources(taken).columns
 
 
+def test_mixing_of_clashing_columns_and_one_key(spark):
+    names = ["doc_id", "source", "text", "n", "digest", "parts", "cumulative", "source_key", "row", "key", "order", "place", "__n", "__source"]
+    rows = [(None if i % 2 else 7, "s", *[f"{n}{i}" for n in names[2:]]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, " + ", ".join(f"{n} string" for n in names[1:]))
+    mixed = mixing.mix_sources(docs)
+    assert mixed.columns == [*names, "copy"]
+    got = collections.Counter(tuple(r)[:-1] for r in mixed.collect())
+    assert set(got) <= set(rows)
+    # rows of one key or of none draw on their own
+    assert len(set(got.values())) > 2 and 250 < sum(got.values()) < 550 and len(got) < 350
+    spread = mixing.mix_sources(docs).groupBy(F.spark_partition_id()).count().collect()
+    assert len(spread) > 1 or spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
+
+
 # --- quality -----------------------------------------------------------------
 
 def test_quality_on_held_out_labels(spark, folder):
@@ -142,6 +195,83 @@ def test_quality_of_odd_rows(spark, docs_of, odd_rows):
     assert quality.keep_good(docs, quality.score_documents(docs, spark.createDataFrame([], schema))).count() == len(odd_rows)
 
 
+def plain_features(text):
+    """The features of a text by plain Python over its bytes."""
+    raw = (text or "").encode()
+    if not raw:
+        return [0.0] * len(quality.NAMES)
+    found = [w.encode() for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    n, size, spaces = max(len(found), 1), len(raw), sum(b in b" \t\n\x0b\x0c\r" for b in raw)
+    upper, lowers = sum(65 <= b <= 90 for b in raw), sum(97 <= b <= 122 for b in raw)
+    times = collections.Counter(found)
+
+    def known(b):
+        return chr(b).isalnum() if b < 128 else True
+
+    out = {
+        "log_words": math.log1p(len(found)), "log_bytes": math.log1p(size), "word_length": (size - spaces) / n,
+        "upper": upper / max(upper + lowers, 1), "digit": sum(48 <= b <= 57 for b in raw) / size,
+        "beyond_ascii": sum(b >= 128 for b in raw) / size, "space": spaces / size, "lines": math.log1p(raw.count(b"\n")),
+    }
+    if found:
+        out |= {
+            "distinct_words": math.log1p(len(times)) / math.log1p(n),
+            "repeats_previous": sum(a == b for a, b in zip(found, found[1:])) / n,
+            "top_word": (max(times.values()) - 1) / n,
+            "odd_ending": sum(not known(w[-1]) and chr(w[-1]) not in ".,;:?" for w in found) / n,
+            "no_letter": sum(not any(known(b) for b in w) for w in found) / n,
+            "short_lines": (raw.count(b"\n") + 1) / n,
+        }
+    out |= {f"punctuation_{ord(c)}": math.sqrt(raw.count(c.encode()) / size) for c in quality.PUNCTUATION}
+    return [out.get(name, 0.0) for name in quality.NAMES]
+
+
+def test_features_equal_plain_python(spark, folder, odd_rows):
+    texts = [r.text for r in documents(spark, folder).collect()] + [t for _, t, _ in odd_rows] + ["-" * 64 + "letters", "-" * 70, "=" * 300 + "a b"]
+    found = quality.features(pa.array(texts, pa.string()))
+    assert np.allclose(found, [plain_features(t) for t in texts])
+    bare = quality.NAMES.index("no_letter")
+    assert found[-3, bare] == 0 and found[-2, bare] == 1 and found[-1, bare] == 0  # the whole word counts
+
+
+def test_pairs_fit_and_score_equal_plain_python(spark, folder):
+    """Preference pairs, their logistic loss and the scores, worked out again from the features."""
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = {r.doc_id: plain_features(r.text) for r in documents(spark, folder).collect()}
+    taught = {k: labels[k] for k in rows if k in labels and zlib.crc32(str(k).encode()) % 5}
+    table = spark.createDataFrame([(k, q, rows[k]) for k, q in taught.items()], "key bigint, quality int, features array<double>")
+    model = quality.fit(table, pairs=3_000)
+    order = {r.key: r.h for r in table.select("key", F.xxhash64("key").alias("h")).collect()}
+    good, bad = (sorted((k for k, q in taught.items() if q == side), key=lambda k: order[k]) for side in (1, 0))
+    plain = []
+    for i in range(3_000):
+        g, b = rows[good[i % len(good)]], rows[bad[(i + i // len(good)) % len(bad)]]
+        plain.append((float(i % 2 == 0), [(x - y) * (-1 if i % 2 else 1) for x, y in zip(g, b)]))
+    ranks = table.withColumn("rank", F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("key"), "key")).cast("long") - 1)
+    made = quality.preference_pairs(ranks, len(good), len(bad), 3_000).collect()
+    assert sorted((r.label, tuple(np.round(r.features.toArray(), 9))) for r in made) == sorted((y, tuple(np.round(x, 9))) for y, x in plain)
+
+    y, x = np.array([p[0] for p in plain]), np.array([p[1] for p in plain])
+    scale = x.std(axis=0, ddof=1)
+
+    def loss(weights):
+        return np.logaddexp(0, -(2 * y - 1) * (x @ weights)).mean() + 0.5e-4 * ((weights * scale) ** 2).sum()
+
+    weights = np.array(model.weights)
+    best = loss(weights)
+    rng = np.random.default_rng(1)
+    for size in (1e-2, 1e-1):  # no nearby weights are better
+        for _ in range(40):
+            assert loss(weights + size * rng.normal(size=len(weights)) / np.maximum(scale, 1e-3)) >= best - 1e-6
+    raw = {k: float(np.dot(rows[k], weights)) for k in taught}
+    at = np.quantile(list(raw.values()), len(bad) / len(taught))
+    assert np.isclose(model.at_quantile, at) and np.isclose(model.spread, np.std(list(raw.values())))
+    scored = spark.createDataFrame([(k, f) for k, f in rows.items()], "k bigint, f array<double>")
+    for r in scored.select("k", model.score(F.col("f")).alias("s")).collect():
+        z = (np.dot(rows[r.k], weights) - at) / model.spread + math.log(0.3 / 0.7)
+        assert np.isclose(r.s, 1 / (1 + math.exp(-z)))
+
+
 def test_threshold_lies_at_the_quantile(spark):
     model = quality.PairwiseModel([1.0], 2.0, 0.5)
     df = spark.createDataFrame([([1.9],), ([2.0],), ([2.1],)], "f array<double>")
@@ -185,6 +315,74 @@ def test_expected_counts_equal_plain_forward_backward(monkeypatch, window):
     assert np.allclose(block.likelihood(model), [p[3] for p in plain])
 
 
+def test_blocks_are_bounded_by_tokens_and_keep_rows(monkeypatch):
+    monkeypatch.setattr(hmm, "BLOCK_TOKENS", 5_000)
+    rng = np.random.default_rng(2)
+    seqs = [rng.integers(0, 9, n).astype(np.uint16) for n in [*rng.integers(1, 900, 300), 20_000, 1]]
+    batch = pa.RecordBatch.from_arrays([pa.array([s.tobytes() for s in seqs])], ["classes"])
+    seen = []
+    for rows, found in hmm._blocks(batch):
+        assert sum(map(len, found)) <= 5_000 + max(map(len, found))
+        assert all((seqs[i] == f).all() for i, f in zip(rows, found))
+        seen += rows.tolist()
+    assert sorted(seen) == list(range(len(seqs)))
+    assert list(hmm._blocks(batch.slice(0, 0))) == []
+
+
+def test_a_thousand_long_texts_fit_in_memory():
+    """1,000 texts of 5,000 tokens, in a process of its own, below 500 MB with all libraries."""
+    code = """
+import numpy as np, pyarrow as pa, resource
+from riskloom.llm import hmm
+rng = np.random.default_rng(0)
+frequency = np.full(hmm.CLASSES + 1, 1 / (hmm.CLASSES + 1))
+model = hmm.Model.untrained(frequency, hmm.STATES)
+batch = pa.RecordBatch.from_arrays([pa.array([rng.integers(0, hmm.CLASSES, 5_000).astype(np.uint16).tobytes() for _ in range(1_000)])], ["classes"])
+total = 0.0
+for k, (_, sequences) in enumerate(hmm._blocks(batch)):
+    if k < 3:
+        total += hmm._Block(sequences).expected(model)[3]
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    used = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(hmm.__file__).parents[2]).stdout)
+    assert used < 500
+
+
+def test_training_stops_when_it_gains_little(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame([(rng.integers(0, 4, 200).astype(np.uint16).tobytes(),) for _ in range(8)], "classes binary")
+    calls, from_counts = [], hmm.Model.from_counts
+    monkeypatch.setattr(hmm.Model, "from_counts", classmethod(lambda cls, *a: calls.append(1) or from_counts(*a)))
+    hmm.baum_welch(rows, np.full(4, 0.25), 2, 30)  # nothing to learn from noise
+    assert len(calls) < 10
+
+
+def test_scores_equal_a_plain_model(spark, monkeypatch):
+    """score = log10 of the classes' forward probability and of every word in its class."""
+    monkeypatch.setattr(hmm, "HEAD_WORDS", 3)
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.5, rng.integers(0, 30)) if x < 60) for _ in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    kept = {}
+    train = hmm.baum_welch
+    monkeypatch.setattr(hmm, "baum_welch", lambda *a: kept.setdefault("model", train(*a)))
+    rows = hmm.score_documents(docs, F.col("doc_id") % 4 == 0, iterations=2).collect()
+    counts = collections.Counter(w for i, t in enumerate(texts) if i % 4 for w in plain_tokens(t))
+
+    def kind(w):
+        return hmm.CLASSES if w == "\n" else int(hmm.classes_of([w])[0])
+
+    mass, distinct = np.zeros(hmm.CLASSES + 1), np.zeros(hmm.CLASSES + 1)
+    for w, c in counts.items():
+        mass[kind(w)] += c
+        distinct[kind(w)] += 1
+    for r in rows:
+        tokens = plain_tokens(texts[r.doc_id])
+        classes = [kind(w) for w in tokens]
+        inside = sum(math.log10((counts[w] + 0.5) / (mass[k] + 0.5 * (distinct[k] + 1))) for w, k in zip(tokens, classes))
+        assert np.isclose(r.score, plain_hmm(kept["model"], classes)[3] + inside)
+
+
 def plain_tokens(text):
     return [w for w in re.split(r"[\x20\x09-\x0D]+", lower(text or "")) if w] + ["\n"]
 
@@ -288,16 +486,16 @@ def test_pipeline_equals_its_stages_in_plain_python(spark, folder):
     good = {r.doc_id for r in scored.where("predicted = 1").collect()}
     rows = [r for r in start.collect() if r.doc_id in good]
     cut = {k: text for k, text, _, _ in plain_lines([(r.doc_id, r.text) for r in rows], line_dedup.MIN_DOCUMENTS)}
-    prints = [(k, plain_fingerprint(t)) for k, t in cut.items()]
-    components = plain_components(prints)
-    kept = {k for k, f in prints if components[k, f] == k}
-    rows = [r for r in rows if r.doc_id in kept]
+    components = plain_near_copies(list(cut.items()))
+    rows = [r for r in rows if components[r.doc_id, cut[r.doc_id]] == r.doc_id]
     sizes = collections.Counter(r.source for r in rows)
     shares = {s: n**mixing.TEMPERATURE for s, n in sizes.items()}
     expected = {}
     for r in rows:
         rate = len(rows) * shares[r.source] / sum(shares.values()) / sizes[r.source]
-        n = plain_count(rate, max(1, math.ceil(rate / mixing.PART_MEAN)), 42, r.doc_id)
+        text = cut[r.doc_id]
+        digest = plain_digest(tuple({**r.asDict(), "text": text, "n_chars": len(text)}.values()))
+        n = plain_count(rate, max(1, math.ceil(rate / mixing.PART_MEAN)), 42, r.doc_id, digest)
         if n:
             expected[r.doc_id] = (n, cut[r.doc_id])
     got = corpus_pipeline.run(spark, folder)

@@ -50,6 +50,31 @@ def test_pieces_agree_with_the_library_decoder(vocabulary):
         assert model.decode(ids.tolist()) == text
 
 
+def test_long_runs_equal_short_ones(vocabulary, monkeypatch):
+    """A run filtered some positions at a time gives the pieces that the whole lattice gives."""
+    rng = np.random.default_rng(6)
+    letters = list("abcdefghijklmnopqrstuvwxyz") + ["é", "漢", "\U0001f389", "▁"]
+    texts = ["".join(rng.choice(letters, n)) for n in (70, 200, 333, 1_000)] + ["two words " + "x" * 150 + " end", "aaaa" * 40]
+    keys = np.arange(len(texts))
+    whole_runs = pieces.sample(pieces.Store(vocabulary), texts, keys, 3)
+    for size in (1, 7, 64, 100):
+        monkeypatch.setattr(pieces, "LONG_UNIT", size)
+        in_parts = pieces.sample(pieces.Store(vocabulary), texts, keys, 3)
+        assert [p.tolist() for p in in_parts] == [p.tolist() for p in whole_runs]
+
+
+def test_no_piece_boundary_is_fixed_in_a_long_run(vocabulary):
+    text = "the" * 70_000 + "rest" * 10_000  # 250,000 characters
+    table = vocabulary.decoder()
+    crossed = False
+    for key in range(4):
+        ids = pieces.sample(pieces.Store(vocabulary), [text], np.array([key]), 42)[0]
+        assert pieces.decode(table, ids.tolist()) == text
+        ends = np.cumsum([len(table[i].decode()) for i in ids])
+        crossed |= pieces.LONG_UNIT not in ends
+    assert crossed
+
+
 def _segmentations(vocabulary, word):
     """All ways to cut a word, with their weights, by plain recursion."""
     known = {t: (i, w) for i, t, w in zip(vocabulary.ids, vocabulary.texts, vocabulary.weights)}
