@@ -20,6 +20,7 @@ DEFAULT_FEATURES = [
     "amount", "distance_from_home_km", "hour_of_day", "account_age_days", "baseline_spend",
 ]
 BUCKETS = 10
+ALL_ROWS = ""  # stands for the rows themselves, where they are counted along
 SERIES_TERMS = 100
 
 
@@ -35,12 +36,14 @@ def shared_features(reference: DataFrame, current: DataFrame, wanted: list[str]
     return [f for f in (wanted or DEFAULT_FEATURES) if f in both]
 
 
-def melt(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
-    """Values that are neither null nor NaN as rows (feature, value, n_ref, n_cur), one per value and source row."""
+def melt(reference: DataFrame, current: DataFrame, features: list[str], count_rows: bool = False) -> DataFrame:
+    """Values that are neither null nor NaN as rows (feature, value, n_ref, n_cur), one per value and source row.
+
+    With ``count_rows`` a feature named ``ALL_ROWS`` has one value for every row.
+    """
     def side(df: DataFrame, ref: int) -> DataFrame:
-        pairs = F.array(*[
-            F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features
-        ])
+        values = {f: F.col(f).cast("double") for f in features} | ({ALL_ROWS: F.lit(0.0)} if count_rows else {})
+        pairs = F.array(*[F.struct(F.lit(f).alias("feature"), v.alias("value")) for f, v in values.items()])
         return df.select(F.inline(pairs)).where("value is not null and not isnan(value)").select(
             "feature", "value",
             F.lit(ref).cast("bigint").alias("n_ref"), F.lit(1 - ref).cast("bigint").alias("n_cur"),
@@ -50,13 +53,13 @@ def melt(reference: DataFrame, current: DataFrame, features: list[str]) -> DataF
 
 
 def distribution(
-    reference: DataFrame, current: DataFrame, features: list[str], slices: int | None = None
+    reference: DataFrame, current: DataFrame, features: list[str], slices: int | None = None, count_rows: bool = False
 ) -> DataFrame:
     """Rows (feature, value, n_ref, n_cur, cum_ref, cum_cur, next_value, size_ref, size_cur).
 
     The counts per distinct value are made here, in one pass over the rows, and stored.
     """
-    rows = melt(reference, current, features)
+    rows = melt(reference, current, features, count_rows)
     counts = rows.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     stored = stored_slices(counts, "feature", "value", slices)
     sizes = stored.groupBy("feature").agg(F.sum("n_ref").alias("size_ref"), F.sum("n_cur").alias("size_cur"))
@@ -142,26 +145,15 @@ def ks_p_value(ks: Column, size_ref: Column, size_cur: Column) -> Column:
     )
 
 
-def drift_metrics(
-    reference: DataFrame,
-    current: DataFrame,
-    features: list[str] | None = None,
-    thresholds: DriftThresholds = DriftThresholds(),
-    slices: int | None = None,
-) -> DataFrame:
-    """One row per feature: statistics, verdict and severity.
-
-    Verdict and severity look at the unrounded values.
-    """
-    names = shared_features(reference, current, features)
-    dist = distribution(reference, current, names, slices)
+def _judged(dist: DataFrame, names: list[str], thresholds: DriftThresholds) -> DataFrame:
+    """One row per feature of the distribution: sizes, statistics, verdict and severity."""
     joined = bucket_counts(dist).withColumns({
         "psi": psi(),
         "p": ks_p_value(F.col("ks"), F.col("size_ref"), F.col("size_cur")),
     })
     drifting = (F.col("psi") > thresholds.psi) | (F.col("p") < thresholds.p_value)
     severity = F.when(F.col("psi") > 0.25, "HIGH").when(F.col("psi") > 0.10, "MODERATE").otherwise("NEGLIGIBLE")
-    order = F.array_position(F.array(*map(F.lit, names)), F.col("feature"))
+    order = F.array_position(F.array(*map(F.lit, names)).cast("array<string>"), F.col("feature"))
     return joined.select(
         order.alias("feature_no"),
         "feature",
@@ -171,9 +163,26 @@ def drift_metrics(
         round_half_up(F.col("wasserstein"), 4).alias("wasserstein_distance"),
         F.coalesce(drifting, F.lit(False)).alias("drift_detected"),
         severity.alias("severity"),
+        "size_ref",
+        "size_cur",
     )
 
 
+def drift_metrics(
+    reference: DataFrame,
+    current: DataFrame,
+    features: list[str] | None = None,
+    thresholds: DriftThresholds = DriftThresholds(),
+    slices: int | None = None,
+) -> DataFrame:
+    """One row per feature: statistics, verdict and severity.
+
+    Verdict and severity look at the unrounded values.
+    """
+    names = shared_features(reference, current, features)
+    return _judged(distribution(reference, current, names, slices), names, thresholds).drop("size_ref", "size_cur")
+
+
 def drift_report(
     reference: DataFrame,
     current: DataFrame,
@@ -182,26 +191,32 @@ def drift_report(
 ) -> DataFrame:
     """One row: overall status, sample sizes, drifting features and a metric struct per feature.
 
+    Each side is read once: its rows are counted in the same pass as its values.
     Without rows on a side nothing can be said, and the status is NO_DATA.
     """
-    def rows_of(df: DataFrame) -> Column:
-        return df.agg(F.count("*")).scalar()
-
+    names = shared_features(reference, current, features)
+    judged = _judged(distribution(reference, current, names, count_rows=True), names, thresholds)
     metric = F.struct(
         "ks_statistic", "p_value", "psi_score", "wasserstein_distance", "drift_detected", "severity"
     )
+    a_feature = F.col("feature") != ALL_ROWS
+
+    def rows_of(size: str) -> Column:
+        return F.coalesce(F.max(F.when(~a_feature, F.col(size))), F.lit(0)).cast("bigint")
+
     # collects one entry per feature
-    folded = drift_metrics(reference, current, features, thresholds).agg(
-        F.array_sort(F.collect_list(F.struct("feature_no", "feature", metric.alias("metric")))).alias("all")
+    folded = judged.agg(
+        F.array_sort(F.collect_list(F.when(a_feature, F.struct("feature_no", "feature", metric.alias("metric"))))).alias("all"),
+        rows_of("size_ref").alias("n_ref"), rows_of("size_cur").alias("n_cur"),
     )
     drifting = F.transform(
         F.filter("all", lambda e: e["metric"]["drift_detected"]), lambda e: e["feature"]
     )
     return folded.select(
-        F.when((rows_of(reference) == 0) | (rows_of(current) == 0), "NO_DATA")
+        F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), "NO_DATA")
         .when(F.size(drifting) > 0, "DRIFT_ALERT").otherwise("STABLE").alias("overall_status"),
-        rows_of(reference).alias("reference_sample_size"),
-        rows_of(current).alias("current_sample_size"),
+        F.col("n_ref").alias("reference_sample_size"),
+        F.col("n_cur").alias("current_sample_size"),
         F.size(drifting).cast("bigint").alias("drifting_features_count"),
         drifting.alias("drifting_features"),
         F.map_from_entries(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import asdict, dataclass
+from math import ceil
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -17,6 +18,7 @@ from riskloom.plans.features import feature_names, fit_feature_model, transform_
 from riskloom.session import ensure_checkpoint_dir
 
 THRESHOLD = 0.50
+TASK_ROWS = 50_000  # training rows of a task; a hundred rounds run some thousand small jobs
 WEIGHT_SHARE = 0.75
 
 
@@ -60,14 +62,17 @@ def class_weight(train: DataFrame, label: str = "is_fraud") -> DataFrame:
 
 
 def fit_classifier(
-    vectors: DataFrame, pos_weight: float, params: BoostingParams, label: str = "is_fraud"
+    vectors: DataFrame, pos_weight: float, params: BoostingParams, label: str = "is_fraud", rows: int | None = None
 ) -> GBTClassificationModel:
+    """Boosted trees. With the number of ``rows`` they are dealt to as many tasks as they are worth."""
     ensure_checkpoint_dir(vectors.sparkSession)
     weighted = vectors.select(
         "features",
         F.col(label).cast("double").alias("label"),
         F.when(F.col(label) == 1, F.lit(pos_weight)).otherwise(1.0).alias("weight"),
     )
+    if rows is not None:
+        weighted = weighted.repartition(max(1, ceil(rows / TASK_ROWS)))
     return GBTClassifier(
         featuresCol="features",
         labelCol="label",
@@ -78,6 +83,8 @@ def fit_classifier(
         subsamplingRate=params.row_share,
         featureSubsetStrategy=str(params.column_share),
         seed=params.seed,
+        maxMemoryInMB=1024,  # all nodes of a level in one pass
+        checkpointInterval=20,
     ).fit(weighted)
 
 
@@ -122,7 +129,8 @@ def fit_bundle(train: DataFrame, run_id: str, params: BoostingParams) -> tuple[M
     """Fit the feature model and the classifier on training rows only."""
     weights = class_weight(train).first().asDict()
     model = fit_feature_model(train)
-    classifier = fit_classifier(transform_features(train, model), weights["pos_weight"], params)
+    vectors = transform_features(train, model)
+    classifier = fit_classifier(vectors, weights["pos_weight"], params, rows=weights["train_samples"])
     return ModelBundle(model, classifier, run_id, {}), {**asdict(params), **weights}
 
 

@@ -720,8 +720,11 @@ _BODIES: dict[str, str] = {
         {_half_up('(count(*) filter (where not is_test) - sum(is_fraud) filter (where not is_test))::double '
                   '/ greatest(sum(is_fraud) filter (where not is_test), 1) * 0.75::double', 2)} as pos_weight,
         5 as top_features from split""",
-    "p2_metrics_recomputed": """select unnest(['roc_auc', 'precision', 'recall', 'true_positives', 'false_positives',
-        'true_negatives', 'false_negatives']) as metric, true as agrees""",
+    "p2_metrics_recomputed": """select unnest(['roc_auc', 'average_precision', 'precision', 'recall', 'f1_score',
+        'true_positives', 'false_positives', 'true_negatives', 'false_negatives']) as metric, true as agrees""",
+    "p2_quality_bounds": """select unnest(['roc_auc', 'average_precision', 'f1_score', 'recall', 'precision']) as metric,
+        unnest([0.9, 0.8, 0.7, 0.7, 0.6])::double as bound, true as reached""",
+    "p2_tested_rows": "select transaction_id, is_fraud from split where is_test",
     "k4_answer_checks": _ANSWERS,
     "p4_stored_answer_checks": _ANSWERS,
     "j11_stratified_split": "select * from split",
@@ -759,6 +762,8 @@ _BODIES: dict[str, str] = {
     "l2_quantile_buckets": "select feature, bucket::integer as bucket, n_ref, n_cur from buck_big",
     "l2_quantile_edges": "select feature, (i - 1)::integer as edge_no, edge from edge_big",
     "l3_ks_statistic": f"select feature, {_half_up('ks', 6)} as ks_statistic from far_big",
+    "l_profile_drift": """select feature, sum(n_ref)::bigint as n_ref, sum(n_cur)::bigint as n_cur, true as ks_close,
+        true as same_verdict from buck_big group by feature""",
     "l4_ks_p_value": f"select feature, {_half_up('p', 5)} as p_value from pv_halves",
     "l5_wasserstein": f"select feature, {_half_up('w1', 4)} as wasserstein_distance from far_big",
     "l5_wasserstein_sliced": f"""select feature, {_half_up('w1', 4)} as wasserstein_distance,

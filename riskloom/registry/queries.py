@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 from riskloom import schemas
 from riskloom.functions import rules
 from riskloom.functions.money import round_half_up
-from riskloom.operators import checksum, dedup, drift, histogram, metrics, quality, sampling, velocity
+from riskloom.operators import (
+    checksum, dedup, drift, histogram, metrics, ordered, profile, quality, sampling, velocity,
+)
 from riskloom.plans import features, jobs, marts, policy, reports, scoring, silver, training
 from riskloom.session import configure, scratch_path
 from riskloom.sources import adapters, lake, requests
@@ -696,31 +698,64 @@ def _(spark, d):
         F.size("top_features").alias("top_features"))
 
 
+def _tested(spark, d) -> DataFrame:
+    """Stored test scores of the training run."""
+    root, entry = _trained(spark, d)
+    return spark.read.parquet(f"{root}/{entry['run_id']}/test_scores")
+
+
 @query("p2_metrics_recomputed")
 def _(spark, d):
-    """The ledger's metrics against another way to work them out from the stored test scores."""
-    root, entry = _trained(spark, d)
+    """The ledger's metrics against another way to work them out from the stored test scores.
+
+    The area comes from the sum of the frauds' ranks, the average precision from
+    the precision at every fraud, ties sharing one rank; both from running totals
+    over the distinct scores, in slices.
+    """
+    root, _ = _trained(spark, d)
     stored = lake.read_report(spark, schemas.TRAINING_RUN, f"{root}/runs").select(F.explode("metrics").alias("metric", "value"))
-    tested = spark.read.parquet(f"{root}/{entry['run_id']}/test_scores")
-    ranked = tested.select(
-        "label", (F.rank().over(Window.orderBy("score")) + F.count("*").over(Window.orderBy("score"))).alias("twice_rank"),
-        (F.col("score") >= training.THRESHOLD).cast("int").alias("hit"))
-    n = ranked.agg(
-        F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"),
-        F.sum(F.when(F.col("label") == 1, F.col("twice_rank") / 2)).alias("ranks"),
-        F.sum(F.col("hit") * F.col("label")).alias("tp"), F.sum(F.col("hit") * (1 - F.col("label"))).alias("fp"))
+    rows = _tested(spark, d).select(F.lit("all").alias("curve"), (-F.col("score")).alias("falling"), "label")
+    counts = rows.groupBy("curve", "falling").agg(F.sum("label").alias("frauds"), F.count("*").alias("n"))
+    run = ordered.running_totals(ordered.stored_slices(counts, "curve", "falling"), "curve", "falling", ["frauds", "n"])
+    hit = F.col("falling") <= -training.THRESHOLD
+    middle = F.col("cum_n") - (F.col("n") - 1) / 2  # rank from the top, shared by equal scores
+    n = run.agg(
+        F.sum("frauds").alias("pos"), (F.sum("n") - F.sum("frauds")).alias("neg"),
+        F.sum(F.col("frauds") * middle).alias("ranks"),
+        F.sum(F.col("frauds") * (F.col("cum_frauds") / F.col("cum_n"))).alias("precisions"),
+        F.coalesce(F.sum(F.when(hit, F.col("frauds"))), F.lit(0)).alias("tp"),
+        F.coalesce(F.sum(F.when(hit, F.col("n") - F.col("frauds"))), F.lit(0)).alias("fp"))
     again = n.select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("metric"), value.cast("double").alias("again")) for name, value in {
-            "roc_auc": (F.col("ranks") - F.col("pos") * (F.col("pos") + 1) / 2) / (F.col("pos") * F.col("neg")),
+            "roc_auc": (F.col("pos") * (F.col("neg") + F.col("pos")) + F.col("pos") - F.col("ranks")
+                        - F.col("pos") * (F.col("pos") + 1) / 2) / (F.col("pos") * F.col("neg")),
+            "average_precision": F.col("precisions") / F.col("pos"),
             "true_positives": F.col("tp"), "false_positives": F.col("fp"),
             "false_negatives": F.col("pos") - F.col("tp"), "true_negatives": F.col("neg") - F.col("fp"),
             "precision": F.coalesce(F.col("tp") / F.nullif(F.col("tp") + F.col("fp"), F.lit(0)), F.lit(0.0)),
             "recall": F.coalesce(F.col("tp") / F.nullif(F.col("pos"), F.lit(0)), F.lit(0.0)),
+            "f1_score": F.coalesce(2 * F.col("tp") / F.nullif(F.col("tp") + F.col("fp") + F.col("pos"), F.lit(0)), F.lit(0.0)),
         }.items()
     ])))
     return stored.join(again, "metric").select("metric", (F.abs(F.col("value") - F.col("again")) <= 6e-5).alias("agrees"))
 
 
+@query("p2_quality_bounds")
+def _(spark, d):
+    """Whether the model separates fraud on test rows that it never saw."""
+    least = {"roc_auc": 0.9, "average_precision": 0.8, "f1_score": 0.7, "recall": 0.7, "precision": 0.6}
+    found = training.evaluate(_tested(spark, d))
+    return found.select(F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.lit(v).alias("bound"), (F.col(m) >= v).alias("reached")) for m, v in least.items()
+    ])))
+
+
+@query("p2_tested_rows")
+def _(spark, d):
+    """The labels of the stored test rows: those of the split, each once."""
+    return _tested(spark, d).select("transaction_id", F.col("label").cast("int").alias("is_fraud"))
+
+
 # --- K: scoring --------------------------------------------------------------
 
 query("k1_enriched_requests")(lambda spark, d: _enriched(spark, d).select(
@@ -836,8 +871,10 @@ def _sample_drift(spark, d):
 
 
 def _scaled_drift(spark, d):
-    """All transactions against all of them with larger amounts, over every default feature."""
-    base = _features(spark, d)
+    """All transactions against all of them with larger amounts, over every default feature; joined once."""
+    path = scratch_path(spark, "drift-sides")
+    _features(spark, d).select("transaction_id", *drift.DEFAULT_FEATURES).write.parquet(path)
+    base = spark.read.parquet(path)
     return base, drift.perturbed(base)
 
 
@@ -855,6 +892,26 @@ def _(spark, d):
 query("l9_shared_features")(lambda spark, d: drift.drift_metrics(
     *_scaled_drift(spark, d), drift.DEFAULT_FEATURES).select("feature"))
 query("l10_flat_report")(lambda spark, d: drift.flat_report(drift.drift_report(*_scaled_drift(spark, d))))
+
+
+@query("l_profile_drift")
+def _(spark, d):
+    """Stored profiles of ten batches against the other side's, held against the exact PSI and KS."""
+    reference, current = _sides(spark, d)
+    path, error = scratch_path(spark, "profiles"), profile.rank_error()
+    for batch in range(10):  # as they would arrive, without reading the earlier ones again
+        part = reference.where(F.pmod(F.xxhash64("transaction_id"), F.lit(10)) == batch)
+        profile.profile_of(part, DRIFT_FEATURES).write.parquet(f"{path}/batch={batch}")
+    stored = profile.merged_profile(spark.read.parquet(path))
+    found = profile.profile_drift(stored, profile.profile_of(current, DRIFT_FEATURES))
+    exact = drift.bucket_counts(drift.distribution(reference, current, DRIFT_FEATURES)).select(
+        "feature", F.col("ks").alias("exact_ks"), drift.psi().alias("exact_psi"))
+    # a rank of either side may be off by the error; a bucket has two edges
+    return found.join(exact, "feature").select(
+        "feature", "n_ref", "n_cur", (F.abs(F.col("ks") - F.col("exact_ks")) <= 2 * (error + 1 / profile.GRID)).alias("ks_close"),
+        ((F.col("psi") > 0.2) == (F.col("exact_psi") > 0.2)).alias("same_verdict"))
+
+
 query("l11_perturbed_sample")(lambda spark, d: _sample_drift(spark, d)[1].select("transaction_id", "amount"))
 
 
@@ -960,9 +1017,10 @@ def _(spark, d):
 
 @query("p2_training_job")
 def _(spark, d):
-    entry = _trained(spark, d)[1]
-    rows = [(k, float(v)) for k, v in entry["metrics"].items()]
-    return spark.createDataFrame(rows, "metric string, value double")
+    """The metrics of the run as the ledger holds them."""
+    root, entry = _trained(spark, d)
+    runs = lake.read_report(spark, schemas.TRAINING_RUN, f"{root}/runs").where(F.col("run_id") == entry["run_id"])
+    return runs.select(F.explode("metrics").alias("metric", "value"))
 
 
 @query("p3_drift_job")

@@ -45,14 +45,17 @@ def scored_requests(
     return scoring.responses(scoring.score_by_model(enriched, bundle), bundle.version)
 
 
-def velocity_stream(stream: DataFrame, root: str, checkpoint: str, delay: str = "1 day", **trigger) -> StreamingQuery:
+def velocity_stream(
+    stream: DataFrame, root: str, checkpoint: str, delay: str = "1 day", groups: int = velocity_state.USER_GROUPS, **trigger
+) -> StreamingQuery:
     """Rolling velocity of arriving transactions, written to ``<root>/velocity``.
 
     State is kept in RocksDB by ``velocity_state``: the instants of a slice of
     time and of the 24 hours before it, until the watermark has passed, and the
     last time of every user. So disk and state are bounded by a day of rows and
     the number of users, however long the stream runs; a restart goes on from
-    the checkpoint, and a repeated batch replaces itself.
+    the checkpoint, with the same number of ``groups`` of users, and a repeated
+    batch replaces itself.
 
     Results equal the batch operator's as long as batches arrive in time order;
     a late row does not change results already written, and rows later than
@@ -67,7 +70,7 @@ def velocity_stream(stream: DataFrame, root: str, checkpoint: str, delay: str =
     conf.set(key, velocity_state.STORE)  # the query keeps the setting it starts with
     try:
         return (
-            velocity_state.moving(stream, delay).writeStream.foreachBatch(process)
+            velocity_state.moving(stream, delay, groups=groups).writeStream.foreachBatch(process)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True}))
             .start()

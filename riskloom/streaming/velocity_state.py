@@ -29,21 +29,22 @@ from riskloom.operators.velocity import DAY, HOUR, UNTIMED
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLICE = DAY
-USER_GROUPS = 256
+USER_GROUPS = 16  # of users; more spread a stream over more tasks; fixed for a checkpoint
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 INSTANTS = pa.schema([
     ("user", pa.string()), ("t", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("spent", pa.int64()), ("first_id", pa.string()),
 ])
+LAST = pa.schema([("person", pa.string()), ("instant", pa.int64())])
 ROW = "transaction_id string, user_id string, timestamp timestamp, amount double"
 MOVED = f"{ROW}, person string, mark boolean, instant bigint, tx_count_last_1h bigint, known bigint, spent bigint, prev bigint, open boolean"
 RESULT = f"{ROW}, tx_count_last_1h bigint, total_spend_last_24h double, prev_tx_timestamp timestamp, seconds_since_prev_tx double"
 
 
-def packed(instants: pd.DataFrame) -> bytes:
+def packed(rows: pd.DataFrame, schema: pa.Schema) -> bytes:
+    """Rows as one value of state."""
     sink = pa.BufferOutputStream()
-    table = pa.Table.from_pandas(instants, schema=INSTANTS, preserve_index=False)
-    with pa.ipc.new_stream(sink, INSTANTS) as writer:
-        writer.write_table(table)
+    with pa.ipc.new_stream(sink, schema) as writer:
+        writer.write_table(pa.Table.from_pandas(rows, schema=schema, preserve_index=False))
     return sink.getvalue().to_pybytes()
 
 
@@ -103,14 +104,14 @@ class SliceState(StatefulProcessor):
             "known": arrived.paid.notna().astype("int64"), "spent": arrived.paid.fillna(0).astype("int64"),
             "first_id": arrived.transaction_id,
         })
-        if timed and self.kept.exists():
-            fresh = pd.concat([unpacked(self.kept.get()[0]), fresh], ignore_index=True)
+        before = self.kept.get() if timed else None
+        if before is not None:
+            fresh = pd.concat([unpacked(before[0]), fresh], ignore_index=True)
         instants = merged(fresh)
         if timed:
-            self.kept.update((packed(instants),))
-            end = (int(key[1]) + 1) * self.length // 1000
-            if not list(self.handle.listTimers()):
-                self.handle.registerTimer(end)  # in milliseconds
+            self.kept.update((packed(instants, INSTANTS),))
+            if before is None:
+                self.handle.registerTimer((int(key[1]) + 1) * self.length // 1000)  # in milliseconds
         own = arrived[arrived.own]
         if own.empty:
             return
@@ -140,7 +141,7 @@ class LastTimes(StatefulProcessor):
     """Fills in previous times that lie before a slice, from the last time of every user."""
 
     def init(self, handle) -> None:
-        self.last = handle.getMapState("last", "user string", "t bigint")
+        self.last = handle.getValueState("last", "data binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         if key[0] < 0:  # nothing is open here
@@ -148,23 +149,19 @@ class LastTimes(StatefulProcessor):
                 yield finished(part)
             return
         arrived = pd.concat(list(rows), ignore_index=True)
-        marks, rest = arrived[arrived.mark], arrived[~arrived.mark]
-        times = pd.concat([marks[["person", "instant"]], rest[["person", "instant"]]]).astype({"instant": "int64"}).drop_duplicates().sort_values(["person", "instant"])
-        before = times.groupby("person").instant.shift(1)
-        known: dict[str, int] = {}
-        for user in times.person.unique():
-            if self.last.containsKey((user,)):
-                known[user] = int(self.last.getValue((user,))[0])
+        arrived["instant"] = arrived.instant.astype("int64")
+        before = self.last.get()
+        known = unpacked(before[0]).set_index("person").instant if before is not None else pd.Series(dtype="int64")
+        times = arrived[["person", "instant"]].drop_duplicates().sort_values(["person", "instant"])
         stored = times.person.map(known)
         # the latest earlier time: of this batch, or kept from those before
-        earlier = pd.concat([before, stored.where(stored < times.instant)], axis=1).max(axis=1)
-        found = {(u, t): p for u, t, p in zip(times.person, times.instant, earlier)}
+        earlier = pd.concat([times.groupby("person").instant.shift(1), stored.where(stored < times.instant)], axis=1).max(axis=1)
+        rest = arrived[~arrived["mark"].astype(bool)]
         if len(rest):
-            prev = [found[u, int(t)] for u, t in zip(rest.person, rest.instant)]
-            yield finished(rest.assign(prev=pd.array([pd.NA if pd.isna(p) else int(p) for p in prev], "Int64")))
-        for user, t in times.groupby("person").instant.max().items():
-            if t > known.get(user, t - 1):
-                self.last.updateValue((user,), (int(t),))
+            found = rest.merge(times.assign(earlier=earlier), on=["person", "instant"], how="left")
+            yield finished(found.assign(prev=found.earlier.astype("Int64")))
+        latest = pd.concat([known.rename_axis("person").reset_index(name="instant"), times]).groupby("person", as_index=False).instant.max()
+        self.last.update((packed(latest, LAST),))
 
     def close(self) -> None:
         pass
