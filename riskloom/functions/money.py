@@ -28,15 +28,21 @@ def _fraction(amount: Column) -> Column:
     return F.floor((amount - F.floor(amount)) * float(MILLION) + 0.5)
 
 
-def _joined(units: Column, millionths: Column) -> Column:
+def summed(amount: Column) -> tuple[Column, Column]:
+    """Sums of whole units and of millionths, which add up over partial results; null when no amount is present."""
+    known = present(amount)
+    return F.sum(F.floor(known)), F.sum(_fraction(known))
+
+
+def joined(units: Column, millionths: Column) -> Column:
+    """The amount of summed units and millionths, as double."""
     exact = units.cast("decimal(20,0)") + millionths.cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(7,6)")
     return exact.cast("double")
 
 
 def total(amount: Column) -> Column:
     """Exact sum of amounts, as double; null when no amount is present."""
-    known = present(amount)
-    return _joined(F.sum(F.floor(known)), F.sum(_fraction(known)))
+    return joined(*summed(amount))
 
 
 def total_where(condition: Column, amount: Column) -> Column:

@@ -35,7 +35,12 @@ USER_PROFILE = [
 
 
 def dim_users(users: DataFrame, tx: DataFrame) -> DataFrame:
-    return users.join(user_metrics(tx), "user_id", "left").select(
+    return users_with(users, user_metrics(tx))
+
+
+def users_with(users: DataFrame, metrics: DataFrame) -> DataFrame:
+    """The user dimension of given metrics per user."""
+    return users.join(metrics, "user_id", "left").select(
         *USER_PROFILE,
         _zero_if_none("total_transactions", 0),
         _zero_if_none("total_lifetime_spend", 0.0),
@@ -56,8 +61,13 @@ def merchant_metrics(tx: DataFrame) -> DataFrame:
 
 
 def dim_merchants(merchants: DataFrame, tx: DataFrame) -> DataFrame:
+    return merchants_with(merchants, merchant_metrics(tx))
+
+
+def merchants_with(merchants: DataFrame, metrics: DataFrame) -> DataFrame:
+    """The merchant dimension of given metrics per merchant."""
     rate = round_half_up(share(F.col("fraud_tx_count"), F.col("total_processed_tx")), 4)
-    return merchants.join(merchant_metrics(tx), "merchant_id", "left").select(
+    return merchants.join(metrics, "merchant_id", "left").select(
         "merchant_id",
         "merchant_name",
         "category",

@@ -580,6 +580,14 @@ _BODIES: dict[str, str] = {
         {_money('case when is_fraud = 1 then amount else 0 end')} as total_fraud_volume from tx group by merchant_id""",
     "d3_fraud_rate": "select merchant_id, empirical_fraud_rate from dm",
     "d4_daily_kpis": _DAILY,
+    "d1_incremental_users": "select * from du",
+    "d2_incremental_merchants": "select * from dm",
+    "d4_incremental_days": _DAILY,
+    "d9_weekly_actives": """select cast(date_trunc('week', timestamp) as date) as period_start, count(distinct user_id) as exact_users,
+        count(distinct merchant_id) as exact_merchants, true as users_close, true as merchants_close from act group by 1""",
+    "h6_batch_stamps": """select transaction_id, 'batch_' || strftime(timestamp, '%Y%m%d_%H%M%S') || '_' || channel as batch_id,
+        strftime(timestamp, '%Y-%m-%dT%H:%M:%S') || case when extract(microsecond from timestamp) % 1000000 <> 0
+        then '.' || strftime(timestamp, '%f') else '' end as landed_at from act""",
     "d5_category_risk": _CATEGORY,
     "d6_channel_metrics": _CHANNEL,
     "d7_dim_users_staged": f"""

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom import schemas
-from riskloom.functions import rules
+from riskloom.functions import rules, times
 from riskloom.functions.money import round_half_up
 from riskloom.operators import (
     checksum, dedup, drift, histogram, metrics, ordered, profile, quality, sampling, velocity,
 )
-from riskloom.plans import features, jobs, marts, policy, reports, scoring, silver, training
+from riskloom.plans import features, incremental, jobs, marts, policy, reports, scoring, silver, training
 from riskloom.session import configure, scratch_path
 from riskloom.sources import adapters, lake, requests
 from riskloom.streaming import landing, live
@@ -408,6 +408,44 @@ def _(spark, d):
     })
 
 
+def _batched(spark, d) -> str:
+    """Marts built from four batches in turn, the second delivered twice."""
+    root, tx = scratch_path(spark, "incremental"), _activity(spark, d)
+    for batch in (0, 1, 1, 2, 3):
+        incremental.apply_batch(tx.where(F.pmod(F.xxhash64("transaction_id"), F.lit(4)) == batch), root, f"batch_{batch}")
+    return root
+
+
+query("d1_incremental_users")(lambda spark, d: incremental.dim_users(
+    _users(spark, d), incremental.read_states(spark, _batched(spark, d), "users")))
+query("d2_incremental_merchants")(lambda spark, d: incremental.dim_merchants(
+    _merchants(spark, d), incremental.read_states(spark, _batched(spark, d), "merchants")))
+query("d4_incremental_days")(lambda spark, d: incremental.daily_kpis(incremental.read_days(spark, _batched(spark, d))))
+
+
+@query("d9_weekly_actives")
+def _(spark, d):
+    """Distinct users and merchants per week from stored daily sketches, beside the exact counts."""
+    weeks = incremental.distinct_over(incremental.read_days(spark, _batched(spark, d)), "week")
+    exact = _activity(spark, d).groupBy(F.to_date(F.date_trunc("week", "timestamp")).alias("period_start")).agg(
+        F.count_distinct("user_id").alias("exact_users"), F.count_distinct("merchant_id").alias("exact_merchants"))
+
+    def close(estimate, count):  # three standard errors, and one for small counts
+        return F.abs(F.col(estimate) - F.col(count)) <= 3 * incremental.sketch_error() * F.col(count) + 1
+
+    return weeks.join(exact, "period_start").select(
+        "period_start", "exact_users", "exact_merchants", close("users", "exact_users").alias("users_close"),
+        close("merchants", "exact_merchants").alias("merchants_close"))
+
+
+@query("h6_batch_stamps")
+def _(spark, d):
+    """The names and times that a batch landed at each transaction's instant would have."""
+    return _activity(spark, d).select(
+        "transaction_id", times.batch_stamp(F.col("timestamp"), F.col("channel")).alias("batch_id"),
+        times.iso_text(F.col("timestamp")).alias("landed_at"))
+
+
 query("d21_filter_domains")(lambda spark, d: reports.filter_domains(_activity(spark, d)))
 
 

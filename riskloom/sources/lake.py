@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import schemas
+from riskloom.functions.times import batch_name
 from riskloom.operators.checksum import checksum_of, digest_number
 from riskloom.session import local_rows
 from riskloom.sources import commits
@@ -23,7 +24,7 @@ def now_text() -> str:
 
 
 def new_batch_id(label: str) -> str:
-    return f"batch_{datetime.now(timezone.utc):%Y%m%d_%H%M%S}_{label}"
+    return batch_name(datetime.now(timezone.utc), label)
 
 
 def write_counted(

@@ -9,8 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from riskloom import schemas
+from riskloom.functions import times
 from riskloom.operators import drift, quality, velocity
-from riskloom.plans import features, jobs, marts, reports, scoring, training
+from riskloom.plans import features, incremental, jobs, marts, reports, scoring, training
 from riskloom.sources import adapters, commits, lake, requests
 from riskloom.streaming import landing, live
 
@@ -125,6 +126,48 @@ def test_a_rerun_skips_the_stages_that_are_done(spark, sources, tmp_path, monkey
     assert jobs.run_medallion(spark, other, root, resume=True)["stages"]["bronze_ingestion"]["status"] == "COMPLETED"
 
 
+def test_incremental_marts_equal_a_full_rebuild_and_rewrite_few_dates(spark, sources, tmp_path):
+    root, tx = str(tmp_path), sources["transactions"]
+    first, second = tx.where("timestamp < '2024-01-20'"), tx.where("timestamp >= '2024-01-19 12:00:00'")
+    odd = spark.createDataFrame([("n1", None, None, None, 1, None), ("n2", "USR_00001", "MER_0001", float("nan"), 0, None)],
+                                "transaction_id string, user_id string, merchant_id string, amount double, is_fraud int, timestamp timestamp")
+    columns = odd.columns
+    batches = {"a": first.where("transaction_id like '%1'"), "b": first.where("transaction_id not like '%1'"),
+               "c": second.where("timestamp >= '2024-01-20'"), "d": odd}
+    written = {}
+    for name in ("a", "b", "b", "c", "d"):
+        dates = incremental.apply_batch(batches[name].select(columns), root, name)
+        days = {p.name: max(f.stat().st_mtime_ns for f in p.iterdir()) for p in (tmp_path / "daily").iterdir() if "=" in p.name}
+        rewritten = {d for d, at in days.items() if written.get(d) != at}
+        assert rewritten == {f"transaction_date={d or '__HIVE_DEFAULT_PARTITION__'}" for d in dates}
+        written = days
+    assert len(dates) == 1
+    everything = tx.select(columns).unionByName(odd)
+    states = {s: incremental.read_states(spark, root, s) for s in ("users", "merchants")}
+    for got, full in (
+        (incremental.daily_kpis(incremental.read_days(spark, root)), marts.daily_kpis(everything)),
+        (incremental.dim_users(sources["users"], states["users"]), marts.dim_users(sources["users"], everything)),
+        (incremental.dim_merchants(sources["merchants"], states["merchants"]), marts.dim_merchants(sources["merchants"], everything)),
+    ):
+        assert sorted(map(str, got.select(full.columns).collect())) == sorted(map(str, full.collect()))
+
+
+def test_distinct_counts_unite_over_days(spark, tmp_path):
+    rows = [(f"T{i}", f"U{i % 700}", f"M{i % 9}", 1.0, 0, datetime(2024, 1, 1 + i % 20)) for i in range(4_000)]
+    tx = spark.createDataFrame(rows, "transaction_id string, user_id string, merchant_id string, amount double, is_fraud int, timestamp timestamp")
+    for batch in range(2):
+        incremental.apply_batch(tx.where(F.pmod(F.hash("transaction_id"), F.lit(2)) == batch), str(tmp_path), str(batch))
+    found = incremental.distinct_over(incremental.read_days(spark, str(tmp_path)), "month").collect()
+    assert len(found) == 1 and abs(found[0].users - 700) <= 3 * incremental.sketch_error() * 700 and found[0].merchants == 9
+
+
+def test_names_and_times_of_a_landed_batch(spark):
+    at = [datetime(2024, 3, 5, 7, 8, 9), datetime(2024, 12, 31, 23, 59, 59, 120), datetime(1, 1, 1)]
+    made = spark.createDataFrame([(t, "x") for t in at], "t timestamp, l string").select(
+        times.batch_stamp(F.col("t"), F.col("l")), times.iso_text(F.col("t"))).collect()
+    assert [tuple(r) for r in made] == [(times.batch_name(t, "x").replace("batch_10101", "batch_00010101"), t.isoformat()) for t in at]
+
+
 def test_drift_job_stores_its_report(spark, lake_root, tmp_path):
     fact = lake.current_marts(spark, lake_root[0] + "/gold")["fct_transactions"]
     stored = jobs.run_drift(spark, fact, drift.perturbed(fact, 5.0), str(tmp_path / "report")).first()
