@@ -103,15 +103,15 @@ def build_gold(spark: SparkSession, layer: dict[str, DataFrame], root: str, vers
     fact = marts.fct_transactions(tx)
     dated = fact.withColumn("transaction_date", F.to_date("timestamp"))
     plans = {
-        "dim_users": (marts.dim_users(users, tx), None),
-        "dim_merchants": (marts.dim_merchants(merchants, tx), None),
-        "fct_transactions": (dated, "transaction_date"),
+        "dim_users": (marts.dim_users(users, tx), None, ("user_id",)),
+        "dim_merchants": (marts.dim_merchants(merchants, tx), None, ("merchant_id",)),
+        "fct_transactions": (dated, "transaction_date", ("user_id", "merchant_id")),
         # names come from silver, whose rows match the dimensions one to one,
         # so this mart need not wait for them
-        "fct_fraud_incidents": (marts.fct_fraud_incidents(fact, users, merchants), None),
+        "fct_fraud_incidents": (marts.fct_fraud_incidents(fact, users, merchants), None, ()),
     }
     built = side_by_side(spark, {
-        name: (lambda n=name, p=plan: lake.publish(p[0], root, n, version, p[1]))
+        name: (lambda n=name, p=plan: lake.publish(p[0], root, n, version, *p[1:]))
         for name, plan in plans.items()
     })
     lake.commit_versions(spark, root, version, list(built.values()), base)

@@ -800,6 +800,8 @@ _BODIES: dict[str, str] = {
         {_REASONS} as factors, 'rules' as model_version
         from (select r.*, r.amount / greatest(1.0::double, u.baseline_spend) as amount_to_baseline_ratio, m.risk_tier
           from rs r join usr u on u.user_id = r.user_id join mer m on m.merchant_id = r.merchant_id where r.amount > 0)""",
+    "n4_current_versions": """select transaction_id, u.baseline_spend * case when extract(day from t.timestamp) <= 15 then 1 else 2 end
+        as baseline_spend from tx t join usr u on u.user_id = t.user_id""",
     "n5_stream_velocity": """select transaction_id, tx_count_last_1h, total_spend_last_24h, prev_tx_timestamp,
         seconds_since_prev_tx from vel""",
     "p1_medallion_job": """select 'SUCCESS' as run_status, * from (

@@ -1026,6 +1026,25 @@ def _(spark, d):
     return answers.withColumn("factors", F.array_join("factors", "; "))
 
 
+@query("n4_current_versions")
+def _(spark, d):
+    """Requests in two micro-batches, users published anew between them: which baseline each request met."""
+    root, files = scratch_path(spark, "lookups"), spark.sparkContext.defaultParallelism
+    tx = _tx(spark, d).select("transaction_id", "user_id", "timestamp")
+    users = _users(spark, d).select("user_id", "baseline_spend")
+
+    def met(batch, tables):
+        return batch.join(tables["users"], "user_id").select("transaction_id", "baseline_spend")
+
+    for factor, days in ((1, (1, 15)), (2, (16, 31))):
+        lake.write_snapshot(users.withColumn("baseline_spend", F.col("baseline_spend") * factor), f"{root}/master", "users")
+        part = tx.where(F.dayofmonth("timestamp").between(*days))
+        part.repartition(files).write.mode("append").parquet(f"{root}/arriving")
+        stream = spark.readStream.schema(tx.schema).parquet(f"{root}/arriving")
+        live.with_current_tables(stream, f"{root}/master", met, root, f"{root}/_checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/rows").drop("epoch")
+
+
 @query("n5_stream_velocity")
 def _(spark, d):
     """The month arriving in five parts, one micro-batch each, a part in as many files as tasks can run."""

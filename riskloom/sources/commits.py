@@ -95,7 +95,10 @@ def commit(spark: SparkSession, root: str, records: list[dict], base: int | None
     raise CommitConflict(f"no free number after {attempts} attempts")
 
 
-def current_paths(spark: SparkSession, root: str) -> dict[str, str]:
-    """Path of the current version of every table."""
-    latest = entries(spark, root).groupBy("name").agg(F.max_by("path", "number").alias("path"))
+def current_paths(spark: SparkSession, root: str, at: int | None = None) -> dict[str, str]:
+    """Path of the current version of every table, or of that which was current at commit ``at``."""
+    log = entries(spark, root)
+    if at is not None:
+        log = log.where(F.col("number") <= at)
+    latest = log.groupBy("name").agg(F.max_by("path", "number").alias("path"))
     return {r["name"]: r["path"] for r in latest.collect()}  # one row per table

@@ -33,12 +33,15 @@ def write_counted(
     mode: str = "overwrite",
     by_date: str | None = None,
     sums: dict[str, Column] | None = None,
+    find_by: tuple[str, ...] = (),
 ) -> dict:
     """Write a Parquet table and return counts taken while writing it, without a second pass.
 
     ``by_date`` partitions the files by that column. Rows are rebalanced on it
     first, so a task writes few dates, and a date too big for one task is split.
-    ``sums`` adds totals of expressions to the observed ``rows``.
+    ``sums`` adds totals of expressions to the observed ``rows``. ``find_by``
+    names the columns of point reads: files are sorted by them, so a row group
+    holds a narrow range of the first, and have Bloom filters for all of them.
     """
     sums = sums or {}
     watched = Observation()
@@ -55,7 +58,12 @@ def write_counted(
         )
         .drop(*[f"_sum_{n}" for n in sums])
     )
+    if find_by:
+        df = df.sortWithinPartitions(*([by_date] if by_date else []), *find_by)
     writer = df.write.mode(mode)
+    for column in find_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")  # sized by the values of a row group
     if by_date is not None:
         writer = writer.partitionBy(by_date)
     writer.parquet(path)
@@ -131,14 +139,16 @@ def read_report(spark: SparkSession, schema: str, path: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def publish(df: DataFrame, root: str, name: str, version: str, by_date: str | None = None) -> dict:
+def publish(
+    df: DataFrame, root: str, name: str, version: str, by_date: str | None = None, find_by: tuple[str, ...] = ()
+) -> dict:
     """Build a new version of a mart next to the old one; readers switch with the commit.
 
     Nothing a reader uses is overwritten, so a failed or repeated build leaves
     the current version as it was.
     """
     path = f"{root}/{name}/version={version}"
-    return {"name": name, "path": path, **write_counted(df, path, by_date=by_date)}
+    return {"name": name, "path": path, **write_counted(df, path, by_date=by_date, find_by=find_by)}
 
 
 def commit_versions(spark: SparkSession, root: str, version: str, built: list[dict], base: int | None = None) -> int:

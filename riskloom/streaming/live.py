@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskloom.functions.money import mean, round_half_up, share, total, total_where
 from riskloom.plans import scoring
 from riskloom.plans.training import ModelBundle
+from riskloom.sources import commits
 from riskloom.sources.requests import accepted, parse_requests
 from riskloom.streaming import velocity_state
 
@@ -45,6 +49,42 @@ def scored_requests(
     return scoring.responses(scoring.score_by_model(enriched, bundle), bundle.version)
 
 
+def with_current_tables(
+    stream: DataFrame, published: str, build: Callable[[DataFrame, dict[str, DataFrame]], DataFrame], root: str, checkpoint: str,
+    **trigger,
+) -> StreamingQuery:
+    """Write ``build(batch, tables)`` of every micro-batch to ``<root>/rows``, with the tables published at that time.
+
+    The commit log below ``published`` is looked up anew for each batch, so a
+    version published while the stream runs is used from the next batch on. The
+    commit number that a batch uses is claimed once before it is worked on: a
+    batch repeated after a failure finds its own number and gives the same rows.
+    """
+
+    def process(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        used = {"name": "published", "path": published, "version": str(commits.last_number(spark, published)), "entries": 1}
+        commits.claim(spark, f"{root}/lookups", epoch, json.dumps({**used, "number": epoch}) + "\n")
+        at = commits.entries(spark, f"{root}/lookups").where(F.col("number") == epoch).first()["version"]
+        tables = {n: spark.read.parquet(p) for n, p in commits.current_paths(spark, published, int(at)).items()}
+        build(batch, tables).write.mode("overwrite").parquet(f"{root}/rows/epoch={epoch}")
+
+    return (
+        stream.writeStream.foreachBatch(process)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def scoring_stream(payloads: DataFrame, published: str, root: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Scored requests with the users and merchants current in each micro-batch; see ``with_current_tables``."""
+    def build(batch: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+        return scored_requests(batch, tables["users"], tables["merchants"])
+
+    return with_current_tables(payloads, published, build, root, checkpoint, **trigger)
+
+
 def velocity_stream(
     stream: DataFrame, root: str, checkpoint: str, delay: str = "1 day", groups: int = velocity_state.USER_GROUPS, **trigger
 ) -> StreamingQuery:
