@@ -580,6 +580,10 @@ _BODIES: dict[str, str] = {
         {_money('case when is_fraud = 1 then amount else 0 end')} as total_fraud_volume from tx group by merchant_id""",
     "d3_fraud_rate": "select merchant_id, empirical_fraud_rate from dm",
     "d4_daily_kpis": _DAILY,
+    "c1_bucketed_users": "select * from du",
+    "c6_bucketed_profiles": """select f.transaction_id, f.user_id, f.amount / greatest(1.0::double, u.baseline_spend)
+        as amount_to_baseline_ratio, case when f.country is distinct from u.country then 1 else 0 end as is_cross_border
+        from tx f join usr u on u.user_id = f.user_id""",
     "d1_incremental_users": "select * from du",
     "d2_incremental_merchants": "select * from dm",
     "d4_incremental_days": _DAILY,

@@ -16,7 +16,7 @@ from riskloom.functions.money import round_half_up
 from riskloom.operators import (
     checksum, dedup, drift, histogram, metrics, ordered, profile, quality, sampling, velocity,
 )
-from riskloom.plans import features, incremental, jobs, marts, policy, reports, scoring, silver, training
+from riskloom.plans import bucketed, features, incremental, jobs, marts, policy, reports, scoring, silver, training
 from riskloom.session import configure, scratch_path
 from riskloom.sources import adapters, lake, requests
 from riskloom.streaming import landing, live
@@ -408,6 +408,17 @@ def _(spark, d):
     })
 
 
+@cache
+def _bucketed(spark, d) -> bucketed.BucketedTables:
+    """Stored once per session and folder, joined by each of the queries below."""
+    fact = marts.fct_transactions(_fact(spark, d))
+    return bucketed.store(fact, _users(spark, d), scratch_path(spark, "buckets"), spark.sparkContext.defaultParallelism)
+
+
+query("c6_bucketed_profiles")(lambda spark, d: bucketed.spend_profiles(_bucketed(spark, d), spark))
+query("c1_bucketed_users")(lambda spark, d: bucketed.user_summary(_bucketed(spark, d), spark).drop("fraud_share"))
+
+
 def _batched(spark, d) -> str:
     """Marts built from four batches in turn, the second delivered twice."""
     root, tx = scratch_path(spark, "incremental"), _activity(spark, d)

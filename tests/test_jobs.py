@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from riskloom import schemas
 from riskloom.functions import times
 from riskloom.operators import drift, quality, velocity
-from riskloom.plans import features, incremental, jobs, marts, reports, scoring, training
+from riskloom.plans import bucketed, features, incremental, jobs, marts, reports, scoring, training
 from riskloom.sources import adapters, commits, lake, requests
 from riskloom.streaming import landing, live
 
@@ -168,6 +168,27 @@ def test_names_and_times_of_a_landed_batch(spark):
     assert [tuple(r) for r in made] == [(times.batch_name(t, "x").replace("batch_10101", "batch_00010101"), t.isoformat()) for t in at]
 
 
+def test_bucketed_joins_move_no_fact_rows(spark, lake_root, tmp_path):
+    gold = lake.current_marts(spark, lake_root[0] + "/gold")
+    fact, users = gold["fct_transactions"], gold["dim_users"].select(*marts.USER_PROFILE)
+    tables = bucketed.store(fact, users, str(tmp_path), 8)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = bucketed.spend_profiles(tables, spark)
+        rows = made.collect()
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        summary = bucketed.user_summary(tables, spark)
+        assert "Exchange" not in summary._jdf.queryExecution().executedPlan().toString()
+        full = marts.dim_users(users, fact)
+        assert sorted(map(str, summary.select(full.columns).collect())) == sorted(map(str, full.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        tables.drop(spark)
+    assert len(rows) == fact.join(users, "user_id").count()
+
+
 def test_drift_job_stores_its_report(spark, lake_root, tmp_path):
     fact = lake.current_marts(spark, lake_root[0] + "/gold")["fct_transactions"]
     stored = jobs.run_drift(spark, fact, drift.perturbed(fact, 5.0), str(tmp_path / "report")).first()
