@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.operators.dedup import surplus_rows
-
 CRITICAL_COLUMNS = ["transaction_id", "user_id", "merchant_id", "amount", "timestamp"]
 
 # Message formats of failed checks; %s is the number of violations.
@@ -52,26 +50,61 @@ def orphans(tx: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphans"))
 
 
-def gate_measurements(tx: DataFrame, users: DataFrame, merchants: DataFrame) -> DataFrame:
-    """One row with every count the gate needs.
+def row_flags(tx: DataFrame) -> dict[str, Column]:
+    """0 or 1 per row and row-level check; their sums can be observed while a batch lands."""
+    broken = {f"null_{c}": missing(tx, c) for c in CRITICAL_COLUMNS}
+    broken |= {
+        "positive_amount": ~F.isnan("amount") & (F.col("amount") <= 0),
+        "non_negative_distance": ~F.isnan("distance_from_home_km") & (F.col("distance_from_home_km") < 0),
+        "binary_label": ~F.coalesce(F.col("is_fraud").isin(0, 1), F.lit(False)),
+    }
+    return {name: F.when(condition, 1).otherwise(0) for name, condition in broken.items()}
+
 
-    Row-level checks share one pass; the keyed checks are scalar subqueries
-    that run next to it.
+def keyed_measurements(tx: DataFrame, users: DataFrame, merchants: DataFrame) -> DataFrame:
+    """One row: unique_transaction_id, known_user, known_merchant, from one scan and one exchange.
+
+    The three keys of a row go into one grouping, together with the keys of the
+    parents, so orphans need no join. Counts combine before the exchange, so a
+    key that holds much of the table costs no more than any other.
     """
-    nulls = [_count_if(missing(tx, c)).alias(f"null_{c}") for c in CRITICAL_COLUMNS]
-    scanned = tx.agg(
-        F.count("*").alias("total"),
-        *nulls,
-        _count_if(~F.isnan("amount") & (F.col("amount") <= 0)).alias("positive_amount"),
-        _count_if(~F.isnan("distance_from_home_km") & (F.col("distance_from_home_km") < 0)).alias("non_negative_distance"),
-        _count_if(~F.coalesce(F.col("is_fraud").isin(0, 1), F.lit(False))).alias("binary_label"),
+    def entry(kind: int, key: str):
+        return F.struct(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"))
+
+    used = tx.select(F.inline(F.array(entry(0, "transaction_id"), entry(1, "user_id"), entry(2, "merchant_id"))))
+    used = used.select("kind", "key", F.lit(1).alias("n"), F.lit(0).alias("parent"))
+    for kind, table, key in ((1, users, "user_id"), (2, merchants, "merchant_id")):
+        parents = table.where(F.col(key).isNotNull()).select(entry(kind, key).alias("e")).select("e.*", F.lit(0).alias("n"), F.lit(1).alias("parent"))
+        used = used.unionByName(parents)
+    per_key = used.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.max("parent").alias("parent"))
+
+    def rows(condition: Column, n: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0)).cast("bigint")
+
+    lost = F.col("parent") == 0
+    return per_key.agg(
+        rows(F.col("kind") == 0, F.col("n") - 1).alias("unique_transaction_id"),
+        rows((F.col("kind") == 1) & lost, F.col("n")).alias("known_user"),
+        rows((F.col("kind") == 2) & lost, F.col("n")).alias("known_merchant"),
     )
-    return scanned.withColumns({
-        "not_null_critical": reduce(lambda a, b: a + b, [F.col(f"null_{c}") for c in CRITICAL_COLUMNS]),
-        "unique_transaction_id": surplus_rows(tx, "transaction_id").scalar(),
-        "known_user": orphans(tx, users, "user_id").scalar(),
-        "known_merchant": orphans(tx, merchants, "merchant_id").scalar(),
-    })
+
+
+def gate_measurements(tx: DataFrame, users: DataFrame, merchants: DataFrame, observed: dict[str, int] | None = None) -> DataFrame:
+    """One row with every count the gate needs.
+
+    ``observed`` are the sums of ``row_flags`` and the ``total`` of rows as
+    they were seen while the batch landed; without them one more pass counts.
+    """
+    keyed = keyed_measurements(tx, users, merchants)
+    names = [*row_flags(tx), "total"]
+    if observed is None:
+        scanned = tx.agg(
+            *[F.coalesce(F.sum(flag), F.lit(0)).cast("bigint").alias(n) for n, flag in row_flags(tx).items()], F.count("*").alias("total")
+        )
+        both = keyed.withColumns({n: scanned.select(n).scalar() for n in names})
+    else:
+        both = keyed.withColumns({n: F.lit(int(observed[n])).cast("bigint") for n in names})
+    return both.withColumn("not_null_critical", reduce(lambda a, b: a + b, [F.col(f"null_{c}") for c in CRITICAL_COLUMNS]))
 
 
 def _null_detail() -> Column:
@@ -105,11 +138,13 @@ def gate_checks(tx: DataFrame, users: DataFrame, merchants: DataFrame) -> DataFr
     return gate_measurements(tx, users, merchants).select(F.inline(checks))
 
 
-def gate_summary(tx: DataFrame, users: DataFrame, merchants: DataFrame) -> DataFrame:
-    """One row: checks_run, passed, total_records_tested, failures, status."""
+def gate_summary(
+    tx: DataFrame, users: DataFrame, merchants: DataFrame, observed: dict[str, int] | None = None
+) -> DataFrame:
+    """One row: checks_run, passed, total_records_tested, failures, status; see ``gate_measurements``."""
     failures = F.filter(F.array(*map(_message, MESSAGES)), lambda m: m.isNotNull())
     passed = F.size(failures) == 0
-    return gate_measurements(tx, users, merchants).select(
+    return gate_measurements(tx, users, merchants, observed).select(
         F.lit(len(MESSAGES)).alias("checks_run"),
         passed.alias("passed"),
         F.col("total").alias("total_records_tested"),

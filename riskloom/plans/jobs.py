@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from riskloom import schemas
 from riskloom.operators.checksum import content_checksum
 from riskloom.operators.drift import DriftThresholds, drift_report
-from riskloom.operators.quality import ContractViolation, gate_summary
+from riskloom.operators.quality import ContractViolation, gate_summary, row_flags
 from riskloom.operators.sampling import stratified_split
 from riskloom.plans import marts, scoring, silver, training
 from riskloom.plans.features import compute_features
@@ -63,16 +63,17 @@ def land(spark: SparkSession, sources: dict[str, DataFrame], root: str, label: s
     """Bronze stage: one immutable batch, master-data snapshots and a ledger entry."""
     batch_id = lake.new_batch_id(label)
     done = side_by_side(spark, {
-        "tx": lambda: lake.land_batch(sources["transactions"], root, batch_id),
+        "tx": lambda: lake.land_batch(sources["transactions"], root, batch_id, watched=row_flags(sources["transactions"])),
         "users": lambda: lake.write_snapshot(sources["users"], root, "users"),
         "merchants": lambda: lake.write_snapshot(sources["merchants"], root, "merchants"),
     })
-    return lake.append_audit(spark, root, done["tx"], done["users"], done["merchants"])
+    audit = lake.append_audit(spark, root, done["tx"], done["users"], done["merchants"])
+    return {**audit, "observed": done["tx"]["observed"]}
 
 
-def gate(tx: DataFrame, users: DataFrame, merchants: DataFrame) -> dict:
+def gate(tx: DataFrame, users: DataFrame, merchants: DataFrame, observed: dict[str, int] | None = None) -> dict:
     """Evaluate the contracts; raise with every failure if any is broken."""
-    summary = gate_summary(tx, users, merchants).first().asDict()
+    summary = gate_summary(tx, users, merchants, observed).first().asDict()
     if not summary["passed"]:
         raise ContractViolation(summary["failures"])
     return summary
@@ -160,7 +161,7 @@ def run_medallion(
         return {**audit, "paths": {**{n: paths[n] for n in ("users", "merchants")}, "transactions": audit["tx_path"]}}
 
     def checked() -> dict:
-        return gate(**{k: bronze[n] for k, n in (("tx", "transactions"), ("users", "users"), ("merchants", "merchants"))})
+        return gate(bronze["transactions"], bronze["users"], bronze["merchants"], audit["observed"])
 
     def cleaned() -> dict:
         counts = build_silver(spark, bronze, f"{root}/silver", run_id)

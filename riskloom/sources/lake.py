@@ -70,18 +70,23 @@ def write_counted(
     return watched.get
 
 
-def land_batch(transactions: DataFrame, root: str, batch_id: str, replay: bool = False) -> dict:
+def land_batch(
+    transactions: DataFrame, root: str, batch_id: str, replay: bool = False, watched: dict[str, Column] | None = None
+) -> dict:
     """Write one immutable bronze batch; fails when the batch already exists.
 
+    Sums of the ``watched`` expressions are taken while the rows are written.
+
     ``replay`` is for streams, whose engine repeats an unfinished batch with the
     same id and the same rows.
     """
     path = f"{root}/transactions/batch_id={batch_id}"
     counts = write_counted(
         transactions, path, "overwrite" if replay else "errorifexists",
-        sums={"fraud_count": F.col("is_fraud"), "digest_sum": digest_number(transactions)},
+        sums={"fraud_count": F.col("is_fraud"), "digest_sum": digest_number(transactions), **(watched or {})},
     )
-    return {"batch_id": batch_id, "tx_path": path, **counts}
+    observed = {n: counts.pop(n) for n in (watched or {})} | {"total": counts["rows"]}
+    return {"batch_id": batch_id, "tx_path": path, "observed": observed, **counts}
 
 
 def write_snapshot(df: DataFrame, root: str, name: str) -> int:

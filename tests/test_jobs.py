@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom import schemas
 from riskloom.functions import times
-from riskloom.operators import drift, quality, velocity
+from riskloom.operators import dedup, drift, quality, velocity
 from riskloom.plans import bucketed, features, incremental, jobs, marts, reports, scoring, training
 from riskloom.sources import adapters, commits, lake, requests
 from riskloom.streaming import landing, live
@@ -206,6 +206,21 @@ def test_broken_contracts_halt_before_silver_and_are_recorded(spark, folder, sou
     assert lake.read_report(spark, schemas.RUN_TELEMETRY, f"{root}/reports/runs").first()["status"] == "FAILED"
 
 
+def test_the_gate_reads_a_landed_batch_once_and_finds_the_same(spark, folder, sources, tmp_path):
+    faulty = adapters.faulty_transactions(spark, folder)
+    landed = lake.land_batch(faulty, str(tmp_path), "b", watched=quality.row_flags(faulty))
+    stored = spark.read.schema(faulty.schema).parquet(landed["tx_path"])
+    parents = sources["users"], sources["merchants"]
+    summary = quality.gate_summary(stored, *parents, landed["observed"])
+    assert summary.first() == quality.gate_summary(faulty, *parents).first()
+    plan = summary._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 + 2 * 2  # the batch; customers, suppliers and their nations
+    apart = quality.keyed_measurements(faulty, *parents).first()
+    assert apart.unique_transaction_id == dedup.surplus_rows(faulty, "transaction_id").first()[0]
+    assert apart.known_user == quality.orphans(faulty, parents[0], "user_id").first()[0]
+    assert apart.known_merchant == quality.orphans(faulty, parents[1], "merchant_id").first()[0]
+
+
 def test_two_faults_are_found(spark, sources):
     first, second = [r[0] for r in sources["transactions"].select("transaction_id").orderBy("transaction_id").limit(2).collect()]
     bad = sources["transactions"].withColumns({
