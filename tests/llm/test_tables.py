@@ -515,6 +515,10 @@ def test_pipeline_stages_keep_the_columns(spark, docs_of, odd_rows, folder):
         assert out.collect() is not None
         assert stage(spark, docs_of([]), folder).count() == 0
     assert len(corpus_pipeline.STAGES) == 5
+    last = corpus_pipeline.STAGES[-1][1]
+    made = last(spark, docs, folder)
+    assert made.count() == len(odd_rows) and made.where("lossless").count() == len(odd_rows)
+    assert last(spark, docs_of([]), folder).count() == 0
 
 
 def test_every_query_is_registered():

@@ -353,6 +353,14 @@ def test_lines_of_odd_rows(docs_of, odd_rows):
     assert line_dedup.drop_repeated_lines(docs_of([])).count() == 0
 
 
+def test_lines_of_clashing_columns(docs_of):
+    rows = [(i, f"shared\nown {i}", "a") for i in range(12)]
+    docs = docs_of(rows).withColumnsRenamed({"keep": "n_lines", "row": "n_dropped", "k": "line"})
+    got = line_dedup.drop_repeated_lines(docs)
+    assert got.columns == [*docs.columns, "_n_lines", "_n_dropped"]
+    assert all((r.text, r.n_lines, r.n_dropped, r._n_lines, r._n_dropped) == (f"own {r.doc_id}", "keep", "row", 2, 1) for r in got.collect())
+
+
 def test_a_line_in_most_tasks(spark, docs_of):
     """One line fills several range partitions, beside lines on either side of the bound."""
     rows = [(i, f"shared\nown {i}\n Shared \nof few {i // 9}\nof ten {i // 10}", "a") for i in range(4_000)]
