@@ -169,7 +169,7 @@ def _split(data: bytes) -> list[bytes]:
 
 def _levels(size: Column, stage: int) -> Column:
     """Levels that a stage of blocks reduces in a tree of ``size`` leaves: what is left, at most 8."""
-    depth = F.ceil(F.log2(size.cast("double"))).cast("int")  # exact below 2^50 leaves
+    depth = F.when(size > 1, F.length(F.bin(size - 1))).otherwise(0)  # binary digits of the last place
     return F.greatest(F.lit(0), F.least(F.lit(BLOCK_BITS), depth - BLOCK_BITS * stage))
 
 

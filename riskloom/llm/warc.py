@@ -65,7 +65,7 @@ def record(record_id: str, page_id: int | None, url: str | None, payload: bytes,
         f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
     ]
     if url is not None:
-        lines.append("WARC-Target-URI: " + url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A"))
+        lines.append("WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"))  # a header is one line
     if page_id is not None:
         lines.append(f"Page-ID: {page_id}")
     if refers_to:

@@ -100,3 +100,10 @@ def test_directory_counts_what_lies_before(spark):
         if r.g:
             assert r.before == sum(i < r.word * 64 for i in ids) and r.n == bin(r.bits % 2**64).count("1")
     assert found["", 0].before == 0 and sum(r.n for r in found.values()) == len(rows)
+
+
+def test_levels_are_exact_at_powers_of_two(spark):
+    sizes = [1, 2, 3, *[2**k + d for k in range(2, 60) for d in (-1, 0, 1)]]
+    stages = [merkle._levels(F.col("size"), stage).alias(str(stage)) for stage in range(8)]
+    for r in spark.createDataFrame([(n,) for n in sizes], "size bigint").select("size", *stages).collect():
+        assert sum(r[str(stage)] for stage in range(8)) == (r["size"] - 1).bit_length()

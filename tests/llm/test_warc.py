@@ -97,5 +97,8 @@ def test_damaged_bundles_are_refused(spark, tmp_path):
         warc.Reader(str(path))
     head, http, payload = next(warc.records(warc.record("urn:x", 1, "u", b"abc", warc.payload_digest(b"abc"), None)))
     assert warc._fields(head, http, payload)[1] == 3
+    assert head["WARC-Target-URI"] == "u"
+    odd = warc.record("urn:x", 1, "http://a/%20b\r\nX-Header: 1", b"", warc.payload_digest(b""), None)
+    assert next(warc.records(odd))[0]["WARC-Target-URI"] == "http://a/%20b%0D%0AX-Header: 1"
     with pytest.raises(ValueError, match="digest"):
         warc._fields(head, http, b"abd")
