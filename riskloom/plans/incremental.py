@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.money import joined, present, round_half_up, share, summed
 from riskloom.functions.rules import is_fraud
 from riskloom.plans import marts
+from riskloom.plans.jobs import side_by_side
 
 SKETCH = 12  # log2 of a sketch's registers
 SUMS = ["n", "known", "units", "millionths", "fraud_n", "fraud_units", "fraud_millionths"]
@@ -50,9 +51,12 @@ def _overwritten(df: DataFrame, path: str, *parts: str) -> None:
 def apply_batch(tx: DataFrame, root: str, batch_id: str) -> list:
     """Store the batch's states and rewrite the daily mart for its dates, which are returned."""
     spark = tx.sparkSession
-    for side, key in (("users", "user_id"), ("merchants", "merchant_id")):
+
+    def store(side: str, key: str) -> None:
         states = day_states(tx, key).withColumn("batch_id", F.lit(batch_id))
         _overwritten(states, f"{root}/states/{side}", "transaction_date", "batch_id")
+
+    side_by_side(spark, {"users": lambda: store("users", "user_id"), "merchants": lambda: store("merchants", "merchant_id")})
     own = read_states(spark, root, "users").where(F.col("batch_id") == batch_id)
     dates = [r[0] for r in own.select("transaction_date").distinct().collect()]  # a row per day
     touched = F.col("transaction_date").isin([d for d in dates if d is not None])
