@@ -21,10 +21,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.text import fresh, whole, words
+from riskloom.operators.ordered import running_totals, stored_slices
 from riskloom.session import scratch_path
 
-FIT_ROWS = 20_000  # labelled rows that the fit uses at most, the first in hash order
-FIT_PAIRS = 40_000
+FIT_PAIRS = 40_000  # preference pairs at least; more where the labelled rows are more
+ROUNDS = 2  # pairs at least that every row of the larger class is in
 THRESHOLD = 0.3  # of the score; the quantile is mapped to it
 # ASCII punctuation, one feature each.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -137,13 +138,14 @@ class PairwiseModel:
 def preference_pairs(rows: DataFrame, good: int, bad: int, pairs: int = FIT_PAIRS) -> DataFrame:
     """(label, difference): good minus bad with label 1, and every other pair turned round with label 0.
 
-    ``rows`` has rank (hash order within its class), quality and features, and
-    is bounded; ``good`` and ``bad`` are its sizes. A class is cycled through in steps, never crossed with the other.
+    ``rows`` has rank (hash order within its class), quality and features;
+    ``good`` and ``bad`` are the sizes of the classes. The larger class is gone through in
+    rounds beside the smaller one, never crossed with it: as many pairs as the larger class has rows hold every row.
     """
-    # the bad side moves on by one more after each round through the good ones, so rounds don't repeat pairs
+    # the smaller side moves on by one more after each round through the larger one, so rounds don't repeat pairs
+    lead, other = F.col("id") % max(good, bad), (F.col("id") + F.floor(F.col("id") / F.lit(max(good, bad)))) % min(good, bad)
     numbered = rows.sparkSession.range(pairs).select(
-        "id", (F.col("id") % good).alias("good_rank"),
-        ((F.col("id") + F.floor(F.col("id") / F.lit(good))) % bad).alias("bad_rank"),
+        "id", (lead if good >= bad else other).alias("good_rank"), (other if good >= bad else lead).alias("bad_rank"),
     )
     g = rows.where("quality = 1").select(F.col("rank").alias("good_rank"), F.col("features").alias("good"))
     b = rows.where("quality = 0").select(F.col("rank").alias("bad_rank"), F.col("features").alias("bad"))
@@ -154,17 +156,39 @@ def preference_pairs(rows: DataFrame, good: int, bad: int, pairs: int = FIT_PAIR
     )
 
 
-def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, pairs: int = FIT_PAIRS) -> PairwiseModel:
-    """Fit on rows (key, quality 0 or 1, features), at most ``fit_rows`` of them, first in hash order.
+def ranked(labelled: DataFrame) -> DataFrame:
+    """``labelled`` stored with each row's ``rank`` from 0 in hash order within its class; ranks are counted inside slices."""
+    stored = stored_slices(labelled.withColumns({"_hash": F.xxhash64("key"), "n": F.lit(1).cast("long")}), "quality", "_hash")
+    totals = stored.groupBy("quality", "_slice").agg(F.sum("n").alias("n"))
+    before = Window.partitionBy("quality").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per slice and class
+    carried = totals.select("quality", "_slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("quality", "_slice").orderBy("_hash", "key", "features"))
+    return stored.withColumn("_inside", inside).join(F.broadcast(carried), ["quality", "_slice"]).select(
+        "key", "quality", "features", (F.col("_before") + F.col("_inside") - 1).alias("rank"))
+
+
+def quantile(values: DataFrame, column: str, share: float) -> float:
+    """The exact quantile of a column, between two values in proportion, from counts of distinct values in slices."""
+    counts = values.groupBy(F.lit("all").alias("curve"), column).agg(F.count("*").alias("n"))
+    stored = stored_slices(counts, "curve", column)
+    place = share * (stored.agg(F.sum("n")).first()[0] - 1)
+    low = math.floor(place)
+    reached = running_totals(stored, "curve", column, ["n"]).agg(*[
+        F.min(F.when(F.col("cum_n") > F.lit(at), F.col(column))) for at in (low, math.ceil(place))
+    ]).first()
+    return float(reached[0] + (reached[1] - reached[0]) * (place - low))
+
+
+def fit(labelled: DataFrame, pairs: int = FIT_PAIRS) -> PairwiseModel:
+    """Fit on all rows (key, quality 0 or 1, features); each is in ``ROUNDS`` pairs at least, so pairs grow with the rows.
 
     The quantile is the share of bad documents, so the threshold passes as many
     as were marked good.
     """
     spark = labelled.sparkSession
     path = scratch_path(spark, "quality-fit")
-    first = labelled.orderBy(F.xxhash64("key"), "key").limit(fit_rows)
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("key"), "key")  # over fit_rows rows at most
-    first.withColumn("rank", F.row_number().over(order).cast("long") - 1).write.parquet(path)
+    ranked(labelled).write.parquet(path)
     rows = spark.read.parquet(path)
     sizes = {r["quality"]: r["n"] for r in rows.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     good, bad = sizes.get(1, 0), sizes.get(0, 0)
@@ -172,21 +196,21 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, pairs: int = FIT_PAIRS) -
         # nothing to prefer: every score is 0.5
         return PairwiseModel([0.0] * len(NAMES), math.log(THRESHOLD / (1 - THRESHOLD)), 1.0)
     learner = LogisticRegression(fitIntercept=False, regParam=1e-4, maxIter=100, standardization=True)
-    weights = [float(w) for w in learner.fit(preference_pairs(rows, good, bad, pairs)).coefficients]
-    raw = rows.select("quality", PairwiseModel(weights, 0.0, 1.0).raw(F.col("features")).alias("raw"))
-    share, spread = raw.agg(F.avg((F.col("quality") == 0).cast("double")), F.stddev_pop("raw")).first()
-    at = raw.agg(F.percentile("raw", F.lit(share))).first()[0]
-    return PairwiseModel(weights, float(at), float(spread) or 1.0)
+    made = preference_pairs(rows, good, bad, max(pairs, ROUNDS * max(good, bad)))
+    weights = [float(w) for w in learner.fit(made).coefficients]
+    raw = rows.select(PairwiseModel(weights, 0.0, 1.0).raw(F.col("features")).alias("raw"))
+    spread = raw.agg(F.stddev_pop("raw")).first()[0]
+    return PairwiseModel(weights, quantile(raw, "raw", bad / (good + bad)), float(spread) or 1.0)
 
 
 def score_documents(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", quality: str = "quality",
-    fit_rows: int = FIT_ROWS, pairs: int = FIT_PAIRS,
+    pairs: int = FIT_PAIRS,
 ) -> DataFrame:
     """doc_id, held_out, score, predicted per row of ``docs``.
 
-    Only labelled rows that are not held out teach the model; text is its only
-    input. A null text counts as empty; empty texts get a score like any other.
+    Only labelled rows that are not held out teach the model, and all of them do;
+    text is its only input. A null text counts as empty; empty texts get a score like any other.
     Labels other than 0 and 1 and null keys teach nothing; a key with labels of
     both kinds teaches with its larger one. Repeated rows are scored each. An
     empty table gives an empty result; without labels of both kinds nothing is
@@ -199,7 +223,7 @@ def score_documents(
     known = labels.where(F.col(key).isNotNull() & F.col(quality).isin(0, 1)).groupBy(F.col(key).alias("key")).agg(
         F.max(quality).cast("int").alias("quality")
     )
-    model = fit(marked.join(known.where(~held_out(F.col("key"))), "key"), fit_rows, pairs)
+    model = fit(marked.join(known.where(~held_out(F.col("key"))), "key"), pairs)
     scored = marked.select(
         F.col("key").alias("doc_id"), held_out(F.col("key")).alias("held_out"), model.score(F.col("features")).alias("score")
     )

@@ -234,6 +234,40 @@ def test_features_equal_plain_python(spark, folder, odd_rows):
     assert found[-3, bare] == 0 and found[-2, bare] == 1 and found[-1, bare] == 0  # the whole word counts
 
 
+def test_every_labelled_row_teaches(spark):
+    """One feature is known only from the last rows in hash order, beyond the 20,000 that the fit once stopped at."""
+    n, width = 20_600, len(quality.NAMES)
+    at = F.row_number().over(Window.orderBy(F.xxhash64("key"), "key"))
+    rows = spark.range(n).select(F.col("id").alias("key"), (F.col("id") % 3 > 0).cast("int").alias("quality")).withColumn("at", at)
+    first = F.xxhash64(F.col("key"), F.lit(1)) % 7 / 7.0 + F.col("quality") * 0.2
+    late = F.when(F.col("at") > 20_000, F.xxhash64(F.col("key"), F.lit(2)) % 5 / 5.0 - F.col("quality")).otherwise(0.0)
+    table = rows.select("key", "quality", F.concat(F.array(first, late), F.array_repeat(F.lit(0.0), width - 2)).alias("features"))
+    model = quality.fit(table)
+    assert model.weights[0] > 0.1 and model.weights[1] < -0.1
+    raw = [r[0] for r in table.select(model.raw(F.col("features"))).collect()]
+    bad = table.where("quality = 0").count() / n
+    assert abs(model.at_quantile - np.quantile(raw, bad)) < 1e-9
+
+
+def test_ranks_quantiles_and_pairs_hold_every_row(spark):
+    rows = spark.range(300).select((F.col("id") % 250).alias("key"), (F.col("id") % 250 % 4 == 0).cast("int").alias("quality"))
+    table = rows.withColumn("features", F.array_repeat(F.col("key").cast("double"), len(quality.NAMES)))
+    ranks = quality.ranked(table)
+    window = Window.partitionBy("quality").orderBy(F.xxhash64("key"), "key")
+    expected = table.select("quality", "key", (F.row_number().over(window) - 1).alias("rank")).collect()
+    assert sorted(map(tuple, ranks.select("quality", "key", "rank").collect())) == sorted(map(tuple, expected))
+    sizes = {r.quality: r["count"] for r in table.groupBy("quality").count().collect()}
+    assert sizes[0] > sizes[1]  # the bad side leads
+    made = quality.preference_pairs(ranks, sizes[1], sizes[0], sizes[0]).collect()
+    # every difference counts a good key once and a bad key once
+    total = sum((2 * r.label - 1) * r.features[0] for r in made)
+    good = [r.key for r in sorted(expected, key=lambda r: r.rank) if r.quality]
+    bad = sum(r.key for r in expected if not r.quality)
+    assert total == sum(good[i % len(good)] for i in range(sizes[0])) - bad
+    for share in (0.0, 0.1, 0.37, 1.0):
+        assert abs(quality.quantile(table, "key", share) - np.quantile([r.key for r in expected], share)) < 1e-9
+
+
 def test_pairs_fit_and_score_equal_plain_python(spark, folder):
     """Preference pairs, their logistic loss and the scores, worked out again from the features."""
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
