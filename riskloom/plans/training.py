@@ -18,7 +18,8 @@ from riskloom.plans.features import feature_names, fit_feature_model, transform_
 from riskloom.session import ensure_checkpoint_dir
 
 THRESHOLD = 0.50
-TASK_ROWS = 50_000  # training rows of a task; a hundred rounds run some thousand small jobs
+TASK_ROWS = 50_000  # training rows that are worth a task; a hundred rounds run some thousand small jobs
+MOST_TASK_ROWS = 1_000_000  # training rows that a task keeps in memory at most
 WEIGHT_SHARE = 0.75
 
 
@@ -61,6 +62,16 @@ def class_weight(train: DataFrame, label: str = "is_fraud") -> DataFrame:
     })
 
 
+def task_count(rows: int, cores: int) -> int:
+    """Tasks for so many training rows: as many as the rows are worth, up to one per core; then whole rounds of the cores.
+
+    Every level of every tree exchanges a block between any two tasks and sends
+    each task's result to the driver, so tasks must not grow with the rows.
+    """
+    worth = max(1, ceil(rows / TASK_ROWS))
+    return worth if worth <= cores else cores * ceil(rows / (cores * MOST_TASK_ROWS))
+
+
 def fit_classifier(
     vectors: DataFrame, pos_weight: float, params: BoostingParams, label: str = "is_fraud", rows: int | None = None
 ) -> GBTClassificationModel:
@@ -72,7 +83,7 @@ def fit_classifier(
         F.when(F.col(label) == 1, F.lit(pos_weight)).otherwise(1.0).alias("weight"),
     )
     if rows is not None:
-        weighted = weighted.repartition(max(1, ceil(rows / TASK_ROWS)))
+        weighted = weighted.repartition(task_count(rows, vectors.sparkSession.sparkContext.defaultParallelism))
     return GBTClassifier(
         featuresCol="features",
         labelCol="label",

@@ -269,6 +269,12 @@ def test_training_ledger_and_metrics(spark, trained):
     assert stored["metrics"] == entry["metrics"] and len(stored["top_features"]) == 5
 
 
+def test_tasks_of_training_do_not_grow_with_the_rows(spark):
+    assert [training.task_count(n, 12) for n in (0, 1, 50_000, 120_000, 600_000)] == [1, 1, 1, 3, 12]
+    assert [training.task_count(n, 12) for n in (4_800_000, 12_000_000, 28_800_000)] == [12, 12, 36]
+    assert all(n / training.task_count(n, 12) <= training.MOST_TASK_ROWS for n in range(1, 10**9, 9_999_991))
+
+
 def test_reloaded_bundle_scores_the_same_and_names_its_slots(spark, trained):
     _, gold, entry = trained
     bundle = training.load_bundle(entry["model_path"], spark)
