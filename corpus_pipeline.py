@@ -41,14 +41,18 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays whose five-word shingles have a Jaccard similarity of 0.8 or more.
-
-    It is that with the smallest key; a null key stays only where its group has
-    no other. Empty and blank texts are one group. Of rows that repeat the key
-    that stays, one stays.
+    """One document of each group stays, by two kinds of groups: fingerprints within two bits, and near copies.
+
+    Near copies have a Jaccard similarity of 0.8 or more of their five-word
+    shingles, which two bits of a fingerprint find only for the closest. Both
+    are worked out over all documents, and one that is not the smallest key of
+    either group goes. A null key stays only where its group has no other.
+    Empty and blank texts are one group. Of rows that repeat the key that
+    stays, one stays.
     """
     prepare(spark)
-    return simhash.keep_one(docs, near_copies.near_copies(docs))
+    kept = simhash.keep_one(docs, simhash.near_duplicates(docs))
+    return simhash.keep_one(kept, near_copies.near_copies(docs))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -314,6 +314,23 @@ def test_the_stage_drops_planted_near_copies(spark, docs_of, folder):
     assert kept == originals
 
 
+def test_the_stage_drops_documents_within_two_bits(spark, docs_of, folder):
+    """One changed word of 40 leaves a five-word similarity below 0.8, and some such pairs are within two bits."""
+    rng = np.random.default_rng(5)
+    rows, expected, close = [], set(), 0
+    for pair in range(2_000):
+        words = [f"w{n}" for n in rng.integers(0, 5_000, 40)]
+        texts = [" ".join(words), " ".join([*words[:20], f"changed{pair}", *words[21:]])]
+        bits = (simhash.fingerprint(texts[0].encode()) ^ simhash.fingerprint(texts[1].encode())).bit_count()
+        if bits <= 2 or pair < 3:
+            rows += [(2 * pair, texts[0], "a"), (2 * pair + 1, texts[1], "a")]
+            expected |= {2 * pair} if bits <= 2 else {2 * pair, 2 * pair + 1}
+            close += bits <= 2
+    assert close
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs_of(rows), folder).collect()}
+    assert kept == expected
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(7, 7), (None, 3)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
