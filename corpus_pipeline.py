@@ -51,8 +51,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     stays, one stays.
     """
     prepare(spark)
-    kept = simhash.keep_one(docs, simhash.near_duplicates(docs))
-    return simhash.keep_one(kept, near_copies.near_copies(docs))
+    return simhash.keep_one(docs, simhash.near_duplicates(docs), near_copies.near_copies(docs))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.components import connected_components
 from riskloom.llm.exact_dedup import BITMAP_BITS, BITS_PER_ROW, MAX_BITS, _bit
 from riskloom.llm.text import mixed, whole
-from riskloom.session import scratch_path
+from riskloom.session import written
 
 SEED = 42
 SHINGLE = 5
@@ -64,12 +64,6 @@ def minima(hashes: np.ndarray) -> np.ndarray:
     return least
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _marked(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     """(doc_id, node, size, bands, text) per row; ``node`` stands for the set, ``size`` is its number of shingles."""
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
@@ -102,7 +96,7 @@ def _sets(marked: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     """(node, hashes) of the given nodes and of a few more."""
     bits = min(MAX_BITS, max(BITMAP_BITS, 2 ** ceil(log2(max(1, nodes.count() * BITS_PER_ROW)))))
     position = F.pmod(F.xxhash64("node"), F.lit(bits))
-    bitmaps = _written(
+    bitmaps = written(
         nodes.groupBy(F.floor(position / BITMAP_BITS).alias("bucket")).agg(
             F.expr(f"bitmap_construct_agg(pmod(xxhash64(node), {bits}L) % {BITMAP_BITS})").alias("bitmap")
         ),
@@ -118,7 +112,7 @@ def _sets(marked: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
             sets = [shingle_set(t.as_py(), shingle).tobytes() for t in found]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
 
-    return _written(texts.select("node", "text").mapInArrow(run, "node string, hashes binary"), "shingle-sets")
+    return written(texts.select("node", "text").mapInArrow(run, "node string, hashes binary"), "shingle-sets")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -144,21 +138,27 @@ def _alike(a: str, b: str, least: float):
     return (F.col(a) >= F.col(b) * least) & (F.col(b) >= F.col(a) * least)
 
 
-def _placed(crowded: DataFrame, links: DataFrame) -> DataFrame:
-    """The members of bands that links do not join to one component yet, with their component."""
-    members = _written(connected_components(links), "star-components")
-    placed = _written(
+def _joined(members: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) over links and what is joined already; ``members`` stand for all links before."""
+    if members is not None:
+        links = links.select("a", "b").unionByName(members.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    return written(connected_components(links), "star-components")
+
+
+def _placed(crowded: DataFrame, members: DataFrame) -> DataFrame:
+    """The members of bands that are not of one component yet, with their component."""
+    placed = written(
         crowded.join(members, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed"
     )
     ends = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    return _written(placed.join(ends.select("band"), "band"), "apart")
+    return written(placed.join(ends.select("band"), "band"), "apart")
 
 
 def _centres(apart: DataFrame, before: DataFrame | None) -> DataFrame:
     """Of every band the most central member, other than those centres before."""
     rows = apart if before is None else apart.join(before.select("band", "node"), ["band", "node"], "left_anti")
     best = rows.groupBy("band").agg(F.max(F.struct("central", "node", "size", "component")).alias("c"))
-    return _written(best.select("band", "c.node", "c.size", "c.component"), "band-centres")
+    return written(best.select("band", "c.node", "c.size", "c.component"), "band-centres")
 
 
 def _spokes(apart: DataFrame, centres: DataFrame, least: float) -> DataFrame:
@@ -221,7 +221,7 @@ def prefix_pairs(members: DataFrame, least: float) -> DataFrame:
                 )
 
     kinds = "shingle bigint, place int, early boolean, node string, size int, component string"
-    rows = _written(members.select("node", "size", "component", "hashes").mapInArrow(run, kinds), "prefixes")
+    rows = written(members.select("node", "size", "component", "hashes").mapInArrow(run, kinds), "prefixes")
     x = rows.where("early").select("shingle", *[F.col(c).alias(f"{c}_x") for c in ("place", "node", "size", "component")])
     y = rows.select("shingle", *[F.col(c).alias(f"{c}_y") for c in ("place", "node", "size", "component")])
     ordered = (F.col("size_x") < F.col("size_y")) | ((F.col("size_x") == F.col("size_y")) & (F.col("node_x") < F.col("node_y")))
@@ -235,13 +235,13 @@ def prefix_pairs(members: DataFrame, least: float) -> DataFrame:
 
 def _rest(apart: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Pairs to compare of the members still apart: in bands of a few each with each, else by the prefix filter."""
-    counted = _written(apart.groupBy("band").agg(F.count("*").alias("members")), "apart-bands")
+    counted = written(apart.groupBy("band").agg(F.count("*").alias("members")), "apart-bands")
     few = apart.join(counted.where(f"members <= {FEW}"), "band")
     p = few.select("band", F.col("node").alias("a"), F.col("size").alias("s"), F.col("component").alias("ca"))
     q = few.select("band", F.col("node").alias("b"), F.col("size").alias("t"), F.col("component").alias("cb"))
     pairs = p.join(q, "band").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _alike("s", "t", least))
     many = apart.join(counted.where(f"members > {FEW}").select("band"), "band", "left_semi").select("node", "size", "component")
-    members = _written(many.distinct().join(sets, "node"), "prefix-members")
+    members = written(many.distinct().join(sets, "node"), "prefix-members")
     return pairs.select("a", "b").unionByName(prefix_pairs(members, least)).distinct()
 
 
@@ -257,29 +257,28 @@ def near_copies(
     """
     if not LEAST <= least <= 1:
         raise ValueError(f"the bands find similarities of {LEAST} and more")
-    marked = _written(_marked(docs, key, text, shingle), "shingled")  # texts are hashed once
+    marked = written(_marked(docs, key, text, shingle), "shingled")  # texts are hashed once
     distinct = marked.groupBy("node").agg(F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("size", "bands")])
-    classes = _written(distinct, "shingle-classes")
+    classes = written(distinct, "shingle-classes")
     rows = classes.select("node", "size", F.explode("bands").alias("band"))
     counted = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    members = _written(rows.join(_written(counted, "crowded-bands"), "band"), "band-members")
-    central = _written(members.groupBy("node").agg(F.sum("n").alias("central")), "band-nodes")
+    members = written(rows.join(written(counted, "crowded-bands"), "band"), "band-members")
+    central = written(members.groupBy("node").agg(F.sum("n").alias("central")), "band-nodes")
     sets = _sets(marked, central.select("node"), shingle)
-    crowded = _written(members.join(central, "node").drop("n"), "band-ranks")
+    crowded = written(members.join(central, "node").drop("n"), "band-ranks")
 
-    apart, links, tried, centres = crowded.withColumn("component", F.col("node")), None, None, None
+    apart, joined, tried, centres = crowded.withColumn("component", F.col("node")), None, None, None
     for _ in range(STARS):
         centres = _centres(apart, centres)
         spokes = _spokes(apart, centres, least)
-        spokes = _written(spokes if tried is None else _without(spokes, tried), "spokes")
+        spokes = written(spokes if tried is None else _without(spokes, tried), "spokes")
         tried = spokes if tried is None else tried.unionByName(spokes)
-        found = _written(_similar(spokes, sets, least), "spoke-links")
-        links = found if links is None else links.unionByName(found)
-        apart = _placed(crowded, links)
-    rest = _written(_without(_rest(apart, sets, least), tried), "rest")
-    joined = connected_components(links.unionByName(_similar(rest, sets, least)))
-    labelled = classes.join(joined, "node", "left").select(
+        joined = _joined(joined, _similar(spokes, sets, least))
+        apart = _placed(crowded, joined)
+    rest = written(_without(_rest(apart, sets, least), tried), "rest")
+    joined = _joined(joined, _similar(rest, sets, least))
+    labelled = written(classes.join(joined, "node", "left").select(
         "node", "least", F.coalesce("component", "node").alias("component")
-    )
+    ), "copy-components")
     named = labelled.join(labelled.groupBy("component").agg(F.min("least").alias("component_id")), "component")
     return marked.select("doc_id", "node").join(named.select("node", "component_id"), "node").select("doc_id", "component_id")

@@ -13,16 +13,17 @@ leave it; components of the links are the near-duplicate groups.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.components import connected_components
 from riskloom.llm.text import fresh, whole
-from riskloom.session import scratch_path
+from riskloom.session import written
 
 SEED = 42
 SHINGLE = 3
@@ -118,17 +119,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     only where a component has no other. An empty table gives an empty result.
     Other columns are not read.
     """
-    spark = docs.sparkSession
-    path = scratch_path(spark, "fingerprints")
-    fingerprints(docs, key, text).write.parquet(path)  # texts are read once
-    marked = spark.read.parquet(path)
-    path = scratch_path(spark, "fingerprint-classes")
-    marked.groupBy("fp").agg(F.min("doc_id").alias("least")).write.parquet(path)
-    classes = spark.read.parquet(path)
+    marked = written(fingerprints(docs, key, text), "fingerprints")  # texts are read once
+    classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
     members = connected_components(links_within(classes.select("fp")))
-    labelled = classes.join(members, F.col("fp") == F.col("node"), "left").select(
+    labelled = written(classes.join(members, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
+    ), "fingerprint-components")
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     named = labelled.join(smallest, "component").select("fp", "component_id")
     return marked.join(named, "fp").select(
@@ -136,17 +132,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def keep_one(docs: DataFrame, marked: DataFrame, key: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, *marked: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` of one document per component, that with the smallest key.
 
-    ``marked`` is the result of ``near_duplicates`` for these rows. Of rows that
-    repeat the key that stays, one stays.
+    ``marked`` is the result of ``near_duplicates`` for these rows, or several
+    such results; with several, only a key that is the smallest in each of them
+    stays. Of rows that repeat the key that stays, one stays.
     """
     name = fresh(docs, "__key")
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    ids = marked.groupBy(F.col("doc_id").alias(name)).agg(F.max(stays).alias("__stays"), F.count("*").alias("__n"))
+    rows = reduce(DataFrame.unionByName, [
+        m.select(F.col("doc_id").alias(name), *[(stays if i == k else F.lit(None).cast("boolean")).alias(f"__{i}") for i in range(len(marked))])
+        for k, m in enumerate(marked)
+    ])
+    ids = rows.groupBy(name).agg(*[F.max(f"__{i}").alias(f"__{i}") for i in range(len(marked))], F.count("__0").alias("__n"))
+    all_stay = reduce(Column.__and__, [F.col(f"__{i}") for i in range(len(marked))])
+    odd = ids.select(name, all_stay.alias("__stays"), "__n").where("not __stays or __n > 1")
+    # few ids go or repeat, so these sides are small beside the texts; they are worked out once
+    odd = written(odd.select(name, "__stays"), "odd-keys")
     same = F.col(key).eqNullSafe(F.col(name))
-    # few ids go or repeat, so these sides are small beside the texts
-    rest = docs.join(ids.where("not __stays or __n > 1").drop("__stays", "__n"), same, "left_anti")
-    repeated = docs.join(ids.where("__stays and __n > 1").drop("__stays", "__n"), same, "left_semi")
+    rest = docs.join(odd.drop("__stays"), same, "left_anti")
+    repeated = docs.join(odd.where("__stays").drop("__stays"), same, "left_semi")
     return rest.unionByName(repeated.dropDuplicates([key]))

@@ -49,6 +49,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written below the shared folder and read again; its schema is known, so no job looks for it."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give ``checkpoint()`` and the tree trainer a reliable folder to write to."""
     if spark.sparkContext.getCheckpointDir() is None:

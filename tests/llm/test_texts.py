@@ -338,6 +338,29 @@ def test_components_of_chains_and_stars(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def jobs_so_far(spark):
+    return spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+
+
+def test_no_round_runs_over_finished_components(spark):
+    """Each round is two writes of several exchanges, whose tasks the driver keeps account of."""
+    links = [(i, 0) for i in range(1, 30)] + [(i, 100) for i in range(101, 130)]
+    before = jobs_so_far(spark)
+    found = connected_components(spark.createDataFrame(links, "a bigint, b bigint"))
+    assert jobs_so_far(spark) - before <= 6
+    assert {r.node: r.component for r in found.collect()} == {i: i // 100 * 100 for i in [*range(30), *range(100, 130)]}
+
+
+def test_the_near_duplicate_stage_takes_few_jobs(spark, docs_of, folder):
+    """Every job adds to what the driver holds."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words, f"a{i}", f"b{i}"]), "a") for i in range(30)] + [(100, " ".join(words[:30]), "a")]
+    before = jobs_so_far(spark)
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs_of(rows), folder).collect()
+    jobs = jobs_so_far(spark) - before
+    assert [r.doc_id for r in kept if r.doc_id >= 30] == [100] and jobs <= 170, jobs
+
+
 # --- lines -------------------------------------------------------------------
 
 def plain_lines(rows, min_docs):
