@@ -104,7 +104,8 @@ def links_within(distinct: DataFrame, most: int = MAX_DIFFERENCE) -> DataFrame:
     # of all cells a pair shares, the one where it counts
     here = ((da == 0)) | ((da != 0) & (db != 0) & ((F.abs(da) < F.abs(db)) | (da == -db)))
     near = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= most
-    return a.join(b, (F.col("a.cell") == F.col("b.cell")) & (F.col("a.fp") < F.col("b.fp")) & here & near).select(
+    # the planner sizes an exploded side like its input, a thirtieth of it, and would broadcast it
+    return a.join(b.hint("merge"), (F.col("a.cell") == F.col("b.cell")) & (F.col("a.fp") < F.col("b.fp")) & here & near).select(
         F.col("a.fp").alias("a"), F.col("b.fp").alias("b")
     )
 

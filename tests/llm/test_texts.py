@@ -191,6 +191,13 @@ def test_all_links_within_two_bits_are_found(spark):
     assert {frozenset((r.a % 2**64, r.b % 2**64)) for r in found} == expected
 
 
+def test_the_exploded_side_of_the_range_join_is_not_broadcast(spark):
+    """The planner sizes it like its input, of which it is thirty times."""
+    distinct = spark.range(50).select(F.shiftleft("id", 20).alias("fp"))
+    plan = simhash.links_within(distinct)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_keep_one_of_each_group(docs_of, odd_rows):
     docs = docs_of(odd_rows)
     kept = simhash.keep_one(docs, simhash.near_duplicates(docs)).collect()
