@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -13,6 +14,8 @@ from riskloom.session import configure
 PACKAGE = Path(__file__).resolve().parents[1]
 # Documents in an Arrow batch, so that Python workers hold little at a time.
 ARROW_RECORDS = "1000"
+# A table of intermediate rows is sized by its files; in a broadcast its rows take about ten times that.
+BROADCAST_BYTES = 2 << 20
 _sent: set[str] = set()
 
 
@@ -29,7 +32,16 @@ def ship_package(spark: SparkSession) -> None:
     _sent.add(application)
 
 
+def bound_broadcasts(spark: SparkSession) -> None:
+    """Lower the size up to which sides are broadcast unasked to ``BROADCAST_BYTES``; a lower one stays, -1 too."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    number, unit = re.match(r"(-?\d+)([a-z]?)", spark.conf.get(key).lower()).groups()
+    if int(number) << 10 * "bkmgtp".index(unit or "b") > BROADCAST_BYTES:
+        spark.conf.set(key, str(BROADCAST_BYTES))
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_RECORDS)
+    bound_broadcasts(spark)
     return configure(spark)

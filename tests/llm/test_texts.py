@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from riskloom.llm import exact_dedup, line_dedup, near_copies, pieces, pseudonyms, simhash
 from riskloom.llm.components import connected_components
+from riskloom.llm.shipping import prepare
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -368,6 +369,18 @@ def test_the_near_duplicate_stage_takes_few_jobs(spark, docs_of, folder):
     assert [r.doc_id for r in kept if r.doc_id >= 30] == [100] and jobs <= 170, jobs
 
 
+def test_broadcasts_are_bounded_and_a_lower_bound_stays(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        for given, then in [("10485760b", "2097152"), ("64MB", "2097152"), ("1g", "2097152"), ("256k", "256k"), ("2mb", "2mb"), ("-1", "-1")]:
+            spark.conf.set(key, given)
+            prepare(spark)
+            assert spark.conf.get(key) == then
+    finally:
+        spark.conf.set(key, before)
+
+
 # --- lines -------------------------------------------------------------------
 
 def plain_lines(rows, min_docs):
