@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.money import mean, round_half_up, share, total, total_where
 from riskloom.functions.rules import OPS_STATUS, is_fraud, severity, tenure_cohort
 from riskloom.operators.dedup import keep_first
+from riskloom.operators.slots import in_turns, stored
 from riskloom.operators.velocity import with_velocity
 from riskloom.plans.silver import staging_transactions
 
@@ -184,12 +185,7 @@ def channel_metrics(fact: DataFrame) -> DataFrame:
     )
 
 
-def fact_with_velocity(tx: DataFrame) -> DataFrame:
-    """Staging fact with rolling velocity.
-
-    Duplicate ids are resolved first.
-    """
-    staged = staging_transactions(keep_first(tx, "transaction_id", ["timestamp"]))
+def _moving(staged: DataFrame) -> DataFrame:
     moving = with_velocity(staged.withColumnRenamed("transaction_timestamp", "timestamp"))
     return moving.withColumnRenamed("timestamp", "transaction_timestamp").select(
         "transaction_id", "user_id", "merchant_id", "amount", "currency", "transaction_timestamp",
@@ -199,6 +195,19 @@ def fact_with_velocity(tx: DataFrame) -> DataFrame:
     )
 
 
+def fact_with_velocity(tx: DataFrame) -> DataFrame:
+    """Staging fact with rolling velocity, stored below the shared folder.
+
+    Duplicate ids are resolved first. Both steps move whole rows, so each takes
+    a few slots of its key at a time and the disk never holds all their shuffles.
+    """
+    arrived = stored([tx], "arrived", "transaction_id")
+    unique = stored(
+        (staging_transactions(keep_first(t, "transaction_id", ["timestamp"])) for t in in_turns(arrived)), "unique", "user_id"
+    )
+    return stored(map(_moving, in_turns(unique)), "moving")
+
+
 def dim_users_staged(users: DataFrame, staged: DataFrame) -> DataFrame:
     """User dimension over the staging fact (``fraud_incident_count``, ``last_active_at``)."""
     per_user = staged.groupBy("user_id").agg(

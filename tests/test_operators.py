@@ -1,6 +1,8 @@
 """Operators against brute force on small frames, skewed ones included."""
 
+import collections
 import random
+import time
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -10,7 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.functions import money, rules
-from riskloom.operators import checksum, dedup, drift, histogram, metrics, ordered, sampling, velocity
+from riskloom.operators import checksum, dedup, drift, histogram, metrics, ordered, sampling, slots, velocity
+from riskloom.plans import marts
+from riskloom.plans.silver import staging_transactions
 
 BASE = datetime(2024, 1, 1)
 
@@ -160,6 +164,61 @@ def test_rows_without_a_time_see_each_other_only(spark):
                    "d": (1, 8.0, None, None)}
 
 
+FACT_SCHEMA = (
+    "transaction_id string, user_id string, merchant_id string, amount double, currency string, timestamp timestamp, "
+    "channel string, card_type string, device_type string, ip_address string, country string, "
+    "distance_from_home_km double, is_fraud int, fraud_type string"
+)
+
+
+def _shuffle_files(spark):
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks()
+    return sum(blocks.apply(i).isShuffle() for i in range(blocks.size()))
+
+
+def test_the_fact_is_made_in_turns_and_leaves_no_shuffle_files(spark, monkeypatch):
+    rng = random.Random(3)
+    users = [None, "", *(f"u{i}" for i in range(30))]
+    rows = [
+        (
+            rng.choice([None, f"t{rng.randrange(250)}"]) if i % 9 == 0 else f"t{rng.randrange(250)}", rng.choice(users), "m",
+            rng.choice([None, float("nan"), -1.0, 0.0, 1.25, 10.5]), "USD",
+            None if i % 11 == 0 else BASE + timedelta(minutes=rng.randrange(3000)),
+            "web", "credit", "ios", "ip", "X", float(i), i % 2, "NONE",
+        )
+        for i in range(600)
+    ]
+    tx = spark.createDataFrame([*rows, *rows[:50]], FACT_SCHEMA)
+    plain = marts._moving(staging_transactions(dedup.keep_first(tx, "transaction_id", ["timestamp"])))
+    expected = collections.Counter(map(str, plain.collect()))
+    assert expected.total() > 60
+    before, taken = _shuffle_files(spark), []
+    monkeypatch.setattr(slots, "TURN_ROWS", 60)
+    monkeypatch.setattr(marts, "_moving", lambda part, make=marts._moving: taken.append(part) or make(part))
+    made = marts.fact_with_velocity(tx)
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    assert made.schema.simpleString() == plain.schema.simpleString() and len(taken) > 1
+    for _ in range(100):  # files are removed in the background
+        if _shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert _shuffle_files(spark) <= before
+    assert spark.conf.get(slots.CLEANUP) == "false"
+    assert collections.Counter(map(str, made.collect())) == expected
+    assert marts.fact_with_velocity(tx.where("false")).collect() == []
+
+
+@pytest.mark.parametrize("turn_rows", [1, 40, 10**6])
+def test_turns_hold_every_row_and_whole_keys(spark, monkeypatch, turn_rows):
+    monkeypatch.setattr(slots, "TURN_ROWS", turn_rows)
+    rows = [(None if i % 7 == 0 else f"k{i % 13}", i) for i in range(200)]
+    turns = [t.collect() for t in slots.in_turns(slots.stored([spark.createDataFrame(rows, "k string, i int")], "test", "k"))]
+    assert sorted(r.i for t in turns for r in t) == list(range(200))
+    keys = [{r.k for r in t} for t in turns]
+    assert sum(map(len, keys)) == len(set().union(*keys)) == 14
+    assert len(turns) == 1 if turn_rows > 200 else len(turns) > 1
+
+
 def test_velocity_starts_no_job_while_the_plan_is_built(spark):
     df = spark.createDataFrame(_velocity_rows(1, ["a", "b"], 10), VELOCITY_SCHEMA)
     spark.sparkContext.setJobGroup("plan", "velocity")
